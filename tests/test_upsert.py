@@ -1,0 +1,122 @@
+import random
+
+import pytest
+from scenarios import KEYS, at, expected, frame, main, recon, rows_of
+
+from siltline.operators.state import BEFORE, CHANGE, EVENTS, absorb
+from siltline.operators.upsert import condense_hot_keys, current, split_rejects, survivors, upsert
+
+KEY = (1, 10)
+
+SCENARIOS = {
+    "T1 new key": ([main("10:00", "x")], ("x", None, True, None)),
+    "T2 null keeps value": ([main("10:00", "x", 1), main("11:00", None, 2)], ("x", 2, True, None)),
+    "T3 late event fills gaps only": ([main("11:00", "y"), main("10:00", "x", 1)], ("y", 1, True, None)),
+    "T4 hard delete": (
+        [main("10:00", "x"), recon("12:00", True, "11:59")],
+        ("x", None, False, at("11:59")),
+    ),
+    "T5 no delete": ([main("10:00", "x"), recon("12:00", False), recon("12:30", None)], ("x", None, True, None)),
+    "T6 stub": ([recon("12:00", True, "11:59")], (None, None, False, at("11:59"))),
+    "T7 reactivated, removal time sticks": (
+        [main("10:00", "x"), recon("12:00", True, "11:59"), main("13:00", "z")],
+        ("z", None, True, at("11:59")),
+    ),
+    "T8 removal cleared, time sticks": (
+        [main("10:00", "x", removed="09:59"), main("11:00", "x")],
+        ("x", None, True, at("09:59")),
+    ),
+    "T9 main behind a recon still applies": (
+        [main("10:00", "x"), recon("11:00", False), main("10:30", "y")],
+        ("y", None, True, None),
+    ),
+    "T10 older main does not reactivate": (
+        [main("10:00", "x"), recon("11:00", True, "10:59"), main("10:30", "y")],
+        ("y", None, False, at("10:59")),
+    ),
+}
+
+
+@pytest.mark.parametrize("name", SCENARIOS)
+def test_scenario_batch_and_incremental(spark, name):
+    events, want = SCENARIOS[name]
+    assert rows_of(upsert(frame(spark, events), KEYS)) == {KEY: want}
+    state = None
+    for event in events:
+        state = absorb(state, frame(spark, [event]), KEYS).drop(CHANGE, BEFORE)
+    assert rows_of(state) == {KEY: want}
+
+
+def random_events(seed, count=400, keys=12):
+    """Many collisions in sequence and arrival, so every order column matters; ties are unique."""
+    rnd = random.Random(seed)
+    out = []
+    for tie in range(count):
+        clock = f"{rnd.randint(8, 11):02d}:{rnd.randint(0, 5):02d}"
+        key = (1, rnd.randint(1, keys))
+        if rnd.random() < 0.3:
+            e = recon(clock, rnd.choice([True, False, None]), rnd.choice([None, "07:00", "07:30"]), key, tie)
+        else:
+            a = rnd.choice([None, "x", "y", "z"])
+            e = main(clock, a, rnd.choice([None, 1, 2]), key, rnd.choice([None, None, "06:00"]), tie)
+        out.append(e)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_order_and_any_split(spark, seed):
+    events = random_events(seed)
+    want = expected(events)
+    rnd = random.Random(seed)
+    rnd.shuffle(events)
+    assert rows_of(upsert(frame(spark, events), KEYS)) == want
+    condensed = survivors(frame(spark, events), KEYS)
+    assert rows_of(current(condensed, KEYS)) == want
+    assert condensed.count() < len(events) / 3
+
+    state, cuts = None, sorted(rnd.sample(range(1, len(events)), 3))
+    parts = [events[a:b] for a, b in zip([0, *cuts], [*cuts, len(events)], strict=True)]
+    for part in [*parts, parts[1]]:  # the last one is a replay
+        state = absorb(state, frame(spark, part), KEYS).drop(CHANGE, BEFORE)
+        state = spark.createDataFrame(state.collect(), state.schema)
+    assert rows_of(state) == want
+    assert state.where(f"size({EVENTS}) > 5").count() == 0
+
+
+def test_hot_key_is_condensed_exactly(spark):
+    events = random_events(3, count=600, keys=2) + [main("09:00", "x", 1, (2, k), tie=k) for k in range(50)]
+    df = frame(spark, events)
+    condensed = condense_hot_keys(df, KEYS, hot_rows=40)
+    assert rows_of(current(condensed, KEYS)) == expected(events)
+    assert condensed.count() < 250  # two hot keys shrank, fifty calm ones passed through
+    assert rows_of(upsert(df, KEYS, hot_rows=40)) == expected(events)
+
+
+def test_identical_copies_of_one_event(spark):
+    events = [main("10:00", "x", 1, tie=7)] * 300 + [recon("12:00", True, "11:59", tie=8)] * 300
+    got = upsert(frame(spark, events), KEYS, hot_rows=50)
+    assert rows_of(got) == {KEY: ("x", 1, False, at("11:59"))}
+
+
+def test_null_keys_group_together(spark):
+    events = [main("10:00", "x", key=(1, None)), main("11:00", None, 5, key=(1, None))]
+    assert rows_of(upsert(frame(spark, events), KEYS)) == {(1, None): ("x", 5, True, None)}
+
+
+def test_null_sequence_is_rejected(spark):
+    bad = (1, 10, "bad", 9, True, None, None, 0, at("10:00"), 0)
+    good, rejects = split_rejects(frame(spark, [main("10:00", "x"), bad]))
+    assert (good.count(), rejects.count()) == (1, 1)
+    assert rows_of(upsert(frame(spark, [main("10:00", "x"), bad]), KEYS)) == {KEY: ("x", None, True, None)}
+
+
+def test_changes_of_one_merge(spark):
+    first = absorb(None, frame(spark, [main("10:00", "x"), main("10:00", "k", key=(1, 11))]), KEYS)
+    assert {r[CHANGE] for r in first.collect()} == {"insert"}
+    second = absorb(
+        first.drop(CHANGE, BEFORE),
+        frame(spark, [main("11:00", "y"), main("09:00", "old", key=(1, 11)), main("11:00", "n", key=(1, 12))]),
+        KEYS,
+    )
+    got = {r.k2: (r[CHANGE], r[BEFORE].a if r[BEFORE] else None) for r in second.collect()}
+    assert got == {10: ("update", "x"), 11: (None, None), 12: ("insert", None)}
