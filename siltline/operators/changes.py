@@ -17,10 +17,13 @@ def differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return fx.any_of([~a.eqNullSafe(b) for a, b in zip(left, right, strict=True)])
 
 
-def expand_changes(rows: DataFrame, kind: Column, before: Column, after: Column, rest=()) -> DataFrame:
+def expand_changes(
+    rows: DataFrame, kind: Column, before: Column, after: Column, rest: Sequence[str] = ()
+) -> DataFrame:
     """One output row per image: inserts give one row, updates a pre- and a post-image.
 
-    ``kind`` is 'insert', 'update' or 'delete'; ``before`` and ``after`` are structs of the same fields.
+    ``kind`` is 'insert', 'update' or 'delete'; ``before`` and ``after`` are structs of the same fields; ``rest``
+    names columns of ``rows`` to keep.
     """
     image = lambda change, row: F.struct(F.lit(change).alias("change"), row.alias("row"))
     images = (

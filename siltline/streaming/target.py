@@ -112,13 +112,14 @@ class KeyedTable:
             span &= F.col("version") <= until
         rows = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/data")
         rows = rows.where(span & F.col(CHANGE).isNotNull())
-        names = [*self.keys, *payload_columns(rows.drop("version", BUCKET), self.keys)]
+        rows = rows.withColumn(COMMIT_VERSION, F.col("version").cast("bigint"))
+        names = [*self.keys, *payload_columns(rows.drop("version", BUCKET, COMMIT_VERSION), self.keys)]
         changes = expand_changes(
             rows,
             F.col(CHANGE),
             F.col(BEFORE),
             F.struct(*[F.col(c) for c in names]),
-            rest=[F.col("version").cast("bigint").alias(COMMIT_VERSION)],
+            rest=[COMMIT_VERSION],
         )
         times = commits.where(span).groupBy(F.col("version").cast("bigint").alias(COMMIT_VERSION))
         return changes.join(times.agg(F.max("committed_at").alias(COMMIT_TIME)), COMMIT_VERSION)
