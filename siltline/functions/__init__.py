@@ -1 +1,2 @@
-"""Column expressions and naming rules; every function returns plain Spark columns."""
+"""Expressions and naming rules. Expressions are Spark SQL text: wide entities repeat them for up to 131 columns,
+and one ``selectExpr`` builds such a plan many times faster than as many Column objects."""

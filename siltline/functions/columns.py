@@ -1,87 +1,96 @@
-"""The scalar expressions used by the conform step and by the merge."""
+"""The scalar expressions of the conform step and of the merge, as Spark SQL text."""
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable, Sequence
 
 MASK_BITS = 63  # bits used per bigint mask; the sign bit stays clear
 
 
-def convert(column: Column, to: str, on_error: str = "fail") -> Column:
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def aliased(expression: str, name: str) -> str:
+    return f"{expression} AS {quoted(name)}"
+
+
+def renamed(source: str, target: str) -> str:
+    return aliased(quoted(source), target)
+
+
+def convert(expression: str, to: str, on_error: str = "fail") -> str:
     """Cast; ``on_error='null'`` turns malformed values into null instead of failing the job."""
-    if on_error == "null":
-        return column.try_cast(to)
-    if on_error != "fail":
+    if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
-    return column.cast(to)
+    return f"{'cast' if on_error == 'fail' else 'try_cast'}({expression} AS {to})"
 
 
-def typed_null(to: str) -> Column:
-    return F.lit(None).cast(to)
+def typed_null(to: str) -> str:
+    return f"cast(null AS {to})"
 
 
-def soft_delete_flag(removed_at: Column | str) -> Column:
+def soft_delete_flag(removed_at: str) -> str:
     """Active while no removal time is set; never null."""
-    return (F.col(removed_at) if isinstance(removed_at, str) else removed_at).isNull()
+    return f"({quoted(removed_at)} IS NULL)"
 
 
-def hard_delete_flag(hard_delete: Column | str) -> Column:
+def hard_delete_flag(hard_delete: str) -> str:
     """``false`` for a confirmed delete, otherwise null, which the merge reads as "no change"."""
-    flag = F.col(hard_delete) if isinstance(hard_delete, str) else hard_delete
-    return F.when(flag, F.lit(False))
+    return f"CASE WHEN {quoted(hard_delete)} THEN false END"
 
 
-def first_known(names: Sequence[str]) -> Column:
+def first_known(names: Sequence[str]) -> str:
     """Sequence by fallback: the first non-null of the columns, not the greatest."""
-    return F.coalesce(*[F.col(n) for n in names])
+    return f"coalesce({', '.join(map(quoted, names))})"
+
 
+def load_user(user: str | None = None) -> str:
+    return "cast(session_user() AS string)" if user is None else text(user)
 
-def load_user(user: str | None = None) -> Column:
-    return F.expr("session_user()") if user is None else F.lit(user)
 
+def load_time(moment=None) -> str:
+    return "current_timestamp()" if moment is None else f"cast({text(moment)} AS timestamp)"
 
-def _fold_or(terms: list[Column]) -> Column:
-    # pairwise, so the expression tree stays log-deep for wide tables
-    while len(terms) > 1:
-        terms = [
-            terms[i].bitwiseOR(terms[i + 1]) if i + 1 < len(terms) else terms[i]
-            for i in range(0, len(terms), 2)
-        ]
-    return terms[0]
 
+def any_of(conditions: Iterable[str]) -> str:
+    return "(" + " OR ".join(conditions) + ")"
 
-def any_of(conditions: list[Column]) -> Column:
-    """Pairwise OR of conditions, log-deep like the masks."""
-    while len(conditions) > 1:
-        conditions = [
-            conditions[i] | conditions[i + 1] if i + 1 < len(conditions) else conditions[i]
-            for i in range(0, len(conditions), 2)
-        ]
-    return conditions[0]
 
+def mask_count(names: Sequence[str]) -> int:
+    return (len(names) + MASK_BITS - 1) // MASK_BITS
 
-def presence_masks(names: Sequence[str]) -> list[Column]:
+
+def presence_masks(names: Sequence[str]) -> list[str]:
     """Bigint bit sets telling which columns of a row are non-null, 63 columns per mask."""
-    none = F.lit(0).cast("bigint")
-    masks = []
-    for start in range(0, len(names), MASK_BITS):
-        bits = [
-            F.when(F.col(n).isNotNull(), F.lit(1 << i).cast("bigint")).otherwise(none)
-            for i, n in enumerate(names[start : start + MASK_BITS])
-        ]
-        masks.append(_fold_or(bits))
-    return masks
+    return [
+        " | ".join(
+            f"if({quoted(n)} IS NULL, 0L, {1 << i}L)" for i, n in enumerate(names[start : start + MASK_BITS])
+        )
+        for start in range(0, len(names), MASK_BITS)
+    ]
+
 
+def has_bit(prefix: str, position: int) -> str:
+    return f"({prefix}{position // MASK_BITS} & {1 << (position % MASK_BITS)}L) != 0"
 
-def has_bit(mask_prefix: str, position: int) -> Column:
-    mask = F.col(f"{mask_prefix}{position // MASK_BITS}")
-    return mask.bitwiseAND(F.lit(1 << (position % MASK_BITS)).cast("bigint")) != 0
 
+def any_bit(prefix: str, names: Sequence[str]) -> str:
+    """True where any bit of the masks over ``names`` is set."""
+    return any_of(f"{prefix}{i} != 0" for i in range(mask_count(names)))
 
-def row_hash(names: Sequence[str]) -> Column:
+
+def row_hash(names: Sequence[str]) -> str:
     """64-bit hash of a row's values *and* null positions.
 
     ``xxhash64`` skips nulls, so ``(null, 'a')`` and ``('a', null)`` would collide without the masks.
     """
-    return F.xxhash64(*[F.col(n) for n in names], *presence_masks(names))
+    return f"xxhash64({', '.join([*map(quoted, names), *presence_masks(names)])})"
+
+
+def key_slot(keys: Sequence[str], slots: int) -> str:
+    """A stable number in ``0..slots-1`` for a key; null key parts are allowed."""
+    return f"cast(pmod(xxhash64({', '.join(map(quoted, keys))}), {slots}) AS int)"

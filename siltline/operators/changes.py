@@ -1,39 +1,38 @@
 """Row-level change feed between two states of a keyed table."""
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltline.functions import columns as fx
 
 CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIME = "_change_type", "_commit_version", "_commit_timestamp"
-INSERT, BEFORE, AFTER, DELETE = "insert", "update_preimage", "update_postimage", "delete"
 
 
-def differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    """Null-safe inequality of two rows."""
-    return fx.any_of([~a.eqNullSafe(b) for a, b in zip(left, right, strict=True)])
+def differs(left: Iterable[str], right: Iterable[str]) -> str:
+    """Null-safe inequality of two rows, given as SQL texts."""
+    return fx.any_of(f"NOT ({a} <=> {b})" for a, b in zip(left, right, strict=True))
 
 
 def expand_changes(
-    rows: DataFrame, kind: Column, before: Column, after: Column, rest: Sequence[str] = ()
+    rows: DataFrame, kind: str, before: str, after: str, rest: Sequence[str] = ()
 ) -> DataFrame:
     """One output row per image: inserts give one row, updates a pre- and a post-image.
 
     ``kind`` is 'insert', 'update' or 'delete'; ``before`` and ``after`` are structs of the same fields; ``rest``
     names columns of ``rows`` to keep.
     """
-    image = lambda change, row: F.struct(F.lit(change).alias("change"), row.alias("row"))
-    images = (
-        F.when(kind == "insert", F.array(image(INSERT, after)))
-        .when(kind == "delete", F.array(image(DELETE, before)))
-        .otherwise(F.array(image(BEFORE, before), image(AFTER, after)))
-    )
-    return rows.select(*rest, F.explode(images).alias("i")).select(
-        "i.row.*", F.col("i.change").alias(CHANGE_TYPE), *rest
-    )
+
+    def image(change, row):
+        return f"named_struct('change', '{change}', 'row', {row})"
+
+    images = f"""CASE {kind}
+        WHEN 'insert' THEN array({image("insert", after)})
+        WHEN 'delete' THEN array({image("delete", before)})
+        ELSE array({image("update_preimage", before)}, {image("update_postimage", after)}) END"""
+    exploded = rows.selectExpr(*rest, f"explode({images}) AS i")
+    return exploded.selectExpr("i.row.*", f"i.change AS {CHANGE_TYPE}", *rest)
 
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,15 +41,16 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     A full outer join on the keys: pass only touched keys to keep it proportional to the change.
     """
     names = new.columns
-    o = old.select(*names, F.lit(True).alias("__there")).alias("o")
-    n = new.select(*names, F.lit(True).alias("__there")).alias("n")
-    same_key = reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
-    both = o.join(n, same_key, "full_outer")
     payload = [c for c in names if c not in keys]
-    is_new, is_gone = F.col("o.__there").isNull(), F.col("n.__there").isNull()
-    changed = is_new | is_gone
+    quoted = [fx.quoted(c) for c in names]
+    o = old.selectExpr(*quoted, "true AS __there").alias("o")
+    n = new.selectExpr(*quoted, "true AS __there").alias("n")
+    same_key = " AND ".join(f"o.{fx.quoted(k)} <=> n.{fx.quoted(k)}" for k in keys)
+    changed = "o.__there IS NULL OR n.__there IS NULL"
     if payload:
-        changed = changed | differs([F.col(f"o.{c}") for c in payload], [F.col(f"n.{c}") for c in payload])
-    kind = F.when(is_new, "insert").when(is_gone, "delete").otherwise("update")
-    row = lambda side: F.struct(*[F.col(f"{side}.{c}").alias(c) for c in names])
-    return expand_changes(both.where(changed), kind, row("o"), row("n"))
+        sides = [[f"{side}.{fx.quoted(c)}" for c in payload] for side in ("o", "n")]
+        changed += f" OR {differs(*sides)}"
+    kind = "CASE WHEN o.__there IS NULL THEN 'insert' WHEN n.__there IS NULL THEN 'delete' ELSE 'update' END"
+    row = lambda side: f"struct({', '.join(f'{side}.{c} AS {c}' for c in quoted)})"
+    both = o.join(n, F.expr(same_key), "full_outer").where(changed)
+    return expand_changes(both, kind, row("o"), row("n"))

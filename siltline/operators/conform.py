@@ -1,11 +1,10 @@
 """Bronze feed -> conformed view -> ordered change events.
 
-Each step is one ``select``, so it runs unchanged on batch and streaming DataFrames and Catalyst collapses
-the steps into one projection that prunes the scan to the columns read.
+Each step is one projection, so it runs unchanged on batch and streaming DataFrames and Catalyst collapses the
+steps into a single one that prunes the scan to the columns read.
 """
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from siltline.functions import columns as fx
 from siltline.operators.upsert import ARRIVAL, FLOW, ORDER, SEQ, TIE
@@ -24,10 +23,6 @@ from siltline.plans.spec import (
 MAIN, RECON = 0, 1
 
 
-def _load_time(value) -> Column:
-    return F.current_timestamp() if value is None else F.lit(value).cast("timestamp")
-
-
 def conform_main(
     feed: DataFrame,
     spec: EntitySpec,
@@ -47,22 +42,21 @@ def conform_main(
         if isinstance(column, Null):
             value = fx.typed_null(column.cast)
         elif column.cast:
-            value = fx.convert(F.col(column.name), column.cast, on_cast_error)
+            value = fx.convert(fx.quoted(column.name), column.cast, on_cast_error)
         else:
-            value = F.col(column.name)
-        out.append(value.alias(column.target))
-    active = fx.soft_delete_flag(spec.removed_by) if spec.removed_by else F.lit(True)
+            value = fx.quoted(column.name)
+        out.append(fx.aliased(value, column.target))
     out += [
-        active.alias(ACTIVE_FLAG),
-        fx.load_user(load_user).alias(LOADED_BY),
-        F.col(INGESTED_AT).alias(EFFECTIVE_AT),
-        *[fx.typed_null(c.cast).alias(c.target) for c in spec.audit_nulls],
-        *[F.col(c) for c in LINEAGE],
-        _load_time(load_time).alias(LOAD_TIME),
+        fx.aliased(fx.soft_delete_flag(spec.removed_by) if spec.removed_by else "true", ACTIVE_FLAG),
+        fx.aliased(fx.load_user(load_user), LOADED_BY),
+        fx.renamed(INGESTED_AT, EFFECTIVE_AT),
+        *[fx.aliased(fx.typed_null(c.cast), c.target) for c in spec.audit_nulls],
+        *LINEAGE,
+        fx.aliased(fx.load_time(load_time), LOAD_TIME),
     ]
     if spec.sequence:
-        out.append(fx.first_known(spec.sequence).alias(spec.sequence_column))
-    return feed.select(*out, *carry)
+        out.append(fx.aliased(fx.first_known(spec.sequence), spec.sequence_column))
+    return feed.selectExpr(*out, *map(fx.quoted, carry))
 
 
 def conform_recon(
@@ -70,14 +64,14 @@ def conform_recon(
 ) -> DataFrame:
     """The reconciliation view: keys, hard-delete flag, removal time and sequence, nothing else."""
     out = [
-        *[F.col(k.name).alias(k.target) for k in spec.key_sources],
-        fx.hard_delete_flag("hard_delete").alias(ACTIVE_FLAG),
-        F.col("dt_removed").alias(REMOVED_AT),
-        F.col("ingested_at").alias(spec.sequence_column),
+        *[fx.renamed(k.name, k.target) for k in spec.key_sources],
+        fx.aliased(fx.hard_delete_flag("hard_delete"), ACTIVE_FLAG),
+        fx.renamed("dt_removed", REMOVED_AT),
+        fx.renamed("ingested_at", spec.sequence_column),
     ]
     if spec.sequence:
-        out.append(_load_time(load_time).alias(LOAD_TIME))
-    return feed.select(*out, *carry)
+        out.append(fx.aliased(fx.load_time(load_time), LOAD_TIME))
+    return feed.selectExpr(*out, *map(fx.quoted, carry))
 
 
 def as_events(
@@ -95,13 +89,13 @@ def as_events(
     hash is taken here, once, because the merge later blanks payload columns an event no longer owns.
     """
     payload = [c for c in view.columns if c not in exclude and c != tie]
-    last = F.col(tie).cast("bigint") if tie else fx.row_hash(payload)
-    return view.select(
-        *payload,
-        F.col(sequence).alias(SEQ),
-        F.lit(flow).alias(FLOW),
-        F.col(arrival).alias(ARRIVAL),
-        last.alias(TIE),
+    last = f"cast({fx.quoted(tie)} AS bigint)" if tie else fx.row_hash(payload)
+    return view.selectExpr(
+        *map(fx.quoted, payload),
+        fx.renamed(sequence, SEQ),
+        fx.aliased(str(flow), FLOW),
+        fx.renamed(arrival, ARRIVAL),
+        fx.aliased(last, TIE),
     )
 
 
@@ -130,4 +124,4 @@ def change_events(
         removals = as_events(view, flow=RECON, arrival=spec.sequence_column, **order)
         events = events.unionByName(removals, allowMissingColumns=True)
     present = [c for c in spec.target_columns if c in events.columns]
-    return events.select(*present, *ORDER)
+    return events.selectExpr(*map(fx.quoted, present), *ORDER)

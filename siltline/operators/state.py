@@ -7,33 +7,30 @@ select the target columns and never read the rest.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from siltline.functions import columns as fx
 from siltline.operators.changes import differs
-from siltline.operators.upsert import ORDER, any_mask, newest_first, payload_columns, whole, with_ownership
+from siltline.operators.upsert import ORDER, all_of, newest_first, payload_columns, with_ownership
 
 EVENTS, CHANGE, BEFORE, FROM_STATE = "__events", "__change", "__before", "__from_state"
 BUCKET = "silt_bucket"
+_ORDER = ", ".join(ORDER)
 
 
 def to_events(state: DataFrame, keys: Sequence[str]) -> DataFrame:
     """State rows -> their surviving events, each holding only the columns it owns."""
     payload = payload_columns(state, keys)
-    none = F.array().cast("array<string>")
-    listed = F.flatten(F.transform(EVENTS, lambda e: F.coalesce(e["owns"], none)))
-    rows = state.select(*keys, *payload, listed.alias("__listed"), F.explode(EVENTS).alias("__event"))
+    listed = f"flatten(transform({EVENTS}, e -> coalesce(e.owns, cast(array() AS array<string>)))) AS __listed"
+    columns = [*map(fx.quoted, keys), *map(fx.quoted, payload)]
+    rows = state.selectExpr(*columns, listed, f"explode({EVENTS}) AS __event")
 
     def owned(name):
-        mine = F.when(F.col("__event.owns").isNull(), ~F.array_contains("__listed", name)).otherwise(
-            F.array_contains("__event.owns", name)
-        )
-        return F.when(mine, F.col(name)).alias(name)
+        by_rest = f"__event.owns IS NULL AND NOT array_contains(__listed, {fx.text(name)})"
+        by_name = f"array_contains(__event.owns, {fx.text(name)})"
+        return fx.aliased(f"if({by_rest} OR {by_name}, {fx.quoted(name)}, null)", name)
 
-    return rows.select(
-        *keys, *[owned(c) for c in payload], *[F.col(f"__event.{o}").alias(o) for o in ORDER]
-    )
+    return rows.selectExpr(*map(fx.quoted, keys), *map(owned, payload), *[f"__event.{o} AS {o}" for o in ORDER])
 
 
 def absorb(
@@ -41,53 +38,61 @@ def absorb(
     events: DataFrame,
     keys: Sequence[str],
     *,
-    bucket: Column | None = None,
+    bucket: str | None = None,
     track_changes: bool = True,
 ) -> DataFrame:
     """Merge events into state rows; returns new state rows and what changed.
 
-    ``__change`` is 'insert', 'update' or null; ``__before`` is the old row of an update, or null. With ``bucket``,
-    a function of the keys, rows are shuffled by that alone and stay grouped by it, ready for a bucketed write.
+    ``__change`` is 'insert', 'update' or null; ``__before`` is the old row of an update, or null. Without
+    ``track_changes`` updates are not told apart. With ``bucket``, an expression over the keys, rows are shuffled by
+    that alone and stay grouped by it, ready for a bucketed write.
     """
-    payload = payload_columns(events, keys)
-    merged = events.withColumn(FROM_STATE, F.lit(False))
+    payload = [*payload_columns(events, keys)]
+    if state is not None:  # a column only the state has is kept
+        payload += [c for c in payload_columns(state, keys) if c not in payload]
+    merged = events.selectExpr("*", f"false AS {FROM_STATE}")
     if state is not None:
-        kept = to_events(state, keys).withColumn(FROM_STATE, F.lit(True))
+        kept = to_events(state, keys).selectExpr("*", f"true AS {FROM_STATE}")
         merged = merged.unionByName(kept, allowMissingColumns=True)
     groups = list(keys)
     if bucket is not None:
-        merged = merged.withColumn(BUCKET, bucket).repartition(BUCKET)
+        merged = merged.selectExpr("*", f"{bucket} AS {BUCKET}").repartition(BUCKET)
         groups.insert(0, BUCKET)
 
-    marked = with_ownership(merged, groups, payload)
     window = newest_first(groups)
-    every = whole(window)
-    owns = F.array_compact(
-        F.array(*[F.when(fx.has_bit("__own", i), F.lit(c)) for i, c in enumerate(payload)])
-    )
-    entry = F.struct(*ORDER, F.when(any_mask("__newer", payload), owns).alias("owns"))
+    every = all_of(window)
+    owns = ", ".join(f"if({fx.has_bit('__own', i)}, {fx.text(c)}, null)" for i, c in enumerate(payload))
+    entry = f"struct({_ORDER}, if({fx.any_bit('__newer', payload)}, array_compact(array({owns})), null) AS owns)"
     out = [
-        *groups,
-        *[F.first(c, ignorenulls=True).over(every).alias(c) for c in payload],
-        *[F.col(o) for o in ORDER],
-        F.row_number().over(window).alias("__rank"),
-        F.collect_list(F.when(any_mask("__own", payload), entry)).over(every).alias(EVENTS),
-        F.max(FROM_STATE).over(every).alias(FROM_STATE),
+        *map(fx.quoted, groups),
+        *[f"first({fx.quoted(c)}, true) OVER ({every}) AS {fx.quoted(c)}" for c in payload],
+        *ORDER,
+        f"row_number() OVER ({window}) AS __rank",
+        f"collect_list(if({fx.any_bit('__own', payload)}, {entry}, null)) OVER ({every}) AS {EVENTS}",
+        f"max({FROM_STATE}) OVER ({every}) AS {FROM_STATE}",
     ]
     if track_changes:
-        old = [F.first(F.when(F.col(FROM_STATE), F.col(c)), ignorenulls=True).over(every) for c in payload]
-        out += [o.alias(f"__old_{c}") for o, c in zip(old, payload, strict=True)]
-    rows = marked.select(*out).where(F.col("__rank") == 1)
+        out += [
+            f"first(if({FROM_STATE}, {fx.quoted(c)}, null), true) OVER ({every}) AS {_old(c)}" for c in payload
+        ]
+    rows = with_ownership(merged, groups, payload).selectExpr(*out).where("__rank = 1")
 
     # a key whose events are all null still needs one event to exist
-    alone = F.array(F.struct(*ORDER, F.lit(None).cast("array<string>").alias("owns")))
-    events_kept = F.when(F.size(EVENTS) == 0, alone).otherwise(F.col(EVENTS)).alias(EVENTS)
+    alone = f"array(struct({_ORDER}, cast(null AS array<string>) AS owns))"
+    result = [
+        *map(fx.quoted, groups),
+        *map(fx.quoted, payload),
+        f"if(size({EVENTS}) = 0, {alone}, {EVENTS}) AS {EVENTS}",
+    ]
     if not track_changes:
-        return rows.select(*groups, *payload, events_kept)
-    changed = differs([F.col(f"__old_{c}") for c in payload], [F.col(c) for c in payload])
-    change = F.when(~F.col(FROM_STATE), F.lit("insert")).when(changed, F.lit("update"))
-    before = F.struct(*[F.col(k) for k in keys], *[F.col(f"__old_{c}").alias(c) for c in payload])
-    rows = rows.select(
-        *groups, *payload, events_kept, change.alias(CHANGE), before.alias(BEFORE)
-    )
-    return rows.withColumn(BEFORE, F.when(F.col(CHANGE) == "update", F.col(BEFORE)))
+        return rows.selectExpr(*result, f"if({FROM_STATE}, null, 'insert') AS {CHANGE}")
+    changed = differs(map(_old, payload), map(fx.quoted, payload))
+    old_row = [fx.quoted(k) for k in keys] + [f"{_old(c)} AS {fx.quoted(c)}" for c in payload]
+    change = f"CASE WHEN NOT {FROM_STATE} THEN 'insert' WHEN {changed} THEN 'update' END AS {CHANGE}"
+    rows = rows.selectExpr(*result, change, f"struct({', '.join(old_row)}) AS {BEFORE}")
+    kept = [fx.quoted(c) for c in rows.columns if c != BEFORE]
+    return rows.selectExpr(*kept, f"if({CHANGE} = 'update', {BEFORE}, null) AS {BEFORE}")
+
+
+def _old(column: str) -> str:
+    return fx.quoted(f"__old_{column}")

@@ -7,8 +7,7 @@ applying all events in sequence order while skipping nulls, so neither arrival o
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltline.functions import columns as fx
@@ -25,17 +24,18 @@ def payload_columns(events: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in events.columns if c not in keys and not c.startswith("__")]
 
 
-def newest_first(groups: Sequence[str]):
-    return W.partitionBy(*groups).orderBy(*[F.col(c).desc_nulls_last() for c in ORDER])
+def newest_first(groups: Sequence[str]) -> str:
+    newest = ", ".join(f"{c} DESC NULLS LAST" for c in ORDER)
+    return f"PARTITION BY {', '.join(map(fx.quoted, groups))} ORDER BY {newest}"
 
 
-def whole(window):
-    return window.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+def all_of(window: str) -> str:
+    return f"{window} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
 
 def split_rejects(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events that can be ordered, and those that cannot because their sequence is null."""
-    return events.where(F.col(SEQ).isNotNull()), events.where(F.col(SEQ).isNull())
+    return events.where(f"{SEQ} IS NOT NULL"), events.where(f"{SEQ} IS NULL")
 
 
 def with_ownership(events: DataFrame, groups: Sequence[str], payload: Sequence[str]) -> DataFrame:
@@ -45,23 +45,11 @@ def with_ownership(events: DataFrame, groups: Sequence[str], payload: Sequence[s
     this event holds the newest value. Only the masks run through the window, a bigint per 63 columns.
     """
     masks = fx.presence_masks(payload)
-    marked = events.select("*", *[m.alias(f"__has{i}") for i, m in enumerate(masks)])
-    before = newest_first(groups).rowsBetween(W.unboundedPreceding, -1)
-    none = F.lit(0).cast("bigint")
-    newer = [F.coalesce(F.bit_or(f"__has{i}").over(before), none) for i in range(len(masks))]
-    marked = marked.select("*", *[n.alias(f"__newer{i}") for i, n in enumerate(newer)])
-    own = [
-        F.col(f"__has{i}").bitwiseAND(F.bitwise_not(F.col(f"__newer{i}"))).alias(f"__own{i}")
-        for i in range(len(masks))
-    ]
-    kept = [c for c in marked.columns if not c.startswith("__has")]
-    return marked.select(*kept, *own)
-
-
-def any_mask(prefix: str, payload: Sequence[str]) -> Column:
-    """True where any bit of the named masks is set."""
-    count = (len(payload) + fx.MASK_BITS - 1) // fx.MASK_BITS
-    return fx.any_of([F.col(f"{prefix}{i}") != 0 for i in range(count)])
+    marked = events.selectExpr("*", *[f"{m} AS __has{i}" for i, m in enumerate(masks)])
+    before = f"{newest_first(groups)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    newer = [f"coalesce(bit_or(__has{i}) OVER ({before}), 0L) AS __newer{i}" for i in range(len(masks))]
+    marked = marked.selectExpr("*", *newer)
+    return marked.selectExpr("*", *[f"__has{i} & ~__newer{i} AS __own{i}" for i in range(len(masks))])
 
 
 def survivors(events: DataFrame, keys: Sequence[str], split_by: Sequence[str] = ()) -> DataFrame:
@@ -74,18 +62,20 @@ def survivors(events: DataFrame, keys: Sequence[str], split_by: Sequence[str] =
     payload = payload_columns(events, keys)
     if not payload:
         return events.dropDuplicates(list(keys))
-    groups = [*keys, *split_by]
-    marked = with_ownership(events, groups, payload).withColumn(
-        "__rank", F.row_number().over(newest_first(groups))
-    )
-    kept = marked.where(any_mask("__own", payload) | (F.col("__rank") == 1))
-    return kept.select(
-        *keys,
-        *[F.when(fx.has_bit("__own", i), F.col(c)).alias(c) for i, c in enumerate(payload)],
+    marked = with_ownership(events, [*keys, *split_by], payload)
+    kept = marked.where(f"{fx.any_bit('__own', payload)} OR {_none_newer(payload)}")
+    return kept.selectExpr(
+        *map(fx.quoted, keys),
+        *[f"if({fx.has_bit('__own', i)}, {fx.quoted(c)}, null) AS {fx.quoted(c)}" for i, c in enumerate(payload)],
         *ORDER,
     )
 
 
+def _none_newer(payload: Sequence[str]) -> str:
+    # an all-null event is kept only while nothing newer sets any column, so an all-null key still exists
+    return f"NOT {fx.any_bit('__newer', payload)}"
+
+
 def condense_hot_keys(events: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Shrink keys with very many events to their survivors before anything is shuffled by key.
 
@@ -98,20 +88,16 @@ def condense_hot_keys(events: DataFrame, keys: Sequence[str], hot_rows: int = HO
     The list of hot slots has at most ``HOT_SLOTS`` rows by construction, so broadcasting it is safe at any scale.
     If no slot is hot, adaptive execution drops step 2 at run time. Which slots count as hot never changes a result.
     """
-    slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(HOT_SLOTS)).cast("int")
-    hot = (
-        events.select(slot.alias("__slot"))
-        .groupBy("__slot")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_rows)
-        .select("__slot", F.ceil(F.col("__rows") / hot_rows).cast("bigint").alias("__parts"))
+    slot = f"{fx.key_slot(keys, HOT_SLOTS)} AS __slot"
+    counts = events.selectExpr(slot).groupBy("__slot").agg(F.expr("count(1) AS __rows"))
+    hot = counts.where(f"__rows > {hot_rows}").selectExpr(
+        "__slot", f"cast(ceil(__rows / {hot_rows}) AS bigint) AS __parts"
     )
-    slotted = events.withColumn("__slot", slot)
+    slotted = events.selectExpr("*", slot)
     calm = slotted.join(F.broadcast(hot.select("__slot")), "__slot", "left_anti").drop("__slot")
-    dealt = slotted.join(F.broadcast(hot), "__slot").withColumn(
-        "__part", F.pmod(F.monotonically_increasing_id(), F.col("__parts"))
+    dealt = slotted.join(F.broadcast(hot), "__slot").selectExpr(
+        *map(fx.quoted, events.columns), "pmod(monotonically_increasing_id(), __parts) AS __part"
     )
-    dealt = dealt.drop("__slot", "__parts")
     return calm.unionByName(survivors(dealt, keys, split_by=["__part"]))
 
 
@@ -120,17 +106,19 @@ def current(events: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     One shuffle and one sort by key; every column shares the same window, whose frames spill to disk.
     """
-    payload = payload_columns(events, keys)
     window = newest_first(keys)
-    latest = [F.first(c, ignorenulls=True).over(whole(window)).alias(c) for c in payload]
-    ranked = events.select(*keys, *latest, F.row_number().over(window).alias("__rank"))
-    return ranked.where(F.col("__rank") == 1).drop("__rank")
+    latest = [
+        f"first({fx.quoted(c)}, true) OVER ({all_of(window)}) AS {fx.quoted(c)}"
+        for c in payload_columns(events, keys)
+    ]
+    ranked = events.selectExpr(*map(fx.quoted, keys), *latest, f"row_number() OVER ({window}) AS __rank")
+    return ranked.where("__rank = 1").drop("__rank")
 
 
 def upsert(events: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Batch upsert: the current-state table after all events. Events without a sequence are left out;
     take them from :func:`split_rejects`. ``hot_rows=None`` skips the search for hot keys."""
     ordered, _ = split_rejects(events)
-    if hot_rows is not None and payload_columns(ordered, keys):
+    if hot_rows is not None:
         ordered = condense_hot_keys(ordered, keys, hot_rows)
     return current(ordered, keys)

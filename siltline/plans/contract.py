@@ -50,13 +50,13 @@ def comparable(df: DataFrame) -> DataFrame:
     """Timestamps without zone and decimals as exact text, so that any client shows the same values."""
     out = []
     for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
+        value = fx.quoted(field.name)
         if isinstance(field.dataType, TimestampType):
-            column = column.cast("timestamp_ntz")
+            value = fx.convert(value, "timestamp_ntz")
         elif isinstance(field.dataType, DecimalType):
-            column = column.cast("string")
-        out.append(column.alias(field.name))
-    return df.select(*out)
+            value = fx.convert(value, "string")
+        out.append(fx.aliased(value, field.name))
+    return df.selectExpr(*out)
 
 
 def activity_events(spark, sf, spec=ACTIVITY, recon=True, main=True):
@@ -75,47 +75,42 @@ def shown(df, spec=ACTIVITY, columns=SHOWN):
 
 def cast_double(spark, sf):
     o = table(spark, sf, "orders")
-    text = F.concat(F.col("o_orderkey").cast("string"), F.lit(".25"))
-    return o.select("o_orderkey", fx.convert(text, "double").alias("manhours"))
+    return o.selectExpr("o_orderkey", fx.convert("o_orderkey || '.25'", "double") + " AS manhours")
 
 
 def cast_decimal(spark, sf):
     o = table(spark, sf, "orders")
-    text = F.concat((F.col("o_orderkey") + 1).cast("string"), F.lit(".125"))
-    return comparable(o.select("o_orderkey", fx.convert(text, "decimal(38,12)").alias("list_price")))
+    price = fx.convert("(o_orderkey + 1) || '.125'", "decimal(38,12)")
+    return comparable(o.selectExpr("o_orderkey", f"{price} AS list_price"))
 
 
 def cast_bigint(spark, sf):
     li = table(spark, sf, "lineitem")
-    text = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
-    return li.select("l_orderkey", "l_linenumber", fx.convert(text, "bigint").alias("order_sequence"))
+    order = fx.convert("cast(l_orderkey * 10 + l_linenumber AS string)", "bigint")
+    return li.selectExpr("l_orderkey", "l_linenumber", f"{order} AS order_sequence")
 
 
 def cast_or_null(spark, sf):
-    text = F.when(F.col("event_id") % 4 == 0, F.lit("n/a")).otherwise(F.col("event_id").cast("string"))
-    e = table(spark, sf, "events")
-    return e.select("event_id", fx.convert(text, "double", on_error="null").alias("manhours"))
+    hours = fx.convert("if(event_id % 4 = 0, 'n/a', cast(event_id AS string))", "double", on_error="null")
+    return table(spark, sf, "events").selectExpr("event_id", f"{hours} AS manhours")
 
 
 def soft_delete(spark, sf):
-    bronze = main_feed(spark, sf).select(TIE, "dtRemoved")
-    return bronze.select(TIE, fx.soft_delete_flag("dtRemoved").alias("active_flag"))
+    return main_feed(spark, sf).selectExpr(TIE, f"{fx.soft_delete_flag('dtRemoved')} AS active_flag")
 
 
 def hard_delete(spark, sf):
-    return recon_feed(spark, sf).select(TIE, fx.hard_delete_flag("hard_delete").alias("active_flag"))
+    return recon_feed(spark, sf).selectExpr(TIE, f"{fx.hard_delete_flag('hard_delete')} AS active_flag")
 
 
 def seq2(spark, sf):
-    bronze = main_feed(spark, sf)
-    return comparable(bronze.select(TIE, fx.first_known(["RecordLastModified", "_ingested_at"]).alias("seq")))
+    sequence = fx.first_known(["RecordLastModified", "_ingested_at"])
+    return comparable(main_feed(spark, sf).selectExpr(TIE, f"{sequence} AS seq"))
 
 
 def seq3(spark, sf):
-    bronze = main_feed(spark, sf)
-    return comparable(
-        bronze.select(TIE, fx.first_known(["StateDate", "ResourceStateDate", "_ingested_at"]).alias("seq"))
-    )
+    sequence = fx.first_known(["StateDate", "ResourceStateDate", "_ingested_at"])
+    return comparable(main_feed(spark, sf).selectExpr(TIE, f"{sequence} AS seq"))
 
 
 def conform_query(spec) -> Query:

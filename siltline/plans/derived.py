@@ -25,7 +25,7 @@ def _before(seconds: str) -> str:
 
 def _events(spark: SparkSession, sf_dir: str, columns: Columns) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return events.select(*[F.expr(sql).alias(name) for name, sql in columns])
+    return events.selectExpr(*[f"{sql} AS `{name}`" for name, sql in columns])
 
 
 def unless(condition: str, value: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from siltline.functions.columns import text
 from siltline.operators.conform import change_events
 from siltline.plans.spec import EntitySpec
 from siltline.sources.feeds import FeedNames, table_feed
@@ -94,24 +95,19 @@ def run(
         names = ", ".join(name for name, _ in failures)
         raise RuntimeError(f"entities failed: {names}") from failures[0][1]
 
+    parts = []
     for spec, table, _ in running:
-        if table.manifest() is not None:
+        done = table.layout()
+        if done.held_by:
             table.read().createOrReplaceTempView(spec.target)
-    return _counts([(spec, table) for spec, table, _ in running if table.manifest() is not None])
-
-
-def _counts(tables: list[tuple[EntitySpec, KeyedTable]]) -> DataFrame | None:
-    """Per target: live rows, merged and rejected events, commits."""
-    parts = []
-    none = F.lit(0).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    for spec, table in tables:
-        target = F.lit(spec.target).alias("target")
-        live = table.read().select(target, one.alias("rows"), none.alias("events"), none.alias("rejected"))
-        done = table.commits().select(target, none.alias("rows"), "events", "rejected")
-        parts += [live.withColumn("commits", none), done.withColumn("commits", one)]
-    if not parts:
-        return None
-    every = reduce(DataFrame.unionByName, parts)
-    names = ("rows", "events", "rejected", "commits")
-    return every.groupBy("target").agg(*[F.sum(n).alias(n) for n in names])
+        totals = table.commits().selectExpr(
+            f"{text(spec.target)} AS target", "events", "rejected", "inserted", "updated"
+        )
+        parts.append(totals)
+    every = reduce(DataFrame.unionByName, parts).groupBy("target")
+    # rows are never removed, so the live rows are all inserts so far
+    return every.agg(
+        F.sum("inserted").alias("rows"),
+        *[F.sum(n).alias(n) for n in ("events", "rejected", "inserted", "updated")],
+        F.count(F.lit(1)).alias("commits"),
+    )

@@ -3,34 +3,44 @@
 Layout below ``root``:
 
     data/version=V/silt_bucket=B/   state rows of bucket B as of version V
-    manifest/version=V/             one row per live bucket: which version holds it, plus counts
+    manifest/version=V/             one row: which version holds each live bucket, schema, counts
     rejects/version=V/              events of that commit that had no sequence
 
 A commit rewrites only the buckets it touches and becomes visible when its one-file manifest does. A commit that
-dies half-way leaves no manifest, so the next attempt overwrites the same version. Each commit carries
-``(writer, epoch)``; a replayed micro-batch is recognised and skipped. One writer per target at a time.
+dies half-way leaves no manifest, so the next attempt overwrites the same version. Each commit records the last
+epoch of its writer, so a replayed micro-batch is recognised and skipped. One writer per target at a time.
 """
 
+import json
 from collections.abc import Sequence
 from copy import copy
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from siltline.functions import columns as fx
 from siltline.operators.changes import COMMIT_TIME, COMMIT_VERSION, expand_changes
 from siltline.operators.state import BEFORE, BUCKET, CHANGE, EVENTS, absorb
 from siltline.operators.upsert import HOT_ROWS, SEQ, condense_hot_keys, payload_columns, split_rejects
 
+MANIFEST = """version int, committed_at timestamp, events bigint, rejected bigint, inserted bigint, updated bigint,
+    rows bigint, bucket_count int, held_by map<int,int>, epochs map<string,bigint>, row_schema string"""
+
 
 @dataclass(frozen=True)
 class Layout:
-    """Which version holds each live bucket. At most one entry per bucket."""
+    """The newest commit: which version holds each live bucket, the row schema and each writer's last epoch."""
 
-    version: int
-    buckets: dict[int, int]
+    version: int = 0
+    rows: int = 0
+    held_by: dict[int, int] = field(default_factory=dict)
+    epochs: dict[str, int] = field(default_factory=dict)
+    schema: StructType | None = None
 
 
 class KeyedTable:
@@ -46,7 +56,11 @@ class KeyedTable:
         hot_rows: int | None = HOT_ROWS,
         track_changes: bool = True,
     ):
-        """``buckets`` is fixed for the life of the table; aim at 0.5 to 1 GB of data per bucket."""
+        """``buckets`` is fixed for the life of the table; aim at 0.5 to 1 GB of data per bucket.
+
+        ``hot_rows`` bounds the events of one key a task sees at once. Without ``track_changes`` the change feed
+        holds inserts only.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = tuple(keys)
@@ -60,40 +74,37 @@ class KeyedTable:
         other.spark = spark
         return other
 
-    # ---- reading
+    def _bucket(self) -> str:
+        return fx.key_slot(self.keys, self.buckets)
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+    # ---- reading
 
-    def manifest(self) -> DataFrame | None:
-        """All commits, or None before the first one."""
+    def commits(self) -> DataFrame:
+        """One row per commit, with its counts. Empty before the first one."""
         try:
-            return self.spark.read.parquet(f"{self.root}/manifest")
+            manifest = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest")
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            manifest = self.spark.createDataFrame([], MANIFEST)
+        return manifest
 
     def layout(self) -> Layout:
-        manifest = self.manifest()
-        if manifest is None:
-            return Layout(0, {})
-        version = manifest.agg(F.max("version")).first()[0]
-        live = manifest.where((F.col("version") == version) & F.col("bucket").isNotNull())
-        rows = live.select("bucket", "held_by", "bucket_count").collect()  # at most one row per bucket
-        if rows and rows[0].bucket_count != self.buckets:
-            raise ValueError(f"{self.root} has {rows[0].bucket_count} buckets, not {self.buckets}")
-        return Layout(version, {r.bucket: r.held_by for r in rows})
+        newest = self.commits().orderBy(F.desc("version")).first()
+        if newest is None:
+            return Layout()
+        if newest.bucket_count != self.buckets:
+            raise ValueError(f"{self.root} has {newest.bucket_count} buckets, not {self.buckets}")
+        schema = StructType.fromJson(json.loads(newest.row_schema)) if newest.row_schema else None
+        return Layout(newest.version, newest.rows, newest.held_by, newest.epochs, schema)
 
     def _rows(self, layout: Layout, only: Sequence[int] | None = None) -> DataFrame | None:
-        wanted = layout.buckets if only is None else {b: layout.buckets[b] for b in only if b in layout.buckets}
-        if not wanted:
+        """State rows of all or some live buckets; no file of any other bucket is listed or read."""
+        buckets = layout.held_by if only is None else [b for b in only if b in layout.held_by]
+        if not buckets:
             return None
-        data = f"{self.root}/data"
-        paths = [f"{data}/version={v}/{BUCKET}={b}" for b, v in sorted(wanted.items())]
-        newest = max(layout.buckets.values())  # commits only ever add columns, so the newest has them all
-        schema = self.spark.read.option("basePath", data).parquet(f"{data}/version={newest}").schema
-        return self.spark.read.schema(schema).option("basePath", data).parquet(*paths).drop("version", BUCKET)
+        paths = [f"{self.root}/data/version={layout.held_by[b]}/{BUCKET}={b}" for b in sorted(buckets)]
+        return self.spark.read.schema(layout.schema).parquet(*paths)
 
     def read(self) -> DataFrame:
         """The target: keys and payload, without the merge's own columns."""
@@ -103,117 +114,89 @@ class KeyedTable:
         return rows.drop(EVENTS, CHANGE, BEFORE)
 
     def changes(self, since: int = 1, until: int | None = None) -> DataFrame:
-        """The change feed of versions ``since..until``; needs only the files those commits wrote."""
-        commits = self.manifest()
-        if commits is None or not self.track_changes:
-            raise ValueError(f"{self.root} has no recorded changes")
-        span = F.col("version") >= since
-        if until is not None:
-            span &= F.col("version") <= until
-        rows = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/data")
-        rows = rows.where(span & F.col(CHANGE).isNotNull())
-        rows = rows.withColumn(COMMIT_VERSION, F.col("version").cast("bigint"))
-        names = [*self.keys, *payload_columns(rows.drop("version", BUCKET, COMMIT_VERSION), self.keys)]
-        changes = expand_changes(
-            rows,
-            F.col(CHANGE),
-            F.col(BEFORE),
-            F.struct(*[F.col(c) for c in names]),
-            rest=[COMMIT_VERSION],
+        """The change feed of versions ``since..until``; reads only changed rows of the files those commits wrote."""
+        layout = self.layout()
+        if layout.schema is None:
+            raise ValueError(f"{self.root} has no rows yet")
+        span = f"version >= {since}" + (f" AND version <= {until}" if until is not None else "")
+        rows = self.spark.read.schema(layout.schema).option("basePath", f"{self.root}/data")
+        rows = rows.parquet(f"{self.root}/data").where(f"{span} AND {CHANGE} IS NOT NULL")
+        rows = rows.withColumn(COMMIT_VERSION, F.col("version").cast("bigint")).drop("version", BUCKET)
+        names = [*self.keys, *payload_columns(rows.drop(COMMIT_VERSION), self.keys)]
+        after = f"struct({', '.join(map(fx.quoted, names))})"
+        changes = expand_changes(rows, CHANGE, BEFORE, after, rest=[COMMIT_VERSION])
+        times = self.commits().selectExpr(
+            f"cast(version AS bigint) AS {COMMIT_VERSION}", f"committed_at AS {COMMIT_TIME}"
         )
-        times = commits.where(span).groupBy(F.col("version").cast("bigint").alias(COMMIT_VERSION))
-        return changes.join(times.agg(F.max("committed_at").alias(COMMIT_TIME)), COMMIT_VERSION)
-
-    def rejects(self) -> DataFrame | None:
-        try:
-            return self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/rejects")
-        except AnalysisException:
-            return None
+        return changes.join(times, COMMIT_VERSION)  # a commit that was never published has no time and no changes
 
-    def commits(self) -> DataFrame:
-        """One row per commit with its counts."""
-        manifest = self.manifest()
-        if manifest is None:
-            raise ValueError(f"{self.root} has no commits yet")
-        return manifest.groupBy("version", "writer", "epoch", "committed_at", "events", "rejected").agg(
-            F.sum("rows").alias("rows"),
-            F.sum(F.when(F.col("held_by") == F.col("version"), F.col("inserted"))).alias("inserted"),
-            F.sum(F.when(F.col("held_by") == F.col("version"), F.col("updated"))).alias("updated"),
-        )
+    def rejects(self) -> DataFrame:
+        """All rejected events so far, as the commits wrote them."""
+        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/rejects")
 
     # ---- writing
 
-    def _applied(self, writer: str, epoch: int) -> bool:
-        manifest = self.manifest()
-        if manifest is None:
-            return False
-        return bool(manifest.where((F.col("writer") == writer) & (F.col("epoch") == epoch)).take(1))
+    def merge(self, events: DataFrame, *, writer: str = "", epoch: int = 0, keep: bool = False) -> int:
+        """Upsert change events and commit; returns the version that holds them.
 
-    def merge(self, events: DataFrame, *, writer: str = "", epoch: int = -1, keep: bool = False) -> int:
-        """Upsert change events and commit. Returns the version that holds them.
-
-        ``keep`` holds the events in memory and on disk while they are used several times: right for a micro-batch,
-        wasteful for a bulk load, whose Parquet source is cheaper to scan again column by column.
+        With a ``writer``, epochs at or below its last one are skipped. ``keep`` holds the events in memory and on
+        disk while they are used several times: right for a micro-batch, wasteful for a bulk load, whose Parquet
+        source is cheaper to scan again column by column.
         """
-        if writer and self._applied(writer, epoch):
-            return self.layout().version
+        layout = self.layout()
+        if writer and layout.epochs.get(writer, -1) >= epoch:
+            return layout.version
         if keep:
             events = events.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return self._commit(events, self.layout(), writer, epoch)
+            return self._commit(events, layout, {writer: epoch} if writer else {})
         finally:
             if keep:
                 events.unpersist()
 
-    def _commit(self, events: DataFrame, layout: Layout, writer: str, epoch: int) -> int:
+    def _commit(self, events: DataFrame, layout: Layout, epochs: dict[str, int]) -> int:
         version = layout.version + 1
-        ordered, rejects = split_rejects(events)
-        counts = events.groupBy(self._bucket().alias("b")).agg(
-            F.count(SEQ).alias("good"), F.count_if(F.col(SEQ).isNull()).alias("bad")
-        )
-        counts = counts.collect()  # at most one row per bucket
+        per_bucket = events.selectExpr(f"{self._bucket()} AS b", SEQ).groupBy("b")
+        per_bucket = per_bucket.agg(F.expr(f"count({SEQ}) AS good"), F.expr(f"count_if({SEQ} IS NULL) AS bad"))
+        counts = per_bucket.collect()  # at most one row per bucket
         touched = [r.b for r in counts if r.good]
         rejected = sum(r.bad for r in counts)
+
+        ordered, rejects = split_rejects(events)
         if rejected:
             rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/version={version}")
-        held = dict(layout.buckets)
-        data = f"{self.root}/data/version={version}"
+        schema, written = layout.schema, {"inserted": 0, "updated": 0}
         if touched:
-            if self.hot_rows is not None:
-                ordered = condense_hot_keys(ordered, self.keys, self.hot_rows)
-            state = self._rows(layout, touched)
-            if state is not None:
-                state = state.drop(CHANGE, BEFORE)
-            rows = absorb(
-                state, ordered, self.keys, bucket=self._bucket(), track_changes=self.track_changes
-            )
-            rows.write.mode("overwrite").partitionBy(BUCKET).parquet(data)
-            held.update(dict.fromkeys(touched, version))
-        self._publish(version, held, touched, data, writer, epoch, sum(r.good for r in counts), rejected)
+            schema, written = self._write(ordered, layout, touched, version)
+
+        commit = {
+            "version": version,
+            "committed_at": datetime.now(timezone.utc),
+            "events": sum(r.good for r in counts),
+            "rejected": rejected,
+            **written,
+            "rows": layout.rows + written["inserted"],
+            "bucket_count": self.buckets,
+            "held_by": layout.held_by | dict.fromkeys(touched, version),
+            "epochs": layout.epochs | epochs,
+            "row_schema": schema.json() if schema else None,
+        }
+        row = self.spark.createDataFrame([commit], MANIFEST).coalesce(1)
+        row.write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
         return version
 
-    def _publish(self, version, held, touched, data, writer, epoch, events, rejected) -> None:
-        layout = self.spark.createDataFrame(
-            [(b, v) for b, v in sorted(held.items())] or [(None, None)], "bucket int, held_by int"
+    def _write(self, events: DataFrame, layout: Layout, touched: list[int], version: int):
+        if self.hot_rows is not None:
+            events = condense_hot_keys(events, self.keys, self.hot_rows)
+        state = self._rows(layout, touched)
+        if state is not None:
+            state = state.drop(CHANGE, BEFORE)
+        rows = absorb(state, events, self.keys, bucket=self._bucket(), track_changes=self.track_changes)
+        counted = Observation()
+        rows = rows.observe(
+            counted,
+            F.expr(f"count_if({CHANGE} = 'insert') AS inserted"),
+            F.expr(f"count_if({CHANGE} = 'update') AS updated"),
         )
-        if touched:
-            written = self.spark.read.parquet(data)
-            kind = F.col(CHANGE) if self.track_changes else F.lit(None).cast("string")
-            per_bucket = written.groupBy(F.col(BUCKET).alias("bucket")).agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.count_if(kind == "insert").alias("inserted"),
-                F.count_if(kind == "update").alias("updated"),
-            )
-            layout = layout.join(per_bucket, "bucket", "left")
-        else:
-            none = F.lit(None).cast("bigint")
-            layout = layout.select("*", none.alias("rows"), none.alias("inserted"), none.alias("updated"))
-        layout.select(
-            "*",
-            F.lit(self.buckets).alias("bucket_count"),
-            F.lit(writer).alias("writer"),
-            F.lit(epoch).cast("bigint").alias("epoch"),
-            F.lit(events).cast("bigint").alias("events"),
-            F.lit(rejected).cast("bigint").alias("rejected"),
-            F.current_timestamp().alias("committed_at"),
-        ).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
+        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/version={version}")
+        return StructType([f for f in rows.schema if f.name != BUCKET]), counted.get
