@@ -1,0 +1,145 @@
+from dataclasses import replace
+
+import pytest
+from bronze import lineage, main_feed, recon_feed
+from scenarios import KEYS, at, expected, frame, rows_of
+from test_upsert import random_events
+
+from siltline.operators.upsert import upsert
+from siltline.plans import contract
+from siltline.plans import entities as E
+from siltline.plans.derived import entity_feed, entity_recon_feed
+from siltline.sources.feeds import FeedNames, folder_feed, table_feed
+from siltline.sources.workspace import scratch
+from siltline.streaming.runner import run, upsert_stream
+from siltline.streaming.target import KeyedTable
+
+
+def write_parts(spark, events, path, parts):
+    step = -(-len(events) // parts)
+    for i in range(0, len(events), step):
+        frame(spark, events[i : i + step]).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_stream_equals_batch_and_survives_a_restart(spark, monkeypatch):
+    root = scratch(spark, "stream")
+    events = random_events(21, count=160, keys=6)
+    write_parts(spark, events, f"{root}/feed", 4)
+    table = KeyedTable(spark, f"{root}/table", KEYS, buckets=2)
+
+    # the third commit dies after writing its data, before publishing it
+    real, calls = KeyedTable._write, []
+
+    def dying(self, ordered, layout, touched, version):
+        done = real(self, ordered, layout, touched, version)
+        calls.append(version)
+        if calls == [1, 2, 3]:
+            raise RuntimeError("executor went away")
+        return done
+
+    monkeypatch.setattr(KeyedTable, "_write", dying)
+
+    def once():
+        stream = folder_feed(spark, f"{root}/feed", files_per_trigger=1)
+        upsert_stream(stream, table, f"{root}/checkpoint").awaitTermination()
+
+    with pytest.raises(Exception, match="executor went away"):
+        once()
+    assert table.layout().version == 2
+    once()
+    assert table.layout().version == 4 and calls == [1, 2, 3, 3, 4]
+    assert rows_of(table.read()) == expected(events)
+    assert [r.events for r in table.commits().orderBy("version").collect()] == [40] * 4
+
+    # more data later, same checkpoint: only the new file is read
+    late = [e for e in random_events(22, count=20, keys=6)]
+    write_parts(spark, late, f"{root}/feed", 1)
+    once()
+    assert rows_of(table.read()) == expected(events + late)
+    assert table.commits().where("version = 5").first().events == 20
+
+
+def test_replayed_epoch_is_skipped(spark):
+    """The offset was logged and the merge published, but the query died before noting the batch as done."""
+    root = scratch(spark, "replay")
+    events = random_events(23, count=40, keys=3)
+    write_parts(spark, events, f"{root}/feed", 1)
+    table = KeyedTable(spark, f"{root}/table", KEYS, buckets=2)
+    stream = folder_feed(spark, f"{root}/feed")
+    upsert_stream(stream, table, f"{root}/checkpoint").awaitTermination()
+    (writer,) = table.layout().epochs
+    before = table.layout()
+    assert table.merge(frame(spark, events), writer=writer, epoch=0) == before.version
+    assert table.layout() == before
+
+
+def test_run_over_catalog_tables(spark):
+    """Two entities, feeds in catalog tables: two updates with data in between."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze_db")
+    feeds = FeedNames("bronze_db")
+    specs = (E.PROJECTS, E.WORK_PACKAGE_WORKFLOW_LISTS)
+    p = {"Instances_Id": 1, "Id": 10, "ProjectName": "p", **lineage("10:00")}
+    w = {"Instances_Id": 1, "WorkPackageDetails_Id": 5, "Id": 10, "StateDate": at("10:00"), **lineage("10:00")}
+
+    def add(spec, main_rows, recon_rows):
+        main_feed(spark, spec, main_rows).write.mode("append").format("parquet").saveAsTable(feeds.main(spec))
+        recon_feed(spark, spec, recon_rows).write.mode("append").format("parquet").saveAsTable(feeds.recon(spec))
+
+    add(E.PROJECTS, [p], [])
+    add(E.WORK_PACKAGE_WORKFLOW_LISTS, [w], [])
+    silver = scratch(spark, "silver")
+    counts = run(spark, specs, feeds=feeds, silver=silver, buckets=2, load_user="me")
+    assert {(r.target, r.rows, r.events, r.rejected) for r in counts.collect()} == {
+        ("projects_sql", 1, 1, 0),
+        ("work_package_workflow_lists_sql", 1, 1, 0),
+    }
+    assert spark.table("projects_sql").first().PROJECT_NAME == "p"
+    assert spark.sql("select ACTIVE_FLAG from work_package_workflow_lists_sql").first()[0] is True
+
+    removal = {"Instances_Id": 1, "Id": 10, "hard_delete": True, "dt_removed": at("11:59"), "ingested_at": at("12:00")}
+    add(E.PROJECTS, [{**p, "Id": 11, "ProjectName": None}], [])
+    add(E.WORK_PACKAGE_WORKFLOW_LISTS, [], [{**removal, "WorkPackageDetails_Id": 5}])
+    counts = run(spark, specs, feeds=feeds, silver=silver, buckets=2, load_user="me")
+    assert {(r.target, r.rows, r.events) for r in counts.collect()} == {
+        ("projects_sql", 2, 2),
+        ("work_package_workflow_lists_sql", 1, 2),
+    }
+    row = spark.table("work_package_workflow_lists_sql").first()
+    assert (row.ACTIVE_FLAG, row.DT_REMOVED, row.STATE_DATE) == (False, at("11:59"), at("10:00"))
+    assert spark.table("projects_sql").columns == list(E.PROJECTS.target_columns)
+
+
+def test_one_failing_entity_does_not_stop_the_others(spark):
+    root = scratch(spark, "failing")
+    good, bad = E.PROJECTS, replace(E.WORK_PACKAGES, name="broken")
+    main_feed(spark, good, [{"Instances_Id": 1, "Id": 1, **lineage("10:00")}]).write.parquet(f"{root}/good")
+    broken = {"Instances_Id": 1, "Id": 1, "ActualMH": "n/a", **lineage("10:00")}
+    main_feed(spark, bad, [broken]).write.parquet(f"{root}/bad")
+    streams = {s.name: (folder_feed(spark, f"{root}/{f}"), None) for s, f in ((bad, "bad"), (good, "good"))}
+    with pytest.raises(RuntimeError, match="entities failed: broken"):
+        run(spark, [bad, good], streams=streams, silver=f"{root}/silver", buckets=2)
+    assert KeyedTable(spark, f"{root}/silver/projects_sql", good.keys, buckets=2).read().count() == 1
+
+
+def test_widest_entity_streams_like_batch(spark, sf_dir):
+    spec = E.TASK_STEP_INSTANCE_DETAILS
+    root = scratch(spark, "wide")
+    contract.stage(entity_feed(spark, sf_dir, spec), f"{root}/main", 2)
+    contract.stage(entity_recon_feed(spark, sf_dir, spec), f"{root}/recon", 2)
+    streams = {spec.name: tuple(folder_feed(spark, f"{root}/{f}", files_per_trigger=1) for f in ("main", "recon"))}
+    run(spark, [spec], streams=streams, silver=f"{root}/silver", buckets=2, tie="event_id", **contract.LOAD)
+    table = KeyedTable(spark, f"{root}/silver/{spec.target}", spec.keys, buckets=2)
+    assert table.commits().count() == 2
+    events = contract.change_events(
+        spec, entity_feed(spark, sf_dir, spec), entity_recon_feed(spark, sf_dir, spec), tie="event_id", **contract.LOAD
+    )
+    want = upsert(events, spec.keys)
+    got = table.read().select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_batch_reads_of_feeds(spark):
+    main_feed(spark, E.PROJECTS, [{"Instances_Id": 1, "Id": 1}]).write.format("parquet").saveAsTable("one_feed")
+    assert table_feed(spark, "one_feed", stream=False).count() == 1
+    assert table_feed(spark, "one_feed").isStreaming
+    assert FeedNames("b", catalog="c").recon(E.ASSETS) == "c.b.assets_recon"
