@@ -14,10 +14,11 @@ from siltline.functions import columns as fx
 
 SEQ, FLOW, ARRIVAL, TIE = ORDER = ("__seq", "__flow", "__arrival", "__tie")
 
-# Key hashes are counted in this many slots, which bounds the broadcast list of hot slots to a few MB
-# whatever the data size.
-HOT_SLOTS = 1 << 18
-HOT_ROWS = 1_000_000
+# Key hashes are counted in this many slots, which bounds the broadcast list of hot slots to about a million pairs
+# of numbers whatever the data size. With 10^11 events a slot holds 100,000 on average, well below the limit above
+# which it counts as hot.
+HOT_SLOTS = 1 << 20
+HOT_ROWS = 500_000
 
 
 def payload_columns(events: DataFrame, keys: Sequence[str]) -> list[str]:

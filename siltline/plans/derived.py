@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltline.plans.spec import EntitySpec
+from siltline.sources.feeds import spread
 
 Columns = list[tuple[str, str]]
 Back = Callable[[str], str]
@@ -23,8 +24,9 @@ def _before(seconds: str) -> str:
     return f"timestampadd(SECOND, -({seconds}), ts)"
 
 
-def _events(spark: SparkSession, sf_dir: str, columns: Columns) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+def _events(spark: SparkSession, sf_dir: str, columns: Columns, wide: bool = False) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    events = (spread(events) if wide else events).withColumn("ts", F.col("ts").cast("timestamp"))
     return events.selectExpr(*[f"{sql} AS `{name}`" for name, sql in columns])
 
 
@@ -126,7 +128,7 @@ def entity_columns(spec: EntitySpec, back: Back) -> Columns:
 
 
 def entity_feed(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:
-    return _events(spark, sf_dir, entity_columns(spec, _before))
+    return _events(spark, sf_dir, entity_columns(spec, _before), wide=len(spec.columns) > 40)
 
 
 def entity_recon_feed(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:
