@@ -14,7 +14,7 @@ from siltline.operators.changes import differs
 from siltline.operators.upsert import ORDER, all_of, newest_first, payload_columns, with_ownership
 
 EVENTS, CHANGE, BEFORE, FROM_STATE = "__events", "__change", "__before", "__from_state"
-BUCKET = "silt_bucket"
+BUCKET, SPLIT = "silt_bucket", "__split"
 _ORDER = ", ".join(ORDER)
 
 
@@ -39,32 +39,36 @@ def absorb(
     keys: Sequence[str],
     *,
     bucket: str | None = None,
+    splits: int = 1,
     track_changes: bool = True,
 ) -> DataFrame:
     """Merge events into state rows; returns new state rows and what changed.
 
     ``__change`` is 'insert', 'update' or null; ``__before`` is the old row of an update, or null. Without
     ``track_changes`` updates are not told apart. With ``bucket``, an expression over the keys, rows are shuffled by
-    that alone and stay grouped by it, ready for a bucketed write.
+    bucket and one of ``splits`` parts of it and stay grouped that way, ready for a bucketed write.
     """
     payload = [*payload_columns(events, keys)]
     if state is not None:  # a column only the state has is kept
         payload += [c for c in payload_columns(state, keys) if c not in payload]
     merged = events.selectExpr("*", f"false AS {FROM_STATE}")
     if state is not None:
-        kept = to_events(state, keys).selectExpr("*", f"true AS {FROM_STATE}")
-        merged = merged.unionByName(kept, allowMissingColumns=True)
+        stored = to_events(state, keys).selectExpr("*", f"true AS {FROM_STATE}")
+        merged = merged.unionByName(stored, allowMissingColumns=True)
     groups = list(keys)
     if bucket is not None:
-        merged = merged.selectExpr("*", f"{bucket} AS {BUCKET}").repartition(BUCKET)
-        groups.insert(0, BUCKET)
+        # murmur3, unlike the bucket's xxhash64: with the same hash a bucket could fall into one split
+        split = f"cast(pmod(hash({', '.join(map(fx.quoted, keys))}), {splits}) AS int) AS {SPLIT}"
+        merged = merged.selectExpr("*", f"{bucket} AS {BUCKET}", split).repartition(BUCKET, SPLIT)
+        groups = [BUCKET, SPLIT, *keys]
 
     window = newest_first(groups)
     every = all_of(window)
     owns = ", ".join(f"if({fx.has_bit('__own', i)}, {fx.text(c)}, null)" for i, c in enumerate(payload))
     entry = f"struct({_ORDER}, if({fx.any_bit('__newer', payload)}, array_compact(array({owns})), null) AS owns)"
+    kept = [BUCKET, *keys] if bucket is not None else list(keys)
     out = [
-        *map(fx.quoted, groups),
+        *map(fx.quoted, kept),
         *[f"first({fx.quoted(c)}, true) OVER ({every}) AS {fx.quoted(c)}" for c in payload],
         *ORDER,
         f"row_number() OVER ({window}) AS __rank",
@@ -80,7 +84,7 @@ def absorb(
     # a key whose events are all null still needs one event to exist
     alone = f"array(struct({_ORDER}, cast(null AS array<string>) AS owns))"
     result = [
-        *map(fx.quoted, groups),
+        *map(fx.quoted, kept),
         *map(fx.quoted, payload),
         f"if(size({EVENTS}) = 0, {alone}, {EVENTS}) AS {EVENTS}",
     ]
@@ -90,8 +94,8 @@ def absorb(
     old_row = [fx.quoted(k) for k in keys] + [f"{_old(c)} AS {fx.quoted(c)}" for c in payload]
     change = f"CASE WHEN NOT {FROM_STATE} THEN 'insert' WHEN {changed} THEN 'update' END AS {CHANGE}"
     rows = rows.selectExpr(*result, change, f"struct({', '.join(old_row)}) AS {BEFORE}")
-    kept = [fx.quoted(c) for c in rows.columns if c != BEFORE]
-    return rows.selectExpr(*kept, f"if({CHANGE} = 'update', {BEFORE}, null) AS {BEFORE}")
+    others = [fx.quoted(c) for c in rows.columns if c != BEFORE]
+    return rows.selectExpr(*others, f"if({CHANGE} = 'update', {BEFORE}, null) AS {BEFORE}")
 
 
 def _old(column: str) -> str:

@@ -53,10 +53,12 @@ class KeyedTable:
         keys: Sequence[str],
         *,
         buckets: int = 32,
+        splits: int = 4,
         hot_rows: int | None = HOT_ROWS,
         track_changes: bool = True,
     ):
-        """``buckets`` is fixed for the life of the table; aim at 0.5 to 1 GB of data per bucket.
+        """``buckets`` is fixed for the life of the table; aim at 0.5 to 1 GB of data per bucket. Each bucket is
+        merged by up to ``splits`` tasks and written as as many files.
 
         ``hot_rows`` bounds the events of one key a task sees at once. Without ``track_changes`` the change feed
         holds inserts only.
@@ -65,6 +67,7 @@ class KeyedTable:
         self.root = root.rstrip("/")
         self.keys = tuple(keys)
         self.buckets = buckets
+        self.splits = splits
         self.hot_rows = hot_rows
         self.track_changes = track_changes
 
@@ -191,7 +194,14 @@ class KeyedTable:
         state = self._rows(layout, touched)
         if state is not None:
             state = state.drop(CHANGE, BEFORE)
-        rows = absorb(state, events, self.keys, bucket=self._bucket(), track_changes=self.track_changes)
+        rows = absorb(
+            state,
+            events,
+            self.keys,
+            bucket=self._bucket(),
+            splits=self.splits,
+            track_changes=self.track_changes,
+        )
         counted = Observation()
         rows = rows.observe(
             counted,
