@@ -83,6 +83,14 @@ def any_bit(prefix: str, names: Sequence[str]) -> str:
     return any_of(f"{prefix}{i} != 0" for i in range(mask_count(names)))
 
 
+def names_of_bits(prefix: str, names: Sequence[str]) -> str:
+    """The names whose bits are set, as an array; one short lambda instead of a branch per name."""
+    every = f"array({', '.join(map(text, names))})"
+    masks = f"array({', '.join(f'{prefix}{i}' for i in range(mask_count(names)))})"
+    bit = f"shiftright({masks}[cast(i div {MASK_BITS} AS int)], i % {MASK_BITS})"
+    return f"filter({every}, (name, i) -> ({bit} & 1L) = 1L)"
+
+
 def row_hash(names: Sequence[str]) -> str:
     """64-bit hash of a row's values *and* null positions.
 

@@ -51,10 +51,10 @@ def absorb(
     payload = [*payload_columns(events, keys)]
     if state is not None:  # a column only the state has is kept
         payload += [c for c in payload_columns(state, keys) if c not in payload]
-    merged = events.selectExpr("*", f"false AS {FROM_STATE}")
+    merged = events
     if state is not None:
         stored = to_events(state, keys).selectExpr("*", f"true AS {FROM_STATE}")
-        merged = merged.unionByName(stored, allowMissingColumns=True)
+        merged = events.selectExpr("*", f"false AS {FROM_STATE}").unionByName(stored, allowMissingColumns=True)
     groups = list(keys)
     if bucket is not None:
         # murmur3, unlike the bucket's xxhash64: with the same hash a bucket could fall into one split
@@ -64,8 +64,8 @@ def absorb(
 
     window = newest_first(groups)
     every = all_of(window)
-    owns = ", ".join(f"if({fx.has_bit('__own', i)}, {fx.text(c)}, null)" for i, c in enumerate(payload))
-    entry = f"struct({_ORDER}, if({fx.any_bit('__newer', payload)}, array_compact(array({owns})), null) AS owns)"
+    owns = fx.names_of_bits("__own", payload)
+    entry = f"struct({_ORDER}, if({fx.any_bit('__newer', payload)}, {owns}, null) AS owns)"
     kept = [BUCKET, *keys] if bucket is not None else list(keys)
     out = [
         *map(fx.quoted, kept),
@@ -73,9 +73,11 @@ def absorb(
         *ORDER,
         f"row_number() OVER ({window}) AS __rank",
         f"collect_list(if({fx.any_bit('__own', payload)}, {entry}, null)) OVER ({every}) AS {EVENTS}",
-        f"max({FROM_STATE}) OVER ({every}) AS {FROM_STATE}",
     ]
-    if track_changes:
+    compare = state is not None and track_changes
+    if state is not None:
+        out.append(f"max({FROM_STATE}) OVER ({every}) AS {FROM_STATE}")
+    if compare:
         out += [
             f"first(if({FROM_STATE}, {fx.quoted(c)}, null), true) OVER ({every}) AS {_old(c)}" for c in payload
         ]
@@ -88,8 +90,11 @@ def absorb(
         *map(fx.quoted, payload),
         f"if(size({EVENTS}) = 0, {alone}, {EVENTS}) AS {EVENTS}",
     ]
-    if not track_changes:
-        return rows.selectExpr(*result, f"if({FROM_STATE}, null, 'insert') AS {CHANGE}")
+    if not compare:
+        change = "'insert'" if state is None else f"if({FROM_STATE}, null, 'insert')"
+        row = ", ".join([*map(fx.quoted, keys), *map(fx.quoted, payload)])
+        none = [f"if(false, struct({row}), null) AS {BEFORE}"] if track_changes else []
+        return rows.selectExpr(*result, f"{change} AS {CHANGE}", *none)
     changed = differs(map(_old, payload), map(fx.quoted, payload))
     old_row = [fx.quoted(k) for k in keys] + [f"{_old(c)} AS {fx.quoted(c)}" for c in payload]
     change = f"CASE WHEN NOT {FROM_STATE} THEN 'insert' WHEN {changed} THEN 'update' END AS {CHANGE}"

@@ -18,11 +18,12 @@ from siltline.operators.upsert import SEQ, current, split_rejects, upsert
 from siltline.plans.derived import (
     entity_feed,
     entity_recon_feed,
+    entity_streams,
     main_feed,
     recon_feed,
     table,
 )
-from siltline.plans.entities import ENTITIES, PROJECTS, WORK_PACKAGE_WORKFLOW_LISTS, WORK_PACKAGES_STEPS
+from siltline.plans.entities import ENTITIES, WORK_PACKAGE_WORKFLOW_LISTS
 from siltline.plans.spec import EntitySpec, Source
 from siltline.sources.feeds import folder_feed
 from siltline.sources.workspace import scratch
@@ -174,6 +175,12 @@ def two_flow_upsert(spark, sf):
     return shown(upsert(activity_events(spark, sf), ACTIVITY.keys))
 
 
+def upsert_hot_keys(spark, sf):
+    """Five keys share all rows of both feeds; each is far above the limit and is condensed in parts first."""
+    spec = replace(ACTIVITY, keys=("EVENT_TYPE",))
+    return shown(upsert(activity_events(spark, sf, spec), spec.keys, hot_rows=500), spec)
+
+
 def recon_stub_rows(spark, sf):
     """Reconciliation rows for users the main feed never mentions."""
     strangers = recon_feed(spark, sf).withColumn("user_id", F.col("user_id") + 100000)
@@ -290,15 +297,10 @@ def stream_two_flow_upsert(spark, sf):
 
 
 def pipeline_row_counts(spark, sf):
-    """One triggered update over three entities, each from its two feeds."""
-    root = scratch(spark, "run")
-    specs = (PROJECTS, WORK_PACKAGES_STEPS, WORK_PACKAGE_WORKFLOW_LISTS)
-    streams = {}
-    for spec in specs:
-        stage(entity_feed(spark, sf, spec), f"{root}/{spec.name}/main", 2)
-        stage(entity_recon_feed(spark, sf, spec), f"{root}/{spec.name}/recon", 2)
-        streams[spec.name] = tuple(folder_feed(spark, f"{root}/{spec.name}/{f}") for f in ("main", "recon"))
-    counts = run(spark, specs, streams=streams, silver=f"{root}/silver", buckets=4, tie=TIE, **LOAD)
+    """One triggered update over all eight entities, each from its two feeds."""
+    streams = {spec.name: entity_streams(spark, sf, spec) for spec in ENTITIES}
+    silver = scratch(spark, "run")
+    counts = run(spark, ENTITIES, streams=streams, silver=silver, buckets=4, tie=TIE, **LOAD)
     return counts.select("target", "rows", "events", "rejected")
 
 
@@ -318,6 +320,7 @@ def queries() -> dict[str, Query]:
         "upsert_out_of_order": upsert_out_of_order,
         "upsert_processing_time_ties": upsert_processing_time_ties,
         "two_flow_upsert": two_flow_upsert,
+        "upsert_hot_keys": upsert_hot_keys,
         "recon_stub_rows": recon_stub_rows,
         "reactivation_sticky_removed": reactivation_sticky_removed,
         "main_behind_recon": main_behind_recon,

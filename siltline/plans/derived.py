@@ -24,10 +24,14 @@ def _before(seconds: str) -> str:
     return f"timestampadd(SECOND, -({seconds}), ts)"
 
 
+def _derive(events: DataFrame, columns: Columns) -> DataFrame:
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return events.selectExpr(*[f"{sql} AS `{name}`" for name, sql in columns])
+
+
 def _events(spark: SparkSession, sf_dir: str, columns: Columns, wide: bool = False) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    events = (spread(events) if wide else events).withColumn("ts", F.col("ts").cast("timestamp"))
-    return events.selectExpr(*[f"{sql} AS `{name}`" for name, sql in columns])
+    return _derive(spread(events) if wide else events, columns)
 
 
 def unless(condition: str, value: str) -> str:
@@ -133,3 +137,10 @@ def entity_feed(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame
 
 def entity_recon_feed(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:
     return _events(spark, sf_dir, recon_columns(key_columns(spec)))
+
+
+def entity_streams(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> tuple[DataFrame, DataFrame]:
+    """Both feeds of an entity as streams over the ``events`` file itself."""
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema)
+    events = events.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return _derive(events, entity_columns(spec, _before)), _derive(events, recon_columns(key_columns(spec)))

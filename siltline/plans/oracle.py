@@ -11,7 +11,7 @@ from siltline.plans.derived import (
     main_columns,
     recon_columns,
 )
-from siltline.plans.entities import ENTITIES, PROJECTS, WORK_PACKAGE_WORKFLOW_LISTS, WORK_PACKAGES_STEPS
+from siltline.plans.entities import ENTITIES, WORK_PACKAGE_WORKFLOW_LISTS
 from siltline.plans.spec import EntitySpec, Null
 
 LOAD_TIME = "TIMESTAMP '2024-01-15 00:00:00'"
@@ -200,6 +200,7 @@ def oracle_sql() -> dict[str, str]:
         "upsert_processing_time_ties": f"{activity(seq=LOAD_TIME)} {fold(K2, SHOWN)}",
         "two_flow_upsert": two_flow,
         "stream_two_flow_upsert": two_flow,
+        "upsert_hot_keys": f"{activity(['EVENT_TYPE'])} {fold(['EVENT_TYPE'], SHOWN)}",
         "recon_stub_rows": f"{activity(shift=100000)} {fold(K2, SHOWN)}",
         "reactivation_sticky_removed": f"""{activity()}, result AS ({fold(K2, SHOWN)})
             SELECT * FROM result WHERE ACTIVE_FLAG AND DT_REMOVED IS NOT NULL""",
@@ -223,7 +224,7 @@ def oracle_sql() -> dict[str, str]:
         "line_latest": line_latest(),
         "customer_latest_order": "WITH ev AS (SELECT *, row(o_orderdate, o_orderkey) AS ord FROM orders) "
         + fold(["o_custkey"], ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]),
-        "pipeline_row_counts": entity_counts([PROJECTS, WORK_PACKAGES_STEPS, workflow]),
+        "pipeline_row_counts": entity_counts(ENTITIES),
     }
     for spec in ENTITIES:
         sql[f"conform_{spec.name}"] = conform_sql(spec)

@@ -127,7 +127,8 @@ class KeyedTable:
         rows = rows.withColumn(COMMIT_VERSION, F.col("version").cast("bigint")).drop("version", BUCKET)
         names = [*self.keys, *payload_columns(rows.drop(COMMIT_VERSION), self.keys)]
         after = f"struct({', '.join(map(fx.quoted, names))})"
-        changes = expand_changes(rows, CHANGE, BEFORE, after, rest=[COMMIT_VERSION])
+        before = BEFORE if BEFORE in rows.columns else f"if(false, {after}, null)"
+        changes = expand_changes(rows, CHANGE, before, after, rest=[COMMIT_VERSION])
         times = self.commits().selectExpr(
             f"cast(version AS bigint) AS {COMMIT_VERSION}", f"committed_at AS {COMMIT_TIME}"
         )

@@ -109,6 +109,7 @@ def test_without_tracking_only_inserts_are_reported(spark, root):
     assert rows_of(table.read()) == {(1, 10): ("y", None, True, None), (1, 11): ("n", None, True, None)}
     counts = [(r.inserted, r.updated) for r in table.commits().orderBy("version").collect()]
     assert counts == [(1, 0), (1, 0)]
+    assert sorted((r.a, r["_change_type"]) for r in table.changes().collect()) == [("n", "insert"), ("x", "insert")]
 
 
 def test_all_null_events_keep_their_key(spark, root):
