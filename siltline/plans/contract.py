@@ -14,7 +14,7 @@ from pyspark.sql.types import DecimalType, TimestampType
 from siltline.functions import columns as fx
 from siltline.operators.changes import CHANGE_TYPE, change_feed
 from siltline.operators.conform import MAIN, RECON, as_events, change_events, conform_main, conform_recon
-from siltline.operators.upsert import SEQ, current, split_rejects, upsert
+from siltline.operators.upsert import ORDER, current, split_rejects, upsert
 from siltline.plans.derived import (
     entity_feed,
     entity_recon_feed,
@@ -271,7 +271,7 @@ def change_feed_query(spark, sf):
 def table_change_feed(spark, sf):
     """The same, taken from the files a keyed table wrote in its second commit."""
     events = activity_events(spark, sf)
-    kept = events.select(*ACTIVITY.keys, "VAL", "ACTIVE_FLAG", "DT_REMOVED", *[c for c in events.columns if c[:2] == "__"])
+    kept = events.select(*ACTIVITY.keys, "VAL", "ACTIVE_FLAG", "DT_REMOVED", *ORDER)
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
     target = KeyedTable(spark, scratch(spark, "feed"), ACTIVITY.keys, buckets=4)
     target.merge(kept.where(F.col("__arrival") < cut))

@@ -213,7 +213,8 @@ def oracle_sql() -> dict[str, str]:
         "except_columns": f"{activity()}, result AS ({fold(K2, SHOWN)}) {known}",
         "change_feed": change_feed(),
         "table_change_feed": change_feed(),
-        "null_sequence_rejects": simple("main", "event_type AS EVENT_TYPE, user_id AS USER_ID, event_id") + " WHERE RecordLastModified IS NULL",
+        "null_sequence_rejects": simple("main", "event_type AS EVENT_TYPE, user_id AS USER_ID, event_id")
+        + " WHERE RecordLastModified IS NULL",
         "conversation_latest": """SELECT conv_id, max(turn) AS turn,
             arg_max(role, turn) FILTER (WHERE role IS NOT NULL) AS role,
             arg_max(text, turn) FILTER (WHERE text IS NOT NULL) AS text FROM conversations GROUP BY conv_id""",

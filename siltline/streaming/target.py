@@ -121,18 +121,25 @@ class KeyedTable:
         layout = self.layout()
         if layout.schema is None:
             raise ValueError(f"{self.root} has no rows yet")
-        span = f"version >= {since}" + (f" AND version <= {until}" if until is not None else "")
-        rows = self.spark.read.schema(layout.schema).option("basePath", f"{self.root}/data")
-        rows = rows.parquet(f"{self.root}/data").where(f"{span} AND {CHANGE} IS NOT NULL")
+        commits = self.commits().where(f"version >= {since} AND events > 0")
+        if until is not None:
+            commits = commits.where(f"version <= {until}")
+        data = f"{self.root}/data"
+        paths = [f"{data}/version={r.version}" for r in commits.select("version").collect()]
+        if paths:
+            rows = self.spark.read.schema(layout.schema).option("basePath", data).parquet(*paths)
+        else:
+            rows = self.spark.createDataFrame([], layout.schema).selectExpr("*", "0 AS version", f"0 AS {BUCKET}")
+        rows = rows.where(f"{CHANGE} IS NOT NULL")
         rows = rows.withColumn(COMMIT_VERSION, F.col("version").cast("bigint")).drop("version", BUCKET)
         names = [*self.keys, *payload_columns(rows.drop(COMMIT_VERSION), self.keys)]
         after = f"struct({', '.join(map(fx.quoted, names))})"
         before = BEFORE if BEFORE in rows.columns else f"if(false, {after}, null)"
         changes = expand_changes(rows, CHANGE, before, after, rest=[COMMIT_VERSION])
-        times = self.commits().selectExpr(
+        times = commits.selectExpr(
             f"cast(version AS bigint) AS {COMMIT_VERSION}", f"committed_at AS {COMMIT_TIME}"
         )
-        return changes.join(times, COMMIT_VERSION)  # a commit that was never published has no time and no changes
+        return changes.join(times, COMMIT_VERSION)
 
     def rejects(self) -> DataFrame:
         """All rejected events so far, as the commits wrote them."""

@@ -40,6 +40,7 @@ def test_merges_reads_and_changes(spark, root):
     assert {r["_commit_version"] for r in changes} == {2}
     assert all(r["_commit_timestamp"] for r in changes)
     assert table.changes(until=1).count() == 3
+    assert table.changes(since=3).count() == 0
     counts = {r.version: (r.events, r.rejected, r.inserted, r.updated, r.rows) for r in table.commits().collect()}
     assert counts == {1: (3, 0, 3, 0, 3), 2: (3, 0, 1, 1, 4)}
 
