@@ -1,0 +1,201 @@
+"""SimHash, embeddings and sharding against brute force."""
+
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pandas as pd
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from siltline.llm import embeddings, sharding, simhash
+from siltline.llm.common import components, slabs, table
+
+DOCS = "doc_id long, text string, source string, fp string, count long, mask string"
+
+
+def roots(nodes, links):
+    """Smallest node reachable from each."""
+    low = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            m = min(low[a], low[b])
+            if low[a] != m or low[b] != m:
+                low[a] = low[b] = m
+                changed = True
+    return low
+
+
+def plain_fingerprint(text, words=3):
+    tokens = (text or "").encode().lower().split()
+    grams = [b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))] if tokens else []
+    hashes = [xxhash.xxh64_intdigest(g, seed=42) for g in grams]
+    bits = [sum(h >> b & 1 for h in hashes) * 2 > len(hashes) for b in range(64)]
+    return sum(1 << b for b, on in enumerate(bits) if on)
+
+
+def test_fingerprint_matches_its_definition(spark, monkeypatch):
+    texts = [None, "", "  \t", "one", "One two", "a\tB\x0bc d", "é É x y", "  x y z", "w " * 500, "Äb " * 9]
+    for t in texts:
+        assert simhash.fingerprint(t) == simhash.signed(plain_fingerprint(t)), t
+    long = " ".join(str(i % 977) for i in range(20_000))
+    monkeypatch.setattr(simhash, "slabs", lambda data: slabs(data, 50))
+    assert simhash.fingerprint(long) == simhash.signed(plain_fingerprint(long))
+    assert simhash.fingerprint(long, 1) == simhash.signed(plain_fingerprint(long, 1))
+
+
+@pytest.mark.parametrize("leaf_rows", [16, 1024])
+def test_links_find_all_components(spark, leaf_rows):
+    rng = np.random.default_rng(leaf_rows)
+    centres = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    codes = set(map(int, centres)) | {0, 1, 7, 15, (1 << 64) - 1}
+    for c in [int(centres[0])] * 150 + [int(x) for x in centres] * 4:
+        for bit in rng.integers(0, 64, rng.integers(1, 6)):
+            c ^= 1 << int(bit)
+        codes.add(c)
+    codes = sorted(codes)
+    near = [(a, b) for a, b in combinations(codes, 2) if (a ^ b).bit_count() <= 3]
+    fps = spark.createDataFrame([(simhash.signed(c),) for c in codes], "fp long")
+    found = [(r.a, r.b) for r in simhash.links(fps, leaf_rows=leaf_rows).collect()]
+    allowed = {(simhash.signed(a), simhash.signed(b)) for a, b in near}
+    got = roots([simhash.signed(c) for c in codes], found)
+    want = roots([simhash.signed(c) for c in codes], allowed)
+    assert got == want
+
+
+def test_near_duplicates_on_awkward_rows(spark):
+    long = " ".join(f"w{i}" for i in range(400))
+    rows = [
+        (5, long, "a"), (3, long.upper(), "a"), (5, long, "a"), (9, None, None), (8, "", "b"), (None, "solo words here", "b"),
+        (7, "one", "c"), (11, "quite another text than the others are", "c"), (11, "one", "c"),
+    ]
+    docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], DOCS)
+    got = sorted(simhash.near_duplicates(docs).select("doc_id", "component_id").collect(), key=str)
+    assert got == sorted(
+        [(5, 3), (3, 3), (5, 3), (9, 8), (8, 8), (None, None), (7, 7), (11, 11), (11, 7)], key=str
+    )
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(3, long.upper()), (8, ""), (None, "solo words here"), (7, "one"), (11, rows[7][1])], key=str
+    )
+    assert simhash.near_duplicates(docs.limit(0)).collect() == []
+    assert simhash.representatives(docs.limit(0)).collect() == []
+
+
+def test_op8_on_a_table(spark, sf_dir):
+    got = {r.doc_id: r for r in simhash.op8_simhash_near_dedup(spark, sf_dir).collect()}
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    codes = {r.doc_id: plain_fingerprint(r.text) for r in rows}
+    near = [(a, b) for a, b in combinations(codes, 2) if (codes[a] ^ codes[b]).bit_count() <= 3]
+    low = roots(codes, near)
+    assert {k: (f"{v:016x}", low[k]) for k, v in codes.items()} == {
+        k: (r.fingerprint, r.component_id) for k, r in got.items()
+    }
+
+
+def test_components_of_chain_hub_and_nothing(spark):
+    chain = [(i, i + 1) for i in range(100, 140)]
+    links = [*chain, *[(7, i) for i in range(200, 260)], (3, 260), (260, 7), (500, 500)]
+    got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
+    want = roots({n for e in links for n in e}, links)
+    want.pop(500)
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def brute_embeddings(rows, threshold=0.98):
+    def sound(r):
+        v = r.embedding
+        return r.label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    good = [i for i, r in enumerate(rows) if sound(r)]
+    n, links = [0] * len(rows), []
+    for i, j in combinations(good, 2):
+        a, b = rows[i], rows[j]
+        if a.label == b.label and len(a.embedding) == len(b.embedding):
+            x, y = np.array(a.embedding, float), np.array(b.embedding, float)
+            if x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
+                n[i], n[j] = n[i] + 1, n[j] + 1
+                links.append((i, j))
+    low = roots(range(len(rows)), links)
+    ids = {}
+    for i, r in enumerate(rows):
+        ids[low[i]] = min(ids.get(low[i], r.vec_id), r.vec_id)
+    return sorted((r.vec_id, n[i], ids[low[i]], r.vec_id == ids[low[i]]) for i, r in enumerate(rows))
+
+
+@pytest.mark.parametrize("block_rows", [5, 1024])
+def test_embeddings_match_brute_force(spark, block_rows):
+    rng = np.random.default_rng(1)
+    rows = []
+    for c in range(6):
+        centre = rng.normal(size=20)
+        for k in range(12):
+            v = centre + rng.normal(size=20) * rng.choice([0.0, 0.08, 0.14, 0.2])
+            rows.append((100 - len(rows), [float(x) for x in v], c % 2))
+    nan, inf = float("nan"), float("inf")
+    rows += [(200, None, 0), (201, [], 0), (202, [0.0] * 20, 0), (203, [nan] + [1.0] * 19, 0), (204, [inf] * 20, 1)]
+    rows += [(205, rows[0][1], None), (206, [None] + [1.0] * 19, 1), (207, rows[0][1][:10], 0), (208, rows[0][1][:10], 0)]
+    rows += [(209, [2 * x for x in rows[3][1]], rows[3][2]), (209, rows[4][1], 1 - rows[4][2])]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, label int, node string, n int")
+    got = embeddings.near_duplicates(df, block_rows=block_rows).collect()
+    assert sorted(map(tuple, got)) == brute_embeddings(df.collect())
+    assert embeddings.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_op6_on_a_table(spark, sf_dir):
+    got = sorted(map(tuple, embeddings.op6_embedding_near_dedup(spark, sf_dir).collect()))
+    assert got == brute_embeddings(table(spark, sf_dir, "embeddings").collect())
+
+
+def test_quantisation_bound_holds():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 1500)) * rng.exponential(size=1500)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    q, s, e, k = embeddings.quantise(x)
+    about = embeddings.integer_products(q, q) * s[:, None] * s
+    assert (np.abs(about - x @ x.T) <= e[:, None] * k + e + 1e-9).all()
+    assert (embeddings.integer_products(q, q) == q.astype(np.int64) @ q.astype(np.int64).T).all()
+
+
+def plain_jump(key, n):
+    b, j = -1, 0
+    while j < n:
+        b = j
+        key = (key * 2862933555777941757 + 1) % (1 << 64)
+        j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_jump_hash_moves_only_into_the_new_shard():
+    keys = np.random.default_rng(0).integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2)
+    for n in (1, 2, 16, 17, 300):
+        got = sharding.jump_hash(keys, n)
+        assert got[:300].tolist() == [plain_jump(int(k), n) for k in keys[:300]]
+    a, b = sharding.jump_hash(keys, 16), sharding.jump_hash(keys, 17)
+    assert set(b[a != b]) == {16} and 150 < (a != b).sum() < 330
+    with pytest.raises(ValueError):
+        sharding.jump_hash(keys, 0)
+
+
+def test_sharding_awkward_rows_and_table(spark, sf_dir):
+    rows = [(i % 40, "x" * (i % 7) if i % 5 else None) for i in range(300)] + [(None, "é"), (None, "é")]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, shard int, slot int")
+    for df in (docs.repartition(5), table(spark, sf_dir, "documents")):
+        want = sorted(str((r.doc_id, len(b := (r.text or "").encode()) + 1, zlib.crc32(b))) for r in df.collect())
+        got = sharding.assign(df, 16, also=17).toPandas()
+        ids = [None if pd.isna(i) else int(i) for i in got.doc_id]
+        assert sorted(map(str, zip(ids, got["size"], got.text_crc32, strict=True))) == want
+        for _, part in got.groupby("shard"):
+            assert sorted(part.slot) == list(range(len(part)))
+        assert got.groupby("doc_id", dropna=False).shard.nunique().max() == 1
+        moved = got[got.shard != got.grown_shard]
+        assert (moved.grown_shard == 16).all()
+    assert sharding.assign(docs.limit(0), 16).collect() == []
+    query = sharding.op2_sharding(spark, sf_dir)
+    assert dict(query.dtypes) == {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"}
+    assert query.where(F.col("law") == "key").count() == table(spark, sf_dir, "documents").count()
