@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siltline.sources.workspace import shared_folder
 
+BROADCAST_ROWS = 200_000
 SPACE = bytes(range(9, 14)) + b" "
 
 
@@ -22,9 +23,9 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def text_key(id_column: str = "doc_id", text_column: str = "text"):
-    """A column that tells rows apart by id and text. Rows equal in both are one document read twice."""
-    return F.struct(F.col(id_column).alias("id"), F.xxhash64(F.col(text_column)).alias("hash"))
+def narrow(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, of short rows, marked for broadcasting if a count finds at most ``rows``; otherwise joins shuffle it."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -81,3 +82,37 @@ def slabs(data: bytes, size: int = 1 << 20):
             end += 1
         yield data[start:end]
         start = end
+
+
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[list(SPACE)] = False
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS.get("up", ())) < n:
+        n = max(n, 1 << 16)
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            factors = np.full(n, base, np.uint64)
+            factors[0] = 1
+            _POWERS[name] = np.cumprod(factors)  # wraps modulo 2^64
+    return _POWERS["up"], _POWERS["down"]
+
+
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a byte array begin and end; words are what stands between ASCII white space."""
+    inside = np.r_[False, _IS_WORD[data], False]
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    return turns[::2], turns[1::2]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word, from one pass over all bytes."""
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    code = (sums[ends] - sums[starts]) * down[starts]
+    code ^= code >> np.uint64(32)
+    code *= np.uint64(0xD6E8FEB86659FD93)
+    return code ^ (code >> np.uint64(32))
