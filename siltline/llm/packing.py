@@ -182,12 +182,13 @@ def exchange(fuller: list[int], emptier: list[int], sizes: Sequence[int], slack:
     return best
 
 
-def local_search(bins: list[list[int]], sizes: Sequence[int], capacity: int, rounds: int = 200) -> list[list[int]]:
+def local_search(bins: list[list[int]], sizes: Sequence[int], capacity: int) -> list[list[int]]:
     """Empty bins by exchanges that raise the sum of squared fills, until none helps or no fewer bins can do."""
     fill = [sum(sizes[i] for i in b) for b in bins]
     least = -(-sum(sizes) // capacity)
     alive = len(bins)
-    for _ in range(rounds):
+    changed = True
+    while changed:  # ends: the sum of squared fills grows by whole numbers and is bounded
         open_bins = sorted((k for k in range(len(bins)) if 0 < fill[k] < capacity), key=lambda k: fill[k])
         changed = False
         for nth, giver in enumerate(open_bins):
@@ -209,8 +210,6 @@ def local_search(bins: list[list[int]], sizes: Sequence[int], capacity: int, rou
                 alive -= 1
             if changed:
                 break  # the order of fills has changed
-        if not changed:
-            break
     return [b for b in bins if b]
 
 

@@ -194,8 +194,8 @@ def links(fingerprints: DataFrame, *, max_bits: int = 3, leaf_rows: int = 1024)
 def near_duplicates(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 3, max_bits: int = 3
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``text_hash`` (64 bits), ``fp`` and ``component_id``, the smallest id of its
-    group of near copies."""
+    """One row per document: ``doc_id``, ``text_hash`` (64 bits), ``fp``, ``group`` (the smallest fingerprint of its
+    group of near copies) and ``component_id`` (the smallest id of the group)."""
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     marked = with_fingerprint(named.withColumn("text_hash", F.xxhash64("text")), words=words)
     marked = settle(marked.select("doc_id", "text_hash", "fp"))
@@ -203,19 +203,19 @@ def near_duplicates(
     groups = components(links(distinct.select("fp"), max_bits=max_bits)).withColumnRenamed("node", "fp")
     placed = distinct.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = placed.groupBy("component").agg(F.min("low").alias("component_id"))
-    owner = placed.join(least, "component").select("fp", "component_id")
-    return marked.join(owner, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    owner = placed.join(least, "component").selectExpr("fp", "component AS group", "component_id")
+    return marked.join(owner, "fp").select("doc_id", "text_hash", "fp", "group", "component_id")
 
 
 def representatives(docs: DataFrame, *, words: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row for each group of near copies: that of the smallest id (of several texts with that id,
     the one with the smallest hash; of equal rows, any). The columns stay as they are."""
     groups = near_duplicates(docs, words=words, max_bits=max_bits)
-    keep = groups.where("doc_id <=> component_id").groupBy("component_id", F.expr("if(component_id IS NULL, fp, 0)"))
-    keep = keep.agg(F.min("text_hash").alias("__keep_hash")).select(F.col("component_id").alias("__keep_id"), "__keep_hash")
+    keep = groups.where("doc_id <=> component_id").groupBy("group", F.col("component_id").alias("__keep_id"))
+    keep = keep.agg(F.min("text_hash").alias("__keep_hash")).drop("group").distinct()
     hashed = docs.withColumn("__keep_text", F.xxhash64("text"))
     same = F.expr("doc_id <=> __keep_id AND __keep_text = __keep_hash")
-    kept = hashed.join(keep.distinct(), same, "left_semi")
+    kept = hashed.join(keep, same, "left_semi")
     return kept.dropDuplicates(["doc_id", "__keep_text"]).drop("__keep_text")
 
 

@@ -6,7 +6,7 @@ it touches. In stretches without white space any character may begin a chunk, un
 shorter than ``LEAST`` bytes unless it is a text's last, and none longer than about ``MOST``.
 
 Single short chunks repeat by chance, so what is deduplicated is a *window*: a chunk with as many chunks after it as
-make at least ``min_words`` words. Windows are identified by 128-bit digests. The first window of a digest, in order
+make at least ``min_words`` words (and, at its end, the shortest run of chunks with as many). Windows are identified by 128-bit digests. The first window of a digest, in order
 of document id, text hash and place, stays; in all later ones every chunk of the window is cut out. A text thus keeps
 what nobody said before it. Digests are combined map-side, only repeated ones travel back, and the spans of a document
 meet in that document's row, so a passage in a third of all documents is no hot spot.
@@ -72,7 +72,8 @@ def chunk_starts(data: np.ndarray, word_starts: np.ndarray) -> np.ndarray:
 
 
 def windows(text: str | None, min_words: int) -> Iterator[tuple[int, int, int]]:
-    """``digest, begin, end`` (in bytes) of the window at every chunk that has enough words after it."""
+    """``digest, begin, end`` (in bytes) of the window at every chunk that has enough words after it, and of the
+    shortest one that ends with the text."""
     raw = (text or "").encode()
     data = np.frombuffer(raw, np.uint8)
     word_starts, _ = word_spans(data)
@@ -83,8 +84,11 @@ def windows(text: str | None, min_words: int) -> Iterator[tuple[int, int, int]]:
     before = np.searchsorted(word_starts, borders)  # words that begin before each border
     upto = np.searchsorted(before, before[:-1] + min_words)
     whole = upto < len(borders)
+    begins, ends = starts[whole], borders[upto[whole]]
+    if ends[-1] < len(raw):
+        begins, ends = np.r_[begins, begins[-1]], np.r_[ends, len(raw)]
     digest = xxhash.xxh3_128_intdigest
-    for begin, end in zip(starts[whole].tolist(), borders[upto[whole]].tolist(), strict=True):
+    for begin, end in zip(begins.tolist(), ends.tolist(), strict=True):
         yield digest(raw[begin:end].strip()), begin, end
 
 
@@ -155,7 +159,7 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = 20) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``, and two more columns, both empty where nothing was
     cut: ``removed_spans`` (begin and end in bytes of the old text) and ``first_doc_ids`` (the documents that hold what
-    was cut here)."""
+    was cut here; null ids are left out)."""
     spans = repeated_spans(docs, doc_id=doc_id, text=text, min_words=min_words)
     spans = spans.selectExpr("id AS __id", "hash AS __hash", "spans AS __spans", "first_ids AS __first")
 

@@ -6,45 +6,23 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
+import brute
 from siltline.llm import embeddings, sharding, simhash
 from siltline.llm.common import components, slabs, table
 
 DOCS = "doc_id long, text string, source string, fp string, count long, mask string"
 
 
-def roots(nodes, links):
-    """Smallest node reachable from each."""
-    low = {n: n for n in nodes}
-    changed = True
-    while changed:
-        changed = False
-        for a, b in links:
-            m = min(low[a], low[b])
-            if low[a] != m or low[b] != m:
-                low[a] = low[b] = m
-                changed = True
-    return low
-
-
-def plain_fingerprint(text, words=3):
-    tokens = (text or "").encode().lower().split()
-    grams = [b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))] if tokens else []
-    hashes = [xxhash.xxh64_intdigest(g, seed=42) for g in grams]
-    bits = [sum(h >> b & 1 for h in hashes) * 2 > len(hashes) for b in range(64)]
-    return sum(1 << b for b, on in enumerate(bits) if on)
-
-
 def test_fingerprint_matches_its_definition(spark, monkeypatch):
     texts = [None, "", "  \t", "one", "One two", "a\tB\x0bc d", "é É x y", "  x y z", "w " * 500, "Äb " * 9]
     for t in texts:
-        assert simhash.fingerprint(t) == simhash.signed(plain_fingerprint(t)), t
+        assert simhash.fingerprint(t) == simhash.signed(brute.fingerprint(t)), t
     long = " ".join(str(i % 977) for i in range(20_000))
     monkeypatch.setattr(simhash, "slabs", lambda data: slabs(data, 50))
-    assert simhash.fingerprint(long) == simhash.signed(plain_fingerprint(long))
-    assert simhash.fingerprint(long, 1) == simhash.signed(plain_fingerprint(long, 1))
+    assert simhash.fingerprint(long) == simhash.signed(brute.fingerprint(long))
+    assert simhash.fingerprint(long, 1) == simhash.signed(brute.fingerprint(long, 1))
 
 
 @pytest.mark.parametrize("leaf_rows", [16, 1024])
@@ -61,8 +39,8 @@ def test_links_find_all_components(spark, leaf_rows):
     fps = spark.createDataFrame([(simhash.signed(c),) for c in codes], "fp long")
     found = [(r.a, r.b) for r in simhash.links(fps, leaf_rows=leaf_rows).collect()]
     allowed = {(simhash.signed(a), simhash.signed(b)) for a, b in near}
-    got = roots([simhash.signed(c) for c in codes], found)
-    want = roots([simhash.signed(c) for c in codes], allowed)
+    got = brute.roots([simhash.signed(c) for c in codes], found)
+    want = brute.roots([simhash.signed(c) for c in codes], allowed)
     assert got == want
 
 
@@ -89,9 +67,9 @@ def test_near_duplicates_on_awkward_rows(spark):
 def test_op8_on_a_table(spark, sf_dir):
     got = {r.doc_id: r for r in simhash.op8_simhash_near_dedup(spark, sf_dir).collect()}
     rows = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
-    codes = {r.doc_id: plain_fingerprint(r.text) for r in rows}
+    codes = {r.doc_id: brute.fingerprint(r.text) for r in rows}
     near = [(a, b) for a, b in combinations(codes, 2) if (codes[a] ^ codes[b]).bit_count() <= 3]
-    low = roots(codes, near)
+    low = brute.roots(codes, near)
     assert {k: (f"{v:016x}", low[k]) for k, v in codes.items()} == {
         k: (r.fingerprint, r.component_id) for k, r in got.items()
     }
@@ -101,33 +79,12 @@ def test_components_of_chain_hub_and_nothing(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     links = [*chain, *[(7, i) for i in range(200, 260)], (3, 260), (260, 7), (500, 500)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
-    want = roots({n for e in links for n in e}, links)
+    want = brute.roots({n for e in links for n in e}, links)
     want.pop(500)
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-def brute_embeddings(rows, threshold=0.98):
-    def sound(r):
-        v = r.embedding
-        return r.label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
-
-    good = [i for i, r in enumerate(rows) if sound(r)]
-    n, links = [0] * len(rows), []
-    for i, j in combinations(good, 2):
-        a, b = rows[i], rows[j]
-        if a.label == b.label and len(a.embedding) == len(b.embedding):
-            x, y = np.array(a.embedding, float), np.array(b.embedding, float)
-            if x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
-                n[i], n[j] = n[i] + 1, n[j] + 1
-                links.append((i, j))
-    low = roots(range(len(rows)), links)
-    ids = {}
-    for i, r in enumerate(rows):
-        ids[low[i]] = min(ids.get(low[i], r.vec_id), r.vec_id)
-    return sorted((r.vec_id, n[i], ids[low[i]], r.vec_id == ids[low[i]]) for i, r in enumerate(rows))
-
-
 @pytest.mark.parametrize("block_rows", [5, 1024])
 def test_embeddings_match_brute_force(spark, block_rows):
     rng = np.random.default_rng(1)
@@ -143,13 +100,13 @@ def test_embeddings_match_brute_force(spark, block_rows):
     rows += [(209, [2 * x for x in rows[3][1]], rows[3][2]), (209, rows[4][1], 1 - rows[4][2])]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, label int, node string, n int")
     got = embeddings.near_duplicates(df, block_rows=block_rows).collect()
-    assert sorted(map(tuple, got)) == brute_embeddings(df.collect())
+    assert sorted(map(tuple, got)) == brute.embeddings(df.collect())
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
 
 
 def test_op6_on_a_table(spark, sf_dir):
     got = sorted(map(tuple, embeddings.op6_embedding_near_dedup(spark, sf_dir).collect()))
-    assert got == brute_embeddings(table(spark, sf_dir, "embeddings").collect())
+    assert got == brute.embeddings(table(spark, sf_dir, "embeddings").collect())
 
 
 def test_quantisation_bound_holds():
