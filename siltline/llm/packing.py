@@ -13,7 +13,9 @@ Defined cases: a null text is an empty one, and an empty one is the end id alone
 documents; an empty table gives no rows. Other columns of the input are ignored.
 """
 
+import heapq
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -32,16 +34,17 @@ ODD = re.compile(r"[^\S \n]|[\x1c-\x1f]")  # unless other white space stands nex
 CACHED = 400_000  # units kept by a worker, about 100 MB
 LONGEST = 64  # characters of a unit worth keeping
 PART = 1 << 20
+NEAREST = 8  # emptiest bins whose pairs are tried
 
 
 class Units(dict):
-    """Ids of text units as little-endian 32-bit integers, kept up to a bound."""
+    """Ids of text units as 32-bit integers (little-endian, as all machines Spark runs on), kept up to a bound."""
 
     def __init__(self, encode):
         self.encode = encode
 
     def __missing__(self, unit: str) -> bytes:
-        ids = np.array(self.encode(unit), "<u4").tobytes()
+        ids = array("I", self.encode(unit)).tobytes()
         if len(unit) <= LONGEST:
             if len(self) >= CACHED:
                 self.clear()
@@ -76,9 +79,9 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         if self.plain is None or self.special.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if ODD.search(text):
-            return np.array(self.plain(text), "<u4").tobytes()
+            return array("I", self.plain(text)).tobytes()
         return b"".join(b"".join(map(self.units.__getitem__, UNIT.findall(part))) for part in parts(text))
 
 
@@ -168,49 +171,106 @@ def best_fit(sizes: Sequence[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def exchange(fuller: list[int], emptier: list[int], sizes: Sequence[int], slack: int):
-    """The exchange that fills ``fuller`` furthest within ``slack``: gain, items that leave it, items that come."""
-    best = (0, (), ())
-    out = [((), 0), *[((a,), sizes[a]) for a in fuller]]
-    out += [((a, b), sizes[a] + sizes[b]) for i, a in enumerate(fuller) for b in fuller[:i]]
-    into = [((b,), sizes[b]) for b in emptier]
-    into += [((a, b), sizes[a] + sizes[b]) for i, a in enumerate(emptier) for b in emptier[:i]]
-    for leave, less in out:
-        for come, more in into:
-            if best[0] < more - less <= slack and len(leave) + len(come) <= 3:
-                best = (more - less, leave, come)
-    return best
+class Search:
+    """Bins while pieces are exchanged between the underfull ones, fullest first.
+
+    ``sizes_there`` has bit n set if some open bin, other than the one being filled, holds a piece of size n; so the
+    best partner for a swap is found by a few operations on one number instead of a walk over all bins.
+    """
+
+    def __init__(self, bins: list[list[int]], sizes: Sequence[int], capacity: int):
+        self.bins, self.sizes, self.capacity = bins, sizes, capacity
+        self.fill = [sum(sizes[i] for i in b) for b in bins]
+        self.owner = {i: k for k, b in enumerate(bins) for i in b}
+        self.of_size: dict[int, set[int]] = {}
+        self.sizes_there = 0
+        self.open = {k for k, f in enumerate(self.fill) if f < capacity}
+        for k in self.open:
+            for item in bins[k]:
+                self.offer(item)
+
+    def offer(self, item: int) -> None:
+        self.of_size.setdefault(self.sizes[item], set()).add(item)
+        self.sizes_there |= 1 << self.sizes[item]
+
+    def withdraw(self, item: int) -> None:
+        same = self.of_size[self.sizes[item]]
+        same.remove(item)
+        if not same:
+            self.sizes_there ^= 1 << self.sizes[item]
+
+    def best(self, taker: int) -> tuple[int, tuple[int, ...], tuple[int, ...], int]:
+        """The exchange that fills ``taker`` furthest: gain, pieces that leave it, pieces that come, their bin."""
+        own, sizes = self.bins[taker], self.sizes
+        slack = self.capacity - self.fill[taker]
+        out = [(0, ())] + [(sizes[a], (a,)) for a in own]
+        out += [(sizes[a] + sizes[b], (a, b)) for n, a in enumerate(own) for b in own[:n]]
+        found = (0, (), (), -1)
+        for less, leave in out:  # a move, one for one, one for two
+            size = (self.sizes_there & ((1 << (less + slack + 1)) - 1)).bit_length() - 1
+            if size - less > found[0]:
+                item = min(self.of_size[size], key=lambda i: (self.fill[self.owner[i]], i))
+                found = (size - less, leave, (item,), self.owner[item])
+                if found[0] == slack:
+                    return found
+        for giver in heapq.nsmallest(NEAREST, self.open, key=lambda k: (self.fill[k], k)):  # two for one, two moves
+            members = self.bins[giver]
+            for n, a in enumerate(members):
+                for b in members[:n]:
+                    for less, leave in out[: 1 + len(own)]:
+                        gain = sizes[a] + sizes[b] - less
+                        if found[0] < gain <= slack:
+                            found = (gain, leave, (a, b), giver)
+        return found
+
+    def fill_up(self, taker: int) -> list[int]:
+        """Exchange until nothing helps; returns the bins that gave."""
+        gave = []
+        while self.fill[taker] < self.capacity:
+            gain, leave, come, giver = self.best(taker)
+            if not gain:
+                break
+            for item in come:
+                self.withdraw(item)
+            for item in leave:
+                self.offer(item)
+            for items, at, other in ((come, taker, giver), (leave, giver, taker)):
+                for item in items:
+                    self.bins[other].remove(item)
+                    self.bins[at].append(item)
+                    self.owner[item] = at
+            self.fill[taker] += gain
+            self.fill[giver] -= gain
+            gave.append(giver)
+        return gave
 
 
 def local_search(bins: list[list[int]], sizes: Sequence[int], capacity: int) -> list[list[int]]:
-    """Empty bins by exchanges that raise the sum of squared fills, until none helps or no fewer bins can do."""
-    fill = [sum(sizes[i] for i in b) for b in bins]
-    least = -(-sum(sizes) // capacity)
-    alive = len(bins)
-    changed = True
-    while changed:  # ends: the sum of squared fills grows by whole numbers and is bounded
-        open_bins = sorted((k for k in range(len(bins)) if 0 < fill[k] < capacity), key=lambda k: fill[k])
-        changed = False
-        for nth, giver in enumerate(open_bins):
-            if alive <= least:
-                return [b for b in bins if b]
-            for taker in reversed(open_bins[nth + 1 :]):
-                if not fill[giver]:
-                    break
-                if fill[taker] >= capacity or fill[taker] < fill[giver]:
-                    continue
-                gain, leave, come = exchange(bins[taker], bins[giver], sizes, capacity - fill[taker])
-                if gain:
-                    bins[taker] = [i for i in bins[taker] if i not in leave] + list(come)
-                    bins[giver] = [i for i in bins[giver] if i not in come] + list(leave)
-                    fill[taker] += gain
-                    fill[giver] -= gain
-                    changed = True
-            if not fill[giver]:
-                alive -= 1
-            if changed:
-                break  # the order of fills has changed
-    return [b for b in bins if b]
+    """Empty bins by exchanges between a fuller and an emptier underfull bin, until a pass over all empties none or no
+    fewer bins can do. A piece only ever leaves for a bin at least as full, by an exchange that fills that one further,
+    so the sum of squared fills grows with every step."""
+    least = max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes))  # no two of these share a bin
+    while len(bins) > least:
+        search = Search(bins, sizes, capacity)
+        fullest = [(-search.fill[k], k) for k in search.open]
+        heapq.heapify(fullest)
+        while fullest:
+            known, taker = heapq.heappop(fullest)
+            if taker not in search.open or -known != search.fill[taker]:
+                continue
+            search.open.remove(taker)
+            for item in bins[taker]:
+                search.withdraw(item)
+            for giver in search.fill_up(taker):
+                if search.fill[giver]:
+                    heapq.heappush(fullest, (-search.fill[giver], giver))
+                else:
+                    search.open.discard(giver)
+        left = [b for b in bins if b]
+        if len(left) == len(bins):
+            break
+        bins = left
+    return bins
 
 
 def fill_shard(shard: pd.DataFrame, capacity: int) -> pd.DataFrame:
@@ -241,8 +301,10 @@ def pack(
     made = settle(cut.selectExpr("doc_id", "piece", "start", "length", *outputs, "row"))
     open_pieces = made.where(f"length < {capacity}").select("row", "length")
     shards = -(-open_pieces.count() // shard_pieces) or 1
+    width = min(shards, 16 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = (
         open_pieces.withColumn("shard", F.expr(f"pmod(xxhash64(row), {shards}L)"))
+        .repartition(width, "shard")  # by number: a shard is seconds of work for little data
         .groupBy("shard")
         .applyInPandas(lambda shard: fill_shard(shard, capacity), "row long, sequence_id long, offset long")
     )

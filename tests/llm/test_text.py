@@ -242,13 +242,23 @@ def test_local_search_empties_bins_and_raises_squares():
         got = packing.local_search([list(b) for b in first], sizes, 100)
         assert sorted(i for b in got for i in b) == list(range(200))
         fills = [sum(sizes[i] for i in b) for b in got]
-        assert max(fills) <= 100 and len(got) < 80
+        assert max(fills) <= 100 and len(got) <= -(-sum(sizes) // 100) + 1
         start = packing.best_fit(sizes, 100)
         better = packing.local_search([list(b) for b in start], sizes, 100)
         assert len(better) <= len(start) and len(better) <= -(-sum(sizes) // 100) + 1
     assert packing.local_search([[0, 1], [2, 3]], [60, 30, 60, 40], 100) == [[0, 1], [2, 3]]
-    gain, leave, come = packing.exchange([0, 1], [2, 3], [50, 30, 45, 5], 20)
-    assert (gain, leave, set(come)) == (20, (1,), {2, 3})
+    for bins, sizes, want in (
+        ([[0, 1], [2, 3]], [50, 30, 45, 5], (20, {1}, {2, 3})),  # two for one
+        ([[0, 1], [2]], [50, 30, 40], (10, {1}, {2})),  # one for one
+        ([[0, 1, 2], [3]], [50, 12, 8, 50], (30, {1, 2}, {3})),  # one for two
+        ([[0], [1, 2]], [60, 25, 15], (40, set(), {1, 2})),  # a move of two
+    ):
+        search = packing.Search([list(b) for b in bins], sizes, 100)
+        search.open.remove(0)
+        for item in bins[0]:
+            search.withdraw(item)
+        gain, leave, come, giver = search.best(0)
+        assert (gain, set(leave), set(come), giver) == (*want, 1)
     assert packing.best_fit([50, 50, 100, 1], 100) == [[2], [0, 1], [3]] and packing.best_fit([], 9) == []
 
 
