@@ -6,7 +6,7 @@ it touches. In stretches without white space any character may begin a chunk, un
 shorter than ``LEAST`` bytes unless it is a text's last, and none longer than about ``MOST``.
 
 Single short chunks repeat by chance, so what is deduplicated is a *window*: a chunk with as many chunks after it as
-make at least ``min_words`` words (and, at its end, the shortest run of chunks with as many). Windows are identified by 128-bit digests. The first window of a digest, in order
+make at least ``min_words`` words (and, at its end, the shortest run of chunks with as many). Windows are identified by 96 bits of a digest. The first window of a digest, in order
 of document id, text hash and place, stays; in all later ones every chunk of the window is cut out. A text thus keeps
 what nobody said before it. Digests are combined map-side, only repeated ones travel back, and the spans of a document
 meet in that document's row, so a passage in a third of all documents is no hot spot.
@@ -92,10 +92,11 @@ def windows(text: str | None, min_words: int) -> Iterator[tuple[int, int, int]]:
         yield digest(raw[begin:end].strip()), begin, end
 
 
-def halves(digests: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit digests as two signed 64-bit numbers each, which Spark hashes and sorts fastest."""
-    both = np.frombuffer(b"".join(d.to_bytes(16, "little") for d in digests), np.int64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
+def split_digests(digests: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of each digest as a 64-bit and a 32-bit number, which Spark hashes and sorts fastest. With 10^12 windows
+    that leaves a chance of one in 10^5 that any two different ones agree."""
+    words = np.frombuffer(b"".join(d.to_bytes(16, "little") for d in digests), np.int64).reshape(-1, 2)
+    return words[:, 0], words[:, 1].astype(np.int32)
 
 
 def window_rows(docs: DataFrame, min_words: int) -> DataFrame:
@@ -107,24 +108,25 @@ def window_rows(docs: DataFrame, min_words: int) -> DataFrame:
             for at in range(0, len(frame), 512):
                 part = frame.iloc[at : at + 512]
                 found = [list(windows(t, min_words)) for t in part["text"]]
-                d1, d2 = halves([w[0] for ws in found for w in ws])
+                d1, d2 = split_digests([w[0] for ws in found for w in ws])
                 spans = np.array([w[1] << 32 | w[2] for ws in found for w in ws], np.int64)
                 counts = [len(ws) for ws in found]
                 ids, hashes = (part[c].repeat(counts).array for c in ("id", "hash"))
                 yield pd.DataFrame({"id": ids, "hash": hashes, "d1": d1, "d2": d2, "span": spans})
 
-    return docs.mapInPandas(cut, f"id {kind}, hash long, d1 long, d2 long, span long")
+    return docs.mapInPandas(cut, f"id {kind}, hash long, d1 long, d2 int, span long")
 
 
 def repeated_spans(docs: DataFrame, *, doc_id: str, text: str, min_words: int) -> DataFrame:
     """``id, hash, spans, first_ids``: what to cut from a text (numbers of begin and end), and who said it first.
 
-    All windows are counted by half a digest, in short rows that combine map-side. Only windows whose half digest
-    occurs again go on; they are settled and told apart by the whole digest.
+    All windows are counted by the first part of the digest, in short rows that combine map-side. Only windows whose
+    first part occurs again go on; they are settled and told apart by both parts.
     """
     named = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("hash"), F.col(text).alias("text"))
     found = window_rows(named.where("text IS NOT NULL"), min_words)
-    often = found.groupBy("d1").count().where("count > 1").select("d1")
+    # settled, so that the join shuffles anew and Spark can split the rows of a digest that very many texts share
+    often = settle(found.groupBy("d1").count().where("count > 1").select("d1"))
     again = settle(found.join(often, "d1", "left_semi"))
     place = F.struct("id", "hash", "span")
     first = again.groupBy("d1", "d2").agg(F.min(place).alias("first"))
