@@ -15,42 +15,36 @@ def differs(left: Iterable[str], right: Iterable[str]) -> str:
     return fx.any_of(f"NOT ({a} <=> {b})" for a, b in zip(left, right, strict=True))
 
 
-def expand_changes(
-    rows: DataFrame, kind: str, before: str, after: str, rest: Sequence[str] = ()
-) -> DataFrame:
-    """One output row per image: inserts give one row, updates a pre- and a post-image.
-
-    ``kind`` is 'insert', 'update' or 'delete'; ``before`` and ``after`` are structs of the same fields; ``rest``
-    names columns of ``rows`` to keep.
-    """
+def image_list(kind: str, before: str, after: str) -> str:
+    """An array of ``change, row``: one image for an insert or delete, two for an update, null for no change."""
 
     def image(change, row):
         return f"named_struct('change', '{change}', 'row', {row})"
 
-    images = f"""CASE {kind}
+    return f"""CASE {kind}
         WHEN 'insert' THEN array({image("insert", after)})
         WHEN 'delete' THEN array({image("delete", before)})
-        ELSE array({image("update_preimage", before)}, {image("update_postimage", after)}) END"""
-    exploded = rows.selectExpr(*rest, f"explode({images}) AS i")
-    return exploded.selectExpr("i.row.*", f"i.change AS {CHANGE_TYPE}", *rest)
+        WHEN 'update' THEN array({image("update_preimage", before)}, {image("update_postimage", after)}) END"""
 
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Compare two states that hold one row per key. Unchanged rows emit nothing; null keys match null keys.
 
-    A full outer join on the keys: pass only touched keys to keep it proportional to the change.
+    Both states meet in one shuffle by key and one aggregate. Pass only touched keys to keep it proportional to the
+    change.
     """
     names = new.columns
-    payload = [c for c in names if c not in keys]
-    quoted = [fx.quoted(c) for c in names]
-    o = old.selectExpr(*quoted, "true AS __there").alias("o")
-    n = new.selectExpr(*quoted, "true AS __there").alias("n")
-    same_key = " AND ".join(f"o.{fx.quoted(k)} <=> n.{fx.quoted(k)}" for k in keys)
-    changed = "o.__there IS NULL OR n.__there IS NULL"
-    if payload:
-        sides = [[f"{side}.{fx.quoted(c)}" for c in payload] for side in ("o", "n")]
-        changed += f" OR {differs(*sides)}"
-    kind = "CASE WHEN o.__there IS NULL THEN 'insert' WHEN n.__there IS NULL THEN 'delete' ELSE 'update' END"
-    row = lambda side: f"struct({', '.join(f'{side}.{c} AS {c}' for c in quoted)})"
-    both = o.join(n, F.expr(same_key), "full_outer").where(changed)
-    return expand_changes(both, kind, row("o"), row("n"))
+    row = f"struct({', '.join(map(fx.quoted, names))})"
+    key = [f"{fx.quoted(k)} AS __key_{i}" for i, k in enumerate(keys)]
+    sides = [
+        side.selectExpr(*key, f"{when} AS __old", f"{other} AS __new")
+        for side, when, other in ((old, row, f"if(false, {row}, null)"), (new, f"if(false, {row}, null)", row))
+    ]
+    groups = [f"__key_{i}" for i in range(len(keys))]
+    both = sides[0].unionByName(sides[1]).groupBy(*groups).agg(
+        F.expr("any_value(__old, true) AS __old"), F.expr("any_value(__new, true) AS __new")
+    )
+    kind = """CASE WHEN __old IS NULL THEN 'insert' WHEN __new IS NULL THEN 'delete'
+        WHEN NOT (__old <=> __new) THEN 'update' END"""
+    exploded = both.selectExpr(f"explode({image_list(kind, '__old', '__new')}) AS i")
+    return exploded.selectExpr("i.row.*", f"i.change AS {CHANGE_TYPE}")

@@ -7,7 +7,7 @@ steps into a single one that prunes the scan to the columns read.
 from pyspark.sql import DataFrame
 
 from siltline.functions import columns as fx
-from siltline.operators.upsert import ARRIVAL, FLOW, ORDER, SEQ, TIE
+from siltline.operators.upsert import ARRIVAL, FLOW, ORDER, SEQ, TIE, refuse_internal
 from siltline.plans.spec import (
     ACTIVE_FLAG,
     EFFECTIVE_AT,
@@ -89,6 +89,7 @@ def as_events(
     hash is taken here, once, because the merge later blanks payload columns an event no longer owns.
     """
     payload = [c for c in view.columns if c not in exclude and c != tie]
+    refuse_internal(payload)
     last = f"cast({fx.quoted(tie)} AS bigint)" if tie else fx.row_hash(payload)
     return view.selectExpr(
         *map(fx.quoted, payload),

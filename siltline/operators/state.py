@@ -8,13 +8,15 @@ select the target columns and never read the rest.
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltline.functions import columns as fx
-from siltline.operators.changes import differs
-from siltline.operators.upsert import ORDER, all_of, newest_first, payload_columns, with_ownership
+from siltline.operators.changes import differs, image_list
+from siltline.operators.upsert import ORDER, all_of, is_internal, newest_first, payload_columns, with_ownership
 
 EVENTS, CHANGE, BEFORE, FROM_STATE = "__events", "__change", "__before", "__from_state"
-BUCKET, SPLIT = "silt_bucket", "__split"
+BUCKET, SPLIT, KIND, STATE = "silt_bucket", "__split", "silt_kind", "state"
 _ORDER = ", ".join(ORDER)
 
 
@@ -40,26 +42,33 @@ def absorb(
     *,
     bucket: str | None = None,
     splits: int = 1,
+    partitions: int | None = None,
+    stored: StructType | None = None,
     track_changes: bool = True,
 ) -> DataFrame:
     """Merge events into state rows; returns new state rows and what changed.
 
     ``__change`` is 'insert', 'update' or null; ``__before`` is the old row of an update, or null. Without
     ``track_changes`` updates are not told apart. With ``bucket``, an expression over the keys, rows are shuffled by
-    bucket and one of ``splits`` parts of it and stay grouped that way, ready for a bucketed write.
+    bucket and one of ``splits`` parts of it, in ``partitions`` tasks, and stay grouped that way, ready for a bucketed
+    write. Columns of ``stored``, the table's schema so far, are kept even where neither side has them.
     """
+    missing = [f for f in stored or () if f.name not in events.columns and not is_internal(f.name)]
+    if missing:
+        events = events.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
     payload = [*payload_columns(events, keys)]
     if state is not None:  # a column only the state has is kept
         payload += [c for c in payload_columns(state, keys) if c not in payload]
     merged = events
     if state is not None:
-        stored = to_events(state, keys).selectExpr("*", f"true AS {FROM_STATE}")
-        merged = events.selectExpr("*", f"false AS {FROM_STATE}").unionByName(stored, allowMissingColumns=True)
+        old = to_events(state, keys).selectExpr("*", f"true AS {FROM_STATE}")
+        merged = events.selectExpr("*", f"false AS {FROM_STATE}").unionByName(old, allowMissingColumns=True)
     groups = list(keys)
     if bucket is not None:
         # murmur3, unlike the bucket's xxhash64: with the same hash a bucket could fall into one split
         split = f"cast(pmod(hash({', '.join(map(fx.quoted, keys))}), {splits}) AS int) AS {SPLIT}"
-        merged = merged.selectExpr("*", f"{bucket} AS {BUCKET}", split).repartition(BUCKET, SPLIT)
+        merged = merged.selectExpr("*", f"{bucket} AS {BUCKET}", split)
+        merged = merged.repartition(*([partitions] if partitions else []), BUCKET, SPLIT)
         groups = [BUCKET, SPLIT, *keys]
 
     window = newest_first(groups)
@@ -103,5 +112,23 @@ def absorb(
     return rows.selectExpr(*others, f"if({CHANGE} = 'update', {BEFORE}, null) AS {BEFORE}")
 
 
+def images(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a commit writes, from :func:`absorb` with a bucket: for every row its new state, and if it changed, the
+    images of the change feed. ``silt_kind`` is 'state' or a change type; images lie in bucket -1."""
+    names = [*keys, *payload_columns(rows, keys)]
+    after = f"struct({', '.join(map(fx.quoted, names))})"
+    before = BEFORE if BEFORE in rows.columns else f"if(false, {after}, null)"
+    state = f"array(named_struct('change', '{STATE}', 'row', {after}))"
+    none = f"slice({state}, 1, 0)"
+    every = f"concat({state}, coalesce({image_list(CHANGE, before, after)}, {none}))"
+    exploded = rows.selectExpr(BUCKET, EVENTS, f"explode({every}) AS i")
+    return exploded.selectExpr(
+        "i.row.*",
+        f"if(i.change = '{STATE}', {EVENTS}, null) AS {EVENTS}",
+        f"i.change AS {KIND}",
+        f"if(i.change = '{STATE}', {BUCKET}, -1) AS {BUCKET}",
+    )
+
+
 def _old(column: str) -> str:
     return fx.quoted(f"__old_{column}")

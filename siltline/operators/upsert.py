@@ -5,7 +5,8 @@ column the result holds the value of the greatest-ordered event in which that co
 applying all events in sequence order while skipping nulls, so neither arrival order nor batching matters.
 """
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,15 +15,31 @@ from siltline.functions import columns as fx
 
 SEQ, FLOW, ARRIVAL, TIE = ORDER = ("__seq", "__flow", "__arrival", "__tie")
 
-# Key hashes are counted in this many slots, which bounds the broadcast list of hot slots to about a million pairs
-# of numbers whatever the data size. With 10^11 events a slot holds 100,000 on average, well below the limit above
-# which it counts as hot.
-HOT_SLOTS = 1 << 20
+# Keys are counted in this many hash slots first, which bounds the broadcast list of crowded slots. A key is hot if it
+# has more than HOT_ROWS events and at least one eighth of its slot's: at most 8 keys per slot, a million in all.
+HOT_SLOTS = 1 << 17
+SLOT_SHARE = 8
 HOT_ROWS = 500_000
 
+# columns that the merge itself adds; a payload column may not use these names
+INTERNAL = frozenset(
+    [*ORDER, "__slot", "__rows", "__slot_rows", "__parts", "__part", "__rank", "__events", "__change", "__before"]
+    + ["__from_state", "__split", "__event", "__listed", "__kind", "__images", "silt_bucket", "silt_kind"]
+)
+
+
+def is_internal(name: str) -> bool:
+    return name in INTERNAL or re.fullmatch(r"__(has|newer|own)\d+|__old_.*|__hot_.*", name) is not None
+
+
+def refuse_internal(names: Iterable[str]) -> None:
+    taken = sorted(n for n in names if is_internal(n))
+    if taken:
+        raise ValueError(f"column names that the merge uses itself: {taken}")
+
 
 def payload_columns(events: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [c for c in events.columns if c not in keys and not c.startswith("__")]
+    return [c for c in events.columns if c not in keys and not is_internal(c)]
 
 
 def newest_first(groups: Sequence[str]) -> str:
@@ -77,28 +94,39 @@ def _none_newer(payload: Sequence[str]) -> str:
     return f"NOT {fx.any_bit('__newer', payload)}"
 
 
-def condense_hot_keys(events: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Shrink keys with very many events to their survivors before anything is shuffled by key.
-
-    1. Count events per hash slot of the key: reads the key columns only and combines map-side to at most
-       ``HOT_SLOTS`` rows. Slots above ``hot_rows`` are hot.
-    2. Rows of hot slots are dealt round-robin to about ``count / hot_rows`` parts and condensed per (key, part),
-       so no task gets more than about ``hot_rows`` rows of one key.
-    3. All other rows pass through untouched.
+def hot_keys(events: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``__hot_0..n`` (the key) and ``__parts`` for keys above ``hot_rows``.
 
-    The list of hot slots has at most ``HOT_SLOTS`` rows by construction, so broadcasting it is safe at any scale.
-    If no slot is hot, adaptive execution drops step 2 at run time. Which slots count as hot never changes a result.
+    Events are counted per hash slot: a scan of the key columns that combines map-side to at most ``HOT_SLOTS`` rows.
+    Only keys in slots above the limit are then counted one by one, so many small keys sharing a slot stay calm.
     """
     slot = f"{fx.key_slot(keys, HOT_SLOTS)} AS __slot"
-    counts = events.selectExpr(slot).groupBy("__slot").agg(F.expr("count(1) AS __rows"))
-    hot = counts.where(f"__rows > {hot_rows}").selectExpr(
-        "__slot", f"cast(ceil(__rows / {hot_rows}) AS bigint) AS __parts"
-    )
-    slotted = events.selectExpr("*", slot)
-    calm = slotted.join(F.broadcast(hot.select("__slot")), "__slot", "left_anti").drop("__slot")
-    dealt = slotted.join(F.broadcast(hot), "__slot").selectExpr(
-        *map(fx.quoted, events.columns), "pmod(monotonically_increasing_id(), __parts) AS __part"
+    slots = events.selectExpr(slot).groupBy("__slot").agg(F.expr("count(1) AS __slot_rows"))
+    crowded = F.broadcast(slots.where(f"__slot_rows > {hot_rows}"))
+    names = [fx.aliased(fx.quoted(k), f"__hot_{i}") for i, k in enumerate(keys)]
+    suspects = events.selectExpr(*names, slot).join(crowded, "__slot")
+    per_key = suspects.groupBy(*[f"__hot_{i}" for i in range(len(keys))]).agg(
+        F.expr("count(1) AS __rows"), F.expr("any_value(__slot_rows) AS __slot_rows")
     )
+    hot = per_key.where(f"__rows > {hot_rows} AND __rows * {SLOT_SHARE} >= __slot_rows")
+    # as many parts as rows in a part: neither a part nor the survivors of all parts weigh on one task
+    return hot.selectExpr(*[f"__hot_{i}" for i in range(len(keys))], "cast(ceil(sqrt(__rows)) AS bigint) AS __parts")
+
+
+def condense_hot_keys(events: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Shrink keys with very many events to their survivors before anything is shuffled by key.
+
+    Rows of hot keys are dealt to about sqrt(rows) parts per key and condensed per (key, part); all other rows pass
+    through untouched. A row's part follows from its place in the order and its input partition, so a task that runs
+    again deals it the same way. The list of hot keys has a bounded size (see ``HOT_SLOTS``), so it is broadcast. If
+    no key is hot, adaptive execution drops the branch and its joins at run time. Which keys count as hot never
+    changes a result.
+    """
+    hot = hot_keys(events, keys, hot_rows)
+    same = F.expr(" AND ".join(f"{fx.quoted(k)} <=> __hot_{i}" for i, k in enumerate(keys)))
+    calm = events.join(F.broadcast(hot), same, "left_anti")
+    part = f"pmod(xxhash64({', '.join(ORDER)}, spark_partition_id()), __parts) AS __part"
+    dealt = events.join(F.broadcast(hot), same).selectExpr(*map(fx.quoted, events.columns), part)
     return calm.unionByName(survivors(dealt, keys, split_by=["__part"]))
 
 

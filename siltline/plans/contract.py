@@ -67,6 +67,11 @@ def activity_events(spark, sf, spec=ACTIVITY, recon=True, main=True):
     return events if main else events.where(F.col("__flow") == RECON)
 
 
+def width(spark) -> int:
+    """Buckets and staged files: as many as the session shuffles into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shown(df, spec=ACTIVITY, columns=SHOWN):
     return comparable(df.select(*spec.keys, *columns))
 
@@ -158,7 +163,7 @@ def upsert_ignore_nulls(spark, sf):
 def upsert_out_of_order(spark, sf):
     """The feed arrives newest first and in three separate merges; the result is that of one ordered pass."""
     events = activity_events(spark, sf, recon=False)
-    target = KeyedTable(spark, scratch(spark, "late"), ACTIVITY.keys, buckets=4)
+    target = KeyedTable(spark, scratch(spark, "late"), ACTIVITY.keys, buckets=width(spark), splits=1)
     batch = F.pmod(F.xxhash64("__tie"), F.lit(3))
     for part in (2, 0, 1):
         target.merge(events.where(batch == part))
@@ -176,11 +181,29 @@ def two_flow_upsert(spark, sf):
 
 
 def upsert_hot_keys(spark, sf):
-    """Five keys share all rows of both feeds; each is far above the limit and is condensed in parts first."""
+    """Five keys share all rows of both feeds; each is above the limit and is condensed in parts first."""
     spec = replace(ACTIVITY, keys=("EVENT_TYPE",))
     return shown(upsert(activity_events(spark, sf, spec), spec.keys, hot_rows=500), spec)
 
 
+def upsert_default_tie(spark, sf):
+    """The tie-break is left at its default, a hash of the row; arrival is unique here, so it is never decisive."""
+    feed = main_feed(spark, sf).select(*["event_type", "user_id", "val", "props", "_ingested_at", "event_id"])
+    events = as_events(feed, sequence="_ingested_at", flow=MAIN, arrival="event_id", exclude=("event_id",))
+    return comparable(upsert(events, ["event_type", "user_id"]))
+
+
+def table_schema_growth(spark, sf):
+    """Producers without, with and again without a column: no commit loses the column or its values."""
+    events = activity_events(spark, sf, recon=False)
+    target = KeyedTable(spark, scratch(spark, "growth"), ACTIVITY.keys, buckets=2 * width(spark), splits=1)
+    third = F.pmod(F.col("__tie"), F.lit(3))
+    for part in (0, 1, 2):
+        batch = events.where(third == part)
+        target.merge(batch if part == 1 else batch.drop("PROPS"))
+    return shown(target.read())
+
+
 def recon_stub_rows(spark, sf):
     """Reconciliation rows for users the main feed never mentions."""
     strangers = recon_feed(spark, sf).withColumn("user_id", F.col("user_id") + 100000)
@@ -194,8 +217,10 @@ def reactivation_sticky_removed(spark, sf):
 
 
 def main_behind_recon(spark, sf):
-    """Keys whose newest event is a reconciliation row; their business columns still come from the main feed."""
-    events = activity_events(spark, sf)
+    """Keys whose newest event is a reconciliation row; their business columns still come from the main feed. One
+    event in four gives a reconciliation row here, so for other keys the newest event is a main one, or the only."""
+    recon = recon_feed(spark, sf).where("event_id % 4 = 0")
+    events = change_events(ACTIVITY, main_feed(spark, sf), recon, tie=TIE, **LOAD)
     newest = F.max(F.struct("__seq", "__flow"))["__flow"]
     behind = events.groupBy(*ACTIVITY.keys).agg(newest.alias("last_flow")).where(F.col("last_flow") == RECON)
     rows = upsert(events, ACTIVITY.keys).join(behind.drop("last_flow"), list(ACTIVITY.keys), "left_semi")
@@ -214,12 +239,9 @@ def workflow_only_recon_deactivates(spark, sf):
 def except_columns(spark, sf):
     """Only the names of the target: the excluded columns ordered the events but are gone."""
     rows = upsert(activity_events(spark, sf), ACTIVITY.keys)
-    per_name = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).isNotNull().cast("bigint").alias("known"))
-        for c in rows.columns
-    ]
-    seen = rows.select(F.explode(F.array(*per_name)).alias("c")).select("c.*")
-    return seen.groupBy("column_name").agg(F.sum("known").alias("known_rows"))
+    counts = rows.agg(*[F.count(F.col(c)).alias(c) for c in rows.columns])  # one row
+    named = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("known_rows")) for c in rows.columns])
+    return counts.select(F.inline(named))
 
 
 def null_sequence_rejects(spark, sf):
@@ -238,7 +260,7 @@ def document_latest(spark, sf):
     """Whole texts under few, very large keys: the latest document per language and source."""
     docs = table(spark, sf, "documents").withColumn("t", F.col("doc_id"))
     events = as_events(docs, sequence="doc_id", flow=MAIN, arrival="doc_id", tie="t")
-    return upsert(events, ["lang", "source"], hot_rows=1000)
+    return upsert(events, ["lang", "source"])
 
 
 def line_latest(spark, sf):
@@ -268,15 +290,33 @@ def change_feed_query(spark, sf):
     return comparable(change_feed(old.select(*kept), new.select(*kept), ACTIVITY.keys))
 
 
-def table_change_feed(spark, sf):
-    """The same, taken from the files a keyed table wrote in its second commit."""
+def two_commits(spark, sf, root: str) -> KeyedTable:
+    """A keyed table that took the first half of January, then the second."""
     events = activity_events(spark, sf)
     kept = events.select(*ACTIVITY.keys, "VAL", "ACTIVE_FLAG", "DT_REMOVED", *ORDER)
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
-    target = KeyedTable(spark, scratch(spark, "feed"), ACTIVITY.keys, buckets=4)
+    target = KeyedTable(spark, root, ACTIVITY.keys, buckets=width(spark), splits=1)
     target.merge(kept.where(F.col("__arrival") < cut))
     target.merge(kept.where(F.col("__arrival") >= cut))
-    rows = target.changes(since=2)
+    return target
+
+
+def table_change_feed(spark, sf):
+    """The same, taken from the files a keyed table wrote in its second commit."""
+    rows = two_commits(spark, sf, scratch(spark, "feed")).changes(since=2)
+    return comparable(rows.select(*ACTIVITY.keys, "VAL", "ACTIVE_FLAG", "DT_REMOVED", CHANGE_TYPE))
+
+
+def stream_change_feed(spark, sf):
+    """The same again, followed by a streaming query that writes down each commit's changes."""
+    root = scratch(spark, "followed")
+    target = two_commits(spark, sf, f"{root}/table")
+
+    def write(changes: DataFrame, version: int) -> None:
+        changes.write.mode("overwrite").parquet(f"{root}/seen/commit={version}")
+
+    target.follow(write, f"{root}/checkpoint").awaitTermination()
+    rows = spark.read.parquet(f"{root}/seen").where("commit = 2")
     return comparable(rows.select(*ACTIVITY.keys, "VAL", "ACTIVE_FLAG", "DT_REMOVED", CHANGE_TYPE))
 
 
@@ -286,21 +326,35 @@ def stage(feed: DataFrame, path: str, files: int) -> None:
 
 
 def stream_two_flow_upsert(spark, sf):
-    """Both feeds as files, one file per trigger, merged by a streaming query into a keyed table."""
-    root = scratch(spark, "stream")
-    stage(main_feed(spark, sf), f"{root}/main", 6)
-    stage(recon_feed(spark, sf), f"{root}/recon", 2)
-    target = KeyedTable(spark, f"{root}/table", ACTIVITY.keys, buckets=4)
-    streams = [folder_feed(spark, f"{root}/{f}", files_per_trigger=n) for f, n in (("main", 3), ("recon", 1))]
+    """Both feeds as files, merged by a streaming query into a keyed table in two or more micro-batches."""
+    root, files = scratch(spark, "stream"), max(2, width(spark))
+    feeds = {"main": main_feed(spark, sf), "recon": recon_feed(spark, sf)}
+    for name, feed in feeds.items():
+        stage(feed, f"{root}/{name}", files)
+    target = KeyedTable(spark, f"{root}/table", ACTIVITY.keys, buckets=width(spark), splits=1)
+    streams = [folder_feed(spark, f"{root}/{name}", files_per_trigger=-(-files // 2)) for name in feeds]
     start_entity(ACTIVITY, *streams, target, f"{root}/checkpoint", tie=TIE, **LOAD).awaitTermination()
     return shown(target.read())
 
 
+def stream_entity_query(spec) -> Query:
+    """The entity as a stream: one triggered update from its two feeds, then the target's contents."""
+
+    def query(spark, sf):
+        silver = scratch(spark, "entity")
+        streams = {spec.name: entity_streams(spark, sf, spec)}
+        run(spark, [spec], streams=streams, silver=silver, buckets=width(spark), splits=1, tie=TIE, **LOAD)
+        table = KeyedTable(spark, f"{silver}/{spec.target}", spec.keys, buckets=width(spark))
+        return comparable(table.read().select(*spec.target_columns))
+
+    return query
+
+
 def pipeline_row_counts(spark, sf):
     """One triggered update over all eight entities, each from its two feeds."""
     streams = {spec.name: entity_streams(spark, sf, spec) for spec in ENTITIES}
     silver = scratch(spark, "run")
-    counts = run(spark, ENTITIES, streams=streams, silver=silver, buckets=4, tie=TIE, **LOAD)
+    counts = run(spark, ENTITIES, streams=streams, silver=silver, buckets=width(spark), splits=1, tie=TIE, **LOAD)
     return counts.select("target", "rows", "events", "rejected")
 
 
@@ -321,6 +375,7 @@ def queries() -> dict[str, Query]:
         "upsert_processing_time_ties": upsert_processing_time_ties,
         "two_flow_upsert": two_flow_upsert,
         "upsert_hot_keys": upsert_hot_keys,
+        "upsert_default_tie": upsert_default_tie,
         "recon_stub_rows": recon_stub_rows,
         "reactivation_sticky_removed": reactivation_sticky_removed,
         "main_behind_recon": main_behind_recon,
@@ -328,6 +383,8 @@ def queries() -> dict[str, Query]:
         "except_columns": except_columns,
         "change_feed": change_feed_query,
         "table_change_feed": table_change_feed,
+        "stream_change_feed": stream_change_feed,
+        "table_schema_growth": table_schema_growth,
         "null_sequence_rejects": null_sequence_rejects,
         "conversation_latest": conversation_latest,
         "document_latest": document_latest,
@@ -340,4 +397,5 @@ def queries() -> dict[str, Query]:
         named[f"conform_{spec.name}"] = conform_query(spec)
         named[f"conform_recon_{spec.name}"] = conform_recon_query(spec)
         named[f"entity_{spec.name}"] = entity_query(spec)
+        named[f"stream_{spec.name}"] = stream_entity_query(spec)
     return named

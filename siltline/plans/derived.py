@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltline.plans.spec import EntitySpec
-from siltline.sources.feeds import spread
 
 Columns = list[tuple[str, str]]
 Back = Callable[[str], str]
@@ -29,9 +28,8 @@ def _derive(events: DataFrame, columns: Columns) -> DataFrame:
     return events.selectExpr(*[f"{sql} AS `{name}`" for name, sql in columns])
 
 
-def _events(spark: SparkSession, sf_dir: str, columns: Columns, wide: bool = False) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return _derive(spread(events) if wide else events, columns)
+def _events(spark: SparkSession, sf_dir: str, columns: Columns) -> DataFrame:
+    return _derive(table(spark, sf_dir, "events"), columns)
 
 
 def unless(condition: str, value: str) -> str:
@@ -132,7 +130,7 @@ def entity_columns(spec: EntitySpec, back: Back) -> Columns:
 
 
 def entity_feed(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:
-    return _events(spark, sf_dir, entity_columns(spec, _before), wide=len(spec.columns) > 40)
+    return _events(spark, sf_dir, entity_columns(spec, _before))
 
 
 def entity_recon_feed(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:

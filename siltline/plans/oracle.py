@@ -204,7 +204,11 @@ def oracle_sql() -> dict[str, str]:
         "recon_stub_rows": f"{activity(shift=100000)} {fold(K2, SHOWN)}",
         "reactivation_sticky_removed": f"""{activity()}, result AS ({fold(K2, SHOWN)})
             SELECT * FROM result WHERE ACTIVE_FLAG AND DT_REMOVED IS NOT NULL""",
-        "main_behind_recon": f"""{activity()}, result AS ({fold(K2, SHOWN)}),
+        "upsert_default_tie": f"""WITH {MAIN}, ev AS (SELECT event_type, user_id, val, props, _ingested_at,
+            row(_ingested_at, event_id) AS ord FROM main) {fold(["event_type", "user_id"], ["val", "props", "_ingested_at"])}""",
+        "table_schema_growth": f"""{activity(recon=False).replace("props AS PROPS", "CASE WHEN event_id % 3 = 1 THEN props END AS PROPS")}
+            {fold(K2, SHOWN)}""",
+        "main_behind_recon": f"""{activity().replace("FROM recon", "FROM recon WHERE event_id % 4 = 0")}, result AS ({fold(K2, SHOWN)}),
             last AS (SELECT EVENT_TYPE, USER_ID FROM ev GROUP BY ALL HAVING max(ord)[2] = 1)
             SELECT * FROM result SEMI JOIN last USING (EVENT_TYPE, USER_ID)""",
         "workflow_only_recon_deactivates": f"""{entity_events(workflow)},
@@ -213,6 +217,7 @@ def oracle_sql() -> dict[str, str]:
         "except_columns": f"{activity()}, result AS ({fold(K2, SHOWN)}) {known}",
         "change_feed": change_feed(),
         "table_change_feed": change_feed(),
+        "stream_change_feed": change_feed(),
         "null_sequence_rejects": simple("main", "event_type AS EVENT_TYPE, user_id AS USER_ID, event_id")
         + " WHERE RecordLastModified IS NULL",
         "conversation_latest": """SELECT conv_id, max(turn) AS turn,
@@ -230,5 +235,5 @@ def oracle_sql() -> dict[str, str]:
     for spec in ENTITIES:
         sql[f"conform_{spec.name}"] = conform_sql(spec)
         sql[f"conform_recon_{spec.name}"] = conform_recon_sql(spec)
-        sql[f"entity_{spec.name}"] = entity_sql(spec)
+        sql[f"entity_{spec.name}"] = sql[f"stream_{spec.name}"] = entity_sql(spec)
     return sql

@@ -49,11 +49,3 @@ def folder_feed(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a scan of fewer parts than there are cores, such as one small file.
-
-    Meant for narrow data that is about to be widened; a large scan passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

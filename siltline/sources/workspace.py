@@ -19,3 +19,12 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``, on any file system Spark reads; none if it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory())

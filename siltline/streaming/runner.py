@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from siltline.functions.columns import text
+from siltline.functions.columns import quoted, text
 from siltline.operators.conform import change_events
+from siltline.operators.state import BUCKET, EVENTS
 from siltline.plans.spec import EntitySpec
 from siltline.sources.feeds import FeedNames, table_feed
-from siltline.sources.workspace import shared_folder
 from siltline.streaming.target import KeyedTable
 
 
@@ -31,7 +31,7 @@ def upsert_stream(
         if "id" not in started:
             # the query id survives restarts and changes with a new checkpoint
             started["id"] = session.read.json(f"{checkpoint}/metadata").first()["id"]
-        table.using(session).merge(batch, writer=started["id"], epoch=epoch, keep=True)
+        table.using(session).merge(batch, writer=started["id"], epoch=epoch)
 
     writer = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if name:
@@ -58,32 +58,48 @@ def run(
     spark: SparkSession,
     specs: Iterable[EntitySpec],
     *,
+    silver: str,
     feeds: FeedNames | None = None,
     streams: Mapping[str, tuple[DataFrame, DataFrame | None]] | None = None,
-    silver: str | None = None,
+    options: Mapping | None = None,
+    schema: str | None = None,
     buckets: int = 32,
+    splits: int = 4,
     trigger: Mapping | None = None,
     **conform,
 ) -> DataFrame:
     """One triggered update over all entities: start every query, wait for all, return counts per entity.
 
-    Feeds come from catalog tables (``feeds``) or are given per entity name (``streams``). Targets and checkpoints
-    live below ``silver``, by default a folder in the session's shared one. Each target is registered as a
-    temporary view under its own name. If a query fails the others still finish; then the failure is raised.
+    Feeds come from catalog tables (``feeds``, read with ``options`` such as ``maxFilesPerTrigger``, which bounds the
+    micro-batches of a first load) or are given per entity name (``streams``). Targets and checkpoints live below
+    ``silver``. All feeds are resolved before the first query starts, and if one cannot start, those already running
+    are stopped. If a query fails later the others still finish; then the failure is raised.
+
+    Each target is registered under its own name: as a table of the catalog schema ``schema``, which any session of
+    that catalog can read, or without one as a temporary view.
     """
-    silver = (silver or f"{shared_folder(spark)}/silver").rstrip("/")
-    running = []
+    silver = silver.rstrip("/")
+    resolved = []
     for spec in specs:
         if streams and spec.name in streams:
             main, recon = streams[spec.name]
         elif feeds:
-            main, recon = table_feed(spark, feeds.main(spec)), table_feed(spark, feeds.recon(spec))
+            main, recon = (table_feed(spark, n(spec), **(options or {})) for n in (feeds.main, feeds.recon))
         else:
             raise ValueError(f"no feed given for {spec.name}")
-        table = KeyedTable(spark, f"{silver}/{spec.target}", spec.keys, buckets=buckets)
-        checkpoint = f"{silver}/checkpoints/{spec.target}"
-        query = start_entity(spec, main, recon, table, checkpoint, trigger=trigger, **conform)
-        running.append((spec, table, query))
+        table = KeyedTable(spark, f"{silver}/{spec.target}", spec.keys, buckets=buckets, splits=splits)
+        resolved.append((spec, main, recon, table))
+
+    running = []
+    try:
+        for spec, main, recon, table in resolved:
+            checkpoint = f"{silver}/checkpoints/{spec.target}"
+            query = start_entity(spec, main, recon, table, checkpoint, trigger=trigger, **conform)
+            running.append((spec, table, query))
+    except BaseException:
+        for _, _, query in running:
+            query.stop()
+        raise
 
     failures = []
     for spec, _, query in running:
@@ -91,19 +107,21 @@ def run(
             query.awaitTermination()
         except Exception as error:  # noqa: BLE001 - reported below, once every entity has finished
             failures.append((spec.name, error))
-    if failures:
-        names = ", ".join(name for name, _ in failures)
-        raise RuntimeError(f"entities failed: {names}") from failures[0][1]
 
     parts = []
     for spec, table, _ in running:
-        done = table.layout()
-        if done.held_by:
-            table.read().createOrReplaceTempView(spec.target)
+        if table.layout().held_by:
+            if schema:
+                publish(table, f"{schema}.{spec.target}")
+            else:
+                table.read().createOrReplaceTempView(spec.target)
         totals = table.commits().selectExpr(
             f"{text(spec.target)} AS target", "events", "rejected", "inserted", "updated"
         )
         parts.append(totals)
+    if failures:
+        names = ", ".join(name for name, _ in failures)
+        raise RuntimeError(f"entities failed: {names}") from failures[0][1]
     every = reduce(DataFrame.unionByName, parts).groupBy("target")
     # rows are never removed, so the live rows are all inserts so far
     return every.agg(
@@ -111,3 +129,25 @@ def run(
         *[F.sum(n).alias(n) for n in ("events", "rejected", "inserted", "updated")],
         F.count(F.lit(1)).alias("commits"),
     )
+
+
+def publish(table: KeyedTable, name: str) -> None:
+    """Make the newest version readable as ``name`` in the catalog: a view over one external table per commit, whose
+    partitions are the live bucket folders. The view is replaced in one step, so readers see one version or the next."""
+    layout, spark = table.layout(), table.spark
+    files = f"{name}_v{layout.version}"
+    columns = [f for f in layout.schema if f.name != EVENTS]
+    listed = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in columns)
+    if not spark.catalog.tableExists(files):
+        spark.sql(
+            f"CREATE TABLE {files} ({listed}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET})"
+            f" LOCATION {text(f'{table.root}/data')}"
+        )
+    paths = list(table.bucket_paths(layout).items())
+    for at in range(0, len(paths), 100):
+        added = " ".join(f"PARTITION ({BUCKET} = {b}) LOCATION {text(p)}" for b, p in paths[at : at + 100])
+        spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {added}")
+    names = ", ".join(quoted(f.name) for f in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {names} FROM {files}")
+    for old in table.versions()[:-2]:  # the last but one stays for readers that have just resolved the view
+        spark.sql(f"DROP TABLE IF EXISTS {name}_v{old}")

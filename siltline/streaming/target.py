@@ -2,31 +2,40 @@
 
 Layout below ``root``:
 
-    data/version=V/silt_bucket=B/   state rows of bucket B as of version V
-    manifest/version=V/             one row: which version holds each live bucket, schema, counts
-    rejects/version=V/              events of that commit that had no sequence
+    data/version=V/silt_kind=state/silt_bucket=B/      state rows of bucket B as of version V
+    data/version=V/silt_kind=<change type>/...         the row images that this commit's change feed consists of
+    manifest/version=V/                                one row: which version holds each live bucket, schema, counts
+    rejects/version=V/                                 events of that commit that had no sequence
 
-A commit rewrites only the buckets it touches and becomes visible when its one-file manifest does. A commit that
-dies half-way leaves no manifest, so the next attempt overwrites the same version. Each commit records the last
-epoch of its writer, so a replayed micro-batch is recognised and skipped. One writer per target at a time.
+A commit rewrites only the buckets it touches and becomes visible when its one-file manifest does, which is never
+overwritten. A commit that dies half-way leaves no manifest, so the next attempt overwrites the same version. Each
+commit records the last epoch of its writer, so a replayed micro-batch is recognised and skipped. One writer per target
+at a time: of two that race for a version, one fails.
 """
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from copy import copy
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from siltline.functions import columns as fx
-from siltline.operators.changes import COMMIT_TIME, COMMIT_VERSION, expand_changes
-from siltline.operators.state import BEFORE, BUCKET, CHANGE, EVENTS, absorb
-from siltline.operators.upsert import HOT_ROWS, SEQ, condense_hot_keys, payload_columns, split_rejects
+from siltline.operators.changes import CHANGE_TYPE, COMMIT_TIME, COMMIT_VERSION
+from siltline.operators.state import BUCKET, EVENTS, KIND, STATE, absorb, images
+from siltline.operators.upsert import (
+    HOT_ROWS,
+    HOT_SLOTS,
+    SEQ,
+    condense_hot_keys,
+    is_internal,
+    split_rejects,
+)
+from siltline.sources.workspace import subfolders
 
 MANIFEST = """version int, committed_at timestamp, events bigint, rejected bigint, inserted bigint, updated bigint,
     rows bigint, bucket_count int, held_by map<int,int>, epochs map<string,bigint>, row_schema string"""
@@ -82,18 +91,23 @@ class KeyedTable:
 
     # ---- reading
 
+    def versions(self) -> list[int]:
+        """The committed versions, from the names of their folders."""
+        return sorted(int(n.partition("=")[2]) for n in subfolders(self.spark, f"{self.root}/manifest") if "=" in n)
+
+    def _manifests(self, versions: Sequence[int]) -> DataFrame:
+        if not versions:
+            return self.spark.createDataFrame([], MANIFEST)
+        base = f"{self.root}/manifest"
+        reader = self.spark.read.schema(MANIFEST).option("basePath", base)
+        return reader.parquet(*[f"{base}/version={v}" for v in versions])
+
     def commits(self) -> DataFrame:
         """One row per commit, with its counts. Empty before the first one."""
-        try:
-            manifest = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            manifest = self.spark.createDataFrame([], MANIFEST)
-        return manifest
+        return self._manifests(self.versions())
 
     def layout(self) -> Layout:
-        newest = self.commits().orderBy(F.desc("version")).first()
+        newest = self._manifests(self.versions()[-1:]).first()
         if newest is None:
             return Layout()
         if newest.bucket_count != self.buckets:
@@ -101,74 +115,100 @@ class KeyedTable:
         schema = StructType.fromJson(json.loads(newest.row_schema)) if newest.row_schema else None
         return Layout(newest.version, newest.rows, newest.held_by, newest.epochs, schema)
 
+    def bucket_paths(self, layout: Layout | None = None) -> dict[int, str]:
+        """Where each live bucket lies."""
+        held_by = (layout or self.layout()).held_by
+        return {b: f"{self.root}/data/version={v}/{KIND}={STATE}/{BUCKET}={b}" for b, v in sorted(held_by.items())}
+
     def _rows(self, layout: Layout, only: Sequence[int] | None = None) -> DataFrame | None:
         """State rows of all or some live buckets; no file of any other bucket is listed or read."""
-        buckets = layout.held_by if only is None else [b for b in only if b in layout.held_by]
-        if not buckets:
-            return None
-        paths = [f"{self.root}/data/version={layout.held_by[b]}/{BUCKET}={b}" for b in sorted(buckets)]
-        return self.spark.read.schema(layout.schema).parquet(*paths)
+        paths = [p for b, p in self.bucket_paths(layout).items() if only is None or b in only]
+        return self.spark.read.schema(layout.schema).parquet(*paths) if paths else None
 
     def read(self) -> DataFrame:
         """The target: keys and payload, without the merge's own columns."""
         rows = self._rows(self.layout())
         if rows is None:
             raise ValueError(f"{self.root} has no rows yet")
-        return rows.drop(EVENTS, CHANGE, BEFORE)
+        return rows.drop(EVENTS)
 
     def changes(self, since: int = 1, until: int | None = None) -> DataFrame:
-        """The change feed of versions ``since..until``; reads only changed rows of the files those commits wrote."""
+        """The change feed of versions ``since..until``; reads the files that hold those images and no other."""
         layout = self.layout()
         if layout.schema is None:
             raise ValueError(f"{self.root} has no rows yet")
-        commits = self.commits().where(f"version >= {since} AND events > 0")
-        if until is not None:
-            commits = commits.where(f"version <= {until}")
+        versions = [v for v in self.versions() if v >= since and (until is None or v <= until)]
         data = f"{self.root}/data"
-        paths = [f"{data}/version={r.version}" for r in commits.select("version").collect()]
+        paths = [
+            f"{data}/version={v}/{kind}"
+            for v in versions
+            for kind in subfolders(self.spark, f"{data}/version={v}")
+            if kind.startswith(f"{KIND}=") and kind != f"{KIND}={STATE}"
+        ]
+        fields = [f for f in layout.schema if f.name != EVENTS]
         if paths:
-            rows = self.spark.read.schema(layout.schema).option("basePath", data).parquet(*paths)
+            rows = self.spark.read.schema(StructType(fields)).option("basePath", data).parquet(*paths)
         else:
-            rows = self.spark.createDataFrame([], layout.schema).selectExpr("*", "0 AS version", f"0 AS {BUCKET}")
-        rows = rows.where(f"{CHANGE} IS NOT NULL")
-        rows = rows.withColumn(COMMIT_VERSION, F.col("version").cast("bigint")).drop("version", BUCKET)
-        names = [*self.keys, *payload_columns(rows.drop(COMMIT_VERSION), self.keys)]
-        after = f"struct({', '.join(map(fx.quoted, names))})"
-        before = BEFORE if BEFORE in rows.columns else f"if(false, {after}, null)"
-        changes = expand_changes(rows, CHANGE, before, after, rest=[COMMIT_VERSION])
-        times = commits.selectExpr(
+            rows = self.spark.createDataFrame([], StructType(fields)).selectExpr("*", "0 AS version", f"'' AS {KIND}")
+        names = [fx.quoted(f.name) for f in fields]
+        rows = rows.selectExpr(*names, f"{KIND} AS {CHANGE_TYPE}", f"cast(version AS bigint) AS {COMMIT_VERSION}")
+        times = self._manifests(versions).selectExpr(
             f"cast(version AS bigint) AS {COMMIT_VERSION}", f"committed_at AS {COMMIT_TIME}"
         )
-        return changes.join(times, COMMIT_VERSION)
+        return rows.join(times, COMMIT_VERSION)
+
+    def follow(
+        self, handle: Callable[[DataFrame, int], None], checkpoint: str, *, trigger: Mapping | None = None
+    ) -> StreamingQuery:
+        """Stream the change feed: every commit, once published, is given to ``handle(changes, version)`` in order.
+
+        The stream reads the manifests, so files of a commit that died are never seen. A restart repeats at most the
+        versions of one batch; ``handle`` should therefore be idempotent by version, as with any ``foreachBatch``.
+        """
+        manifests = self.spark.readStream.schema(MANIFEST).parquet(f"{self.root}/manifest")
+
+        def deliver(batch: DataFrame, _: int) -> None:
+            table = self.using(batch.sparkSession)
+            for row in batch.where("events > 0").select("version").orderBy("version").collect():  # new commits only
+                handle(table.changes(since=row.version, until=row.version), row.version)
+
+        writer = manifests.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
 
     def rejects(self) -> DataFrame:
-        """All rejected events so far, as the commits wrote them."""
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/rejects")
+        """All rejected events of published commits, as the commits wrote them."""
+        rejecting = [r.version for r in self.commits().where("rejected > 0").select("version").collect()]
+        if rejecting:
+            base = f"{self.root}/rejects"
+            reader = self.spark.read.option("mergeSchema", "true").option("basePath", base)
+            return reader.parquet(*[f"{base}/version={v}" for v in sorted(rejecting)])
+        schema = self.layout().schema
+        fields = [f for f in schema if f.name != EVENTS] if schema else []
+        return self.spark.createDataFrame([], StructType([*fields, StructField("version", IntegerType())]))
 
     # ---- writing
 
-    def merge(self, events: DataFrame, *, writer: str = "", epoch: int = 0, keep: bool = False) -> int:
+    def merge(self, events: DataFrame, *, writer: str = "", epoch: int = 0) -> int:
         """Upsert change events and commit; returns the version that holds them.
 
-        With a ``writer``, epochs at or below its last one are skipped. ``keep`` holds the events in memory and on
-        disk while they are used several times: right for a micro-batch, wasteful for a bulk load, whose Parquet
-        source is cheaper to scan again column by column.
+        With a ``writer``, epochs at or below its last one are skipped. The events are read more than once; they are
+        not cached, since a first load may be larger than all disks: what is worth keeping, the caller persists.
         """
         layout = self.layout()
         if writer and layout.epochs.get(writer, -1) >= epoch:
             return layout.version
-        if keep:
-            events = events.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return self._commit(events, layout, {writer: epoch} if writer else {})
-        finally:
-            if keep:
-                events.unpersist()
+        return self._commit(events, layout, {writer: epoch} if writer else {})
 
     def _commit(self, events: DataFrame, layout: Layout, epochs: dict[str, int]) -> int:
         version = layout.version + 1
-        per_bucket = events.selectExpr(f"{self._bucket()} AS b", SEQ).groupBy("b")
-        per_bucket = per_bucket.agg(F.expr(f"count({SEQ}) AS good"), F.expr(f"count_if({SEQ} IS NULL) AS bad"))
+        # one job tells which buckets are touched, what is rejected and whether any slot may hide a hot key
+        per_slot = events.selectExpr(f"{self._bucket()} AS b", f"{fx.key_slot(self.keys, HOT_SLOTS)} AS s", SEQ)
+        per_slot = per_slot.groupBy("b", "s").agg(
+            F.expr(f"count({SEQ}) AS good"), F.expr(f"count_if({SEQ} IS NULL) AS bad")
+        )
+        per_bucket = per_slot.groupBy("b").agg(
+            F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("good").alias("most")
+        )
         counts = per_bucket.collect()  # at most one row per bucket
         touched = [r.b for r in counts if r.good]
         rejected = sum(r.bad for r in counts)
@@ -178,6 +218,8 @@ class KeyedTable:
             rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/version={version}")
         schema, written = layout.schema, {"inserted": 0, "updated": 0}
         if touched:
+            if self.hot_rows is not None and max(r.most for r in counts) > self.hot_rows:
+                ordered = condense_hot_keys(ordered, self.keys, self.hot_rows)
             schema, written = self._write(ordered, layout, touched, version)
 
         commit = {
@@ -193,28 +235,31 @@ class KeyedTable:
             "row_schema": schema.json() if schema else None,
         }
         row = self.spark.createDataFrame([commit], MANIFEST).coalesce(1)
-        row.write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
+        row.write.mode("errorifexists").parquet(f"{self.root}/manifest/version={version}")
         return version
 
     def _write(self, events: DataFrame, layout: Layout, touched: list[int], version: int):
-        if self.hot_rows is not None:
-            events = condense_hot_keys(events, self.keys, self.hot_rows)
-        state = self._rows(layout, touched)
-        if state is not None:
-            state = state.drop(CHANGE, BEFORE)
+        """Merge and write; returns the table's schema from now on, old columns and new ones, and the counts."""
+        known = {f.name: f for f in layout.schema or ()}
+        for f in events.schema:
+            if f.name in known and known[f.name].dataType != f.dataType and not is_internal(f.name):
+                raise ValueError(f"{f.name} is {known[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}")
         rows = absorb(
-            state,
+            self._rows(layout, touched),
             events,
             self.keys,
             bucket=self._bucket(),
             splits=self.splits,
+            partitions=len(touched) * self.splits,
+            stored=layout.schema,
             track_changes=self.track_changes,
         )
+        out = images(rows, self.keys)
         counted = Observation()
-        rows = rows.observe(
+        out = out.observe(
             counted,
-            F.expr(f"count_if({CHANGE} = 'insert') AS inserted"),
-            F.expr(f"count_if({CHANGE} = 'update') AS updated"),
+            F.expr(f"count_if({KIND} = 'insert') AS inserted"),
+            F.expr(f"count_if({KIND} = 'update_postimage') AS updated"),
         )
-        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/version={version}")
-        return StructType([f for f in rows.schema if f.name != BUCKET]), counted.get
+        out.write.mode("overwrite").partitionBy(KIND, BUCKET).parquet(f"{self.root}/data/version={version}")
+        return StructType([f for f in out.schema if f.name not in (KIND, BUCKET)]), counted.get

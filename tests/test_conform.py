@@ -7,7 +7,7 @@ from bronze import lineage, main_feed, recon_feed
 from scenarios import at
 
 from siltline.functions.naming import upper_snake
-from siltline.operators.conform import change_events, conform_main, conform_recon
+from siltline.operators.conform import as_events, change_events, conform_main, conform_recon
 from siltline.operators.upsert import ORDER, upsert
 from siltline.plans import entities as E
 from siltline.plans.spec import EntitySpec, Null, Source, named
@@ -173,3 +173,19 @@ def test_bad_specs_are_refused():
         EntitySpec("x", keys=("ID",), columns=named("Id") + named("Id"))
     with pytest.raises(ValueError, match="not read from the feed"):
         EntitySpec("x", keys=("OTHER",), columns=named("Id"))
+
+
+def test_reserved_column_names_are_refused_and_others_kept(spark):
+    feed = spark.createDataFrame([(1, 5, "I", 2)], "k int, at int, __op string, __slot int")
+    with pytest.raises(ValueError, match="__slot"):
+        as_events(feed, sequence="at", flow=0, arrival="at")
+    events = as_events(feed.drop("__slot"), sequence="at", flow=0, arrival="at")
+    assert upsert(events, ["k"]).first().asDict() == {"k": 1, "at": 5, "__op": "I"}
+
+
+def test_declared_columns_are_those_of_the_statements():
+    """Written out, so that a wrong declaration cannot pass by agreeing with itself."""
+    assert E.PROJECTS.target_columns == (
+        "INSTANCE", "ID", "PROJECT_IDENTIFIER", "PROJECT_NAME", "SUMMARY", "ACTIVE_FLAG", "LOADED_BY", "DH_EFF_DT",
+        "_ingested_at", "_source_system", "_source_table", "DT_REMOVED",
+    )

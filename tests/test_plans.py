@@ -5,8 +5,10 @@ import re
 import pytest
 from scenarios import KEYS, frame, main
 
+from siltline.operators import upsert as upserts
+from siltline.operators.changes import change_feed
 from siltline.operators.conform import change_events, conform_recon
-from siltline.operators.upsert import condense_hot_keys, current, upsert
+from siltline.operators.upsert import condense_hot_keys, current, hot_keys, upsert
 from siltline.plans import contract
 from siltline.plans import entities as E
 from siltline.plans.derived import entity_feed, entity_recon_feed
@@ -41,14 +43,29 @@ def test_hot_key_is_split_before_the_shuffle_by_key(spark):
     assert "BroadcastHashJoin" in text and "__part" in text
 
 
+def test_many_keys_in_few_slots_are_not_hot(spark, monkeypatch):
+    monkeypatch.setattr(upserts, "HOT_SLOTS", 4)
+    rows = [main("10:00", "x", i, key=(1, i), tie=i) for i in range(400)]
+    text = final_plan(upsert(frame(spark, rows), KEYS, hot_rows=50))  # each slot is far above the limit, no key is
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1 and "Join" not in text
+
+
+def test_dealing_does_not_depend_on_row_order(spark):
+    text = plan(condense_hot_keys(frame(spark, [main("10:00", "x")]), KEYS))
+    assert "monotonically_increasing_id" not in text and "SPARK_PARTITION_ID" in text
+
+
+def test_change_feed_is_one_shuffle(spark):
+    old = spark.range(40).selectExpr("id AS k", "id % 3 AS v")
+    new = spark.range(30, 60).selectExpr("id AS k", "id % 2 AS v")
+    assert len(re.findall(r"Exchange hashpartitioning", plan(change_feed(old, new, ["k"])))) == 1
+
+
 def test_search_for_hot_keys_reads_keys_and_sequence_only(spark, sf_dir):
     events = contract.activity_events(spark, sf_dir)
-    text = plan(condense_hot_keys(events.where("__seq IS NOT NULL"), contract.ACTIVITY.keys))
+    text = plan(hot_keys(events.where("__seq IS NOT NULL"), contract.ACTIVITY.keys))
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", text)
-    wide = [s for s in scans if "value" in s or "props" in s]
-    narrow = [s for s in scans if s not in wide]
-    assert narrow and len(wide) == 2  # calm and dealt main rows; the latter goes away when nothing is hot
-    assert all("value" not in s and "props" not in s for s in narrow)
+    assert scans and all("value" not in s and "props" not in s for s in scans)
 
 
 @pytest.mark.parametrize("columns", [["ACTIVE_FLAG"], ["INSTANCE", "DT_REMOVED"]])

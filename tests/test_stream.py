@@ -11,6 +11,7 @@ from siltline.plans import entities as E
 from siltline.plans.derived import entity_feed, entity_recon_feed
 from siltline.sources.feeds import FeedNames, folder_feed, table_feed
 from siltline.sources.workspace import scratch
+from siltline.streaming import runner
 from siltline.streaming.runner import run, upsert_stream
 from siltline.streaming.target import KeyedTable
 
@@ -122,7 +123,8 @@ def test_one_failing_entity_does_not_stop_the_others(spark):
 
 
 def test_widest_entity_streams_like_batch(spark, sf_dir):
-    spec = E.TASK_STEP_INSTANCE_DETAILS
+    spec = max(E.ENTITIES, key=lambda s: len(s.target_columns))
+    assert len(spec.target_columns) == 131
     root = scratch(spark, "wide")
     contract.stage(entity_feed(spark, sf_dir, spec), f"{root}/main", 2)
     contract.stage(entity_recon_feed(spark, sf_dir, spec), f"{root}/recon", 2)
@@ -138,6 +140,60 @@ def test_widest_entity_streams_like_batch(spark, sf_dir):
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
+def test_nothing_starts_unless_every_feed_is_there(spark):
+    root = scratch(spark, "missing")
+    main_feed(spark, E.PROJECTS, [{"Instances_Id": 1, "Id": 1, **lineage("10:00")}]).write.parquet(f"{root}/good")
+    streams = {"projects": (folder_feed(spark, f"{root}/good"), None)}
+    with pytest.raises(ValueError, match="no feed given for assets"):
+        run(spark, [E.PROJECTS, E.ASSETS], streams=streams, silver=f"{root}/silver")
+    assert spark.streams.active == []
+    assert KeyedTable(spark, f"{root}/silver/projects_sql", E.PROJECTS.keys).layout().version == 0
+
+
+def test_started_queries_are_stopped_if_a_later_one_cannot_start(spark, monkeypatch):
+    root = scratch(spark, "halfway")
+    main_feed(spark, E.PROJECTS, [{"Instances_Id": 1, "Id": 1, **lineage("10:00")}]).write.parquet(f"{root}/good")
+    feed = folder_feed(spark, f"{root}/good")
+    stopped = []
+
+    class Query:
+        def stop(self):
+            stopped.append(True)
+
+    def start(spec, *_, **__):
+        if stopped or spec is E.ASSETS:
+            raise RuntimeError("no room")
+        return Query()
+
+    monkeypatch.setattr(runner, "start_entity", start)
+    with pytest.raises(RuntimeError, match="no room"):
+        run(spark, [E.PROJECTS, E.ASSETS], streams={s.name: (feed, None) for s in (E.PROJECTS, E.ASSETS)}, silver=root)
+    assert stopped == [True]
+
+
+def test_reader_options_bound_the_batches_and_targets_have_names(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bounded")
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    feeds, spec = FeedNames("bounded"), E.PROJECTS
+    for i in range(3):
+        row = {"Instances_Id": 1, "Id": i, "ProjectName": f"p{i}", **lineage("10:00")}
+        main_feed(spark, spec, [row]).coalesce(1).write.mode("append").format("parquet").saveAsTable(feeds.main(spec))
+    recon_feed(spark, spec, []).write.format("parquet").saveAsTable(feeds.recon(spec))
+    silver = scratch(spark, "bounded")
+    counts = run(
+        spark, [spec], feeds=feeds, options={"maxFilesPerTrigger": 1}, silver=silver, buckets=2, schema="silver"
+    )
+    assert counts.first().commits == 3
+    other = spark.newSession()  # temporary views are not shared, the catalog is
+    select = "select ID, PROJECT_NAME from silver.projects_sql order by ID"
+    assert [tuple(r) for r in other.sql(select).collect()] == [(0, "p0"), (1, "p1"), (2, "p2")]
+    row = {"Instances_Id": 1, "Id": 1, "ProjectName": "new", **lineage("11:00")}
+    main_feed(spark, spec, [row]).write.mode("append").format("parquet").saveAsTable(feeds.main(spec))
+    run(spark, [spec], feeds=feeds, silver=silver, buckets=2, schema="silver")
+    assert [tuple(r) for r in other.sql(select).collect()] == [(0, "p0"), (1, "new"), (2, "p2")]
+    assert other.table("silver.projects_sql").columns == list(spec.target_columns)
+
+
 def test_batch_reads_of_feeds(spark):
     main_feed(spark, E.PROJECTS, [{"Instances_Id": 1, "Id": 1}]).write.format("parquet").saveAsTable("one_feed")
     assert table_feed(spark, "one_feed", stream=False).count() == 1

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from scenarios import KEYS, at, expected, frame, main, recon, rows_of
 from test_upsert import random_events
 
+from siltline.operators.state import absorb
 from siltline.operators.upsert import ORDER
 from siltline.sources.workspace import scratch, shared_folder
 from siltline.streaming.target import KeyedTable
@@ -49,7 +50,7 @@ def test_only_touched_buckets_are_rewritten(spark, root):
     table = KeyedTable(spark, root, KEYS, buckets=8)
     table.merge(frame(spark, [main("10:00", "x", key=(1, k)) for k in range(40)]))
     table.merge(frame(spark, [main("11:00", "y", key=(1, 7))]))
-    assert len([d for d in os.listdir(f"{root}/data/version=2") if d.startswith("silt_bucket")]) == 1
+    assert len(os.listdir(f"{root}/data/version=2/silt_kind=state")) == 1
     assert sorted(set(table.layout().held_by.values())) == [1, 2]
     assert table.read().count() == 40
 
@@ -84,7 +85,84 @@ def test_rejects_are_kept_apart(spark, root):
     table.merge(frame(spark, [bad]))  # nothing to merge, still a commit
     assert rows_of(table.read()) == {(1, 10): ("x", None, True, None)}
     assert table.rejects().count() == 2
-    assert [(r.events, r.rejected) for r in table.commits().orderBy("version").collect()] == [(1, 1), (0, 1)]
+    table.merge(frame(spark, [main("12:00", "y")]))
+    frame(spark, [bad]).write.parquet(f"{root}/rejects/version=4")  # left behind by a commit that died
+    assert table.rejects().count() == 2
+    assert [(r.events, r.rejected) for r in table.commits().orderBy("version").collect()] == [(1, 1), (0, 1), (1, 0)]
+
+
+def test_no_rejects_is_an_empty_frame(spark, root):
+    table = KeyedTable(spark, root, KEYS, buckets=2)
+    assert table.rejects().count() == 0
+    table.merge(frame(spark, [main("10:00", "x")]))
+    assert table.rejects().count() == 0
+
+
+def test_fresh_buckets_do_not_lose_columns(spark, root):
+    table = KeyedTable(spark, root, KEYS, buckets=16)
+    table.merge(frame(spark, [main("10:00", "x", 1)]))
+    other = next(k for k in range(11, 99) if bucket_of(spark, table, (1, k)) != bucket_of(spark, table, (1, 10)))
+    table.merge(frame(spark, [main("10:00", "n", key=(1, other))]).drop("b"))  # only a bucket without rows
+    assert "b" in table.read().columns
+    table.merge(frame(spark, [main("11:00", "y")]).drop("b"))
+    table.merge(frame(spark, [main("12:00", None, None)]))
+    assert rows_of(table.read()) == {(1, 10): ("y", 1, True, None), (1, other): ("n", None, True, None)}
+
+
+def bucket_of(spark, table, key):
+    return frame(spark, [main("10:00", "x", key=key)]).selectExpr(table._bucket()).first()[0]
+
+
+def test_a_column_keeps_its_type(spark, root):
+    table = KeyedTable(spark, root, KEYS, buckets=2)
+    table.merge(frame(spark, [main("10:00", "x", 1)]))
+    with pytest.raises(ValueError, match="b is"):
+        table.merge(frame(spark, [main("10:00", "x", 1)]).withColumn("b", F.col("b").cast("string")))
+    assert table.layout().version == 1
+
+
+def test_one_version_is_published_once(spark, root):
+    table = KeyedTable(spark, root, KEYS, buckets=2)
+    stale = table.layout()
+    table.merge(frame(spark, [main("10:00", "x")]))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        table._commit(frame(spark, [main("11:00", "y")]), stale, {})  # a second writer that saw the same state
+    assert table.commits().count() == 1
+
+
+def test_changes_cost_what_changed(spark, root):
+    table = KeyedTable(spark, root, KEYS, buckets=2)
+    table.merge(frame(spark, [main("10:00", "x", key=(1, k)) for k in range(50)]))
+    table.merge(frame(spark, [main("11:00", "y", key=(1, 7))]))
+    files = [f for f in table.changes(since=2).inputFiles() if "/manifest/" not in f]
+    assert files and all("version=2/silt_kind=update_" in f for f in files)
+    read = spark.read.option("basePath", f"{root}/data").parquet(*files)
+    assert read.count() == 2
+
+
+def test_followers_see_published_commits_once_and_in_order(spark, root):
+    table = KeyedTable(spark, f"{root}/t", KEYS, buckets=2)
+    seen = []
+
+    def note(changes, version):
+        seen.append((version, sorted(r["_change_type"] for r in changes.collect())))
+
+    table.merge(frame(spark, [main("10:00", "x"), main("10:00", "z", key=(2, 2))]))
+    table.merge(frame(spark, [main("11:00", "y")]))
+    table._write(frame(spark, [main("12:00", "dead")]), table.layout(), [0, 1], 3)  # never published
+    table.follow(note, f"{root}/c").awaitTermination()
+    assert seen == [(1, ["insert", "insert"]), (2, ["update_postimage", "update_preimage"])]
+    table.merge(frame(spark, [main("12:00", "w")]))
+    table.follow(note, f"{root}/c").awaitTermination()
+    assert seen[2:] == [(3, ["update_postimage", "update_preimage"])]
+
+
+def test_a_merge_is_as_wide_as_buckets_and_splits(spark, root):
+    events = frame(spark, [main("10:00", "x", key=(1, k)) for k in range(40)])
+    rows = absorb(None, events, KEYS, bucket="cast(pmod(k2, 5) AS int)", splits=3, partitions=15)
+    rows.collect()
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(silt_bucket" in text and ", 15), REPARTITION_BY_NUM" in text
 
 
 def test_a_new_column_appears_later(spark, root):
