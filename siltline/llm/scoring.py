@@ -160,20 +160,20 @@ def fit(docs: DataFrame, *, min_share: float = 1e-5, min_pair_share: float = 2e-
     try:
         totals = words.agg(F.sum("t"), F.sum("b")).first()
         n = sum(x or 0 for x in totals)
-        listed = words.where(f"t + b >= {min_share * n!r}").toPandas().sort_values("key")
+        listed = words.where(f"t + b >= {min_share * n!r}").toArrow().sort_by("key")
     finally:
         words.unpersist()
-    vocabulary = Vocabulary(listed["key"].to_numpy(np.int64))
-    known = listed[["t", "b"]].to_numpy(np.int64).T
+    vocabulary = Vocabulary(listed["key"].to_numpy())
+    known = np.stack([listed["t"].to_numpy(), listed["b"].to_numpy()])
     rest = np.array([[(t or 0)] for t in totals]) - known.sum(axis=1, keepdims=True)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     pairs = counted(marked, lambda text: shared.value.pairs(text))
-    frequent = pairs.where(f"t + b >= {min_pair_share * n!r}").toPandas().sort_values("key")
+    frequent = pairs.where(f"t + b >= {min_pair_share * n!r}").toArrow().sort_by("key")
     return build(
         vocabulary,
         np.concatenate([known, rest], axis=1),
-        frequent["key"].to_numpy(np.int64),
-        frequent[["t", "b"]].to_numpy(np.int64).T,
+        frequent["key"].to_numpy(),
+        np.stack([frequent["t"].to_numpy(), frequent["b"].to_numpy()]),
     )
 
 
