@@ -59,6 +59,25 @@ def conform_main(
     return feed.selectExpr(*out, *map(fx.quoted, carry))
 
 
+def cast_failures(feed: DataFrame, spec: EntitySpec) -> DataFrame:
+    """``column_name, failed``: how many values of each cast column ``on_cast_error='null'`` would blank.
+
+    One aggregate over the cast columns; a spec without casts gives no rows.
+    """
+    casts = [c for c in spec.columns if not isinstance(c, Null) and c.cast]
+    if not casts:
+        return feed.sparkSession.createDataFrame([], "column_name string, failed bigint")
+    lost = [
+        fx.aliased(
+            f"count_if({fx.quoted(c.name)} IS NOT NULL AND {fx.convert(fx.quoted(c.name), c.cast, 'null')} IS NULL)",
+            c.target,
+        )
+        for c in casts
+    ]
+    pairs = ", ".join(f"struct({fx.text(c.target)} AS column_name, {fx.quoted(c.target)} AS failed)" for c in casts)
+    return feed.selectExpr(*lost).selectExpr(f"inline(array({pairs}))")
+
+
 def conform_recon(
     feed: DataFrame, spec: EntitySpec, *, load_time=None, carry: tuple[str, ...] = ()
 ) -> DataFrame:

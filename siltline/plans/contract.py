@@ -13,7 +13,15 @@ from pyspark.sql.types import DecimalType, TimestampType
 
 from siltline.functions import columns as fx
 from siltline.operators.changes import CHANGE_TYPE, change_feed
-from siltline.operators.conform import MAIN, RECON, as_events, change_events, conform_main, conform_recon
+from siltline.operators.conform import (
+    MAIN,
+    RECON,
+    as_events,
+    cast_failures,
+    change_events,
+    conform_main,
+    conform_recon,
+)
 from siltline.operators.upsert import ORDER, current, split_rejects, upsert
 from siltline.plans.derived import (
     entity_feed,
@@ -101,6 +109,16 @@ def cast_or_null(spark, sf):
     return table(spark, sf, "events").selectExpr("event_id", f"{hours} AS manhours")
 
 
+def cast_failures_query(spark, sf):
+    """What blanking malformed values would lose, per cast column."""
+    columns = (*ACTIVITY.columns, Source("hours", cast="double"), Source("code", cast="bigint"))
+    feed = main_feed(spark, sf).selectExpr(
+        "*", "if(event_id % 4 = 0, 'n/a', cast(event_id AS string)) AS hours",
+        "if(event_id % 7 = 0, event_id || '-x', cast(event_id AS string)) AS code",
+    )
+    return cast_failures(feed, replace(ACTIVITY, columns=columns))
+
+
 def soft_delete(spark, sf):
     return main_feed(spark, sf).selectExpr(TIE, f"{fx.soft_delete_flag('dtRemoved')} AS active_flag")
 
@@ -364,6 +382,7 @@ def queries() -> dict[str, Query]:
         "cast_decimal_38_12": cast_decimal,
         "cast_bigint": cast_bigint,
         "cast_or_null": cast_or_null,
+        "cast_failures": cast_failures_query,
         "soft_delete_flag": soft_delete,
         "recon_flag": hard_delete,
         "seq_coalesce2": seq2,

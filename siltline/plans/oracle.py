@@ -1,7 +1,8 @@
 """The contract queries written a second time, as plain SQL for DuckDB.
 
-Independent of the Spark operators: the upsert is one ``arg_max(column, order) FILTER (column is not null)`` per
-column. Only the feed definitions (which stand for input data) and the lists of column names are shared.
+The operators are written anew: the upsert is one ``arg_max(column, order) FILTER (column is not null)`` per column.
+What is shared are the feed definitions (which stand for input data) and what an entity declares: names, casts, keys,
+sequence and removal rule. The tests hold those declarations against lists of their own.
 """
 
 from siltline.plans.derived import (
@@ -189,6 +190,8 @@ def oracle_sql() -> dict[str, str]:
             CAST(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS BIGINT) AS order_sequence FROM lineitem""",
         "cast_or_null": """SELECT event_id, TRY_CAST(CASE WHEN event_id % 4 = 0 THEN 'n/a'
             ELSE CAST(event_id AS VARCHAR) END AS DOUBLE) AS manhours FROM events""",
+        "cast_failures": """SELECT 'HOURS' AS column_name, count(*) AS failed FROM events WHERE event_id % 4 = 0
+            UNION ALL SELECT 'CODE', count(*) FROM events WHERE event_id % 7 = 0""",
         "soft_delete_flag": simple("main", "event_id, dtRemoved IS NULL AS active_flag"),
         "recon_flag": simple("recon", "event_id, CASE WHEN hard_delete THEN false END AS active_flag"),
         "seq_coalesce2": simple("main", f"event_id, {SEQ2} AS seq"),
