@@ -133,3 +133,22 @@ def near_duplicates(
 
 def op6_embedding_near_dedup(spark, sf_dir) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP6_SQL = """
+WITH RECURSIVE rows AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+sound AS (
+  SELECT * FROM rows
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.98),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM rows
+  UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a),
+least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degree AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN degree USING (vec_id)
+"""

@@ -1,7 +1,7 @@
 """The queries of this subpackage by name, and their SQL where SQL can express them."""
 
 from siltline.llm.contamination import OP10_SQL, op10_benchmark_decontamination
-from siltline.llm.embeddings import op6_embedding_near_dedup
+from siltline.llm.embeddings import OP6_SQL, op6_embedding_near_dedup
 from siltline.llm.language import op1_language_id
 from siltline.llm.licenses import OP3_SQL, op3_license_scan
 from siltline.llm.packing import op7_best_fit_packing
@@ -27,4 +27,8 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op10_benchmark_decontamination": OP10_SQL}
+ORACLE_SQL = {
+    "op3_license_scan": OP3_SQL,
+    "op6_embedding_near_dedup": OP6_SQL,
+    "op10_benchmark_decontamination": OP10_SQL,
+}
