@@ -64,9 +64,10 @@ def components(links: DataFrame) -> DataFrame:
             )
         state = now
         both = edges.union(edges.selectExpr("b AS a", "a AS b"))
-        least = both.groupBy("a").agg(F.min("b").alias("low")).selectExpr("a", "least(a, low) AS low")
+        # settled, so that the join shuffles anew: next to its aggregate Spark would not split a hub's rows
+        least = settle(both.groupBy("a").agg(F.min("b").alias("low")).selectExpr("a", "least(a, low) AS low"))
         large = both.join(least, "a").where("b > a").selectExpr("b AS a", "low AS b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("low"))
+        least = settle(large.groupBy("a").agg(F.min("b").alias("low")))
         small = large.join(least, "a").selectExpr(
             "explode(array(struct(a, low AS b), struct(b AS a, low AS b))) AS e"
         )

@@ -167,10 +167,11 @@ def links(fingerprints: DataFrame, *, max_bits: int = 3, leaf_rows: int = 1024)
     ).withColumn("value", F.expr("fp & mask"))
     found = []
     while True:
-        sizes = nodes.groupBy("mask", "value").count()
-        leaves = nodes.join(sizes.where(f"count BETWEEN 2 AND {leaf_rows}"), ["mask", "value"]).drop("count")
+        # settled, so that the joins shuffle anew and Spark can split the rows of a crowded node
+        sizes = settle(nodes.groupBy("mask", "value").count().where("count > 1"))
+        leaves = nodes.join(sizes.where(f"count <= {leaf_rows}"), ["mask", "value"]).drop("count")
         found.append(leaves)
-        crowded = settle(sizes.where(f"count > {leaf_rows}").drop("count"))
+        crowded = sizes.where(f"count > {leaf_rows}").drop("count")
         if crowded.isEmpty():
             break
         # the table of masks has at most parts^depth rows, and depth ends when 2^free <= leaf_rows
@@ -202,7 +203,7 @@ def near_duplicates(
     distinct = settle(marked.groupBy("fp").agg(F.min("doc_id").alias("low")))
     groups = components(links(distinct.select("fp"), max_bits=max_bits)).withColumnRenamed("node", "fp")
     placed = distinct.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = placed.groupBy("component").agg(F.min("low").alias("component_id"))
+    least = settle(placed.groupBy("component").agg(F.min("low").alias("component_id")))
     owner = placed.join(least, "component").selectExpr("fp", "component AS group", "component_id")
     return marked.join(owner, "fp").select("doc_id", "text_hash", "fp", "group", "component_id")
 
