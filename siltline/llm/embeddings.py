@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import components, settle, spanning
+from siltline.llm.common import components, narrow, settle, spanning
 
 LANES = 1024  # components per exact float32 product: 127 * 127 * 1024 < 2^24
 CHUNK = 1 << 16  # pairs recomputed together
@@ -83,7 +83,7 @@ def links(vectors: DataFrame, *, threshold: float, block_rows: int) -> DataFrame
     """``a, b, n`` from all tiles. ``vectors``: distinct ``node, label, vector, copies``."""
     sizes = vectors.groupBy("label", F.size("vector").alias("width")).count()
     blocks = sizes.selectExpr("label", "width", f"cast(ceil(count / {block_rows}) AS int) AS blocks")
-    dealt = vectors.withColumn("width", F.size("vector")).join(blocks, ["label", "width"])
+    dealt = vectors.withColumn("width", F.size("vector")).join(narrow(settle(blocks)), ["label", "width"])
     dealt = dealt.withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) AS int)"))
     tiles = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr(
         "node", "vector", "copies", "label", "width", "block", "least(block, other) AS low", "greatest(block, other) AS high"
@@ -124,7 +124,7 @@ def near_duplicates(
         .join(groups, "node", "left")
         .selectExpr("label", "vector", "low", "coalesce(n, 0) + copies - 1 AS n_links", "coalesce(component, node) AS component")
     )
-    least = placed.groupBy("component").agg(F.min("low").alias("component_id"))
+    least = settle(placed.groupBy("component").agg(F.min("low").alias("component_id")))
     owner = placed.join(least, "component").select("label", "vector", "n_links", "component_id")
     linked = plain.join(owner, ["label", "vector"]).select("vec_id", "n_links", "component_id")
     alone = marked.where("NOT sound").selectExpr("vec_id", "0L AS n_links", "vec_id AS component_id")
