@@ -129,7 +129,7 @@ def repeated_spans(docs: DataFrame, *, doc_id: str, text: str, min_words: int) -
     often = settle(found.groupBy("d1").count().where("count > 1").select("d1"))
     again = settle(found.join(often, "d1", "left_semi"))
     place = F.struct("id", "hash", "span")
-    first = again.groupBy("d1", "d2").agg(F.min(place).alias("first"))
+    first = settle(again.groupBy("d1", "d2").agg(F.min(place).alias("first")))
     later = again.join(first, ["d1", "d2"]).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("id", "hash").agg(
         F.collect_set("span").alias("spans"), F.collect_set("first.id").alias("first_ids")
