@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import slabs, word_hashes, word_spans
+from siltline.llm.common import narrow, settle, slabs, word_hashes, word_spans
 
 BUCKETS = 1 << 17
 MIX = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917), np.uint32(668265263))
@@ -175,6 +175,7 @@ def fit(
 ) -> Model | None:
     """Learn ``label`` (0 or 1) of ``labels`` by ``doc_id`` from the texts of ``docs``; None without any label."""
     known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).cast("int").alias("y"))
+    known = narrow(settle(known))
     named = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     hashed = named.withColumn("hash", F.xxhash64("text"))
     sizes = hashed.select("doc_id", "hash").join(known, "doc_id").select("y", "hash").distinct()
