@@ -1,5 +1,7 @@
 """Helpers that several operators share: reading, cutting lineage, components, vectorised hashing."""
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from siltline.sources.workspace import shared_folder
 
 BROADCAST_ROWS = 200_000
 SPACE = bytes(range(9, 14)) + b" "
+_SPACES = re.compile(b"[" + SPACE + b"]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,9 +81,8 @@ def slabs(data: bytes, size: int = 1 << 20):
     """``data`` in parts of about ``size`` bytes that end at white space, so a very long text needs bounded memory."""
     start = 0
     while start < len(data):
-        end = min(len(data), start + size)
-        while end < len(data) and data[end] not in SPACE:
-            end += 1
+        border = _SPACES.search(data, start + size)
+        end = border.start() if border else len(data)
         yield data[start:end]
         start = end
 

@@ -10,7 +10,7 @@ Only DataFrame functions are used. A passage can reach the threshold only if it
 words are anchors except the lightest ones whose weight all together stays below it. Passages without any anchor are
 never turned into vectors, which loses nothing. Frequencies are then counted for the words of the others alone.
 
-Defined cases: a null or empty text has no licence of its own but inherits; a null path neither gives nor inherits; a
+Defined cases: a null or empty text has no licence of its own but inherits; a null path has no licence, gives none and inherits none; a
 path without a slash lies in the root folder ''; rows with equal paths are judged by the best of their passages; ties
 go to the licence first in the alphabet; no templates, or an empty table: no licences, or no rows.
 """
