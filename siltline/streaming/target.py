@@ -29,7 +29,6 @@ from siltline.operators.changes import CHANGE_TYPE, COMMIT_TIME, COMMIT_VERSION
 from siltline.operators.state import BUCKET, EVENTS, KIND, STATE, absorb, images
 from siltline.operators.upsert import (
     HOT_ROWS,
-    HOT_SLOTS,
     SEQ,
     condense_hot_keys,
     is_internal,
@@ -201,14 +200,9 @@ class KeyedTable:
 
     def _commit(self, events: DataFrame, layout: Layout, epochs: dict[str, int]) -> int:
         version = layout.version + 1
-        # one job tells which buckets are touched, what is rejected and whether any slot may hide a hot key
-        per_slot = events.selectExpr(f"{self._bucket()} AS b", f"{fx.key_slot(self.keys, HOT_SLOTS)} AS s", SEQ)
-        per_slot = per_slot.groupBy("b", "s").agg(
-            F.expr(f"count({SEQ}) AS good"), F.expr(f"count_if({SEQ} IS NULL) AS bad")
-        )
-        per_bucket = per_slot.groupBy("b").agg(
-            F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("good").alias("most")
-        )
+        # one aggregate tells which buckets are touched, what is rejected and whether any key can be hot at all
+        per_bucket = events.selectExpr(f"{self._bucket()} AS b", SEQ).groupBy("b")
+        per_bucket = per_bucket.agg(F.expr(f"count({SEQ}) AS good"), F.expr(f"count_if({SEQ} IS NULL) AS bad"))
         counts = per_bucket.collect()  # at most one row per bucket
         touched = [r.b for r in counts if r.good]
         rejected = sum(r.bad for r in counts)
@@ -218,7 +212,7 @@ class KeyedTable:
             rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/version={version}")
         schema, written = layout.schema, {"inserted": 0, "updated": 0}
         if touched:
-            if self.hot_rows is not None and max(r.most for r in counts) > self.hot_rows:
+            if self.hot_rows is not None and max(r.good for r in counts) > self.hot_rows:
                 ordered = condense_hot_keys(ordered, self.keys, self.hot_rows)
             schema, written = self._write(ordered, layout, touched, version)
 
