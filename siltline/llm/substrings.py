@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltline.functions import columns as fx
 from siltline.llm.common import settle, word_spans
 
 LEAST, MOST = 16, 1024
@@ -114,7 +115,18 @@ def window_rows(docs: DataFrame, min_words: int) -> DataFrame:
                 ids, hashes = (part[c].repeat(counts).array for c in ("id", "hash"))
                 yield pd.DataFrame({"id": ids, "hash": hashes, "d1": d1, "d2": d2, "span": spans})
 
-    return docs.mapInPandas(cut, f"id {kind}, hash long, d1 long, d2 int, span long")
+    return docs.mapInPandas(cut, f"id {kind}, hash int, d1 long, d2 int, span long")
+
+
+def text_hash(text: str) -> str:
+    """Tells texts of one id apart; 31 bits are short in every row of every window."""
+    return f"cast(xxhash64({fx.quoted(text)}) & 2147483647L AS int)"
+
+
+def shuffled_anew(column: str) -> str:
+    """The same value as an expression of its own. Joined by it, an aggregate's result is shuffled once more, and so is
+    the other side: then Spark can split the rows of one hot key, which it does not do right next to the aggregate."""
+    return f"({column} ^ 0)"
 
 
 def repeated_spans(docs: DataFrame, *, doc_id: str, text: str, min_words: int) -> DataFrame:
@@ -123,14 +135,14 @@ def repeated_spans(docs: DataFrame, *, doc_id: str, text: str, min_words: int) -
     All windows are counted by the first part of the digest, in short rows that combine map-side. Only windows whose
     first part occurs again go on; they are settled and told apart by both parts.
     """
-    named = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("hash"), F.col(text).alias("text"))
+    named = docs.select(F.col(doc_id).alias("id"), F.expr(text_hash(text)).alias("hash"), F.col(text).alias("text"))
     found = window_rows(named.where("text IS NOT NULL"), min_words)
-    # settled, so that the join shuffles anew and Spark can split the rows of a digest that very many texts share
-    often = settle(found.groupBy("d1").count().where("count > 1").select("d1"))
-    again = settle(found.join(often, "d1", "left_semi"))
+    often = found.groupBy("d1").count().where("count > 1").selectExpr(f"{shuffled_anew('d1')} AS k1")
+    again = settle(found.join(often, F.expr("d1 = k1"), "left_semi"))
     place = F.struct("id", "hash", "span")
-    first = settle(again.groupBy("d1", "d2").agg(F.min(place).alias("first")))
-    later = again.join(first, ["d1", "d2"]).where(~place.eqNullSafe(F.col("first")))
+    first = again.groupBy("d1", "d2").agg(F.min(place).alias("first"))
+    first = first.selectExpr(f"{shuffled_anew('d1')} AS k1", f"{shuffled_anew('d2')} AS k2", "first")
+    later = again.join(first, F.expr("d1 = k1 AND d2 = k2")).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("id", "hash").agg(
         F.collect_set("span").alias("spans"), F.collect_set("first.id").alias("first_ids")
     )
@@ -174,7 +186,7 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_wo
         return pd.DataFrame(rows, columns=["text", "spans"])
 
     same = F.expr("__key <=> __id AND __text_hash = __hash")
-    keyed = docs.withColumns({"__key": F.col(doc_id), "__text_hash": F.xxhash64(F.col(text))})
+    keyed = docs.withColumns({"__key": F.col(doc_id), "__text_hash": F.expr(text_hash(text))})
     met = keyed.join(spans, same, "left").withColumn("__cut", cut(F.col(text), F.col("__spans")))
     kind = dict(docs.dtypes)[doc_id]
     first = F.coalesce(F.array_sort("__first"), F.expr(f"cast(array() AS array<{kind}>)"))

@@ -97,8 +97,7 @@ def substring_dedup(rows, min_words):
 
 
 def xxhash_of(text):
-    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
-    return h - (1 << 64) if h >> 63 else h
+    return xxhash.xxh64_intdigest(text.encode(), seed=42) & 0x7FFFFFFF
 
 
 def shingles(text, width):
