@@ -3,9 +3,10 @@
 1. Every text is tokenized and closed with an end id. Only longer documents are cut, into full pieces and one shorter
    first piece. Tokens are made once; what the caller wants of them (``outputs``) is settled with each piece.
 2. Pieces are dealt by hash to shards of about ``shard_pieces``. In a shard, best fit in decreasing size gives the first
-   bins. Then a local search empties bins: between an emptier and a fuller underfull bin it moves a piece, swaps one
-   for one, two for one or one for two, whenever that fills the fuller bin further. Every step raises the sum of the
-   squared fills, so the search ends; it stops at once when no packing can have fewer bins.
+   bins. Then a local search empties bins: between an emptier and a fuller underfull bin it moves one or two pieces,
+   swaps one for one, two for one or one for two, whenever that fills the fuller bin further, whichever two bins of the
+   shard these are. Every step raises the sum of the squared fills, so the search ends: when no exchange helps any
+   more, or at once when no packing can have fewer bins.
 3. A shard wastes less than one sequence beyond what the search leaves, whatever the size of the table, so shards only
    bound memory. Full pieces are sequences of their own.
 
@@ -34,7 +35,6 @@ ODD = re.compile(r"[^\S \n]|[\x1c-\x1f]")  # unless other white space stands nex
 CACHED = 400_000  # units kept by a worker, about 100 MB
 LONGEST = 64  # characters of a unit worth keeping
 PART = 1 << 20
-NEAREST = 8  # emptiest bins whose pairs are tried
 
 
 class Units(dict):
@@ -171,11 +171,21 @@ def best_fit(sizes: Sequence[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def pair_sums(sizes: Sequence[int]) -> int:
+    """Bit n is set if two of the sizes sum to n."""
+    seen = sums = 0
+    for size in sizes:
+        sums |= seen << size
+        seen |= 1 << size
+    return sums
+
+
 class Search:
     """Bins while pieces are exchanged between the underfull ones, fullest first.
 
-    ``sizes_there`` has bit n set if some open bin, other than the one being filled, holds a piece of size n; so the
-    best partner for a swap is found by a few operations on one number instead of a walk over all bins.
+    ``sizes_there`` has bit n set if some open bin, other than the one being filled, holds a piece of size n, and
+    ``sums_there`` if one holds two pieces of n together; so the best partner for a swap is found by a few operations
+    on one number instead of a walk over all bins. The sums of a bin are brought up to date when it is next asked for.
     """
 
     def __init__(self, bins: list[list[int]], sizes: Sequence[int], capacity: int):
@@ -184,7 +194,11 @@ class Search:
         self.owner = {i: k for k, b in enumerate(bins) for i in b}
         self.of_size: dict[int, set[int]] = {}
         self.sizes_there = 0
+        self.of_sum: dict[int, set[int]] = {}
+        self.sums_there = 0
+        self.sums: dict[int, int] = {}
         self.open = {k for k, f in enumerate(self.fill) if f < capacity}
+        self.stale = set(self.open)
         for k in self.open:
             for item in bins[k]:
                 self.offer(item)
@@ -192,35 +206,65 @@ class Search:
     def offer(self, item: int) -> None:
         self.of_size.setdefault(self.sizes[item], set()).add(item)
         self.sizes_there |= 1 << self.sizes[item]
+        self.stale.add(self.owner[item])
 
     def withdraw(self, item: int) -> None:
         same = self.of_size[self.sizes[item]]
         same.remove(item)
         if not same:
             self.sizes_there ^= 1 << self.sizes[item]
+        self.stale.add(self.owner[item])
+
+    def refresh(self) -> None:
+        """Bring the sums of the bins that changed up to date."""
+        for k in self.stale:
+            now = pair_sums([self.sizes[i] for i in self.bins[k]]) if k in self.open else 0
+            changed = now ^ self.sums.get(k, 0)
+            self.sums[k] = now
+            while changed:
+                low = changed & -changed
+                changed ^= low
+                there = self.of_sum.setdefault(low.bit_length() - 1, set())
+                if now & low:
+                    there.add(k)
+                    self.sums_there |= low
+                else:
+                    there.remove(k)
+                    if not there:
+                        self.sums_there ^= low
+        self.stale.clear()
+
+    def pair(self, giver: int, total: int) -> tuple[int, int]:
+        """Two pieces of a bin that make ``total`` together."""
+        seen: dict[int, int] = {}
+        for item in self.bins[giver]:
+            if total - self.sizes[item] in seen:
+                return item, seen[total - self.sizes[item]]
+            seen[self.sizes[item]] = item
+        raise KeyError(total)
 
     def best(self, taker: int) -> tuple[int, tuple[int, ...], tuple[int, ...], int]:
         """The exchange that fills ``taker`` furthest: gain, pieces that leave it, pieces that come, their bin."""
         own, sizes = self.bins[taker], self.sizes
         slack = self.capacity - self.fill[taker]
-        out = [(0, ())] + [(sizes[a], (a,)) for a in own]
-        out += [(sizes[a] + sizes[b], (a, b)) for n, a in enumerate(own) for b in own[:n]]
+        single = {0: (), **{sizes[a]: (a,) for a in reversed(own)}}
+        out = {sizes[a] + sizes[b]: (a, b) for n, a in enumerate(own) for b in own[:n]} | single
         found = (0, (), (), -1)
-        for less, leave in out:  # a move, one for one, one for two
+        for less, leave in out.items():  # a move, one for one, one for two
             size = (self.sizes_there & ((1 << (less + slack + 1)) - 1)).bit_length() - 1
             if size - less > found[0]:
                 item = min(self.of_size[size], key=lambda i: (self.fill[self.owner[i]], i))
                 found = (size - less, leave, (item,), self.owner[item])
                 if found[0] == slack:
                     return found
-        for giver in heapq.nsmallest(NEAREST, self.open, key=lambda k: (self.fill[k], k)):  # two for one, two moves
-            members = self.bins[giver]
-            for n, a in enumerate(members):
-                for b in members[:n]:
-                    for less, leave in out[: 1 + len(own)]:
-                        gain = sizes[a] + sizes[b] - less
-                        if found[0] < gain <= slack:
-                            found = (gain, leave, (a, b), giver)
+        self.refresh()
+        for less, leave in single.items():  # two moves, two for one
+            total = (self.sums_there & ((1 << (less + slack + 1)) - 1)).bit_length() - 1
+            if total - less > found[0]:
+                giver = min(self.of_sum[total], key=lambda k: (self.fill[k], k))
+                found = (total - less, leave, self.pair(giver, total), giver)
+                if found[0] == slack:
+                    return found
         return found
 
     def fill_up(self, taker: int) -> list[int]:
@@ -232,13 +276,13 @@ class Search:
                 break
             for item in come:
                 self.withdraw(item)
-            for item in leave:
-                self.offer(item)
             for items, at, other in ((come, taker, giver), (leave, giver, taker)):
                 for item in items:
                     self.bins[other].remove(item)
                     self.bins[at].append(item)
                     self.owner[item] = at
+            for item in leave:
+                self.offer(item)
             self.fill[taker] += gain
             self.fill[giver] -= gain
             gave.append(giver)
@@ -246,11 +290,13 @@ class Search:
 
 
 def local_search(bins: list[list[int]], sizes: Sequence[int], capacity: int) -> list[list[int]]:
-    """Empty bins by exchanges between a fuller and an emptier underfull bin, until a pass over all empties none or no
+    """Empty bins by exchanges between a fuller and an emptier underfull bin, until a pass over all makes none or no
     fewer bins can do. A piece only ever leaves for a bin at least as full, by an exchange that fills that one further,
     so the sum of squared fills grows with every step."""
     least = max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes))  # no two of these share a bin
-    while len(bins) > least:
+    gained = True
+    while gained and len(bins) > least:
+        gained = False
         search = Search(bins, sizes, capacity)
         fullest = [(-search.fill[k], k) for k in search.open]
         heapq.heapify(fullest)
@@ -262,14 +308,12 @@ def local_search(bins: list[list[int]], sizes: Sequence[int], capacity: int) ->
             for item in bins[taker]:
                 search.withdraw(item)
             for giver in search.fill_up(taker):
+                gained = True
                 if search.fill[giver]:
                     heapq.heappush(fullest, (-search.fill[giver], giver))
                 else:
                     search.open.discard(giver)
-        left = [b for b in bins if b]
-        if len(left) == len(bins):
-            break
-        bins = left
+        bins = [b for b in bins if b]
     return bins
 
 

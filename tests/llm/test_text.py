@@ -1,6 +1,7 @@
 """Language, quality, substrings, packing, benchmark, scoring and licences."""
 
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -262,6 +263,38 @@ def test_local_search_empties_bins_and_raises_squares():
     assert packing.best_fit([50, 50, 100, 1], 100) == [[2], [0, 1], [3]] and packing.best_fit([], 9) == []
 
 
+def helpful(taker, giver, sizes, slack):
+    """Whether a move of one or two pieces, or a swap of one or two for one or one for two, fills the taker further."""
+    groups = lambda b: [(), *((i,) for i in b), *combinations(b, 2)]
+    total = lambda items: sum(sizes[i] for i in items)
+    return any(
+        0 < total(come) - total(leave) <= slack
+        for leave in groups(taker)
+        for come in groups(giver)
+        if come and len(leave) + len(come) <= 3
+    )
+
+
+def test_local_search_sees_all_bins_and_goes_on_while_it_gains():
+    bins, sizes = [[0]] + [[i] for i in range(1, 10)] + [[10, 11, 12]], [60] + [50] * 9 + [25, 15, 19]
+    search = packing.Search([list(b) for b in bins], sizes, 100)
+    search.open.remove(0)
+    search.withdraw(0)
+    gain, leave, come, giver = search.best(0)  # the pair lies in none of the emptiest bins
+    assert (gain, leave, set(come), giver) == (40, (), {10, 11}, 10)
+    rng, ended = np.random.default_rng(7), 0
+    for _ in range(30):
+        sizes = rng.integers(20, 70, 60).tolist()
+        got = packing.local_search([[i] for i in range(len(sizes))], sizes, 100)
+        if len(got) <= max(-(-sum(sizes) // 100), sum(2 * s > 100 for s in sizes)):
+            continue
+        ended += 1
+        fill = [sum(sizes[i] for i in b) for b in got]
+        for t, g in combinations(sorted(range(len(got)), key=lambda k: -fill[k]), 2):
+            assert fill[t] == fill[g] or not helpful(got[t], got[g], sizes, 100 - fill[t])
+    assert ended
+
+
 # ---- benchmark
 
 
