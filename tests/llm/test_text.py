@@ -167,6 +167,15 @@ def test_op5_on_a_table(spark, sf_dir):
     assert rows(got, "doc_id", "text") == sorted(((i, t) for (i, _), t in zip(pairs, want, strict=True)), key=str)
 
 
+def test_substring_dedup_tells_texts_of_one_id_apart(spark):
+    said = " ".join(f"said{j}" for j in range(60))
+    texts = [f"{said} end72421", " ".join(f"new6345x{j}" for j in range(60))]
+    assert len({brute.xxhash_of(t) for t in texts}) == 1  # the low 31 bits of their hashes agree
+    got = substrings.dedup(docs_of(spark, [(1, said), (5, texts[0]), (5, texts[1])])).collect()
+    left = {r.text for r in got if r.doc_id == 5}
+    assert texts[1] in left and texts[0] not in left and len(left) == 2
+
+
 # ---- packing
 
 
