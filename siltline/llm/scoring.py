@@ -5,16 +5,18 @@ Both are bigram models over one vocabulary, trained on all rows: the target's ro
 same smoothing, and the background's counts brought to the target's total. The losses of a text are means per token,
 the score is target loss minus background loss: the lower, the more a text is like the target.
 
-Words are lower-case runs between white space. The vocabulary holds words with at least ``min_share`` of all tokens,
-all others are one unknown word; pairs with less than ``min_pair_share`` have no count of their own. A share bounds a
-list: at most 1 / share entries can have it, so the model sent to the executors is bounded (100,000 words and 500,000
-pairs), while what is counted, shuffled and summed grows with the corpus. Counts are combined in every task first.
+Words are lower-case runs between white space. Every word and every pair of words has its own count, however rare
+(:func:`score`). Only *how* a count is found depends on how common it is: words with at least ``min_share`` of all
+tokens and pairs with at least ``min_pair_share`` are listed in a broadcast model, at most 1 / share entries of each.
+All other pairs of all texts are dealt by a hash of their words, counted and given their loss where they meet, and the
+losses summed by text; without the listed ones, no key is hot. A model of listed entries alone, in which all other
+words are one unknown word and other pairs have no counts, is :func:`fit`.
 
     p(w)     = (c(w) + k q(w)) / (N + k)          q: the share in both together
     p(w | v) = (c(v w) + m p(w)) / (c(v) + m)     a text's first word follows a start mark
 
 Defined cases: a null or empty text has 0 tokens, losses and score 0; without any target rows, or without others, both
-models are the same and all scores are 0; every row counts, copies included; a null mark means "not target"; an empty
+models are the same and all scores are 0; every row counts, copies included (texts are known by 64 bits of a hash); a null mark means "not target"; an empty
 table gives no rows. Other columns are kept.
 """
 
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltline.llm.common import narrow, settle, slabs, table, word_hashes, word_spans
@@ -128,14 +130,20 @@ class Model:
 
 
 def build(
-    vocabulary: Vocabulary, words: np.ndarray, pairs: np.ndarray, counts: np.ndarray, *, k: float = 1.0, m: float = 20.0
+    vocabulary: Vocabulary, words: np.ndarray, pairs: np.ndarray, counts: np.ndarray, *, starts: np.ndarray | None = None,
+    k: float = 1.0, m: float = 20.0,
 ) -> Model:
-    """``words``: [2, words and unknown] counts; ``counts``: [2, pairs]. Target first, then the rest."""
+    """``words``: [2, words and unknown] counts; ``counts``: [2, pairs]; ``starts``: [2, 1] texts that start, if not
+    those of the listed pairs. Target first, then the rest."""
     words, counts = words.astype(np.float64), counts.astype(np.float64)
+    before, word = np.divmod(pairs, vocabulary.width)
+    if starts is None:
+        starts = counts[:, before == vocabulary.unknown + 1].sum(axis=1, keepdims=True)
     totals = words.sum(axis=1)
     if not totals.all():  # one side is empty: both models are that of all rows
         words = np.stack([words.sum(axis=0)] * 2)
         counts = np.stack([counts.sum(axis=0)] * 2)
+        starts = np.stack([starts.sum(axis=0)] * 2)
         totals = words.sum(axis=1)
     scale = np.array([1.0, totals[0] / max(totals[1], 1.0)])[:, None]
     words, counts = words * scale, counts * scale
@@ -145,17 +153,25 @@ def build(
     with np.errstate(divide="ignore"):
         word_loss = -np.log(p)
     word_loss[~np.isfinite(word_loss)] = 0.0  # a word that never occurs is never asked for
-    before, word = np.divmod(pairs, vocabulary.width)
-    context = np.concatenate([words, np.zeros((2, 1))], axis=1)
-    starts = before == vocabulary.unknown + 1
-    context[:, -1] = counts[:, starts].sum(axis=1)  # the start mark
+    context = np.concatenate([words, starts * scale], axis=1)  # and the start mark
     pair_loss = -np.log((counts + m * p[:, word]) / (context[:, before] + m)) if len(pairs) else counts
     return Model(vocabulary, pairs, pair_loss, word_loss, -np.log(m / (context + m)))
 
 
 def fit(docs: DataFrame, *, min_share: float = 1e-5, min_pair_share: float = 2e-6) -> Model:
-    """A model from ``text`` and ``target`` (boolean) of all rows."""
-    marked = docs.select("text", F.coalesce("target", F.lit(False)).alias("target")).where("text IS NOT NULL")
+    """A model of the listed words and pairs, from ``text`` and ``target`` (boolean) of all rows."""
+    return listed_model(marked_texts(docs), min_share, min_pair_share)[0]
+
+
+def marked_texts(docs: DataFrame) -> DataFrame:
+    return docs.select("text", F.coalesce("target", F.lit(False)).alias("target")).where("text IS NOT NULL")
+
+
+def listed_model(
+    marked: DataFrame, min_share: float, min_pair_share: float, whole: bool = False, **smoothing
+) -> tuple[Model, list[int]]:
+    """The model and the tokens of target and rest. If ``whole``, unlisted words have counts elsewhere: no pair with
+    one is listed, and all texts count as starts."""
     words = counted(marked, hashed_words).persist()
     try:
         totals = words.agg(F.sum("t"), F.sum("b")).first()
@@ -166,15 +182,27 @@ def fit(docs: DataFrame, *, min_share: float = 1e-5, min_pair_share: float = 2e-
     vocabulary = Vocabulary(listed["key"].to_numpy())
     known = np.stack([listed["t"].to_numpy(), listed["b"].to_numpy()])
     rest = np.array([[(t or 0)] for t in totals]) - known.sum(axis=1, keepdims=True)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    pairs = counted(marked, lambda text: shared.value.pairs(text))
+    shared = marked.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def keys_of(text: str | None) -> Iterator[np.ndarray]:
+        for keys in shared.value.pairs(text):
+            before, word = np.divmod(keys, shared.value.width)
+            yield keys[(before != shared.value.unknown) & (word != shared.value.unknown)] if whole else keys
+
+    pairs, starts = counted(marked, keys_of), None
+    if whole:
+        begun = marked.where(r"text RLIKE '[^\\t-\\r ]'").groupBy("target").count().collect()
+        starts = np.array([[sum(r["count"] for r in begun if r["target"] == side)] for side in (True, False)], float)
     frequent = pairs.where(f"t + b >= {min_pair_share * n!r}").toArrow().sort_by("key")
-    return build(
+    model = build(
         vocabulary,
         np.concatenate([known, rest], axis=1),
         frequent["key"].to_numpy(),
         np.stack([frequent["t"].to_numpy(), frequent["b"].to_numpy()]),
+        starts=starts,
+        **smoothing,
     )
+    return model, [x or 0 for x in totals]
 
 
 def with_losses(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
@@ -191,9 +219,116 @@ def with_losses(docs: DataFrame, model: Model, *, text: str = "text") -> DataFra
     return scored.withColumns(out | {"score": F.expr("__loss.target_loss - __loss.background_loss")}).drop("__loss")
 
 
+def coded(model: Model, text: str | None) -> Iterator[tuple[np.ndarray, ...]]:
+    """In parts, of each token: the number of its pair in the model or -1, the codes of its word and of the one before
+    it. The code of a listed word is its id, that of another its hash."""
+    vocabulary = model.vocabulary
+    last_id = last_code = vocabulary.unknown + 1
+    for hashes in hashed_words(text):
+        ids = vocabulary.ids(hashes)
+        codes = np.where(ids == vocabulary.unknown, hashes, ids)
+        keys = np.r_[last_id, ids[:-1]] * vocabulary.width + ids
+        place = np.full(len(keys), -1)
+        if len(model.pairs):
+            near = np.minimum(np.searchsorted(model.pairs, keys), len(model.pairs) - 1)
+            place = np.where(model.pairs[near] == keys, near, -1)
+        yield place, codes, np.r_[last_code, codes[:-1]]
+        last_id, last_code = ids[-1], codes[-1]
+
+
+def unlisted_losses(docs: DataFrame, shared, totals: list[int], k: float, m: float) -> DataFrame:
+    """``doc, l0, l1, n``: the losses of all unlisted pairs of a text and their number, over all copies of the text.
+
+    The loss of a pair is log(c(v) + m) - log(c(v w) + m p(w)). The second term needs the counts of the pair and of
+    its word, so pairs meet by word, or by pair if the word is a listed one. The first is added where ``v`` is counted:
+    here for unlisted words, once for each time that they occur and are not a text's last; elsewhere for listed ones.
+    """
+    spark = docs.sparkSession
+    known = len(shared.value.vocabulary.hashes)
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            held, size = [], 0
+            for doc, text, target in zip(frame["doc"], frame["text"], frame["target"], strict=True):
+                parts = list(coded(shared.value, text))
+                for nth, (place, word, before) in enumerate(parts):
+                    last = np.zeros(len(word), np.int32)
+                    last[-1] = nth == len(parts) - 1
+                    cold = place < 0
+                    word, before = word[cold], before[cold]
+                    listed = (word >= 0) & (word < known)
+                    by_pair, by_word = np.where(listed, before, 0), np.where(listed, 0, before)
+                    held.append((np.full(len(word), doc), last[cold] << 1 | int(target), word, by_pair, by_word))
+                    size += len(word)
+                if size >= 1 << 17:
+                    yield frame_of(held)
+                    held, size = [], 0
+            if held:
+                yield frame_of(held)
+
+    def frame_of(held: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+        return pd.DataFrame(dict(zip(("doc", "mark", "w", "part", "v"), map(np.concatenate, zip(*held)), strict=True)))
+
+    dealt = docs.mapInPandas(rows, "doc long, mark int, w long, part long, v long").repartition("w", "part")
+    pair, word = Window.partitionBy("w", "part", "v"), Window.partitionBy("w", "part")
+    target = F.expr("mark & 1")
+    met = dealt.withColumns({"t2": F.sum(target).over(pair), "n2": F.count("*").over(pair)})
+    met = met.withColumns({"t1": F.sum(target).over(word), "n1": F.count("*").over(word)})
+    table_of = pd.DataFrame({"w": np.arange(known), "g0": shared.value.word_loss[0][:known], "g1": shared.value.word_loss[1][:known]})
+    given = spark.createDataFrame(table_of, "w long, g0 double, g1 double")
+    one_side = not all(totals)  # then both models are that of all rows
+    mass = max(float(sum(totals) if one_side else totals[0]), 1.0)
+    scale = 1.0 if one_side else totals[0] / totals[1]
+    for n in (1, 2):
+        sides = (f"n{n}", f"n{n}") if one_side else (f"t{n}", f"(n{n} - t{n}) * {scale!r}D")
+        met = met.withColumns({f"c{n}{side}": F.expr(f"CAST({e} AS double)") for side, e in enumerate(sides)})
+    met = met.join(F.broadcast(given), "w", "left")
+    for side in (0, 1):
+        own = f"(c1{side} + {k!r}D * (c10 + c11) / 2) / ({mass * (1 + k)!r}D)"
+        p = f"if(g{side} IS NULL, {own}, exp(-g{side}))"
+        context = f"if(g{side} IS NULL AND mark < 2, ln(c1{side} + {m!r}D), 0D)"
+        met = met.withColumn(f"l{side}", F.expr(f"{context} - ln(c2{side} + {m!r}D * {p})"))
+    return met.groupBy("doc").agg(F.sum("l0").alias("l0"), F.sum("l1").alias("l1"), F.count("*").alias("n"))
+
+
+def score(
+    docs: DataFrame, *, text: str = "text", min_share: float = 1e-5, min_pair_share: float = 2e-6, k: float = 1.0, m: float = 20.0
+) -> DataFrame:
+    """``docs`` with ``n_tokens, target_loss, background_loss, score`` by models with every word and pair of ``docs``,
+    which have a column ``target``. The shares bound what is broadcast and change no result."""
+    marked = docs.select(F.col(text).alias("text"), "target").transform(marked_texts)
+    model, totals = listed_model(marked, min_share, min_pair_share, whole=True, k=k, m=m)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sums = settle(unlisted_losses(marked.withColumn("doc", F.xxhash64("text")), shared, totals, k, m))
+    context = model.back_loss + np.log(m)
+    context[:, model.vocabulary.unknown] = 0.0  # added where the word is counted
+    contexts = docs.sparkSession.sparkContext.broadcast(context)
+
+    @F.pandas_udf("tokens long, l0 double, l1 double, n long")
+    def listed(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for value in texts:
+            tokens, cold, total = 0, 0, np.zeros(2)
+            for place, _, before in coded(shared.value, value):
+                rare = place < 0
+                inside = (before >= 0) & (before < contexts.value.shape[1])
+                at = np.where(inside, before, shared.value.vocabulary.unknown)[rare]
+                total += shared.value.pair_loss[:, place[~rare]].sum(axis=1) + contexts.value[:, at].sum(axis=1)
+                tokens, cold = tokens + len(place), cold + int(rare.sum())
+            out.append((tokens, *total, cold))
+        return pd.DataFrame(out, columns=["tokens", "l0", "l1", "n"])
+
+    met = docs.withColumns({"__doc": F.xxhash64(text), "__listed": listed(F.col(text))})
+    sums = sums.selectExpr("doc AS __doc", "struct(l0, l1, n) AS __rest")
+    met = met.join(sums, "__doc", "left")
+    mean = "(__listed.l{0} + coalesce(__rest.l{0} * __listed.n / __rest.n, 0D)) / greatest(__listed.tokens, 1L)"
+    met = met.withColumns({"n_tokens": F.expr("__listed.tokens"), "target_loss": F.expr(mean.format(0)), "background_loss": F.expr(mean.format(1))})
+    return met.withColumn("score", F.expr("target_loss - background_loss")).drop("__doc", "__listed", "__rest")
+
+
 def op9_lm_scoring(spark, sf_dir) -> DataFrame:
     """Target: documents labelled as good. Background: all others."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
     good = narrow(settle(good.withColumn("target", F.lit(True))))
-    return with_losses(docs, fit(docs.join(good, "doc_id", "left"))).drop("text")
+    return score(docs.join(good, "doc_id", "left")).drop("text", "target")

@@ -357,6 +357,21 @@ def test_scores_match_brute_force(spark, shares):
     assert scoring.with_losses(empty, scoring.fit(empty)).collect() == []
 
 
+@pytest.mark.parametrize("shares", [(1e-5, 2e-6), (0.02, 0.01), (2.0, 2.0)])
+def test_every_word_and_pair_counts_whatever_is_listed(spark, shares):
+    rng = np.random.default_rng(8)
+    words = [f"w{min(int(x), 300)}" for x in rng.zipf(1.5, 2400)]
+    texts = [(" ".join(words[i * 40 : i * 40 + 40]) + (f" rare{i} end" if i % 2 else f" end rare{i}"), i % 3 == 0) for i in range(60)]
+    texts += [(None, True), ("", False), ("W1\tw2", None), (" x ", True), texts[0], (texts[1][0], True)]
+    for chosen in (texts, [(t, False) for t, _ in texts]):
+        df = spark.createDataFrame([(i, t, m) for i, (t, m) in enumerate(chosen)], "doc_id long, text string, target boolean")
+        got = scoring.score(df, min_share=shares[0], min_pair_share=shares[1]).orderBy("doc_id").collect()
+        want = brute.bigram_scores(chosen, min_share=0, min_pair_share=0)
+        assert [r.n_tokens for r in got] == [w[0] for w in want]
+        assert np.allclose([(r.target_loss, r.background_loss) for r in got], [w[1:] for w in want], rtol=1e-9)
+    assert scoring.score(df.limit(0)).collect() == []
+
+
 def test_word_hashes_tell_words_apart():
     text = "aa a aaa ab ba aa \x00 b aa".encode() + b" \n\t end"
     data = np.frombuffer(text, np.uint8)
