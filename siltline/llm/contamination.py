@@ -1,7 +1,7 @@
-"""Operator 10, benchmark decontamination: size-partitioned MinHash containment search, verified exactly.
+"""Operator 10, benchmark decontamination: MinHash containment search, verified exactly.
 
-Test items are partitioned by their number of shingles. Each partition has its own signature length: the k smallest
-hashes of an item's shingles, all of them for short items and ``signature`` for longer ones. A document holds a share c
+One signature length serves items of all sizes: the ``signature`` smallest hashes of an item's shingles, or all of them
+if it has fewer. Only the width of the shingles sets items apart. A document holds a share c
 of an item's shingles if and only if it holds about the share c of its signature, whatever the document's own size, so
 signatures are looked up among the hashed shingles of whole documents (a signature of the *document* would have to
 grow with it to see a short item at all). A pair with at least a quarter of the signature is a candidate: at a
