@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltline.sources.workspace import shared_folder
+from siltline.sources.workspace import scratch, shared_folder
 
 BROADCAST_ROWS = 200_000
 SPACE = bytes(range(9, 14)) + b" "
@@ -26,6 +26,19 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet into a new folder that all executors share, read back, and the folder."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by :func:`stored`, once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def narrow(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, of short rows, marked for broadcasting if a count finds at most ``rows``; otherwise joins shuffle it."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

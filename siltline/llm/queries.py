@@ -1,5 +1,6 @@
 """The queries of this subpackage by name, and their SQL where SQL can express them."""
 
+from siltline.llm.centroids import OP11_SQL, op11_centroid_clustering
 from siltline.llm.contamination import OP10_SQL, op10_benchmark_decontamination
 from siltline.llm.embeddings import OP6_SQL, op6_embedding_near_dedup
 from siltline.llm.language import op1_language_id
@@ -24,6 +25,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_lm_scoring,
         op10_benchmark_decontamination,
+        op11_centroid_clustering,
     )
 }
 
@@ -31,4 +33,5 @@ ORACLE_SQL = {
     "op3_license_scan": OP3_SQL,
     "op6_embedding_near_dedup": OP6_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
+    "op11_centroid_clustering": OP11_SQL,
 }
