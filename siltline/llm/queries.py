@@ -2,6 +2,7 @@
 
 from siltline.llm.centroids import OP11_SQL, op11_centroid_clustering
 from siltline.llm.contamination import OP10_SQL, op10_benchmark_decontamination
+from siltline.llm.conversations import op12_conversation_repair
 from siltline.llm.embeddings import OP6_SQL, op6_embedding_near_dedup
 from siltline.llm.language import op1_language_id
 from siltline.llm.licenses import OP3_SQL, op3_license_scan
@@ -26,6 +27,7 @@ QUERIES = {
         op9_lm_scoring,
         op10_benchmark_decontamination,
         op11_centroid_clustering,
+        op12_conversation_repair,
     )
 }
 

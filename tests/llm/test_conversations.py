@@ -1,0 +1,196 @@
+"""Conversation repair against every possible edit script, and against a plain recursion over (cost, audit)."""
+
+import random
+import re
+import zlib
+from functools import cache
+from hashlib import sha256
+from itertools import product
+
+import pytest
+
+from siltline.llm import conversations as cv
+from siltline.llm.common import table
+
+SCHEMA = "conv_id long, turn long, role string, text string, copies int, conv_key string, digest long, segment string"
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def faults(rows):
+    """Initial and fault of (turn, role, text) rows in order."""
+    out, seen = [], set()
+    for _, role, text in rows:
+        bare = text.strip(SPACE)
+        kind = "b" if not bare else "d" if (role, text) in seen else "t" if bare[-1] not in ".!?" else ""
+        seen.add((role, text))
+        out.append((role[:1] or " ", kind))
+    return out
+
+
+def every_script(marked):
+    """The least (cost, audit) by trying all scripts with up to two inserts at every place."""
+    best = None
+    for letters in product(*["D" if kind in ("b", "d") and kind else "KRD" for _, kind in marked]):
+        for gaps in product(range(3), repeat=len(marked) + 1):
+            for spoken in product("ua", repeat=sum(gaps) + letters.count("R")):
+                said, roles, audit, cost = list(spoken), "", "", 2 * sum(gaps)
+                for (initial, kind), letter, n in zip(marked, letters, gaps, strict=False):
+                    for _ in range(n):
+                        roles += said.pop(0)
+                    audit += "I" * n + letter
+                    roles += {"K": initial, "R": said.pop(0) if letter == "R" else "", "D": ""}[letter]
+                    cost += {"K": 0, "R": 2, "D": 3}[letter] + (kind == "t" and letter != "D")
+                roles += "".join(said)
+                audit += "I" * gaps[-1]
+                if re.fullmatch("(s?(ua)+)?", roles) and (best is None or (cost, audit) < best):
+                    best = (cost, audit)
+    return best
+
+
+def plain(marked):
+    """The same by recursion over places and states; strings are compared as strings."""
+    after = {"": "su", "s": "u", "u": "a", "a": "u"}
+
+    @cache
+    def least(i, state, inserted):
+        ways = []
+        if i == len(marked) and state in ("", "a"):
+            ways.append((0, ""))
+        if inserted < 2:
+            cost, audit = least(i, after[state][-1], inserted + 1)
+            ways.append((cost + 2, "I" + audit))
+        if i < len(marked):
+            initial, kind = marked[i]
+            cost, audit = least(i + 1, state, 0)
+            ways.append((cost + 3, "D" + audit))
+            if kind not in ("b", "d"):
+                extra = kind == "t"
+                cost, audit = least(i + 1, after[state][-1], 0)
+                ways.append((cost + 2 + extra, "R" + audit))
+                if initial in after[state]:
+                    cost, audit = least(i + 1, initial, 0)
+                    ways.append((cost + extra, "K" + audit))
+        return min(ways, default=(10**9, ""))
+
+    return least(0, "", 0)
+
+
+def messages(rows, audit):
+    out, rows, last = [], list(rows), "a"
+    for letter in audit:
+        if letter == "I":
+            role, text = "user" if last in "as" else "assistant", ""
+        else:
+            _, role, text = rows.pop(0)
+            if letter == "D":
+                continue
+            if letter == "R":
+                role = "user" if last in "as" else "assistant"
+        out.append((role, text))
+        last = role[0]
+    return out
+
+
+def expected(rows):
+    """The report on (conv_id, turn, role, text, copies) rows."""
+    groups = {}
+    for conv, turn, role, text, copies in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        groups.setdefault(conv, []).extend([(turn, role, text)] * copies)
+    out = []
+    for conv, group in groups.items():
+        group.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], cv_digest(r[2])))
+        marked = faults(group)
+        cost, audit = plain(tuple(marked))
+        turns = {t for t, _, _ in group if t is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        illegal = sum(a + b not in ("su", "ua", "au") for (a, _), (b, _) in zip(marked, marked[1:], strict=False))
+        digest = sha256("\n".join(f"{r}:{t}" for r, t in messages(group, audit)).encode()).hexdigest()
+        count = [k for _, k in marked].count
+        out.append((conv, gaps, count("b"), count("d"), count("t"), illegal, cost, audit, digest))
+    return sorted(out, key=str)
+
+
+def cv_digest(text):
+    import hashlib
+
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def reported(spark, rows, **options):
+    df = spark.createDataFrame([(*r, "x", 5, "y") for r in rows], SCHEMA)
+    got = cv.report(cv.repair(df, copies="copies", **options))
+    columns = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    return sorted((tuple(r) for r in got.select(*columns).collect()), key=str)
+
+
+def test_least_weight_is_the_best_of_all_scripts():
+    kinds = [(i, k) for i in "sua " for k in ("", "b", "t")]
+    number = {"": cv.SOUND, "b": cv.BLANK, "d": cv.DUPLICATE, "t": cv.TRUNCATED}
+    cases = [c for n in range(3) for c in product(kinds, repeat=n)]
+    cases += [tuple(random.Random(i).choices([(a, b) for a in "sua" for b in ("", "", "t", "d")], k=3)) for i in range(25)]
+    for case in cases:
+        w, best = cv.solve([(i, number[k]) for i, k in case])
+        got = (w.cost(best[cv.START]), w.audit(best[cv.START]))
+        assert got == every_script(case) == plain(case), case
+
+
+@pytest.mark.parametrize("segment_rows, partitions", [(1024, 1), (2, 3), (3, 7)])
+def test_conversations_in_pieces(spark, segment_rows, partitions, monkeypatch):
+    rng = random.Random(segment_rows)
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", None, ""]
+    texts = ["Yes.", "No!", "Why?", "cut off", "  \t", None, "Ends. \n", "a", "b.", "c?"]
+    rows = []
+    for conv in range(30):
+        for turn in range(rng.choice([1, 2, 5, 9])):
+            t = None if rng.random() < 0.05 else turn * rng.choice([1, 1, 1, 2])
+            rows.append((conv, t, rng.choice(roles), rng.choice(texts) if rng.random() < 0.6 else f"t{turn}.", rng.choice([0, 1, 1, 1, 2])))
+    rows += [(77, t, "user" if t % 2 else "assistant", f"{t} done." if t % 5 else "same.", 1 + (t % 11 == 0)) for t in range(40)]
+    rows += [(78, 4, "user", "again.", 1)] * 30  # one row holds many copies
+    rows += [(None, 1, "user", "Hi.", 1), (None, 2, "assistant", "Hi.", 1), (90, 3, "user", "gone.", 0)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(cv, "segments", _small_batches(cv.segments))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = reported(spark, rows, segment_rows=segment_rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == expected(rows)
+
+
+def _small_batches(segments):
+    return lambda frames, limit, columns: segments(frames, limit, columns, batch_chars=150)
+
+
+def test_segments_hold_the_repaired_messages(spark):
+    rows = [(1, 0, "assistant", "Hello.", 1), (1, 1, "assistant", "Well", 1), (1, 2, "user", "Bye.", 1)]
+    df = spark.createDataFrame([(*r, "x", 5, "y") for r in rows], SCHEMA)
+    parts = cv.repair(df, segment_rows=1).orderBy("segment").collect()
+    assert [p.segment for p in parts] == [0, 1, 2]
+    assert [m.role for p in parts for m in p.messages] == ["user", "assistant", "user", "assistant"][: sum(len(p.messages) for p in parts)]
+    assert "".join(p.audit for p in parts) == plain(tuple(faults([r[1:4] for r in rows])))[1]
+    assert sum(p.cost for p in parts) == plain(tuple(faults([r[1:4] for r in rows])))[0]
+
+
+def test_turns_of_any_size(spark):
+    big = 2**62 + 1
+    rows = [(1, -big, "user", "a.", 1), (1, big, "assistant", "b.", 1), (2, big, "user", "a.", 1), (2, big + 1, "assistant", "b.", 1)]
+    got = reported(spark, rows)
+    assert [(r[0], r[1], r[7]) for r in got] == [(1, 0, "KK"), (2, 0, "KK")]  # a gap beyond a long counts as none
+
+
+def test_no_rows(spark):
+    assert reported(spark, []) == []
+
+
+def test_query_on_all_conversations(spark, sf_dir):
+    source = table(spark, sf_dir, "conversations").collect()
+    rows = []
+    for r in source:
+        code = zlib.crc32(f"{r.conv_id}:{r.turn}".encode()) % 20
+        text = "" if code == 1 else re.sub("[.!?]", "", r.text) if code == 2 else r.text
+        rows.append((r.conv_id, r.turn, "user" if code == 4 else r.role, text, {0: 0, 3: 2}.get(code, 1)))
+    got = sorted((tuple(r) for r in cv.op12_conversation_repair(spark, sf_dir).collect()), key=str)
+    assert got == expected(rows)
