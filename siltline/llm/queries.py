@@ -12,6 +12,7 @@ from siltline.llm.scoring import op9_lm_scoring
 from siltline.llm.sharding import op2_sharding
 from siltline.llm.simhash import op8_simhash_near_dedup
 from siltline.llm.substrings import op5_substring_dedup
+from siltline.llm.toxicity import op13_toxicity
 
 QUERIES = {
     f.__name__: f
@@ -28,6 +29,7 @@ QUERIES = {
         op10_benchmark_decontamination,
         op11_centroid_clustering,
         op12_conversation_repair,
+        op13_toxicity,
     )
 }
 
