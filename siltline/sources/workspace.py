@@ -23,8 +23,60 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``, on any file system Spark reads; none if it does not exist."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [name for name, is_folder in _entries(spark, path) if is_folder]
+
+
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``; none if it does not exist."""
+    return [name for name, is_folder in _entries(spark, path) if not is_folder]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text, read by the driver."""
+    files, file = _located(spark, path)
+    stream = files.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make a small file appear whole, or fail with ``FileExistsError`` if there is one of that name.
+
+    It is written under a hidden name and renamed, which never replaces a file. Readers see all of it or nothing.
+    """
+    folder, _, name = path.rpartition("/")
+    files, hidden = _located(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
+    stream = files.create(hidden, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    _, file = _located(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(hidden), files.makeQualified(file), no_options)
+    except Exception as error:
+        files.delete(hidden, False)
+        if "FileAlreadyExistsException" in str(error):
+            raise FileExistsError(f"{path} exists") from error
+        raise
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it, if it exists."""
+    files, folder = _located(spark, path)
+    files.delete(folder, True)
+
+
+def _located(spark: SparkSession, path: str):
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()), file
+
+
+def _entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    files, folder = _located(spark, path)
     if not files.exists(folder):
         return []
-    return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory())
+    return sorted((f.getPath().getName(), f.isDirectory()) for f in files.listStatus(folder))

@@ -1,10 +1,8 @@
 """Run entities as streaming queries: two feeds in, one keyed target out."""
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siltline.functions.columns import quoted, text
@@ -12,7 +10,7 @@ from siltline.operators.conform import change_events
 from siltline.operators.state import BUCKET, EVENTS
 from siltline.plans.spec import EntitySpec
 from siltline.sources.feeds import FeedNames, table_feed
-from siltline.streaming.target import KeyedTable
+from siltline.streaming.target import COUNTS, KeyedTable
 
 
 def upsert_stream(
@@ -108,27 +106,20 @@ def run(
         except Exception as error:  # noqa: BLE001 - reported below, once every entity has finished
             failures.append((spec.name, error))
 
-    parts = []
+    counts = []
     for spec, table, _ in running:
-        if table.layout().held_by:
+        layout = table.layout()  # one small file, however many commits there were
+        if layout.held_by:
             if schema:
                 publish(table, f"{schema}.{spec.target}")
             else:
                 table.read().createOrReplaceTempView(spec.target)
-        totals = table.commits().selectExpr(
-            f"{text(spec.target)} AS target", "events", "rejected", "inserted", "updated"
-        )
-        parts.append(totals)
+        if layout.version:
+            counts.append((spec.target, layout.rows, *(layout.totals[c] for c in (*COUNTS, "commits"))))
     if failures:
         names = ", ".join(name for name, _ in failures)
         raise RuntimeError(f"entities failed: {names}") from failures[0][1]
-    every = reduce(DataFrame.unionByName, parts).groupBy("target")
-    # rows are never removed, so the live rows are all inserts so far
-    return every.agg(
-        F.sum("inserted").alias("rows"),
-        *[F.sum(n).alias(n) for n in ("events", "rejected", "inserted", "updated")],
-        F.count(F.lit(1)).alias("commits"),
-    )
+    return spark.createDataFrame(counts, f"target string, rows bigint, {', '.join(f'{c} bigint' for c in COUNTS)}, commits bigint")
 
 
 def publish(table: KeyedTable, name: str) -> None:
@@ -149,5 +140,9 @@ def publish(table: KeyedTable, name: str) -> None:
         spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {added}")
     names = ", ".join(quoted(f.name) for f in columns)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {names} FROM {files}")
-    for old in table.versions()[:-2]:  # the last but one stays for readers that have just resolved the view
-        spark.sql(f"DROP TABLE IF EXISTS {name}_v{old}")
+    # the last but one stays for readers that have just resolved the view; older ones are few, whatever the version is
+    schema, _, bare = name.rpartition(".")
+    listed = spark.sql(f"SHOW TABLES IN {schema} LIKE {text(f'{bare}_v*')}" if schema else f"SHOW TABLES LIKE {text(f'{bare}_v*')}")
+    tables = [r.tableName for r in listed.collect() if r.tableName.removeprefix(f"{bare}_v".lower()).isdigit()]
+    for old in sorted(tables, key=lambda t: int(t.rpartition("_v")[2]))[:-2]:
+        spark.sql(f"DROP TABLE IF EXISTS {f'{schema}.' if schema else ''}{old}")

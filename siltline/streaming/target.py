@@ -2,18 +2,21 @@
 
 Layout below ``root``:
 
-    data/version=V/silt_kind=state/silt_bucket=B/      state rows of bucket B as of version V
-    data/version=V/silt_kind=<change type>/...         the row images that this commit's change feed consists of
-    manifest/version=V/                                one row: which version holds each live bucket, schema, counts
-    rejects/version=V/                                 events of that commit that had no sequence
-
-A commit rewrites only the buckets it touches and becomes visible when its one-file manifest does, which is never
-overwritten. A commit that dies half-way leaves no manifest, so the next attempt overwrites the same version. Each
-commit records the last epoch of its writer, so a replayed micro-batch is recognised and skipped. One writer per target
-at a time: of two that race for a version, one fails.
+    data/attempt=A/silt_kind=state/silt_bucket=B/      state rows of bucket B as attempt A wrote them
+    data/attempt=A/silt_kind=<change type>/...         the row images that this commit's change feed consists of
+    rejects/attempt=A/                                 events of that commit that had no sequence
+    manifest/<version>.json                            the attempt that became this version, which attempt holds each
+                                                       live bucket, schema, counts and running totals
+
+A commit rewrites only the buckets it touches, in folders named by an id of its own, so it can neither overwrite nor be
+taken for another. It becomes visible when its manifest does, which appears whole and never replaces one: a version is a
+finished manifest, whatever else a writer that died may have left. Of two writers that race for a version one fails, and
+the other's data stay as they are. Each commit records the last epoch of its writer, so a replayed micro-batch is
+recognised and skipped.
 """
 
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from copy import copy
 from dataclasses import dataclass, field
@@ -22,7 +25,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from siltline.functions import columns as fx
 from siltline.operators.changes import CHANGE_TYPE, COMMIT_TIME, COMMIT_VERSION
@@ -34,21 +37,29 @@ from siltline.operators.upsert import (
     is_internal,
     split_rejects,
 )
-from siltline.sources.workspace import subfolders
+from siltline.sources.workspace import files_in, publish_text, read_text, remove, subfolders
 
-MANIFEST = """version int, committed_at timestamp, events bigint, rejected bigint, inserted bigint, updated bigint,
-    rows bigint, bucket_count int, held_by map<int,int>, epochs map<string,bigint>, row_schema string"""
+COUNTS = ("events", "rejected", "inserted", "updated")
+MANIFEST = f"""version int, attempt string, committed_at timestamp, {", ".join(f"{c} bigint" for c in COUNTS)}, rows bigint,
+    bucket_count int, held_by map<string,string>, epochs map<string,bigint>, row_schema string,
+    totals struct<commits:bigint,{",".join(f"{c}:bigint" for c in COUNTS)}>"""
 
 
 @dataclass(frozen=True)
 class Layout:
-    """The newest commit: which version holds each live bucket, the row schema and each writer's last epoch."""
+    """The newest commit: which attempt holds each live bucket, the row schema, each writer's last epoch, and what all
+    commits up to now add up to."""
 
     version: int = 0
     rows: int = 0
-    held_by: dict[int, int] = field(default_factory=dict)
+    held_by: dict[int, str] = field(default_factory=dict)
     epochs: dict[str, int] = field(default_factory=dict)
     schema: StructType | None = None
+    totals: dict[str, int] = field(default_factory=lambda: dict.fromkeys(("commits", *COUNTS), 0))
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer has published the version that this one was to become; merge again."""
 
 
 class KeyedTable:
@@ -91,33 +102,39 @@ class KeyedTable:
     # ---- reading
 
     def versions(self) -> list[int]:
-        """The committed versions, from the names of their folders."""
-        return sorted(int(n.partition("=")[2]) for n in subfolders(self.spark, f"{self.root}/manifest") if "=" in n)
+        """The committed versions, from the names of the finished manifests."""
+        names = files_in(self.spark, f"{self.root}/manifest")
+        return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
+
+    def _manifest(self, version: int) -> str:
+        return f"{self.root}/manifest/{version:012d}.json"
 
     def _manifests(self, versions: Sequence[int]) -> DataFrame:
         if not versions:
             return self.spark.createDataFrame([], MANIFEST)
-        base = f"{self.root}/manifest"
-        reader = self.spark.read.schema(MANIFEST).option("basePath", base)
-        return reader.parquet(*[f"{base}/version={v}" for v in versions])
+        reader = self.spark.read.schema(MANIFEST).option("mode", "FAILFAST")
+        return reader.json([self._manifest(v) for v in versions])
 
     def commits(self) -> DataFrame:
         """One row per commit, with its counts. Empty before the first one."""
         return self._manifests(self.versions())
 
     def layout(self) -> Layout:
-        newest = self._manifests(self.versions()[-1:]).first()
-        if newest is None:
+        """What the newest manifest says; it alone is read, by the driver. One that cannot be read is an error."""
+        versions = self.versions()
+        if not versions:
             return Layout()
-        if newest.bucket_count != self.buckets:
-            raise ValueError(f"{self.root} has {newest.bucket_count} buckets, not {self.buckets}")
-        schema = StructType.fromJson(json.loads(newest.row_schema)) if newest.row_schema else None
-        return Layout(newest.version, newest.rows, newest.held_by, newest.epochs, schema)
+        newest = json.loads(read_text(self.spark, self._manifest(versions[-1])))
+        if newest["bucket_count"] != self.buckets:
+            raise ValueError(f"{self.root} has {newest['bucket_count']} buckets, not {self.buckets}")
+        schema = StructType.fromJson(json.loads(newest["row_schema"])) if newest["row_schema"] else None
+        held_by = {int(b): attempt for b, attempt in newest["held_by"].items()}
+        return Layout(newest["version"], newest["rows"], held_by, newest["epochs"], schema, newest["totals"])
 
     def bucket_paths(self, layout: Layout | None = None) -> dict[int, str]:
         """Where each live bucket lies."""
         held_by = (layout or self.layout()).held_by
-        return {b: f"{self.root}/data/version={v}/{KIND}={STATE}/{BUCKET}={b}" for b, v in sorted(held_by.items())}
+        return {b: f"{self.root}/data/attempt={a}/{KIND}={STATE}/{BUCKET}={b}" for b, a in sorted(held_by.items())}
 
     def _rows(self, layout: Layout, only: Sequence[int] | None = None) -> DataFrame | None:
         """State rows of all or some live buckets; no file of any other bucket is listed or read."""
@@ -137,24 +154,27 @@ class KeyedTable:
         if layout.schema is None:
             raise ValueError(f"{self.root} has no rows yet")
         versions = [v for v in self.versions() if v >= since and (until is None or v <= until)]
+        commits = self._manifests(versions).where("inserted + updated > 0")
+        commits = commits.select("version", "attempt", "committed_at").collect()  # one short row per commit asked for
         data = f"{self.root}/data"
         paths = [
-            f"{data}/version={v}/{kind}"
-            for v in versions
-            for kind in subfolders(self.spark, f"{data}/version={v}")
+            f"{data}/attempt={c.attempt}/{kind}"
+            for c in commits
+            for kind in subfolders(self.spark, f"{data}/attempt={c.attempt}")
             if kind.startswith(f"{KIND}=") and kind != f"{KIND}={STATE}"
         ]
         fields = [f for f in layout.schema if f.name != EVENTS]
         if paths:
             rows = self.spark.read.schema(StructType(fields)).option("basePath", data).parquet(*paths)
         else:
-            rows = self.spark.createDataFrame([], StructType(fields)).selectExpr("*", "0 AS version", f"'' AS {KIND}")
+            rows = self.spark.createDataFrame([], StructType(fields)).selectExpr("*", "'' AS attempt", f"'' AS {KIND}")
         names = [fx.quoted(f.name) for f in fields]
-        rows = rows.selectExpr(*names, f"{KIND} AS {CHANGE_TYPE}", f"cast(version AS bigint) AS {COMMIT_VERSION}")
-        times = self._manifests(versions).selectExpr(
-            f"cast(version AS bigint) AS {COMMIT_VERSION}", f"committed_at AS {COMMIT_TIME}"
+        rows = rows.selectExpr(*names, f"{KIND} AS {CHANGE_TYPE}", "attempt AS __attempt")
+        times = self.spark.createDataFrame(
+            [(c.attempt, c.version, c.committed_at) for c in commits],
+            f"__attempt string, {COMMIT_VERSION} bigint, {COMMIT_TIME} timestamp",
         )
-        return rows.join(times, COMMIT_VERSION)
+        return rows.join(F.broadcast(times), "__attempt").drop("__attempt")
 
     def follow(
         self, handle: Callable[[DataFrame, int], None], checkpoint: str, *, trigger: Mapping | None = None
@@ -164,7 +184,7 @@ class KeyedTable:
         The stream reads the manifests, so files of a commit that died are never seen. A restart repeats at most the
         versions of one batch; ``handle`` should therefore be idempotent by version, as with any ``foreachBatch``.
         """
-        manifests = self.spark.readStream.schema(MANIFEST).parquet(f"{self.root}/manifest")
+        manifests = self.spark.readStream.schema(MANIFEST).json(f"{self.root}/manifest")
 
         def deliver(batch: DataFrame, _: int) -> None:
             table = self.using(batch.sparkSession)
@@ -175,15 +195,17 @@ class KeyedTable:
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
     def rejects(self) -> DataFrame:
-        """All rejected events of published commits, as the commits wrote them."""
-        rejecting = [r.version for r in self.commits().where("rejected > 0").select("version").collect()]
+        """All rejected events of published commits, as the commits wrote them, with the ``version`` of each."""
+        rejecting = self.commits().where("rejected > 0").select("attempt", "version").collect()
         if rejecting:
             base = f"{self.root}/rejects"
             reader = self.spark.read.option("mergeSchema", "true").option("basePath", base)
-            return reader.parquet(*[f"{base}/version={v}" for v in sorted(rejecting)])
+            rows = reader.parquet(*[f"{base}/attempt={r.attempt}" for r in rejecting])
+            commits = self.spark.createDataFrame([tuple(r) for r in rejecting], "attempt string, version int")
+            return rows.join(F.broadcast(commits), "attempt").drop("attempt")
         schema = self.layout().schema
         fields = [f for f in schema if f.name != EVENTS] if schema else []
-        return self.spark.createDataFrame([], StructType([*fields, StructField("version", IntegerType())]))
+        return self.spark.createDataFrame([], StructType(fields)).withColumn("version", F.lit(0))
 
     # ---- writing
 
@@ -200,6 +222,7 @@ class KeyedTable:
 
     def _commit(self, events: DataFrame, layout: Layout, epochs: dict[str, int]) -> int:
         version = layout.version + 1
+        attempt = f"v{version}-{uuid.uuid4().hex}"
         # one aggregate tells which buckets are touched, what is rejected and whether any key can be hot at all
         per_bucket = events.selectExpr(f"{self._bucket()} AS b", SEQ).groupBy("b")
         per_bucket = per_bucket.agg(F.expr(f"count({SEQ}) AS good"), F.expr(f"count_if({SEQ} IS NULL) AS bad"))
@@ -209,30 +232,36 @@ class KeyedTable:
 
         ordered, rejects = split_rejects(events)
         if rejected:
-            rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/version={version}")
+            rejects.write.parquet(f"{self.root}/rejects/attempt={attempt}")
         schema, written = layout.schema, {"inserted": 0, "updated": 0}
         if touched:
             if self.hot_rows is not None and max(r.good for r in counts) > self.hot_rows:
                 ordered = condense_hot_keys(ordered, self.keys, self.hot_rows)
-            schema, written = self._write(ordered, layout, touched, version)
+            schema, written = self._write(ordered, layout, touched, attempt)
 
-        commit = {
+        commit = {"events": sum(r.good for r in counts), "rejected": rejected, **written}
+        totals = {"commits": layout.totals["commits"] + 1} | {c: layout.totals[c] + commit[c] for c in COUNTS}
+        held_by = layout.held_by | dict.fromkeys(touched, attempt)
+        manifest = commit | {
             "version": version,
-            "committed_at": datetime.now(timezone.utc),
-            "events": sum(r.good for r in counts),
-            "rejected": rejected,
-            **written,
+            "attempt": attempt,
+            "committed_at": datetime.now(timezone.utc).isoformat(timespec="microseconds"),
             "rows": layout.rows + written["inserted"],
             "bucket_count": self.buckets,
-            "held_by": layout.held_by | dict.fromkeys(touched, version),
+            "held_by": {str(b): a for b, a in held_by.items()},
             "epochs": layout.epochs | epochs,
             "row_schema": schema.json() if schema else None,
+            "totals": totals,
         }
-        row = self.spark.createDataFrame([commit], MANIFEST).coalesce(1)
-        row.write.mode("errorifexists").parquet(f"{self.root}/manifest/version={version}")
+        try:
+            publish_text(self.spark, self._manifest(version), json.dumps(manifest))
+        except FileExistsError as error:
+            for part in ("data", "rejects"):  # nobody refers to them
+                remove(self.spark, f"{self.root}/{part}/attempt={attempt}")
+            raise ConcurrentCommit(f"{self.root}: another writer has published version {version}") from error
         return version
 
-    def _write(self, events: DataFrame, layout: Layout, touched: list[int], version: int):
+    def _write(self, events: DataFrame, layout: Layout, touched: list[int], attempt: str):
         """Merge and write; returns the table's schema from now on, old columns and new ones, and the counts."""
         known = {f.name: f for f in layout.schema or ()}
         for f in events.schema:
@@ -255,5 +284,5 @@ class KeyedTable:
             F.expr(f"count_if({KIND} = 'insert') AS inserted"),
             F.expr(f"count_if({KIND} = 'update_postimage') AS updated"),
         )
-        out.write.mode("overwrite").partitionBy(KIND, BUCKET).parquet(f"{self.root}/data/version={version}")
+        out.write.partitionBy(KIND, BUCKET).parquet(f"{self.root}/data/attempt={attempt}")
         return StructType([f for f in out.schema if f.name not in (KIND, BUCKET)]), counted.get

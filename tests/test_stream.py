@@ -5,13 +5,14 @@ from bronze import lineage, main_feed, recon_feed
 from scenarios import KEYS, at, expected, frame, rows_of
 from test_upsert import random_events
 
+from siltline.operators import conform
 from siltline.operators.upsert import upsert
 from siltline.plans import contract
 from siltline.plans import entities as E
 from siltline.plans.derived import entity_feed, entity_recon_feed
 from siltline.sources.feeds import FeedNames, folder_feed, table_feed
 from siltline.sources.workspace import scratch
-from siltline.streaming import runner
+from siltline.streaming import runner, target
 from siltline.streaming.runner import run, upsert_stream
 from siltline.streaming.target import KeyedTable
 
@@ -31,9 +32,9 @@ def test_stream_equals_batch_and_survives_a_restart(spark, monkeypatch):
     # the third commit dies after writing its data, before publishing it
     real, calls = KeyedTable._write, []
 
-    def dying(self, ordered, layout, touched, version):
-        done = real(self, ordered, layout, touched, version)
-        calls.append(version)
+    def dying(self, ordered, layout, touched, attempt):
+        done = real(self, ordered, layout, touched, attempt)
+        calls.append(layout.version + 1)
         if calls == [1, 2, 3]:
             raise RuntimeError("executor went away")
         return done
@@ -194,6 +195,37 @@ def test_reader_options_bound_the_batches_and_targets_have_names(spark):
     assert other.table("silver.projects_sql").columns == list(spec.target_columns)
 
 
+def test_an_update_costs_the_same_after_many_commits(spark, monkeypatch):
+    """Fifty commits later, a run reads one manifest per look at the table and issues as many statements as before."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS longlived")
+    spec, silver = E.PROJECTS, scratch(spark, "long")
+    root, table = f"{silver}/feed", KeyedTable(spark, f"{silver}/{spec.target}", spec.keys, buckets=1)
+    reads, statements = [], []
+    real_read, real_sql = target.read_text, type(spark).sql
+    monkeypatch.setattr(target, "read_text", lambda s, path: reads.append(path) or real_read(s, path))
+    monkeypatch.setattr(type(spark), "sql", lambda s, text, **kw: statements.append(text) or real_sql(s, text, **kw))
+
+    def update(i):
+        row = {"Instances_Id": 1, "Id": i, "ProjectName": f"p{i}", **lineage("10:00")}
+        main_feed(spark, spec, [row]).coalesce(1).write.mode("append").parquet(root)
+        reads.clear(), statements.clear()
+        streams = {spec.name: (folder_feed(spark, root), None)}
+        counts = run(spark, [spec], streams=streams, silver=silver, buckets=1, schema="longlived")
+        return len(reads), len(statements), counts.first()
+
+    update(0)
+    update(1)
+    early = update(2)
+    events = conform.change_events(spec, main_feed(spark, spec, [{"Instances_Id": 1, "Id": 0, **lineage("09:00")}]))
+    for _ in range(47):
+        table.merge(events)
+    late = update(3)
+    assert late[:2] == early[:2]
+    assert (late[2].rows, late[2].events, late[2].commits) == (4, 51, 51)
+    kept = [r.tableName for r in real_sql(spark, "SHOW TABLES IN longlived").collect() if "_v" in r.tableName]
+    assert sorted(kept) == [f"{spec.target}_v3", f"{spec.target}_v51"]
+
+
 def test_batch_reads_of_feeds(spark):
     main_feed(spark, E.PROJECTS, [{"Instances_Id": 1, "Id": 1}]).write.format("parquet").saveAsTable("one_feed")
     assert table_feed(spark, "one_feed", stream=False).count() == 1

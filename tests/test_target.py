@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +8,8 @@ from test_upsert import random_events
 
 from siltline.operators.state import absorb
 from siltline.operators.upsert import ORDER
-from siltline.sources.workspace import scratch, shared_folder
-from siltline.streaming.target import KeyedTable
+from siltline.sources.workspace import files_in, publish_text, read_text, scratch, shared_folder
+from siltline.streaming.target import ConcurrentCommit, KeyedTable
 
 
 @pytest.fixture
@@ -50,8 +51,9 @@ def test_only_touched_buckets_are_rewritten(spark, root):
     table = KeyedTable(spark, root, KEYS, buckets=8)
     table.merge(frame(spark, [main("10:00", "x", key=(1, k)) for k in range(40)]))
     table.merge(frame(spark, [main("11:00", "y", key=(1, 7))]))
-    assert len(os.listdir(f"{root}/data/version=2/silt_kind=state")) == 1
-    assert sorted(set(table.layout().held_by.values())) == [1, 2]
+    attempt = table.commits().where("version = 2").first().attempt
+    assert len(os.listdir(f"{root}/data/attempt={attempt}/silt_kind=state")) == 1
+    assert sorted(a.partition("-")[0] for a in set(table.layout().held_by.values())) == ["v1", "v2"]
     assert table.read().count() == 40
 
 
@@ -70,7 +72,7 @@ def test_replay_and_crash(spark, root):
     assert table.merge(one, writer="q", epoch=0) == 1
     assert table.merge(one, writer="q", epoch=0) == 1  # replay of a published epoch
     # a commit that wrote data but died before its manifest
-    table._write(two, table.layout(), [0, 1], 2)
+    table._write(two, table.layout(), [0, 1], "v2-dead")
     assert rows_of(table.read())[(1, 10)][0] == "x"
     assert table.changes().count() == 1
     assert table.merge(two, writer="q", epoch=1) == 2
@@ -86,7 +88,7 @@ def test_rejects_are_kept_apart(spark, root):
     assert rows_of(table.read()) == {(1, 10): ("x", None, True, None)}
     assert table.rejects().count() == 2
     table.merge(frame(spark, [main("12:00", "y")]))
-    frame(spark, [bad]).write.parquet(f"{root}/rejects/version=4")  # left behind by a commit that died
+    frame(spark, [bad]).write.parquet(f"{root}/rejects/attempt=v4-dead")  # left behind by a commit that died
     assert table.rejects().count() == 2
     assert [(r.events, r.rejected) for r in table.commits().orderBy("version").collect()] == [(1, 1), (0, 1), (1, 0)]
 
@@ -122,20 +124,87 @@ def test_a_column_keeps_its_type(spark, root):
 
 
 def test_one_version_is_published_once(spark, root):
+    """A second writer that saw the same state fails, and what the first one published stays readable."""
+    bad = (1, 10, "bad", 9, True, None, None, 0, at("10:00"), 0)
     table = KeyedTable(spark, root, KEYS, buckets=2)
+    table.merge(frame(spark, [main("10:00", "x", 1, key=(1, k)) for k in range(20)]))
     stale = table.layout()
+    table.merge(frame(spark, [main("11:00", "y", 2, key=(1, k)) for k in range(20)] + [bad]))
+    before = rows_of(table.read()), sorted(map(str, table.changes().collect())), table.rejects().collect()
+    for events in ([main("12:00", "z", 3, key=(1, k)) for k in range(15)], [bad]):
+        with pytest.raises(ConcurrentCommit, match="version 2"):
+            table._commit(frame(spark, events), stale, {})
+        after = rows_of(table.read()), sorted(map(str, table.changes().collect())), table.rejects().collect()
+        assert after == before and len(before[0]) == 20
+    assert table.commits().count() == 2
+    assert len(os.listdir(f"{root}/data")) == 2  # the loser took its files along
+    assert table.merge(frame(spark, [main("12:00", "z", key=(1, 3))])) == 3
+
+
+def test_racing_writers_lose_nothing(spark, root):
+    """Four writers on one table: each merges again until it wins; all their rows are there at the end."""
+    tables = [KeyedTable(spark, root, KEYS, buckets=2) for _ in range(4)]
+
+    def work(i):
+        for step in range(2):
+            while True:
+                try:
+                    tables[i].merge(frame(spark, [main("10:00", f"{i}.{step}", key=(i, step))]))
+                    break
+                except ConcurrentCommit:
+                    pass
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(work, range(4)))
+    assert {k: v[0] for k, v in rows_of(tables[0].read()).items()} == {(i, s): f"{i}.{s}" for i in range(4) for s in range(2)}
+    assert tables[0].versions() == list(range(1, 9))
+
+
+def test_what_a_dying_writer_leaves_behind_is_no_version(spark, root):
+    """Death at any point before the manifest is there: the table reads as before, and the next commit keeps all rows."""
+    table = KeyedTable(spark, root, KEYS, buckets=4)
+    table.merge(frame(spark, [main("10:00", "x", 1, key=(1, k)) for k in range(30)]))
+    before = rows_of(table.read())
+    os.makedirs(f"{root}/manifest/version=2/_temporary/0")  # an unfinished write
+    os.makedirs(f"{root}/data/attempt=v2-dead/_temporary")
+    with open(f"{root}/manifest/.000000000002.json.dead", "w") as half:  # a manifest that was not renamed
+        half.write('{"version": 2, "held')
+    assert table.versions() == [1] and table.layout().version == 1
+    assert rows_of(table.read()) == before
+    assert table.merge(frame(spark, [main("11:00", "y", key=(1, 7))])) == 2
+    assert rows_of(table.read()) == before | {(1, 7): ("y", 1, True, None)}
+    assert table.changes(since=2).count() == 2
+
+
+def test_an_unreadable_manifest_is_an_error_not_an_empty_table(spark, root):
+    table = KeyedTable(spark, root, KEYS, buckets=2)
     table.merge(frame(spark, [main("10:00", "x")]))
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        table._commit(frame(spark, [main("11:00", "y")]), stale, {})  # a second writer that saw the same state
-    assert table.commits().count() == 1
+    os.rename(table._manifest(1), f"{root}/kept")
+    os.remove(f"{root}/manifest/.000000000001.json.crc")
+    with open(table._manifest(1), "w") as broken:
+        broken.write('{"version": 1')
+    for use in (table.layout, table.read, lambda: table.merge(frame(spark, [main("11:00", "y")]))):
+        with pytest.raises(ValueError, match="Expecting"):
+            use()
+    os.replace(f"{root}/kept", table._manifest(1))
+    assert rows_of(table.read())[(1, 10)][0] == "x"
+
+
+def test_small_files_appear_whole_and_once(spark, root):
+    publish_text(spark, f"{root}/note", "one é")
+    with pytest.raises(FileExistsError):
+        publish_text(spark, f"{root}/note", "two")
+    assert read_text(spark, f"{root}/note") == "one é"
+    assert [n for n in files_in(spark, root) if not n.startswith(".note.crc")] == ["note"]
+    assert files_in(spark, f"{root}/none") == []
 
 
 def test_changes_cost_what_changed(spark, root):
     table = KeyedTable(spark, root, KEYS, buckets=2)
     table.merge(frame(spark, [main("10:00", "x", key=(1, k)) for k in range(50)]))
     table.merge(frame(spark, [main("11:00", "y", key=(1, 7))]))
-    files = [f for f in table.changes(since=2).inputFiles() if "/manifest/" not in f]
-    assert files and all("version=2/silt_kind=update_" in f for f in files)
+    files = table.changes(since=2).inputFiles()
+    assert files and all("attempt=v2-" in f and "/silt_kind=update_" in f for f in files)
     read = spark.read.option("basePath", f"{root}/data").parquet(*files)
     assert read.count() == 2
 
@@ -149,7 +218,7 @@ def test_followers_see_published_commits_once_and_in_order(spark, root):
 
     table.merge(frame(spark, [main("10:00", "x"), main("10:00", "z", key=(2, 2))]))
     table.merge(frame(spark, [main("11:00", "y")]))
-    table._write(frame(spark, [main("12:00", "dead")]), table.layout(), [0, 1], 3)  # never published
+    table._write(frame(spark, [main("12:00", "dead")]), table.layout(), [0, 1], "v3-dead")  # never published
     table.follow(note, f"{root}/c").awaitTermination()
     assert seen == [(1, ["insert", "insert"]), (2, ["update_postimage", "update_preimage"])]
     table.merge(frame(spark, [main("12:00", "w")]))
