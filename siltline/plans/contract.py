@@ -6,6 +6,7 @@ written down in plain SQL and the results compared. Nothing here samples or caps
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from siltline.operators.conform import (
     conform_main,
     conform_recon,
 )
-from siltline.operators.upsert import ORDER, current, split_rejects, upsert
+from siltline.operators.upsert import ORDER, current, folded, split_rejects, upsert
 from siltline.plans.derived import (
     entity_feed,
     entity_recon_feed,
@@ -35,6 +36,7 @@ from siltline.plans.entities import ENTITIES, WORK_PACKAGE_WORKFLOW_LISTS
 from siltline.plans.spec import EntitySpec, Source
 from siltline.sources.feeds import folder_feed
 from siltline.sources.workspace import scratch
+from siltline.streaming.derived import KeptAggregate
 from siltline.streaming.runner import run, start_entity
 from siltline.streaming.target import KeyedTable
 
@@ -52,6 +54,7 @@ ACTIVITY = EntitySpec(
 ACTIVITY3 = replace(
     ACTIVITY, keys=("EVENT_TYPE", "USER_ID", "PART"), columns=(*ACTIVITY.columns, Source("part"))
 )
+WEEKS = ("2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00")
 SHOWN = ("VAL", "PROPS", "ACTIVE_FLAG", "DT_REMOVED", "_ingested_at")
 
 
@@ -201,7 +204,13 @@ def two_flow_upsert(spark, sf):
 def upsert_hot_keys(spark, sf):
     """Five keys share all rows of both feeds; each is above the limit and is condensed in parts first."""
     spec = replace(ACTIVITY, keys=("EVENT_TYPE",))
-    return shown(upsert(activity_events(spark, sf, spec), spec.keys, hot_rows=500), spec)
+    return shown(upsert(activity_events(spark, sf, spec), spec.keys, hot_rows=500, fold_columns=0), spec)
+
+
+def upsert_map_side(spark, sf):
+    """The same keys by one aggregate that combines before its shuffle, without looking for hot keys."""
+    spec = replace(ACTIVITY, keys=("EVENT_TYPE",))
+    return shown(folded(activity_events(spark, sf, spec), spec.keys), spec)
 
 
 def upsert_default_tie(spark, sf):
@@ -325,6 +334,40 @@ def table_change_feed(spark, sf):
     return comparable(rows.select(*ACTIVITY.keys, "VAL", "ACTIVE_FLAG", "DT_REMOVED", CHANGE_TYPE))
 
 
+def weekly_commits(spark, sf, root: str, after_commit=lambda table: None) -> KeyedTable:
+    """A keyed table that took January in four commits, week by week of arrival."""
+    events = activity_events(spark, sf).select(*ACTIVITY.keys, "VAL", "ACTIVE_FLAG", "DT_REMOVED", *ORDER)
+    target = KeyedTable(spark, root, ACTIVITY.keys, buckets=width(spark), splits=1)
+    arrival = F.col("__arrival")
+    for start, end in zip((None, *WEEKS), (*WEEKS, None), strict=True):
+        batch = events if start is None else events.where(arrival >= F.lit(start).cast("timestamp"))
+        target.merge(batch if end is None else batch.where(arrival < F.lit(end).cast("timestamp")))
+        after_commit(target)
+    return target
+
+
+def net_change_feed(spark, sf):
+    """What the last three of four commits amount to for a consumer that has seen the first."""
+    rows = weekly_commits(spark, sf, scratch(spark, "net")).net_changes(since=2)
+    return comparable(rows.select(*ACTIVITY.keys, "VAL", "ACTIVE_FLAG", "DT_REMOVED", CHANGE_TYPE))
+
+
+def active_rows_by_type(spark, sf):
+    """Counts and sums per event type and flag, kept from the change feed, as they were after each of four commits."""
+    root = scratch(spark, "kept")
+    groups, sums = ("EVENT_TYPE", "ACTIVE_FLAG"), {"removed": "if(DT_REMOVED IS NULL, 0L, 1L)", "user_sum": "USER_ID"}
+    kept = None
+
+    def refresh(table):
+        nonlocal kept
+        kept = KeptAggregate(table, f"{root}/totals", groups, sums)
+        kept.refresh()
+
+    weekly_commits(spark, sf, f"{root}/table", refresh)
+    parts = [kept.read(v).withColumn("commit", F.lit(v).cast("bigint")) for v in kept.versions()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def stream_change_feed(spark, sf):
     """The same again, followed by a streaming query that writes down each commit's changes."""
     root = scratch(spark, "followed")
@@ -394,6 +437,7 @@ def queries() -> dict[str, Query]:
         "upsert_processing_time_ties": upsert_processing_time_ties,
         "two_flow_upsert": two_flow_upsert,
         "upsert_hot_keys": upsert_hot_keys,
+        "upsert_map_side": upsert_map_side,
         "upsert_default_tie": upsert_default_tie,
         "recon_stub_rows": recon_stub_rows,
         "reactivation_sticky_removed": reactivation_sticky_removed,
@@ -403,6 +447,8 @@ def queries() -> dict[str, Query]:
         "change_feed": change_feed_query,
         "table_change_feed": table_change_feed,
         "stream_change_feed": stream_change_feed,
+        "net_change_feed": net_change_feed,
+        "active_rows_by_type": active_rows_by_type,
         "table_schema_growth": table_schema_growth,
         "null_sequence_rejects": null_sequence_rejects,
         "conversation_latest": conversation_latest,

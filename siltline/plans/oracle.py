@@ -150,20 +150,35 @@ def simple(feed, select):
     return f"WITH {MAIN}, {RECON} SELECT {select} FROM {feed}"
 
 
-def change_feed():
+WEEKS = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
+def change_feed(start="2024-01-15"):
     kept = ["VAL", "ACTIVE_FLAG", "DT_REMOVED"]
     row = lambda side: ", ".join(f"{side}.{c} AS {c}" for c in [*K2, *kept])
     same = " AND ".join(f"o.{k} IS NOT DISTINCT FROM n.{k}" for k in K2)
     differ = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in kept)
     both = f"FROM old o JOIN new n ON {same} WHERE {differ}"
     return f"""{activity()},
-        cut AS (SELECT * FROM ev WHERE ord[3] < TIMESTAMP '2024-01-15 00:00:00'),
+        cut AS (SELECT * FROM ev WHERE ord[3] < TIMESTAMP '{start} 00:00:00'),
         old AS ({fold(K2, kept, "cut")}), new AS ({fold(K2, kept)})
         SELECT {row("n")}, 'insert' AS _change_type FROM new n ANTI JOIN old o ON {same}
         UNION ALL SELECT {row("o")}, 'update_preimage' {both}
         UNION ALL SELECT {row("n")}, 'update_postimage' {both}"""
 
 
+def active_rows_by_type():
+    """A recount of the state after each week."""
+    parts = []
+    for i, end in enumerate((*WEEKS, "2100-01-01"), 1):
+        state = fold(K2, ["ACTIVE_FLAG", "DT_REMOVED"], f"(SELECT * FROM ev WHERE ord[3] < TIMESTAMP '{end} 00:00:00')")
+        parts.append(
+            f"SELECT EVENT_TYPE, ACTIVE_FLAG, count(*) AS rows, count(DT_REMOVED) AS removed,"
+            f" CAST(sum(USER_ID) AS BIGINT) AS user_sum, {i} AS commit FROM ({state}) GROUP BY ALL"
+        )
+    return f"{activity()} {' UNION ALL '.join(parts)}"
+
+
 def line_latest():
     columns = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     columns += ["l_returnflag", "l_linestatus", "l_shipdate"]
@@ -204,6 +219,7 @@ def oracle_sql() -> dict[str, str]:
         "two_flow_upsert": two_flow,
         "stream_two_flow_upsert": two_flow,
         "upsert_hot_keys": f"{activity(['EVENT_TYPE'])} {fold(['EVENT_TYPE'], SHOWN)}",
+        "upsert_map_side": f"{activity(['EVENT_TYPE'])} {fold(['EVENT_TYPE'], SHOWN)}",
         "recon_stub_rows": f"{activity(shift=100000)} {fold(K2, SHOWN)}",
         "reactivation_sticky_removed": f"""{activity()}, result AS ({fold(K2, SHOWN)})
             SELECT * FROM result WHERE ACTIVE_FLAG AND DT_REMOVED IS NOT NULL""",
@@ -221,6 +237,8 @@ def oracle_sql() -> dict[str, str]:
         "change_feed": change_feed(),
         "table_change_feed": change_feed(),
         "stream_change_feed": change_feed(),
+        "net_change_feed": change_feed(WEEKS[0]),
+        "active_rows_by_type": active_rows_by_type(),
         "null_sequence_rejects": simple("main", "event_type AS EVENT_TYPE, user_id AS USER_ID, event_id")
         + " WHERE RecordLastModified IS NULL",
         "conversation_latest": """SELECT conv_id, max(turn) AS turn,

@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from siltline.functions import columns as fx
-from siltline.operators.changes import CHANGE_TYPE, COMMIT_TIME, COMMIT_VERSION
+from siltline.operators.changes import CHANGE_TYPE, COMMIT_TIME, COMMIT_VERSION, net_changes
 from siltline.operators.state import BUCKET, EVENTS, KIND, STATE, absorb, images
 from siltline.operators.upsert import (
     HOT_ROWS,
@@ -176,6 +176,10 @@ class KeyedTable:
         )
         return rows.join(F.broadcast(times), "__attempt").drop("__attempt")
 
+    def net_changes(self, since: int = 1, until: int | None = None) -> DataFrame:
+        """What versions ``since..until`` together changed: for a consumer that lags by several commits."""
+        return net_changes(self.changes(since, until), self.keys)
+
     def follow(
         self, handle: Callable[[DataFrame, int], None], checkpoint: str, *, trigger: Mapping | None = None
     ) -> StreamingQuery:

@@ -32,21 +32,37 @@ def test_fold_is_one_shuffle_and_one_window(spark, sf_dir):
 
 
 def test_no_hot_key_leaves_one_shuffle_and_no_join(spark, sf_dir):
-    text = final_plan(upsert(contract.activity_events(spark, sf_dir), contract.ACTIVITY.keys))
+    text = final_plan(upsert(contract.activity_events(spark, sf_dir), contract.ACTIVITY.keys, fold_columns=0))
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
     assert "Join" not in text
 
 
+def test_few_columns_are_folded_before_the_shuffle(spark, sf_dir):
+    """One scan, one exchange, partial aggregates and no window, whatever the keys are."""
+    events = contract.activity_events(spark, sf_dir)
+    for keys in (contract.ACTIVITY.keys, ("EVENT_TYPE",)):
+        text = final_plan(upsert(events, keys))
+        assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
+        assert "partial_max" in text and "Window" not in text and "Join" not in text
+        assert len(re.findall(r"Scan parquet", text)) == 2  # the two feeds, once each
+
+
+def test_maps_are_not_folded(spark):
+    rows = spark.createDataFrame([(1, {"a": 1}, 1, 0, 1, 1), (1, None, 2, 0, 2, 2)], "k int, m map<string,int>, __seq int, __flow int, __arrival int, __tie long")
+    assert "Window" in plan(upsert(rows, ["k"]))
+    assert [tuple(r) for r in upsert(rows, ["k"]).collect()] == [(1, {"a": 1})]
+
+
 def test_hot_key_is_split_before_the_shuffle_by_key(spark):
     rows = [main("10:00", "x", i, tie=i) for i in range(400)]
-    text = final_plan(upsert(frame(spark, rows), KEYS, hot_rows=50))
+    text = final_plan(upsert(frame(spark, rows), KEYS, hot_rows=50, fold_columns=0))
     assert "BroadcastHashJoin" in text and "__part" in text
 
 
 def test_many_keys_in_few_slots_are_not_hot(spark, monkeypatch):
     monkeypatch.setattr(upserts, "HOT_SLOTS", 4)
     rows = [main("10:00", "x", i, key=(1, i), tie=i) for i in range(400)]
-    text = final_plan(upsert(frame(spark, rows), KEYS, hot_rows=50))  # each slot is far above the limit, no key is
+    text = final_plan(upsert(frame(spark, rows), KEYS, hot_rows=50, fold_columns=0))  # each slot is far above the limit, no key is
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 1 and "Join" not in text
 
 

@@ -32,6 +32,7 @@ def feeds(draw):
 def test_split_and_order_do_not_matter(spark, feed):
     events, cut = feed
     want = expected(events)
-    assert rows_of(upsert(frame(spark, events), KEYS, hot_rows=3)) == want
+    assert rows_of(upsert(frame(spark, events), KEYS, hot_rows=3, fold_columns=0)) == want
+    assert rows_of(upsert(frame(spark, events), KEYS)) == want
     first = absorb(None, survivors(frame(spark, events[:cut]), KEYS), KEYS).drop(CHANGE, BEFORE)
     assert rows_of(absorb(first, frame(spark, events[cut:]), KEYS)) == want

@@ -40,7 +40,8 @@ SCENARIOS = {
 @pytest.mark.parametrize("name", SCENARIOS)
 def test_scenario_batch_and_incremental(spark, name):
     events, want = SCENARIOS[name]
-    assert rows_of(upsert(frame(spark, events), KEYS)) == {KEY: want}
+    for fold_columns in (0, 12):
+        assert rows_of(upsert(frame(spark, events), KEYS, fold_columns=fold_columns)) == {KEY: want}
     state = None
     for event in events:
         state = absorb(state, frame(spark, [event]), KEYS).drop(CHANGE, BEFORE)
@@ -69,7 +70,8 @@ def test_any_order_and_any_split(spark, seed):
     want = expected(events)
     rnd = random.Random(seed)
     rnd.shuffle(events)
-    assert rows_of(upsert(frame(spark, events), KEYS)) == want
+    for fold_columns in (0, 12):
+        assert rows_of(upsert(frame(spark, events), KEYS, fold_columns=fold_columns)) == want
     condensed = survivors(frame(spark, events), KEYS)
     assert rows_of(current(condensed, KEYS)) == want
     assert condensed.count() < len(events) / 3
@@ -89,18 +91,21 @@ def test_hot_key_is_condensed_exactly(spark):
     condensed = condense_hot_keys(df, KEYS, hot_rows=40)
     assert rows_of(current(condensed, KEYS)) == expected(events)
     assert condensed.count() < 250  # two hot keys shrank, fifty calm ones passed through
-    assert rows_of(upsert(df, KEYS, hot_rows=40)) == expected(events)
+    for fold_columns in (0, 12):
+        assert rows_of(upsert(df, KEYS, hot_rows=40, fold_columns=fold_columns)) == expected(events)
 
 
 def test_identical_copies_of_one_event(spark):
     events = [main("10:00", "x", 1, tie=7)] * 300 + [recon("12:00", True, "11:59", tie=8)] * 300
-    got = upsert(frame(spark, events), KEYS, hot_rows=50)
-    assert rows_of(got) == {KEY: ("x", 1, False, at("11:59"))}
+    for fold_columns in (0, 12):
+        got = upsert(frame(spark, events), KEYS, hot_rows=50, fold_columns=fold_columns)
+        assert rows_of(got) == {KEY: ("x", 1, False, at("11:59"))}
 
 
 def test_null_keys_group_together(spark):
     events = [main("10:00", "x", key=(1, None)), main("11:00", None, 5, key=(1, None))]
-    assert rows_of(upsert(frame(spark, events), KEYS)) == {(1, None): ("x", 5, True, None)}
+    for fold_columns in (0, 12):
+        assert rows_of(upsert(frame(spark, events), KEYS, fold_columns=fold_columns)) == {(1, None): ("x", 5, True, None)}
 
 
 def test_null_sequence_is_rejected(spark):
