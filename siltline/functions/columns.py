@@ -23,12 +23,19 @@ def renamed(source: str, target: str) -> str:
 
 
 def convert(expression: str, to: str, on_error: str = "fail") -> str:
-    """Cast; ``on_error='null'`` turns malformed values into null instead of failing the job."""
-    if on_error not in ("fail", "null"):
-        raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
+    """Cast; ``on_error='null'`` turns malformed values into null instead of failing the job, as does ``'reject'``,
+    where the caller sends their rows to the rejects."""
+    if on_error not in ("fail", "null", "reject"):
+        raise ValueError(f"on_error must be 'fail', 'null' or 'reject', not {on_error!r}")
     return f"{'cast' if on_error == 'fail' else 'try_cast'}({expression} AS {to})"
 
 
+def cast_errors(casts: Iterable[tuple[str, str, str]]) -> str:
+    """The names of those casts, given as (expression, type, name), that would lose a value; null if there are none."""
+    failed = [f"if({e} IS NOT NULL AND {convert(e, to, 'null')} IS NULL, {text(name)}, null)" for e, to, name in casts]
+    return f"nullif(array_compact(array({', '.join(failed)})), cast(array() AS array<string>))"
+
+
 def typed_null(to: str) -> str:
     return f"cast(null AS {to})"
 

@@ -5,9 +5,10 @@ steps into a single one that prunes the scan to the columns read.
 """
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from siltline.functions import columns as fx
-from siltline.operators.upsert import ARRIVAL, FLOW, ORDER, SEQ, TIE, refuse_internal
+from siltline.operators.upsert import ARRIVAL, FLOW, ORDER, REASONS, SEQ, TIE, refuse_internal
 from siltline.plans.spec import (
     ACTIVE_FLAG,
     EFFECTIVE_AT,
@@ -18,6 +19,7 @@ from siltline.plans.spec import (
     REMOVED_AT,
     EntitySpec,
     Null,
+    Source,
 )
 
 MAIN, RECON = 0, 1
@@ -35,7 +37,8 @@ def conform_main(
     """The main view: rename, cast, active flag, audit block and sequence.
 
     ``load_time`` and ``load_user`` replace the processing time and session user, for reproducible runs;
-    ``carry`` names feed columns to pass along as they are.
+    ``carry`` names feed columns to pass along as they are. With ``on_cast_error="reject"`` an extra column names the
+    columns whose casts failed.
     """
     out = []
     for column in spec.columns:
@@ -56,6 +59,9 @@ def conform_main(
     ]
     if spec.sequence:
         out.append(fx.aliased(fx.first_known(spec.sequence), spec.sequence_column))
+    if on_cast_error == "reject":
+        casts = [(fx.quoted(c.name), c.cast, c.target) for c in spec.columns if isinstance(c, Source) and c.cast]
+        out.append(fx.aliased(fx.cast_errors(casts) if casts else "cast(null AS array<string>)", REASONS))
     return feed.selectExpr(*out, *map(fx.quoted, carry))
 
 
@@ -107,16 +113,16 @@ def as_events(
     Order: sequence, then flow, then arrival, then ``tie`` (a column) or a hash of the whole payload. The
     hash is taken here, once, because the merge later blanks payload columns an event no longer owns.
     """
-    payload = [c for c in view.columns if c not in exclude and c != tie]
+    payload = [c for c in view.columns if c not in exclude and c not in (tie, REASONS)]
     refuse_internal(payload)
     last = f"cast({fx.quoted(tie)} AS bigint)" if tie else fx.row_hash(payload)
-    return view.selectExpr(
-        *map(fx.quoted, payload),
-        fx.renamed(sequence, SEQ),
-        fx.aliased(str(flow), FLOW),
-        fx.renamed(arrival, ARRIVAL),
-        fx.aliased(last, TIE),
-    )
+    order = [fx.renamed(sequence, SEQ), fx.aliased(str(flow), FLOW), fx.renamed(arrival, ARRIVAL), fx.aliased(last, TIE)]
+    if REASONS in view.columns:
+        late = f"if({fx.quoted(sequence)} IS NULL, array({fx.text(sequence)}), null)"
+        reasons = f"nullif(concat(coalesce({REASONS}, array()), coalesce({late}, array())), cast(array() AS array<string>))"
+        order[0] = f"if({REASONS} IS NULL, {fx.quoted(sequence)}, null) AS {SEQ}"
+        order.append(f"{reasons} AS {REASONS}")
+    return view.selectExpr(*map(fx.quoted, payload), *order)
 
 
 def change_events(
@@ -131,7 +137,8 @@ def change_events(
 ) -> DataFrame:
     """Both feeds of an entity as one set of change events over the target's columns.
 
-    ``tie`` names a bigint column of both feeds that orders otherwise equal events.
+    ``tie`` names a bigint column of both feeds that orders otherwise equal events. ``on_cast_error="reject"`` makes
+    main rows with malformed values rejects, with the names of those columns; see ``split_rejects``.
     """
     carry = (tie,) if tie else ()
     order = dict(sequence=spec.sequence_column, exclude=spec.excluded, tie=tie)
@@ -144,4 +151,19 @@ def change_events(
         removals = as_events(view, flow=RECON, arrival=spec.sequence_column, **order)
         events = events.unionByName(removals, allowMissingColumns=True)
     present = [c for c in spec.target_columns if c in events.columns]
-    return events.selectExpr(*map(fx.quoted, present), *ORDER)
+    reasons = [REASONS] if REASONS in events.columns else []
+    return events.selectExpr(*map(fx.quoted, present), *ORDER, *reasons)
+
+
+def recon_from_snapshots(before: DataFrame, after: DataFrame, spec: EntitySpec, *, taken_at) -> DataFrame:
+    """The reconciliation feed that two full sets of the source's keys imply: keys gone from the later one are removed.
+
+    The snapshots hold the entity's key columns under their source names, in any number of copies; null key parts
+    compare like values. Keys that came back are left to the main feed. One aggregate, combined before its shuffle.
+    ``taken_at`` is when the later snapshot was taken.
+    """
+    keys = [fx.quoted(k.name) for k in spec.key_sources]
+    sides = [s.selectExpr(*keys, f"{flag} AS __there") for s, flag in ((before, "false"), (after, "true"))]
+    gone = sides[0].unionByName(sides[1]).groupBy(*keys).agg(F.expr("max(__there) AS __there")).where("NOT __there")
+    moment = fx.load_time(taken_at)
+    return gone.selectExpr(*keys, "true AS hard_delete", f"{moment} AS dt_removed", f"{moment} AS ingested_at")

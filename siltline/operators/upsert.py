@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantT
 from siltline.functions import columns as fx
 
 SEQ, FLOW, ARRIVAL, TIE = ORDER = ("__seq", "__flow", "__arrival", "__tie")
+REASONS = "__reject_reasons"  # why an event cannot be merged; such an event has no sequence either
 
 # Keys are counted in this many hash slots first, which bounds the broadcast list of crowded slots. A key is hot if it
 # has more than HOT_ROWS events and at least one eighth of its slot's: at most 8 keys per slot, a million in all.
@@ -25,7 +26,7 @@ FOLD_COLUMNS = 12  # with more columns a window that all share was not slower (6
 
 # columns that the merge itself adds; a payload column may not use these names
 INTERNAL = frozenset(
-    [*ORDER, "__slot", "__rows", "__slot_rows", "__parts", "__part", "__rank", "__events", "__change", "__before"]
+    [*ORDER, REASONS, "__slot", "__rows", "__slot_rows", "__parts", "__part", "__rank", "__events", "__change", "__before"]
     + ["__from_state", "__split", "__event", "__listed", "__kind", "__images", "silt_bucket", "silt_kind"]
 )
 
@@ -54,8 +55,10 @@ def all_of(window: str) -> str:
 
 
 def split_rejects(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Events that can be ordered, and those that cannot because their sequence is null."""
-    return events.where(f"{SEQ} IS NOT NULL"), events.where(f"{SEQ} IS NULL")
+    """Events that can be merged, and those that cannot: their sequence is null, or has been blanked for the reasons
+    that come with them, which the rejects hold as ``reject_reasons``."""
+    good, bad = events.where(f"{SEQ} IS NOT NULL"), events.where(f"{SEQ} IS NULL")
+    return good.drop(REASONS), bad.withColumnRenamed(REASONS, "reject_reasons")
 
 
 def with_ownership(events: DataFrame, groups: Sequence[str], payload: Sequence[str]) -> DataFrame:

@@ -22,6 +22,7 @@ from siltline.operators.conform import (
     change_events,
     conform_main,
     conform_recon,
+    recon_from_snapshots,
 )
 from siltline.operators.upsert import ORDER, current, folded, split_rejects, upsert
 from siltline.plans.derived import (
@@ -54,6 +55,9 @@ ACTIVITY = EntitySpec(
 ACTIVITY3 = replace(
     ACTIVITY, keys=("EVENT_TYPE", "USER_ID", "PART"), columns=(*ACTIVITY.columns, Source("part"))
 )
+MEASURED = replace(
+    ACTIVITY, columns=(*ACTIVITY.columns, Source("hours", cast="double"), Source("code", cast="bigint"))
+)
 WEEKS = ("2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00")
 SHOWN = ("VAL", "PROPS", "ACTIVE_FLAG", "DT_REMOVED", "_ingested_at")
 
@@ -114,12 +118,37 @@ def cast_or_null(spark, sf):
 
 def cast_failures_query(spark, sf):
     """What blanking malformed values would lose, per cast column."""
-    columns = (*ACTIVITY.columns, Source("hours", cast="double"), Source("code", cast="bigint"))
-    feed = main_feed(spark, sf).selectExpr(
+    return cast_failures(malformed_feed(spark, sf), MEASURED)
+
+
+def malformed_feed(spark, sf):
+    return main_feed(spark, sf).selectExpr(
         "*", "if(event_id % 4 = 0, 'n/a', cast(event_id AS string)) AS hours",
         "if(event_id % 7 = 0, event_id || '-x', cast(event_id AS string)) AS code",
     )
-    return cast_failures(feed, replace(ACTIVITY, columns=columns))
+
+
+def cast_rejects(spark, sf):
+    """Events with malformed values, and events without a sequence, each with the columns that are at fault."""
+    spec = replace(MEASURED, sequence=("RecordLastModified",))
+    events = change_events(spec, malformed_feed(spark, sf), on_cast_error="reject", tie=TIE, **LOAD)
+    _, rejects = split_rejects(events)
+    return rejects.select(F.col("__tie").alias(TIE), F.array_join("reject_reasons", ",").alias("reasons"))
+
+
+def upsert_without_rejects(spark, sf):
+    """What is left of the same feed, merged: values are cast, and no row has lost one."""
+    events = change_events(MEASURED, malformed_feed(spark, sf), on_cast_error="reject", tie=TIE, **LOAD)
+    return shown(upsert(events, MEASURED.keys), MEASURED, ("HOURS", "CODE", "VAL"))
+
+
+def recon_from_snapshots_query(spark, sf):
+    """Keys seen in the first half of January and not in the second are removed, and merged like any reconciliation."""
+    feed = main_feed(spark, sf)
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
+    before, after = feed.where(F.col("_ingested_at") < cut), feed.where(F.col("_ingested_at") >= cut)
+    recon = recon_from_snapshots(before, after, ACTIVITY3, taken_at="2024-02-01 00:00:00").withColumn(TIE, F.lit(0))
+    return shown(upsert(change_events(ACTIVITY3, feed, recon, tie=TIE, **LOAD), ACTIVITY3.keys), ACTIVITY3)
 
 
 def soft_delete(spark, sf):
@@ -426,6 +455,9 @@ def queries() -> dict[str, Query]:
         "cast_bigint": cast_bigint,
         "cast_or_null": cast_or_null,
         "cast_failures": cast_failures_query,
+        "cast_rejects": cast_rejects,
+        "upsert_without_rejects": upsert_without_rejects,
+        "recon_from_snapshots": recon_from_snapshots_query,
         "soft_delete_flag": soft_delete,
         "recon_flag": hard_delete,
         "seq_coalesce2": seq2,

@@ -179,6 +179,28 @@ def active_rows_by_type():
     return f"{activity()} {' UNION ALL '.join(parts)}"
 
 
+def cast_rejects():
+    faults = {"HOURS": "event_id % 4 = 0", "CODE": "event_id % 7 = 0", "_scd_sequence": "RecordLastModified IS NULL"}
+    names = ", ".join(f"CASE WHEN {fault} THEN '{name}' END" for name, fault in faults.items())
+    return simple("main", f"event_id, concat_ws(',', {names}) AS reasons") + f" WHERE {' OR '.join(faults.values())}"
+
+
+def upsert_without_rejects():
+    good = main_events().replace(" FROM main", ", CAST(event_id AS DOUBLE) AS HOURS, event_id AS CODE FROM main")
+    good += " WHERE event_id % 4 <> 0 AND event_id % 7 <> 0"
+    return f"WITH {MAIN}, ev AS ({good}) {fold(K2, ['HOURS', 'CODE', 'VAL'])}"
+
+
+def recon_from_snapshots():
+    keys, cut = ", ".join(K3), "TIMESTAMP '2024-01-15 00:00:00'"
+    seen = lambda when: f"SELECT {keys} FROM main WHERE _ingested_at {when} {cut}"
+    gone = f"""SELECT {keys}, NULL::DOUBLE AS VAL, NULL::VARCHAR AS PROPS, false AS ACTIVE_FLAG,
+        TIMESTAMP '2024-02-01' AS DT_REMOVED, NULL::TIMESTAMP AS _ingested_at,
+        row(TIMESTAMP '2024-02-01', 1, TIMESTAMP '2024-02-01', 0::BIGINT) AS ord
+        FROM ({seen("<")} EXCEPT {seen(">=")})"""
+    return f"WITH {MAIN}, ev AS ({main_events(K3)} UNION ALL {gone}) {fold(K3, SHOWN)}"
+
+
 def line_latest():
     columns = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     columns += ["l_returnflag", "l_linestatus", "l_shipdate"]
@@ -207,6 +229,9 @@ def oracle_sql() -> dict[str, str]:
             ELSE CAST(event_id AS VARCHAR) END AS DOUBLE) AS manhours FROM events""",
         "cast_failures": """SELECT 'HOURS' AS column_name, count(*) AS failed FROM events WHERE event_id % 4 = 0
             UNION ALL SELECT 'CODE', count(*) FROM events WHERE event_id % 7 = 0""",
+        "cast_rejects": cast_rejects(),
+        "upsert_without_rejects": upsert_without_rejects(),
+        "recon_from_snapshots": recon_from_snapshots(),
         "soft_delete_flag": simple("main", "event_id, dtRemoved IS NULL AS active_flag"),
         "recon_flag": simple("recon", "event_id, CASE WHEN hard_delete THEN false END AS active_flag"),
         "seq_coalesce2": simple("main", f"event_id, {SEQ2} AS seq"),

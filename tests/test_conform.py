@@ -7,8 +7,10 @@ from bronze import lineage, main_feed, recon_feed
 from scenarios import at
 
 from siltline.functions.naming import upper_snake
-from siltline.operators.conform import as_events, change_events, conform_main, conform_recon
-from siltline.operators.upsert import ORDER, upsert
+from siltline.operators.conform import as_events, change_events, conform_main, conform_recon, recon_from_snapshots
+from siltline.operators.upsert import ORDER, split_rejects, upsert
+from siltline.sources.workspace import scratch
+from siltline.streaming.target import KeyedTable
 from siltline.plans import entities as E
 from siltline.plans.spec import EntitySpec, Null, Source, named
 
@@ -189,3 +191,68 @@ def test_declared_columns_are_those_of_the_statements():
         "INSTANCE", "ID", "PROJECT_IDENTIFIER", "PROJECT_NAME", "SUMMARY", "ACTIVE_FLAG", "LOADED_BY", "DH_EFF_DT",
         "_ingested_at", "_source_system", "_source_table", "DT_REMOVED",
     )
+
+
+MEASURED = EntitySpec(
+    name="measured",
+    keys=("K",),
+    columns=(Source("k"), Source("hours", cast="double"), Source("code", cast="bigint"), Source("name")),
+    sequence=("changed",),
+    removed_by=None,
+)
+
+
+def measured(spark, rows):
+    schema = "k bigint, hours string, code string, name string, changed timestamp, _ingested_at timestamp, _source_system string, _source_table string"
+    return spark.createDataFrame([(*r, at("10:00"), "s", "t") for r in rows], schema)
+
+
+def test_rejects_say_why(spark):
+    rows = [
+        (1, "1.5", "7", "good", at("10:00")), (2, "n/a", "7", "hours", at("10:00")), (3, "x", "y", "both", at("10:00")),
+        (4, None, None, "nulls are no faults", at("10:00")), (5, "2", "8", "late", None), (6, "2", "z", "two", None),
+    ]
+    events = change_events(MEASURED, measured(spark, rows), on_cast_error="reject")
+    good, bad = split_rejects(events)
+    assert {(r.K, r.HOURS, r.CODE) for r in good.collect()} == {(1, 1.5, 7), (4, None, None)}
+    assert {r.NAME: r.reject_reasons for r in bad.collect()} == {
+        "hours": ["HOURS"],
+        "both": ["HOURS", "CODE"],
+        "late": ["_scd_sequence"],
+        "two": ["CODE", "_scd_sequence"],
+    }
+    for fold_columns in (0, 12):
+        assert {r.K for r in upsert(events, MEASURED.keys, fold_columns=fold_columns).collect()} == {1, 4}
+
+    table = KeyedTable(spark, scratch(spark, "rejecting"), MEASURED.keys, buckets=2)
+    table.merge(events)
+    table.merge(change_events(MEASURED, measured(spark, [(2, "3", "7", "mended", at("11:00"))]), on_cast_error="reject"))
+    assert {(r.K, r.HOURS) for r in table.read().collect()} == {(1, 1.5), (2, 3.0), (4, None)}
+    assert sorted(r.reject_reasons for r in table.rejects().collect()) == [["CODE", "_scd_sequence"], ["HOURS"], ["HOURS", "CODE"], ["_scd_sequence"]]
+    assert set(table.read().columns) == set(MEASURED.target_columns) - {"DT_REMOVED"}  # no reconciliation feed here
+
+
+def test_reject_mode_without_casts(spark):
+    spec = replace(MEASURED, columns=(Source("k"), Source("name")))
+    _, bad = split_rejects(change_events(spec, measured(spark, [(1, "x", "y", "n", None)]), on_cast_error="reject"))
+    assert [r.reject_reasons for r in bad.collect()] == [["_scd_sequence"]]
+    with pytest.raises(ValueError, match="'reject'"):
+        change_events(MEASURED, measured(spark, []), on_cast_error="drop")
+
+
+def test_reconciliation_from_key_snapshots(spark):
+    spec = replace(MEASURED, keys=("K", "NAME"), columns=(Source("k"), Source("name")))
+    before = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "c"), (3, "d")], "k bigint, name string")
+    after = spark.createDataFrame([(3, "d"), (None, "c"), (9, "new")], "k bigint, name string")
+    feed = recon_from_snapshots(before, after, spec, taken_at="2024-01-01 12:00:00")
+    assert {(r.k, r.name, r.hard_delete, r.dt_removed, r.ingested_at) for r in feed.collect()} == {
+        (1, "a", True, at("12:00"), at("12:00")),
+        (2, None, True, at("12:00"), at("12:00")),
+    }
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert recon_from_snapshots(before, before, spec, taken_at="2024-01-01 12:00:00").count() == 0
+    # merged like any reconciliation: the row stays, is inactive and knows when it went
+    main = measured(spark, [(1, None, None, "a", at("10:00")), (3, None, None, "d", at("10:00"))])
+    rows = {r.K: (r.ACTIVE_FLAG, r.DT_REMOVED) for r in upsert(change_events(spec, main, feed), spec.keys).collect() if r.K}
+    assert rows == {1: (False, at("12:00")), 3: (True, None), 2: (False, at("12:00"))}

@@ -1,0 +1,34 @@
+"""The entry module without its optional part."""
+
+import os
+import subprocess
+import sys
+
+import pytest
+
+from siltline.plans.contract import queries
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+HIDE = """
+import sys
+class Hidden:
+    def find_spec(self, name, path=None, target=None):
+        if name.partition(".")[0] == {0!r} or name == {0!r}:
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Hidden())
+import __spark_entry__ as entry
+print(len(entry.queries()), len(entry.oracle_sql()))
+"""
+
+
+@pytest.mark.parametrize("hidden", ["zstandard", "tokenizers", "corpus_pipeline", "siltline.llm"])
+def test_core_queries_need_no_optional_part(hidden):
+    done = subprocess.run([sys.executable, "-c", HIDE.format(hidden)], cwd=ROOT, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.split() == [str(len(queries()))] * 2
+
+
+def test_a_fault_in_the_library_is_not_hidden():
+    hidden = "siltline.sources.workspace"
+    done = subprocess.run([sys.executable, "-c", HIDE.format(hidden)], cwd=ROOT, capture_output=True, text=True)
+    assert done.returncode != 0 and hidden in done.stderr
