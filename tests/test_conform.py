@@ -249,7 +249,7 @@ def test_reconciliation_from_key_snapshots(spark):
         (1, "a", True, at("12:00"), at("12:00")),
         (2, None, True, at("12:00"), at("12:00")),
     }
-    plan = feed._jdf.queryExecution().executedPlan().toString()
+    plan = feed.select("*")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     assert recon_from_snapshots(before, before, spec, taken_at="2024-01-01 12:00:00").count() == 0
     # merged like any reconciliation: the row stays, is inactive and knows when it went
