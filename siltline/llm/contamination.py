@@ -1,24 +1,35 @@
-"""Operator 10, benchmark decontamination: MinHash containment search, verified exactly.
+"""Operator 10, benchmark decontamination: MinHash containment search by size partitions, verified exactly.
 
-One signature length serves items of all sizes: the ``signature`` smallest hashes of an item's shingles, or all of them
-if it has fewer. Only the width of the shingles sets items apart. A document holds a share c
-of an item's shingles if and only if it holds about the share c of its signature, whatever the document's own size, so
-signatures are looked up among the hashed shingles of whole documents (a signature of the *document* would have to
-grow with it to see a short item at all). A pair with at least a quarter of the signature is a candidate: at a
-containment of 0.8 and 16 values that misses one pair in 10^8; items of up to 16 shingles are found for certain above
-one quarter. Candidates are verified on the text: the share of the item's distinct shingles that stand in the document.
+Test items are partitioned by their number of shingles, up to 8, 16, 32 and so on. An item's signature are its smallest
+shingle hashes, and each partition has a signature length and a number of matches that make a candidate of its own
+(:func:`partitions`). Items of up to 8 shingles are looked up by all of them. Beyond, larger items must match in more
+places, since a longer text meets more passages by chance, and the signature is as long as that takes for a pair at the
+threshold to be missed at most once in ``1 / miss`` cases. Items that a partition's signature covers whole are found for
+certain.
+
+A document holds a share c of an item's shingles if and only if it holds about the share c of its signature, whatever
+the document's own size, so signatures are looked up among the hashed shingles of whole documents (a signature of the
+*document* would have to grow with it to see a short item at all). A document meets only the partitions whose items it
+is large enough to hold. Candidates are verified on the text: the share of the item's distinct shingles that stand in
+the document.
 
 Words are runs of letters and digits, in lower case; shingles take ``words`` of them, and a shorter item is one shingle.
 Everything is DataFrame functions. Signatures and candidates are broadcast only if they are counted and few
 (``common.narrow``); otherwise the same joins shuffle.
 
 Defined cases: null texts, and items without a word, match nothing; equal (id, text) rows count as one, on both sides;
-ids may be null or shared by different texts; an empty table on either side gives no rows; other columns are ignored.
+ids may be null or shared by different texts; an empty table on either side gives no rows; other columns are ignored, and
+kept by :func:`decontaminate`, whatever their names.
 """
 
+import math
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltline.functions import columns as fx
 from siltline.llm.common import narrow, settle, table
 
 SEPARATORS = r"'[^\\p{L}\\p{N}]+'"
@@ -44,29 +55,77 @@ def shingle_hash(width: int, words: str, start: str) -> str:
     return f"xxhash64({', '.join(f'get({words}, {start} + {k})' for k in range(width))})"
 
 
-def signatures(items: DataFrame, signature: int, widths: list[int]) -> DataFrame:
-    """``hash, item, need``: the k smallest shingle hashes of an item, and how many of them make a candidate."""
+@dataclass(frozen=True)
+class Partition:
+    """Items of ``low`` to ``high`` shingles: the length of their signature and the matches that make a candidate."""
+
+    low: int
+    high: int
+    length: int
+    matches: int | None  # None: the signature is the whole item
+
+    def need(self, threshold: float) -> str:
+        """How many matches an item needs, given its ``size`` in shingles."""
+        whole = f"cast(ceil(round(size * {threshold!r}D, 9)) AS int)"
+        return whole if self.matches is None else f"if(size <= {self.length}, {whole}, {self.matches})"
+
+
+def sure_matches(length: int, threshold: float, miss: float) -> int:
+    """The most matches that ``length`` values of an item at the threshold reach but for a share ``miss`` of cases.
+
+    Matches are counted as if drawn with replacement, which strays further from the mean than a signature does.
+    """
+    below = 0.0
+    for n in range(length + 1):
+        below += math.comb(length, n) * threshold**n * (1 - threshold) ** (length - n)
+        if below > miss:
+            return n
+    return length
+
+
+def partitions(largest: int, threshold: float, miss: float) -> list[Partition]:
+    """Partitions for items of up to ``largest`` shingles."""
+    out, low, high = [], 1, 8
+    while low <= largest:
+        wanted = high.bit_length() - 1  # 4 matches up to 16 shingles, one more for every doubling
+        length = next((k for k in range(wanted, high) if sure_matches(k, threshold, miss) >= wanted), high)
+        out.append(Partition(low, high, length, wanted if high > 8 and length < high else None))
+        low, high = high + 1, 2 * high
+    return out
+
+
+def signatures(items: DataFrame, parts: list[Partition], threshold: float, widths: list[int]) -> DataFrame:
+    """``hash, item, need, least``: the signature of each item by its partition, how many matches make a candidate, and
+    how many shingles a document must have for any item of the partition."""
     by_width = " ".join(
         f"WHEN {n} THEN transform(transform(shingles, s -> split(s, ' ')), a -> {shingle_hash(n, 'a', '0')})"
         for n in widths
     )
-    smallest = F.expr(f"slice(array_sort(array_distinct(CASE width {by_width} END)), 1, {signature})")
-    kept = items.select("item", smallest.alias("hashes"))
-    return kept.select("item", F.expr("ceil(size(hashes) / 4)").alias("need"), F.explode("hashes").alias("hash"))
-
-
-def candidates(docs: DataFrame, items: DataFrame, *, signature: int) -> DataFrame:
+    hashed = items.selectExpr("item", f"array_sort(array_distinct(CASE width {by_width} END)) AS hashes", "size(shingles) AS size")
+    every = []
+    for part in parts:
+        own = hashed.where(f"size BETWEEN {part.low} AND {part.high}")
+        least = math.ceil(round(part.low * threshold, 9))
+        every.append(
+            own.selectExpr("item", f"{part.need(threshold)} AS need", f"{least} AS least", f"explode(slice(hashes, 1, {part.length})) AS hash")
+        )
+    return reduce(DataFrame.unionByName, every)
+
+
+def candidates(docs: DataFrame, items: DataFrame, *, threshold: float, miss: float) -> DataFrame:
     """``doc, item``: pairs that share enough of the item's signature. ``docs``: ``doc, text``."""
-    widths = sorted(r[0] for r in items.select("width").distinct().collect())  # 1 to the shingle length
-    if not widths:
+    sizes = items.groupBy("width").agg(F.max(F.size("shingles"))).collect()  # one row per width, 1 to the shingle length
+    if not sizes:
         return docs.limit(0).join(items.limit(0).select("item")).select("doc", "item")
-    index = narrow(settle(signatures(items, signature, widths)))
+    widths, largest = sorted(r[0] for r in sizes), max(r[1] for r in sizes)
+    index = narrow(settle(signatures(items, partitions(largest, threshold, miss), threshold, widths)))
     split = docs.select("doc", F.expr(words_of("text")).alias("w"))
     found = None
     for width in widths:
         grams = f"transform(sequence(0, size(w) - {width}), i -> {shingle_hash(width, 'w', 'i')})"
-        hashes = split.where(f"size(w) >= {width}").select("doc", F.explode(F.expr(grams)).alias("hash"))
-        part = hashes.join(index, "hash")
+        sized = split.where(f"size(w) >= {width}").selectExpr("doc", "w", f"size(w) - {width - 1} AS grams")
+        hashes = sized.select("doc", "grams", F.explode(F.expr(grams)).alias("hash"))
+        part = hashes.join(index, "hash").where("grams >= least").drop("grams", "least")
         found = part if found is None else found.unionByName(part)
     hits = found.distinct().groupBy("doc", "item", "need").count()
     return hits.where("count >= need").select("doc", "item")
@@ -82,15 +141,17 @@ def contained(
     item_text: str = "text",
     words: int = 5,
     threshold: float = 0.8,
-    signature: int = 16,
+    miss: float = 1e-6,
 ) -> DataFrame:
-    """Pairs of a document and an item that it holds: ``doc_id, text_hash, item_id, shingles, found, containment``."""
+    """Pairs of a document and an item that it holds: ``doc_id, text_hash, item_id, shingles, found, containment``.
+
+    ``miss`` bounds the share of pairs at the threshold that the search may overlook."""
     named = docs.select(
         F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("hash")).alias("doc"),
         F.col(text).alias("text"),
     ).where("text IS NOT NULL")
     items = items_of(benchmark, item_id=item_id, text=item_text, words=words)
-    pairs = settle(candidates(named, items, signature=signature))
+    pairs = settle(candidates(named, items, threshold=threshold, miss=miss))
     wanted = narrow(pairs.select("doc").distinct())
     texts = named.join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
     texts = texts.select("doc", F.expr(f"concat(' ', array_join({words_of('text')}, ' '), ' ')").alias("line"))
@@ -105,10 +166,11 @@ def contained(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold an item. Columns and all other rows stay as they are."""
     found = settle(contained(docs, benchmark, **options).select("doc_id", "text_hash").distinct())
-    bad = narrow(found).selectExpr("doc_id AS __bad_id", "text_hash AS __bad_hash")
-    key, text = options.get("doc_id", "doc_id"), options.get("text", "text")
-    same = F.col(key).eqNullSafe(F.col("__bad_id")) & (F.xxhash64(F.col(text)) == F.col("__bad_hash"))
-    return docs.join(bad, same, "left_anti")
+    key, text = (fx.quoted(options.get(c, c)) for c in ("doc_id", "text"))
+    # the rows travel as one struct, so no name of theirs can clash with the keys
+    rows = docs.select(F.struct("*").alias("row"), F.expr(key).alias("doc_id"), F.expr(f"xxhash64({text})").alias("text_hash"))
+    bad = narrow(found).selectExpr("doc_id AS bad_id", "text_hash AS bad_hash")
+    return rows.join(bad, F.expr("doc_id <=> bad_id AND text_hash = bad_hash"), "left_anti").select("row.*")
 
 
 def op10_benchmark_decontamination(spark, sf_dir) -> DataFrame:
