@@ -10,9 +10,10 @@ Only DataFrame functions are used. A passage can reach the threshold only if it
 words are anchors except the lightest ones whose weight all together stays below it. Passages without any anchor are
 never turned into vectors, which loses nothing. Frequencies are then counted for the words of the others alone.
 
-Defined cases: a null or empty text has no licence of its own but inherits; a null path has no licence, gives none and inherits none; a
-path without a slash lies in the root folder ''; rows with equal paths are judged by the best of their passages; ties
-go to the licence first in the alphabet; no templates, or an empty table: no licences, or no rows.
+Defined cases: a null or empty text has no licence of its own but inherits; a file with a null path keeps its own
+notice, but gives and inherits none; a path without a slash lies in the root folder ''; rows with equal paths are judged
+each by its own text; ties go to the licence first in the alphabet; no templates, or an empty table: no licences, or no
+rows.
 """
 
 from collections.abc import Mapping, Sequence
@@ -96,12 +97,12 @@ def scan(
     file's own notice, or of the licence file's.
     """
     spark = files.sparkSession
-    named = files.select(*carry, F.col(path).alias("path"), F.col(text).alias("text"))
+    named = files.select(*carry, F.col(path).alias("path"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
     total = named.count()
     own = own_licences(named, templates, total, licence_file, threshold) if total and templates else None
     out = named.drop("text").withColumn("folder_of", F.expr(folder_of("path")))
     if own is None:
-        own = spark.createDataFrame([], "path string, score double, back int, license string")
+        own = spark.createDataFrame([], "path string, text_hash long, score double, back int, license string")
     own = settle(own)
     givers = own.where(F.col("path").rlike(licence_file)).withColumn("folder", F.expr(folder_of("path")))
     best = F.max(F.struct("score", "back", "license"))
@@ -114,7 +115,9 @@ def scan(
     nearest = F.max(F.struct(F.length("folder").alias("depth"), "folder", "given", "given_score"))
     heirs = chain.join(narrow(givers), "folder").groupBy("folder_of").agg(nearest.alias("heir"))
     heirs = settle(heirs.selectExpr("folder_of", "heir.folder AS folder", "heir.given", "heir.given_score"))
-    met = out.join(narrow(own), "path", "left").join(narrow(heirs), "folder_of", "left")
+    # a file's own notice needs no path; only inheritance does
+    mine = narrow(own).selectExpr("path AS own_path", "text_hash AS own_hash", "license", "score")
+    met = out.join(mine, F.expr("path <=> own_path AND text_hash = own_hash"), "left").join(narrow(heirs), "folder_of", "left")
     return met.selectExpr(
         *[f"`{c}`" for c in carry],
         "path",
@@ -128,7 +131,7 @@ def scan(
 def own_licences(
     files: DataFrame, templates: Mapping[str, Sequence[str]], total: int, licence_file: str, threshold: float
 ) -> DataFrame:
-    """``path, license, score`` of the files that hold a notice of their own."""
+    """``path, text_hash, license, score`` of the files that hold a notice of their own."""
     spark = files.sparkSession
     rows = [(i, -place, name, t) for place, name in enumerate(sorted(templates)) for i, t in enumerate(templates[name])]
     given = spark.createDataFrame(
@@ -150,7 +153,7 @@ def own_licences(
     held = files.withColumn("low", F.lower("text")).where(F.col("low").rlike(pattern))
     whole = F.when(F.col("path").rlike(licence_file), F.array("low")).otherwise(F.expr("cast(array() AS array<string>)"))
     passages = held.select(
-        "path", F.explode(F.array_distinct(F.concat(whole, F.split("low", r"[\r\n]+")))).alias("passage")
+        "path", "text_hash", F.explode(F.array_distinct(F.concat(whole, F.split("low", r"[\r\n]+")))).alias("passage")
     )
     passages = passages.where(F.col("passage").rlike(pattern)).distinct()
     passages = settle(passages.withColumn("id", F.md5("passage")))
@@ -165,12 +168,13 @@ def own_licences(
     likely = cosines.where(f"score >= {threshold}").join(F.broadcast(given.drop("text")), "template")
     best = F.max(F.struct("score", "back", "license"))
     likely = settle(likely.groupBy("id").agg(best.alias("best")))
-    found = passages.select("path", "id").join(narrow(likely), "id").groupBy("path")
-    return found.agg(F.max("best").alias("best")).select("path", "best.*")
+    found = passages.select("path", "text_hash", "id").join(narrow(likely), "id").groupBy("path", "text_hash")
+    return found.agg(F.max("best").alias("best")).select("path", "text_hash", "best.*")
 
 
 SHORT = 200  # characters
-PATH = f"source || '/' || lang || '/' || if(length(text) <= {SHORT}, 'LICENSE.', 'doc.') || CAST(doc_id AS STRING)"
+PATH = f"""concat(coalesce(source, ''), '/', coalesce(lang, ''), '/',
+    if(length(text) <= {SHORT}, 'LICENSE.', 'doc.'), coalesce(cast(doc_id AS string), ''))"""
 
 
 def op3_license_scan(spark, sf_dir) -> DataFrame:
@@ -186,14 +190,17 @@ _GIVEN = ", ".join(
 )
 
 OP3_SQL = f"""
-WITH files AS (SELECT doc_id, text, {PATH} AS path FROM documents),
+WITH files AS (
+  SELECT row_number() OVER () AS file, doc_id, text, concat_ws('/', coalesce(source, ''), coalesce(lang, ''),
+    CASE WHEN length(text) <= {SHORT} THEN 'LICENSE.' ELSE 'doc.' END || coalesce(CAST(doc_id AS VARCHAR), '')) AS path
+  FROM documents),
 total AS (SELECT count(*) AS files FROM files),
 given AS (SELECT * FROM (VALUES {_GIVEN}) AS v(template, license, text)),
 df AS (SELECT word, count(*) AS df FROM (SELECT unnest(list_distinct({_WORDS.format("text")})) AS word FROM files) GROUP BY word),
 passages AS (
-  SELECT DISTINCT path, passage FROM (
-    SELECT path, unnest(regexp_split_to_array(lower(text), '[\r\n]+')) AS passage FROM files
-    UNION ALL SELECT path, lower(text) FROM files WHERE regexp_matches(path, '(^|/)LICENSE[^/]*$'))),
+  SELECT DISTINCT file, path, passage FROM (
+    SELECT file, path, unnest(regexp_split_to_array(lower(text), '[\r\n]+')) AS passage FROM files
+    UNION ALL SELECT file, path, lower(text) FROM files WHERE regexp_matches(path, '(^|/)LICENSE[^/]*$'))),
 texts AS (SELECT DISTINCT passage AS id, passage FROM passages),
 words AS (SELECT id, word, count(*) AS n FROM (SELECT id, unnest({_WORDS.format("passage")}) AS word FROM texts) GROUP BY ALL),
 raw AS (
@@ -212,8 +219,8 @@ cosines AS (
   FROM raw JOIN traw USING (word) JOIN lengths ON lengths.id = raw.id JOIN tlengths ON tlengths.template = traw.template
   GROUP BY raw.id, traw.template),
 own AS (
-  SELECT path, license, score FROM (
-    SELECT path, license, score, row_number() OVER (PARTITION BY path ORDER BY score DESC, license) AS nth
+  SELECT file, path, license, score FROM (
+    SELECT file, path, license, score, row_number() OVER (PARTITION BY file ORDER BY score DESC, license) AS nth
     FROM passages JOIN cosines ON cosines.id = passages.passage JOIN given USING (template) WHERE score >= 0.6)
   WHERE nth = 1),
 givers AS (
@@ -222,13 +229,13 @@ givers AS (
       row_number() OVER (PARTITION BY regexp_replace(path, '/[^/]*$', '') ORDER BY score DESC, license) AS nth
     FROM own WHERE regexp_matches(path, '(^|/)LICENSE[^/]*$')) WHERE nth = 1),
 heirs AS (
-  SELECT path, folder, license, score FROM (
-    SELECT files.path, givers.folder, givers.license, givers.score,
-      row_number() OVER (PARTITION BY files.path ORDER BY length(givers.folder) DESC) AS nth
+  SELECT file, folder, license, score FROM (
+    SELECT files.file, givers.folder, givers.license, givers.score,
+      row_number() OVER (PARTITION BY files.file ORDER BY length(givers.folder) DESC) AS nth
     FROM files JOIN givers ON starts_with(files.path, givers.folder || '/')) WHERE nth = 1)
 SELECT doc_id, files.path, coalesce(own.license, heirs.license) AS license,
   round(coalesce(own.score, heirs.score), 6) AS score,
   CASE WHEN own.license IS NOT NULL THEN 'own' WHEN heirs.license IS NOT NULL THEN 'inherited' END AS origin,
   CASE WHEN own.license IS NULL THEN heirs.folder END AS folder
-FROM files LEFT JOIN own USING (path) LEFT JOIN heirs USING (path)
+FROM files LEFT JOIN own USING (file) LEFT JOIN heirs USING (file)
 """
