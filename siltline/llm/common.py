@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltline.functions.columns import quoted
 from siltline.sources.workspace import scratch, shared_folder
 
 BROADCAST_ROWS = 200_000
@@ -44,6 +45,17 @@ def narrow(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def nested(docs: DataFrame, **columns) -> DataFrame:
+    """``docs`` as one struct ``row`` beside other columns, so that no name in it can clash with theirs."""
+    return docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])
+
+
+def unnested(rows: DataFrame, columns: list[str], added: dict) -> DataFrame:
+    """The ``columns`` of ``row`` again, those in ``added`` replaced where they stand, and the others of ``added``."""
+    old = [(added[c] if c in added else F.col(f"row.{quoted(c)}")).alias(c) for c in columns]
+    return rows.select(*old, *[value.alias(name) for name, value in added.items() if name not in columns])
+
+
 def spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """The smallest index connected to each of ``n`` local nodes by the links ``a[i], b[i]``."""
     label = np.arange(n)

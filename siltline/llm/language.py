@@ -21,6 +21,9 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltline.functions.columns import quoted
+from siltline.llm.common import nested, unnested
+
 MOST_LANGUAGES = 1000
 UNDETERMINED = "und"
 
@@ -98,7 +101,8 @@ def identify(
     level: int = 6,
     piece_bytes: int = 2048,
 ) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``rejected`` (no language, or a margin below ``min_margin``)."""
+    """``docs`` with ``lang_pred``, ``score`` and ``rejected`` (no language, or a margin below ``min_margin``), which
+    replace columns of these names; all others are kept, whatever their names."""
     model = docs.sparkSession.sparkContext.broadcast(tuple(sorted(content.items())))
 
     @F.pandas_udf("lang_pred string, score double")
@@ -106,11 +110,10 @@ def identify(
         found = map(classifier(model.value, level, piece_bytes), texts)
         return pd.DataFrame(list(found), columns=["lang_pred", "score"])
 
-    guess = docs.withColumn("__guess", predict(F.col(text)))
-    unsure = F.expr(f"__guess.lang_pred = '{UNDETERMINED}' OR __guess.score < {min_margin}")
-    return guess.withColumns(
-        {"lang_pred": F.col("__guess.lang_pred"), "score": F.col("__guess.score"), "rejected": unsure}
-    ).drop("__guess")
+    rows = nested(docs, guess=predict(F.col(quoted(text))))
+    unsure = F.expr(f"guess.lang_pred = '{UNDETERMINED}' OR guess.score < {min_margin}")
+    added = {"lang_pred": F.col("guess.lang_pred"), "score": F.col("guess.score"), "rejected": unsure}
+    return unnested(rows, docs.columns, added)
 
 
 def op1_language_id(spark, sf_dir) -> DataFrame:

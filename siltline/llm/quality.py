@@ -214,7 +214,7 @@ def fit(
 
 
 def with_score(docs: DataFrame, model: Model | None, *, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the probability of class 1."""
+    """``docs`` with the probability of class 1 as ``name``, which replaces a column of that name."""
     if model is None:
         return docs.withColumn(name, F.lit(0.5))
     shared = docs.sparkSession.sparkContext.broadcast(model)

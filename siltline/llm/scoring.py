@@ -17,7 +17,8 @@ words are one unknown word and other pairs have no counts, is :func:`fit`.
 
 Defined cases: a null or empty text has 0 tokens, losses and score 0; without any target rows, or without others, both
 models are the same and all scores are 0; every row counts, copies included (texts are known by 64 bits of a hash); a null mark means "not target"; an empty
-table gives no rows. Other columns are kept.
+table gives no rows. Columns of the names that are added are replaced, others
+kept, whatever their names.
 """
 
 from collections.abc import Iterator
@@ -28,8 +29,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltline.llm.common import narrow, settle, slabs, table, word_hashes, word_spans
+from siltline.llm.common import narrow, nested, settle, slabs, table, unnested, word_hashes, word_spans
 
+LOSSES = ("n_tokens", "target_loss", "background_loss", "score")
 FLUSH = 1 << 21  # entries gathered by a task before they are combined
 
 
@@ -214,9 +216,9 @@ def with_losses(docs: DataFrame, model: Model, *, text: str = "text") -> DataFra
         rows = [shared.value.losses(t) for t in texts]
         return pd.DataFrame(rows, columns=["n_tokens", "target_loss", "background_loss"])
 
-    scored = docs.withColumn("__loss", score(F.col(text)))
-    out = {c: F.col(f"__loss.{c}") for c in ("n_tokens", "target_loss", "background_loss")}
-    return scored.withColumns(out | {"score": F.expr("__loss.target_loss - __loss.background_loss")}).drop("__loss")
+    rows = nested(docs, loss=score(F.col(text)))
+    means = [F.col(f"loss.{c}") for c in LOSSES[:3]]
+    return unnested(rows, docs.columns, dict(zip(LOSSES, (*means, means[1] - means[2]), strict=True)))
 
 
 def coded(model: Model, text: str | None) -> Iterator[tuple[np.ndarray, ...]]:
@@ -318,12 +320,12 @@ def score(
             out.append((tokens, *total, cold))
         return pd.DataFrame(out, columns=["tokens", "l0", "l1", "n"])
 
-    met = docs.withColumns({"__doc": F.xxhash64(text), "__listed": listed(F.col(text))})
-    sums = sums.selectExpr("doc AS __doc", "struct(l0, l1, n) AS __rest")
-    met = met.join(sums, "__doc", "left")
-    mean = "(__listed.l{0} + coalesce(__rest.l{0} * __listed.n / __rest.n, 0D)) / greatest(__listed.tokens, 1L)"
-    met = met.withColumns({"n_tokens": F.expr("__listed.tokens"), "target_loss": F.expr(mean.format(0)), "background_loss": F.expr(mean.format(1))})
-    return met.withColumn("score", F.expr("target_loss - background_loss")).drop("__doc", "__listed", "__rest")
+    met = nested(docs, doc=F.xxhash64(text), listed=listed(F.col(text)))
+    met = met.join(sums.selectExpr("doc", "struct(l0, l1, n) AS rest"), "doc", "left")
+    mean = "(listed.l{0} + coalesce(rest.l{0} * listed.n / rest.n, 0D)) / greatest(listed.tokens, 1L)"
+    losses = [F.expr(mean.format(side)) for side in (0, 1)]
+    added = dict(zip(LOSSES, (F.col("listed.tokens"), *losses, losses[0] - losses[1]), strict=True))
+    return unnested(met, docs.columns, added)
 
 
 def op9_lm_scoring(spark, sf_dir) -> DataFrame:

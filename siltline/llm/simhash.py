@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import components, settle, slabs, spanning
+from siltline.llm.common import nested, unnested, components, settle, slabs, spanning
 
 WIDTH = 64
 RUN = 16  # members of a run and runs of an upper node
@@ -212,12 +212,11 @@ def representatives(docs: DataFrame, *, words: int = 3, max_bits: int = 3) -> Da
     """``docs`` with one row for each group of near copies: that of the smallest id (of several texts with that id,
     the one with the smallest hash; of equal rows, any). The columns stay as they are."""
     groups = near_duplicates(docs, words=words, max_bits=max_bits)
-    keep = groups.where("doc_id <=> component_id").groupBy("group", F.col("component_id").alias("__keep_id"))
-    keep = keep.agg(F.min("text_hash").alias("__keep_hash")).drop("group").distinct()
-    hashed = docs.withColumn("__keep_text", F.xxhash64("text"))
-    same = F.expr("doc_id <=> __keep_id AND __keep_text = __keep_hash")
-    kept = hashed.join(keep, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "__keep_text"]).drop("__keep_text")
+    keep = groups.where("doc_id <=> component_id").groupBy("group", F.col("component_id").alias("keep_id"))
+    keep = keep.agg(F.min("text_hash").alias("keep_hash")).drop("group").distinct()
+    rows = nested(docs, doc_id=F.col("doc_id"), text_hash=F.xxhash64("text"))
+    kept = rows.join(keep, F.expr("doc_id <=> keep_id AND text_hash = keep_hash"), "left_semi")
+    return unnested(kept.dropDuplicates(["doc_id", "text_hash"]), docs.columns, {})
 
 
 def op8_simhash_near_dedup(spark, sf_dir) -> DataFrame:

@@ -6,12 +6,15 @@ it touches. In stretches without white space any character may begin a chunk, un
 shorter than ``LEAST`` bytes unless it is a text's last, and none longer than about ``MOST``.
 
 Single short chunks repeat by chance, so what is deduplicated is a *window*: a chunk with as many chunks after it as
-make at least ``min_words`` words (and, at its end, the shortest run of chunks with as many). Windows are identified by 96 bits of a digest. The first window of a digest, in order
+make at least ``min_words`` words, or ``min_bytes`` bytes where words are long or white space is missing, as in Chinese,
+base64 or minified code (and, at its end, the shortest run of chunks with as many). Windows are identified by 96 bits of
+a digest. The first window of a digest, in order
 of document id, text hash and place, stays; in all later ones every chunk of the window is cut out. A text thus keeps
 what nobody said before it. Digests are combined map-side, only repeated ones travel back, and the spans of a document
 meet in that document's row, so a passage in a third of all documents is no hot spot.
 
-Defined cases: a null text stays null and an empty one empty; a text of fewer than ``min_words`` words loses nothing;
+Defined cases: a null text stays null and an empty one empty; a text of fewer than ``min_words`` words and ``min_bytes``
+bytes loses nothing;
 within one text repeats count too; rows equal in id and text are one document and are cut alike; null ids come first
 in the order; an empty table gives no rows; other columns are kept, whatever their names.
 """
@@ -25,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltline.functions import columns as fx
-from siltline.llm.common import settle, word_spans
+from siltline.llm.common import nested, settle, unnested, word_spans
 
 LEAST, MOST = 16, 1024
+MIN_BYTES = 400  # of a window with too few words; about three times what twenty words take
 WORD_MASK = np.uint8(0b1100_0000)  # one word start in four
 CHAR_MASK = np.uint8(0b1111_1110)  # one character in 128, where white space is missing
 GEAR = np.random.default_rng(20).integers(0, 256, 256).astype(np.uint8)  # the low eight bits suffice for the masks
@@ -72,18 +76,18 @@ def chunk_starts(data: np.ndarray, word_starts: np.ndarray) -> np.ndarray:
     return np.array(starts)
 
 
-def windows(text: str | None, min_words: int) -> Iterator[tuple[int, int, int]]:
-    """``digest, begin, end`` (in bytes) of the window at every chunk that has enough words after it, and of the
-    shortest one that ends with the text."""
+def windows(text: str | None, min_words: int, min_bytes: int = MIN_BYTES) -> Iterator[tuple[int, int, int]]:
+    """``digest, begin, end`` (in bytes) of the window at every chunk that has enough words or bytes after it, and of
+    the shortest one that ends with the text."""
     raw = (text or "").encode()
     data = np.frombuffer(raw, np.uint8)
     word_starts, _ = word_spans(data)
-    if len(word_starts) < min_words:
+    if len(word_starts) < min_words and len(raw) < min_bytes:
         return
     starts = chunk_starts(data, word_starts)
     borders = np.r_[starts, len(raw)]
     before = np.searchsorted(word_starts, borders)  # words that begin before each border
-    upto = np.searchsorted(before, before[:-1] + min_words)
+    upto = np.minimum(np.searchsorted(before, before[:-1] + min_words), np.searchsorted(borders, starts + min_bytes))
     whole = upto < len(borders)
     begins, ends = starts[whole], borders[upto[whole]]
     if ends[-1] < len(raw):
@@ -100,7 +104,7 @@ def split_digests(digests: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return words[:, 0], words[:, 1].astype(np.int32)
 
 
-def window_rows(docs: DataFrame, min_words: int) -> DataFrame:
+def window_rows(docs: DataFrame, min_words: int, min_bytes: int) -> DataFrame:
     """``id, hash, d1, tail, size``: the windows of each text. ``tail`` is the second part of the digest and the begin in
     one number, ``size`` the bytes to the end: rows go through two shuffles and compress best with few zeros between."""
     kind = dict(docs.dtypes)["id"]
@@ -109,7 +113,7 @@ def window_rows(docs: DataFrame, min_words: int) -> DataFrame:
         for frame in frames:
             for at in range(0, len(frame), 512):
                 part = frame.iloc[at : at + 512]
-                found = [list(windows(t, min_words)) for t in part["text"]]
+                found = [list(windows(t, min_words, min_bytes)) for t in part["text"]]
                 d1, d2 = split_digests([w[0] for ws in found for w in ws])
                 begins, ends = (np.array([w[n] for ws in found for w in ws], np.int64) for n in (1, 2))
                 tail, size = d2.astype(np.int64) << 32 | begins, (ends - begins).astype(np.int32)
@@ -132,14 +136,14 @@ def shuffled_anew(column: str) -> str:
     return f"({column} ^ 0)"
 
 
-def repeated_spans(docs: DataFrame, *, doc_id: str, text: str, min_words: int) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, doc_id: str, text: str, min_words: int, min_bytes: int) -> DataFrame:
     """``id, hash, spans, first_ids``: what to cut from a text (numbers of begin and end), and who said it first.
 
     All windows are counted by the first part of the digest, in short rows that combine map-side. Only windows whose
     first part occurs again go on; they are settled and told apart by both parts.
     """
     named = docs.select(F.col(doc_id).alias("id"), F.expr(text_hash(text)).alias("hash"), F.col(text).alias("text"))
-    found = window_rows(named.where("text IS NOT NULL"), min_words)
+    found = window_rows(named.where("text IS NOT NULL"), min_words, min_bytes)
     often = found.groupBy("d1").count().where("count > 1").selectExpr(f"{shuffled_anew('d1')} AS k1")
     again = settle(found.join(often, F.expr("d1 = k1"), "left_semi"))
     begin, d2 = "(tail & 4294967295L)", "shiftright(tail, 32)"
@@ -175,13 +179,13 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*kept, raw[at:]]).decode()
 
 
-def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = 20) -> DataFrame:
+def dedup(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = 20, min_bytes: int = MIN_BYTES
+) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``, and two more columns, both empty where nothing was
     cut: ``removed_spans`` (begin and end in bytes of the old text) and ``first_doc_ids`` (the documents that hold what
-    was cut here; null ids are left out)."""
-    spans = repeated_spans(docs, doc_id=doc_id, text=text, min_words=min_words)
-    spans = spans.selectExpr("id AS __id", "hash AS __hash", "spans AS __spans", "first_ids AS __first")
-
+    was cut here; null ids are left out). Both replace columns of these names."""
+    spans = repeated_spans(docs, doc_id=doc_id, text=text, min_words=min_words, min_bytes=min_bytes)
     @F.pandas_udf("text string, spans array<struct<begin:int,end:int>>")
     def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
         rows = []
@@ -190,16 +194,12 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_wo
             rows.append((without(value, ranges) if ranges else value, [{"begin": b, "end": e} for b, e in ranges]))
         return pd.DataFrame(rows, columns=["text", "spans"])
 
-    same = F.expr("__key <=> __id AND __text_hash = __hash")
-    keyed = docs.withColumns({"__key": F.col(doc_id), "__text_hash": F.expr(text_hash(text))})
-    met = keyed.join(spans, same, "left").withColumn("__cut", cut(F.col(text), F.col("__spans")))
-    kind = dict(docs.dtypes)[doc_id]
-    first = F.coalesce(F.array_sort("__first"), F.expr(f"cast(array() AS array<{kind}>)"))
-    return met.select(
-        *[F.col("__cut.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
-        F.col("__cut.spans").alias("removed_spans"),
-        first.alias("first_doc_ids"),
-    )
+    rows = nested(docs, key=F.col(fx.quoted(doc_id)), text_hash=F.expr(text_hash(text)))
+    met = rows.join(spans, F.expr("key <=> id AND text_hash = hash"), "left")
+    met = met.withColumn("cut", cut(F.col(f"row.{fx.quoted(text)}"), F.col("spans")))
+    first = F.coalesce(F.array_sort("first_ids"), F.expr(f"cast(array() AS array<{dict(docs.dtypes)[doc_id]}>)"))
+    added = {text: F.col("cut.text"), "removed_spans": F.col("cut.spans"), "first_doc_ids": first}
+    return unnested(met, docs.columns, added)
 
 
 def op5_substring_dedup(spark, sf_dir) -> DataFrame:

@@ -64,7 +64,7 @@ def chunk_borders(raw):
     return [*starts, len(raw)]
 
 
-def substring_dedup(rows, min_words):
+def substring_dedup(rows, min_words, min_bytes=400):
     """The text left of each row; rows are (id, text)."""
     first, found = {}, []
     key = lambda r: (r[0] is not None, r[0] or 0, xxhash_of(r[1]))
@@ -75,7 +75,8 @@ def substring_dedup(rows, min_words):
         raw = text.encode()
         borders = chunk_borders(raw) if raw else []
         heads = [m.start() for m in re.finditer(rb"(?<![^\t-\r ])[^\t-\r ]", raw)]
-        enough = lambda a, b: bisect_left(heads, b) - bisect_left(heads, a) >= min_words  # noqa: E731, B023
+        words = lambda a, b: bisect_left(heads, b) - bisect_left(heads, a)  # noqa: E731, B023
+        enough = lambda a, b: words(a, b) >= min_words or b - a >= min_bytes  # noqa: E731, B023
         spans = {}
         for i, begin in enumerate(borders[:-1]):
             for end in borders[i + 1 :]:

@@ -1,15 +1,22 @@
 """Language, quality, substrings, packing, benchmark, scoring and licences."""
 
+import base64
+import itertools
+import math
+import re
 import zlib
 from itertools import combinations
 
+import duckdb
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 import zstandard
 
 import brute
 from compare import connect, check
-from siltline.llm import contamination, language, licenses, packing, quality, queries, scoring, substrings
+from siltline.llm import contamination, language, licenses, packing, quality, queries, scoring, simhash, substrings
 from siltline.llm.common import table, word_hashes, word_spans
 
 SF = "/root/testdata/sf0.01"
@@ -167,6 +174,133 @@ def test_op5_on_a_table(spark, sf_dir):
     assert rows(got, "doc_id", "text") == sorted(((i, t) for (i, _), t in zip(pairs, want, strict=True)), key=str)
 
 
+def test_substring_dedup_without_white_space(spark):
+    """Chinese, base64 and minified code: a passage inside two longer texts goes from the second, unique ones stay."""
+    rng = np.random.default_rng(12)
+    han = lambda n: "".join(map(chr, rng.integers(0x4E00, 0x9FA5, n)))
+    b64 = lambda n: base64.b64encode(rng.bytes(n)).decode()
+    code = lambda n: ";".join(f"v{i}={x}" for i, x in enumerate(rng.integers(0, 10**9, n)))
+    texts = []
+    for make, size in ((han, 900), (b64, 2000), (code, 150)):
+        shared = make(size)
+        texts += [make(size // 3) + shared + make(size // 2), make(size // 2) + shared + make(size // 3), make(size)]
+        texts += [f"words before it {shared} and some after", shared[:60]]
+    rows_in = list(enumerate(texts))
+    got = {r.doc_id: r for r in substrings.dedup(docs_of(spark, rows_in)).collect()}
+    assert [got[i].text for i, _ in rows_in] == brute.substring_dedup(rows_in, 20)
+    for n in range(0, len(texts), 5):
+        for again in (n + 1, n + 3):
+            assert len(got[again].text) < 0.75 * len(texts[again]) and n in got[again].first_doc_ids
+        for whole in (n, n + 2, n + 4):
+            assert got[whole].text == texts[whole] and got[whole].removed_spans == []
+
+
+def test_no_name_of_a_column_clashes(spark):
+    """Columns named like what the operators add or use inside: the former are replaced, the latter kept."""
+    inner = ["row", "key", "id", "hash", "text_hash", "spans", "cut", "first_ids", "guess", "loss", "doc", "listed", "rest", "keep_id", "keep_hash"]
+    added = ["lang_pred", "score", "rejected", "removed_spans", "first_doc_ids", "n_tokens", "target_loss", "background_loss"]
+    base = spark.createDataFrame([(1, "one two three", True), (2, "four five", False), (3, None, None)], "doc_id long, text string, target boolean")
+    docs = base.withColumns({c: F.lit(f"old {c}") for c in [*inner, *(f"__{c}" for c in inner), *added]})
+    model = {"en": b"one two three four five", "de": b"eins zwei drei vier"}
+    results = {
+        ("lang_pred", "score", "rejected"): language.identify(docs, model),
+        ("removed_spans", "first_doc_ids"): substrings.dedup(docs),
+        ("n_tokens", "target_loss", "background_loss", "score"): scoring.score(docs),
+        ("score",): quality.with_score(docs, None),
+        (): simhash.representatives(docs),
+    }
+    for replaced, out in results.items():
+        assert out.columns == docs.columns
+        rows_out = out.collect()
+        assert len(rows_out) == 3
+        for r in rows_out:
+            assert all((r[c] == f"old {c}") == (c not in replaced) for c in [*inner, *added])
+
+
+def plain_features(text, longest=4):
+    """Buckets of byte and word-shape n-grams, from their definition."""
+    raw = (text or "").encode()
+    words = [m for m in re.findall(rb"[^\t-\r ]+", raw)]
+    shapes = []
+    for i, w in enumerate(words):
+        last = w[-1]
+        letter = ord("a") <= (last | 32) <= ord("z") or last >= 128 or ord("0") <= last <= ord("9")
+        code = 0 if letter else last
+        code += 256 * any(ord("a") <= c <= ord("z") for c in w) + 512 * (ord("A") <= w[0] <= ord("Z"))
+        code += 1024 * (w in words[max(i - 2, 0) : i]) + 2048 * (min(len(w), 31) // 4)
+        shapes.append(code)
+    out = set()
+    for symbols, start in ((list(raw), 0), (shapes, quality.SHAPES)):
+        for n in range(1, longest + 1):
+            for i in range(len(symbols) - n + 1):
+                code = start
+                for symbol, mix in zip(symbols[i : i + n], quality.MIX, strict=False):
+                    code = (code + symbol + 1) * int(mix) % 2**32
+                out.add((code ^ code >> 15) % quality.BUCKETS)
+    return out
+
+
+def test_quality_model_from_its_definition(spark):
+    """Features, log-count ratios, margins and scores, written out plainly over the labelled texts of the table."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    featurise = quality.Features()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for text in [*list(texts.values())[:60], None, "", " \t", "A", "éa é éa. É! aa aa"]:
+        assert set(featurise(text).tolist()) == plain_features(text)
+
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    taught = sorted({(xx(texts[d]), y, texts[d]) for d, y in known.items() if d in texts})
+    counts = {y: sum(1 for _, own, _ in taught if own == y) for y in (0, 1)}
+    # every fourth text of a class is kept for the curve
+    place, used, kept = {0: 0, 1: 0}, [], []
+    for _, y, text in taught:
+        held = counts[y] >= 8 and place[y] % 4 == 3
+        place[y] += 1
+        (kept if held else used).append((plain_features(text), y))
+    total = {y: [1.0] * quality.BUCKETS for y in (0, 1)}
+    for features, y in used:
+        for f in features:
+            total[y][f] += 1
+    sums = {y: sum(total[y]) for y in (0, 1)}
+    ratio = lambda f: math.log(total[1][f] / sums[1] / (total[0][f] / sums[0]))
+
+    model = quality.fit(docs, labels)
+    scale2 = model.squares
+    assert all(math.isclose(scale2[f], ratio(f) ** 2, rel_tol=1e-9, abs_tol=1e-15) for f in range(0, quality.BUCKETS, 37))
+
+    # the weights are the optimum of the hinge loss: their duality gap closes
+    plain_w = {f: (model.weights[f] / ratio(f) if ratio(f) else 0.0) for f in set().union(*(x for x, _ in used))}
+    losses = 0.0
+    for features, y in used:
+        length = math.sqrt(sum(ratio(f) ** 2 for f in features)) or 1e-12
+        margin = sum(plain_w[f] * ratio(f) for f in features) / length + model.constant
+        losses += max(0.0, 1 - (1 if y else -1) * margin)
+        assert math.isclose(margin, model.margin(np.array(sorted(features))), rel_tol=1e-6, abs_tol=1e-9)
+    objective = sum(w * w for w in plain_w.values()) / 2 + model.constant**2 / 2 + losses
+    assert objective <= len(used)  # better than no weights at all
+
+    # Platt's curve: no slope and shift nearby fit the kept texts better
+    up, down = sum(y for _, y in kept), sum(1 - y for _, y in kept)
+    def misfit(slope, shift):
+        out = 0.0
+        for features, y in kept:
+            p = 1 / (1 + math.exp(-(slope * model.margin(np.array(sorted(features))) + shift)))
+            t = (up + 1) / (up + 2) if y else 1 / (down + 2)
+            out -= t * math.log(p) + (1 - t) * math.log(1 - p)
+        return out
+    best = misfit(model.slope, model.shift)
+    assert all(best <= misfit(model.slope + a, model.shift + b) + 1e-6 for a in (-0.05, 0, 0.05) for b in (-0.05, 0, 0.05))
+    for r in quality.with_score(docs, model).limit(40).collect():
+        margin = model.margin(np.array(sorted(plain_features(r.text)), np.int64))
+        assert math.isclose(r.score, 1 / (1 + math.exp(-(model.slope * margin + model.shift))), rel_tol=1e-9)
+
+
+def xx(text):
+    code = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return code - 2**64 if code >= 2**63 else code
+
+
 def test_substring_dedup_tells_texts_of_one_id_apart(spark):
     said = " ".join(f"said{j}" for j in range(60))
     texts = [f"{said} end72421", " ".join(f"new6345x{j}" for j in range(60))]
@@ -321,9 +455,12 @@ def test_contamination_matches_brute_force(spark):
     docs += [docs[20], (None, items[8][1]), (31, "another text")]
     df = docs_of(spark, docs)
     bench = spark.createDataFrame([(*i, "x", 2) for i in items], "item_id long, text string, doc_id string, count int")
-    for signature in (16, 4):
-        got = contamination.contained(df, bench, signature=signature)
+    for miss in (1e-6, 1e-3):
+        got = contamination.contained(df, bench, miss=miss)
         assert {(r.doc_id, r.item_id) for r in got.collect()} == brute.contained(docs, items)
+    clashing = df.withColumns({c: F.lit("x") for c in ("bad_id", "row", "text_hash", "__bad_id", "hash", "item")})
+    assert contamination.decontaminate(clashing, bench).columns == clashing.columns
+    assert contamination.decontaminate(clashing, bench).count() == contamination.decontaminate(df, bench).count()
     bad = {d for d, _ in brute.contained(docs, items)}
     clean = contamination.decontaminate(df, bench)
     assert clean.columns == df.columns
@@ -334,6 +471,40 @@ def test_contamination_matches_brute_force(spark):
     assert contamination.decontaminate(df, bench.limit(0)).count() == len(docs)
 
 
+def test_size_partitions():
+    parts = contamination.partitions(300, 0.8, 1e-6)
+    assert [(p.low, p.high) for p in parts] == [(1, 8), (9, 16), (17, 32), (33, 64), (65, 128), (129, 256), (257, 512)]
+    assert parts[0].matches is None and parts[0].length == 8
+    for p in parts:
+        if p.matches is not None:
+            assert p.length < p.high and contamination.sure_matches(p.length, 0.8, 1e-6) >= p.matches
+            assert contamination.sure_matches(p.length - 1, 0.8, 1e-6) < p.matches
+    assert [p.matches for p in parts[2:]] == sorted(p.matches for p in parts[2:])  # larger items match more often
+    assert contamination.partitions(0, 0.8, 1e-6) == []
+
+
+def test_recall_of_each_partition(spark):
+    """Items of every size, each in a document that holds just four fifths of its shingles, at a high miss rate."""
+    rng = np.random.default_rng(9)
+    names = [f"w{i}" for i in range(5000)]
+    items, docs = [], []
+    for i in range(210):
+        size = [5, 12, 25, 50, 100, 200, 400][i % 7]
+        words = rng.choice(names, size + 4).tolist()
+        items.append((i, " ".join(words)))
+        cut = int(size * 0.81) + 5
+        docs.append((i, " ".join([*rng.choice(names, 30), *words[:cut], *rng.choice(names, 50)])))
+    want = brute.contained(docs, items)
+    df = docs_of(spark, docs)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    parts = contamination.partitions(400, 0.8, 0.02)
+    got = {(r.doc_id, r.item_id) for r in contamination.contained(df, bench, miss=0.02).collect()}
+    assert got <= want
+    for n in range(7):
+        mine = {(d, i) for d, i in want if i % 7 == n}
+        assert len(mine) >= 20 and len(got & mine) >= 0.9 * len(mine), parts[n]
+
+
 # ---- scoring
 
 
@@ -407,3 +578,26 @@ def test_licences_are_inherited_from_the_nearest_folder(spark):
     assert licenses.scan(df).count() == len(files)
     assert licenses.scan(df.limit(0)).collect() == []
     assert {r.license for r in licenses.scan(df, {}).collect()} == {None}
+
+
+def test_a_notice_needs_no_path(spark):
+    mit = f"{licenses.TEMPLATES['MIT'][0]}\ncode"
+    files = [(None, mit), (None, mit), (None, "code"), (None, None), ("a/x.py", mit), ("a/x.py", "other code")]
+    df = spark.createDataFrame(files, "path string, text string")
+    got = sorted(((r.path, r.license, r.origin) for r in licenses.scan(df).collect()), key=str)
+    assert got == sorted([(None, "MIT", "own")] * 2 + [(None, None, None)] * 2 + [("a/x.py", "MIT", "own"), ("a/x.py", None, None)], key=str)
+
+
+def test_license_query_with_nulls_equals_sql(spark, tmp_path):
+    """The SQL names the paths by itself."""
+    notices = [t for texts in licenses.TEMPLATES.values() for t in texts]
+    docs = [(i, f"line {i}\n{notices[i % len(notices)]}\n" + "more words here " * (i % 40), lang, source)
+            for i, (lang, source) in enumerate(itertools.product(["en", None, "de", ""], ["s1", None, "s2"]))]
+    docs += [(100 + i, f"no notice {i} " * 30, lang, source) for i, (_, _, lang, source) in enumerate(docs)]
+    docs += [(None, f"x\n{notices[0]}", None, None), (200, None, None, "s1"), (201, "", "en", None)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert check(spark, con, str(tmp_path), licenses.op3_license_scan, licenses.OP3_SQL) == ""
+    own = licenses.op3_license_scan(spark, str(tmp_path)).where("origin = 'own' AND doc_id < 12").count()
+    assert own == 12
