@@ -5,31 +5,35 @@ Both are bigram models over one vocabulary, trained on all rows: the target's ro
 same smoothing, and the background's counts brought to the target's total. The losses of a text are means per token,
 the score is target loss minus background loss: the lower, the more a text is like the target.
 
-Words are lower-case runs between white space. Every word and every pair of words has its own count, however rare
-(:func:`score`). Only *how* a count is found depends on how common it is: words with at least ``min_share`` of all
-tokens and pairs with at least ``min_pair_share`` are listed in a broadcast model, at most 1 / share entries of each.
-All other pairs of all texts are dealt by a hash of their words, counted and given their loss where they meet, and the
-losses summed by text; without the listed ones, no key is hot. A model of listed entries alone, in which all other
-words are one unknown word and other pairs have no counts, is :func:`fit`.
+Words are lower-case runs between white space. Every word and every pair of words has its own count, however rare, and
+the counts come to the texts (:func:`score`). Texts are packed into blocks of some megabytes. A block sends each distinct
+word and pair that it holds once, as 64 bits of a hash with its own counts, to the part of all keys where it belongs: keys
+are sorted, so few bytes a key suffice. The part adds up what all blocks sent and answers every block in the order asked,
+about a byte a key. A block that has its answers knows the counts of all its words and pairs and scores its texts alone.
+No key is hot, since a block sends it once; a text of any length is cut into pieces that know the word before them.
+A smaller model of frequent words and pairs alone, in which all other words are one unknown word and other pairs have no
+counts, is :func:`fit`.
 
     p(w)     = (c(w) + k q(w)) / (N + k)          q: the share in both together
     p(w | v) = (c(v w) + m p(w)) / (c(v) + m)     a text's first word follows a start mark
 
 Defined cases: a null or empty text has 0 tokens, losses and score 0; without any target rows, or without others, both
-models are the same and all scores are 0; every row counts, copies included (texts are known by 64 bits of a hash); a null mark means "not target"; an empty
-table gives no rows. Columns of the names that are added are replaced, others
+models are the same and all scores are 0; every row counts, copies included (texts are known by 64 bits of a hash); a
+null mark means "not target"; an empty table gives no rows. Columns of the names that are added are replaced, others
 kept, whatever their names.
 """
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import narrow, nested, settle, slabs, table, unnested, word_hashes, word_spans
+from siltline.functions.columns import quoted
+from siltline.llm.common import narrow, nested, settle, slabs, stored, table, unnested, word_hashes, word_spans
 
 LOSSES = ("n_tokens", "target_loss", "background_loss", "score")
 FLUSH = 1 << 21  # entries gathered by a task before they are combined
@@ -132,15 +136,12 @@ class Model:
 
 
 def build(
-    vocabulary: Vocabulary, words: np.ndarray, pairs: np.ndarray, counts: np.ndarray, *, starts: np.ndarray | None = None,
-    k: float = 1.0, m: float = 20.0,
+    vocabulary: Vocabulary, words: np.ndarray, pairs: np.ndarray, counts: np.ndarray, *, k: float = 1.0, m: float = 20.0
 ) -> Model:
-    """``words``: [2, words and unknown] counts; ``counts``: [2, pairs]; ``starts``: [2, 1] texts that start, if not
-    those of the listed pairs. Target first, then the rest."""
+    """``words``: [2, words and unknown] counts; ``counts``: [2, pairs]. Target first, then the rest."""
     words, counts = words.astype(np.float64), counts.astype(np.float64)
     before, word = np.divmod(pairs, vocabulary.width)
-    if starts is None:
-        starts = counts[:, before == vocabulary.unknown + 1].sum(axis=1, keepdims=True)
+    starts = counts[:, before == vocabulary.unknown + 1].sum(axis=1, keepdims=True)
     totals = words.sum(axis=1)
     if not totals.all():  # one side is empty: both models are that of all rows
         words = np.stack([words.sum(axis=0)] * 2)
@@ -161,50 +162,25 @@ def build(
 
 
 def fit(docs: DataFrame, *, min_share: float = 1e-5, min_pair_share: float = 2e-6) -> Model:
-    """A model of the listed words and pairs, from ``text`` and ``target`` (boolean) of all rows."""
-    return listed_model(marked_texts(docs), min_share, min_pair_share)[0]
-
-
-def marked_texts(docs: DataFrame) -> DataFrame:
-    return docs.select("text", F.coalesce("target", F.lit(False)).alias("target")).where("text IS NOT NULL")
-
-
-def listed_model(
-    marked: DataFrame, min_share: float, min_pair_share: float, whole: bool = False, **smoothing
-) -> tuple[Model, list[int]]:
-    """The model and the tokens of target and rest. If ``whole``, unlisted words have counts elsewhere: no pair with
-    one is listed, and all texts count as starts."""
-    words = counted(marked, hashed_words).persist()
-    try:
-        totals = words.agg(F.sum("t"), F.sum("b")).first()
-        n = sum(x or 0 for x in totals)
-        listed = words.where(f"t + b >= {min_share * n!r}").toArrow().sort_by("key")
-    finally:
-        words.unpersist()
+    """A model of the words and pairs that make up these shares of all tokens, from ``text`` and ``target`` (boolean) of
+    all rows."""
+    marked = marked_texts(docs)
+    words = settle(counted(marked, hashed_words))
+    totals = words.agg(F.sum("t"), F.sum("b")).first()
+    n = sum(x or 0 for x in totals)
+    listed = words.where(f"t + b >= {min_share * n!r}").toArrow().sort_by("key")  # at most 1 / min_share
     vocabulary = Vocabulary(listed["key"].to_numpy())
     known = np.stack([listed["t"].to_numpy(), listed["b"].to_numpy()])
     rest = np.array([[(t or 0)] for t in totals]) - known.sum(axis=1, keepdims=True)
     shared = marked.sparkSession.sparkContext.broadcast(vocabulary)
+    pairs = counted(marked, lambda text: shared.value.pairs(text))
+    frequent = pairs.where(f"t + b >= {min_pair_share * n!r}").toArrow().sort_by("key")
+    counts = np.stack([frequent["t"].to_numpy(), frequent["b"].to_numpy()])
+    return build(vocabulary, np.concatenate([known, rest], axis=1), frequent["key"].to_numpy(), counts)
 
-    def keys_of(text: str | None) -> Iterator[np.ndarray]:
-        for keys in shared.value.pairs(text):
-            before, word = np.divmod(keys, shared.value.width)
-            yield keys[(before != shared.value.unknown) & (word != shared.value.unknown)] if whole else keys
 
-    pairs, starts = counted(marked, keys_of), None
-    if whole:
-        begun = marked.where(r"text RLIKE '[^\\t-\\r ]'").groupBy("target").count().collect()
-        starts = np.array([[sum(r["count"] for r in begun if r["target"] == side)] for side in (True, False)], float)
-    frequent = pairs.where(f"t + b >= {min_pair_share * n!r}").toArrow().sort_by("key")
-    model = build(
-        vocabulary,
-        np.concatenate([known, rest], axis=1),
-        frequent["key"].to_numpy(),
-        np.stack([frequent["t"].to_numpy(), frequent["b"].to_numpy()]),
-        starts=starts,
-        **smoothing,
-    )
-    return model, [x or 0 for x in totals]
+def marked_texts(docs: DataFrame) -> DataFrame:
+    return docs.select("text", F.coalesce("target", F.lit(False)).alias("target")).where("text IS NOT NULL")
 
 
 def with_losses(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
@@ -221,110 +197,197 @@ def with_losses(docs: DataFrame, model: Model, *, text: str = "text") -> DataFra
     return unnested(rows, docs.columns, dict(zip(LOSSES, (*means, means[1] - means[2]), strict=True)))
 
 
-def coded(model: Model, text: str | None) -> Iterator[tuple[np.ndarray, ...]]:
-    """In parts, of each token: the number of its pair in the model or -1, the codes of its word and of the one before
-    it. The code of a listed word is its id, that of another its hash."""
-    vocabulary = model.vocabulary
-    last_id = last_code = vocabulary.unknown + 1
-    for hashes in hashed_words(text):
-        ids = vocabulary.ids(hashes)
-        codes = np.where(ids == vocabulary.unknown, hashes, ids)
-        keys = np.r_[last_id, ids[:-1]] * vocabulary.width + ids
-        place = np.full(len(keys), -1)
-        if len(model.pairs):
-            near = np.minimum(np.searchsorted(model.pairs, keys), len(model.pairs) - 1)
-            place = np.where(model.pairs[near] == keys, near, -1)
-        yield place, codes, np.r_[last_code, codes[:-1]]
-        last_id, last_code = ids[-1], codes[-1]
-
-
-def unlisted_losses(docs: DataFrame, shared, totals: list[int], k: float, m: float) -> DataFrame:
-    """``doc, l0, l1, n``: the losses of all unlisted pairs of a text and their number, over all copies of the text.
-
-    The loss of a pair is log(c(v) + m) - log(c(v w) + m p(w)). The second term needs the counts of the pair and of
-    its word, so pairs meet by word, or by pair if the word is a listed one. The first is added where ``v`` is counted:
-    here for unlisted words, once for each time that they occur and are not a text's last; elsewhere for listed ones.
-    """
-    spark = docs.sparkSession
-    known = len(shared.value.vocabulary.hashes)
-
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            held, size = [], 0
-            for doc, text, target in zip(frame["doc"], frame["text"], frame["target"], strict=True):
-                parts = list(coded(shared.value, text))
-                for nth, (place, word, before) in enumerate(parts):
-                    last = np.zeros(len(word), np.int32)
-                    last[-1] = nth == len(parts) - 1
-                    cold = place < 0
-                    word, before = word[cold], before[cold]
-                    listed = (word >= 0) & (word < known)
-                    by_pair, by_word = np.where(listed, before, 0), np.where(listed, 0, before)
-                    held.append((np.full(len(word), doc), last[cold] << 1 | int(target), word, by_pair, by_word))
-                    size += len(word)
-                if size >= 1 << 17:
-                    yield frame_of(held)
-                    held, size = [], 0
-            if held:
-                yield frame_of(held)
-
-    def frame_of(held: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
-        return pd.DataFrame(dict(zip(("doc", "mark", "w", "part", "v"), map(np.concatenate, zip(*held)), strict=True)))
-
-    dealt = docs.mapInPandas(rows, "doc long, mark int, w long, part long, v long").repartition("w", "part")
-    pair, word = Window.partitionBy("w", "part", "v"), Window.partitionBy("w", "part")
-    target = F.expr("mark & 1")
-    met = dealt.withColumns({"t2": F.sum(target).over(pair), "n2": F.count("*").over(pair)})
-    met = met.withColumns({"t1": F.sum(target).over(word), "n1": F.count("*").over(word)})
-    table_of = pd.DataFrame({"w": np.arange(known), "g0": shared.value.word_loss[0][:known], "g1": shared.value.word_loss[1][:known]})
-    given = spark.createDataFrame(table_of, "w long, g0 double, g1 double")
+# ---- counts of everything
+
+
+START = np.uint64(0x5EED)  # the word before a text's first
+
+
+def mixed(first: np.ndarray, second: np.ndarray | np.uint64) -> np.ndarray:
+    """64 bits of a hash of two numbers."""
+    code = first * np.uint64(0x9E3779B97F4A7C15) + second * np.uint64(0xC2B2AE3D27D4EB4F)
+    code ^= code >> np.uint64(29)
+    code *= np.uint64(0xBF58476D1CE4E5B9)
+    return code ^ (code >> np.uint64(32))
+
+
+def packed(frames: Iterator[pd.DataFrame], block_bytes: int) -> Iterator[pd.DataFrame]:
+    """Texts to blocks of pieces, each with its text's hash and mark, its number, and the word before it."""
+    names = ["block", "docs", "marks", "numbers", "befores", "pieces", "t", "b", "bytes"]
+    rows, size = [], 0
+
+    def block() -> pd.DataFrame:
+        tokens = [sum(n for *_, mark, n in rows if mark is side) for side in (True, False)]
+        columns = [list(c) for c in zip(*((d, mark, i, before, piece) for d, i, before, piece, mark, _ in rows), strict=True)]
+        return pd.DataFrame([(uuid.uuid4().int >> 66, *columns, *tokens, size)], columns=names)
+
+    for frame in frames:
+        for doc, text, target in zip(frame["doc"], frame["text"], frame["target"], strict=True):
+            before = int(START)
+            for number, slab in enumerate(slabs(text.lower().encode())):
+                starts, ends = word_spans(np.frombuffer(slab, np.uint8))
+                rows.append((doc, number, before, slab, bool(target), len(starts)))
+                if len(starts):
+                    last = np.frombuffer(slab[starts[-1] : ends[-1]], np.uint8)
+                    before = int(word_hashes(last, np.array([0]), np.array([len(last)]))[0].view(np.int64))
+                size += len(slab)
+                if size >= block_bytes:
+                    yield block()
+                    rows, size = [], 0
+    if rows:
+        yield block()
+
+
+class Keys:
+    """The distinct words and pairs of a block, and where each token's are among them."""
+
+    def __init__(self, row):
+        words, before, place = [], [], []
+        for i, (piece, previous) in enumerate(zip(row.pieces, row.befores, strict=True)):
+            data = np.frombuffer(piece, np.uint8)
+            own = word_hashes(data, *word_spans(data))
+            words.append(own)
+            before.append(np.r_[np.int64(previous).astype(np.uint64), own[:-1]][: len(own)])
+            place.append(np.full(len(own), i, np.int32))
+        words, before, self.piece = map(np.concatenate, (words, before, place))
+        marks = np.array(row.marks, bool)
+        self.words, self.word = np.unique(words, return_inverse=True)
+        # the words before are words of the block, the start, or the last word of an earlier piece
+        self.contexts, context = np.unique(np.r_[self.words, before], return_inverse=True)
+        own, context = context[: len(self.words)], context[len(self.words) :]
+        pairs, self.pair = np.unique(context * np.int64(len(self.words)) + self.word, return_inverse=True)
+        self.pair_context, self.pair_word = np.divmod(pairs, max(len(self.words), 1))
+        self.word_context = own  # the place of each word among the contexts
+        keys = np.r_[mixed(self.contexts, np.uint64(1)), mixed(mixed(self.contexts, np.uint64(2))[self.pair_context], self.words[self.pair_word])]
+        target = marks[self.piece]
+        size = len(self.contexts)
+        inside = np.zeros((2, len(keys)), np.int64)
+        for side, weight in enumerate((target, ~target)):
+            inside[side, :size] = np.bincount(own[self.word], weight, size)
+            inside[side, size:] = np.bincount(self.pair, weight, len(pairs))
+        first = np.flatnonzero((self.contexts == START)[context])
+        if len(first):  # a text begins there
+            inside[0, np.searchsorted(self.contexts, START)] += target[first].sum()
+            inside[1, np.searchsorted(self.contexts, START)] += (~target[first]).sum()
+        self.order = np.argsort(keys, kind="stable")
+        self.keys, self.counts = keys[self.order], inside[:, self.order]
+
+    def parts(self, bits: int) -> list[tuple[int, slice]]:
+        """Runs of keys that begin with the same ``bits``."""
+        which = (self.keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(self.keys), np.int64)
+        borders = np.r_[0, np.flatnonzero(np.diff(which)) + 1, len(which)]
+        return [(int(which[a]), slice(a, b)) for a, b in zip(borders[:-1], borders[1:], strict=True) if b > a]
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the first one and the steps between them, in as few whole bytes as the largest step needs."""
+    steps = np.diff(keys)
+    width = max((int(steps.max(initial=0)).bit_length() + 7) // 8, 1)
+    return keys[:1].tobytes() + bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    first, width = np.frombuffer(data, np.uint64, 1), data[8]
+    steps = np.zeros(((len(data) - 9) // width, 8), np.uint8)
+    steps[:, :width] = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
+    return np.cumsum(np.r_[first, steps.view(np.uint64).ravel()], dtype=np.uint64)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """One byte for a count below 255, and all larger ones after those bytes."""
+    large = counts[counts >= 255].astype(np.int64)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + large.tobytes()
+
+
+def unpack_counts(data: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, np.int64, offset=n)
+    return counts
+
+
+def asked(frames: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
+    """What every block asks of every part: its keys there, with its own counts."""
+    for frame in frames:
+        for row in frame.itertuples():
+            keys = Keys(row)
+            rows = [
+                (row.block, part, run.stop - run.start, pack_keys(keys.keys[run]), *(pack_counts(c[run]) for c in keys.counts))
+                for part, run in keys.parts(bits)
+            ]
+            yield pd.DataFrame(rows, columns=["block", "part", "n", "keys", "t", "b"])
+
+
+def answered(part: pd.DataFrame) -> pd.DataFrame:
+    """The counts of all blocks together for the keys of one part, to each block in the order it asked."""
+    found, place = np.unique(np.concatenate([unpack_keys(k) for k in part["keys"]]), return_inverse=True)
+    ends = np.cumsum(part["n"].to_numpy())
+    out = {"block": part["block"], "part": part["part"], "n": part["n"]}
+    for side in ("t", "b"):
+        own = np.concatenate([unpack_counts(c, n) for c, n in zip(part[side], part["n"], strict=True)])
+        total = np.zeros(len(found), np.int64)
+        np.add.at(total, place, own)
+        total = total[place]
+        out[side] = [pack_counts(total[end - n : end]) for end, n in zip(ends, part["n"], strict=True)]
+    return pd.DataFrame(out)
+
+
+def piece_losses(frames: Iterator[pd.DataFrame], totals: list[int], k: float, m: float) -> Iterator[pd.DataFrame]:
+    """``doc, number, tokens, l0, l1``: the summed losses of every piece of a block that has its answers."""
     one_side = not all(totals)  # then both models are that of all rows
     mass = max(float(sum(totals) if one_side else totals[0]), 1.0)
     scale = 1.0 if one_side else totals[0] / totals[1]
-    for n in (1, 2):
-        sides = (f"n{n}", f"n{n}") if one_side else (f"t{n}", f"(n{n} - t{n}) * {scale!r}D")
-        met = met.withColumns({f"c{n}{side}": F.expr(f"CAST({e} AS double)") for side, e in enumerate(sides)})
-    met = met.join(F.broadcast(given), "w", "left")
-    for side in (0, 1):
-        own = f"(c1{side} + {k!r}D * (c10 + c11) / 2) / ({mass * (1 + k)!r}D)"
-        p = f"if(g{side} IS NULL, {own}, exp(-g{side}))"
-        context = f"if(g{side} IS NULL AND mark < 2, ln(c1{side} + {m!r}D), 0D)"
-        met = met.withColumn(f"l{side}", F.expr(f"{context} - ln(c2{side} + {m!r}D * {p})"))
-    return met.groupBy("doc").agg(F.sum("l0").alias("l0"), F.sum("l1").alias("l1"), F.count("*").alias("n"))
-
-
-def score(
-    docs: DataFrame, *, text: str = "text", min_share: float = 1e-5, min_pair_share: float = 2e-6, k: float = 1.0, m: float = 20.0
-) -> DataFrame:
+    for frame in frames:
+        for row in frame.itertuples():
+            keys = Keys(row)
+            counts = np.empty((2, len(keys.keys)))
+            for side, name in enumerate(("t", "b")):
+                parts = [unpack_counts(a[name], a["n"]) for a in sorted(row.answers, key=lambda a: a["part"])]
+                counts[side, keys.order] = np.concatenate(parts) if parts else []
+            if one_side:
+                counts[:] = counts.sum(axis=0)
+            counts[1] *= scale
+            context, pair = counts[:, : len(keys.contexts)], counts[:, len(keys.contexts) :]
+            word = context[:, keys.word_context]
+            p = (word + k * word.sum(axis=0) / 2) / (mass * (1 + k))
+            loss = np.log(context[:, keys.pair_context] + m) - np.log(pair + m * p[:, keys.pair_word])
+            n = len(row.pieces)
+            sums = [np.bincount(keys.piece, loss[side, keys.pair], n) for side in (0, 1)]
+            tokens = np.bincount(keys.piece, minlength=n)
+            yield pd.DataFrame({"doc": row.docs, "number": row.numbers, "tokens": tokens, "l0": sums[0], "l1": sums[1]})
+
+
+def score(docs: DataFrame, *, text: str = "text", block_bytes: int = 6 << 20, k: float = 1.0, m: float = 20.0) -> DataFrame:
     """``docs`` with ``n_tokens, target_loss, background_loss, score`` by models with every word and pair of ``docs``,
-    which have a column ``target``. The shares bound what is broadcast and change no result."""
-    marked = docs.select(F.col(text).alias("text"), "target").transform(marked_texts)
-    model, totals = listed_model(marked, min_share, min_pair_share, whole=True, k=k, m=m)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    sums = settle(unlisted_losses(marked.withColumn("doc", F.xxhash64("text")), shared, totals, k, m))
-    context = model.back_loss + np.log(m)
-    context[:, model.vocabulary.unknown] = 0.0  # added where the word is counted
-    contexts = docs.sparkSession.sparkContext.broadcast(context)
-
-    @F.pandas_udf("tokens long, l0 double, l1 double, n long")
-    def listed(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for value in texts:
-            tokens, cold, total = 0, 0, np.zeros(2)
-            for place, _, before in coded(shared.value, value):
-                rare = place < 0
-                inside = (before >= 0) & (before < contexts.value.shape[1])
-                at = np.where(inside, before, shared.value.vocabulary.unknown)[rare]
-                total += shared.value.pair_loss[:, place[~rare]].sum(axis=1) + contexts.value[:, at].sum(axis=1)
-                tokens, cold = tokens + len(place), cold + int(rare.sum())
-            out.append((tokens, *total, cold))
-        return pd.DataFrame(out, columns=["tokens", "l0", "l1", "n"])
-
-    met = nested(docs, doc=F.xxhash64(text), listed=listed(F.col(text)))
-    met = met.join(sums.selectExpr("doc", "struct(l0, l1, n) AS rest"), "doc", "left")
-    mean = "(listed.l{0} + coalesce(rest.l{0} * listed.n / rest.n, 0D)) / greatest(listed.tokens, 1L)"
-    losses = [F.expr(mean.format(side)) for side in (0, 1)]
-    added = dict(zip(LOSSES, (F.col("listed.tokens"), *losses, losses[0] - losses[1]), strict=True))
+    which have a column ``target``. The size of blocks changes no result."""
+    column = F.col(quoted(text))
+    marked = docs.select(column.alias("text"), "target").transform(marked_texts).withColumn("doc", F.xxhash64("text"))
+    blocks, _ = stored(
+        marked.mapInPandas(
+            lambda frames: packed(frames, block_bytes),
+            "block long, docs array<long>, marks array<boolean>, numbers array<int>, befores array<long>,"
+            " pieces array<binary>, t long, b long, bytes long",
+        ),
+        "blocks",
+    )
+    *totals, size = (int(x or 0) for x in blocks.agg(F.sum("t"), F.sum("b"), F.sum("bytes")).first())
+    bits = max((size // block_bytes).bit_length(), 0)  # as many parts as blocks, or twice as many
+    pieces = blocks.drop("t", "b", "bytes")
+    answers = (
+        pieces.mapInPandas(lambda frames: asked(frames, bits), "block long, part long, n int, keys binary, t binary, b binary")
+        .groupBy("part")
+        .applyInPandas(answered, "block long, part long, n int, t binary, b binary")
+    )
+    # a block has one answer of each part, some two bytes a key of its own
+    answers = answers.groupBy("block").agg(F.collect_list(F.struct("part", "n", "t", "b")).alias("answers"))
+    lost = pieces.join(answers, "block").mapInPandas(
+        lambda frames: piece_losses(frames, totals, k, m), "doc long, number int, tokens long, l0 double, l1 double"
+    )
+    # copies of a text have equal pieces
+    sums = lost.groupBy("doc", "number").agg(*[F.any_value(c).alias(c) for c in ("tokens", "l0", "l1")])
+    sums = settle(sums.groupBy("doc").agg(*[F.sum(c).alias(c) for c in ("tokens", "l0", "l1")]))
+    met = nested(docs, doc=F.xxhash64(column)).join(sums.withColumnRenamed("doc", "own"), F.expr("doc = own"), "left")
+    losses = [F.expr(f"coalesce({c} / greatest(tokens, 1L), 0D)") for c in ("l0", "l1")]
+    added = dict(zip(LOSSES, (F.expr("coalesce(tokens, 0L)"), *losses, losses[0] - losses[1]), strict=True))
     return unnested(met, docs.columns, added)
 
 

@@ -9,6 +9,7 @@ from itertools import combinations
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ import zstandard
 import brute
 from compare import connect, check
 from siltline.llm import contamination, language, licenses, packing, quality, queries, scoring, simhash, substrings
-from siltline.llm.common import table, word_hashes, word_spans
+from siltline.llm.common import slabs, table, word_hashes, word_spans
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, score double, hash long, count int"
@@ -528,21 +529,50 @@ def test_scores_match_brute_force(spark, shares):
     assert scoring.with_losses(empty, scoring.fit(empty)).collect() == []
 
 
-@pytest.mark.parametrize("shares", [(1e-5, 2e-6), (0.02, 0.01), (2.0, 2.0)])
-def test_every_word_and_pair_counts_whatever_is_listed(spark, shares):
+def test_texts_in_pieces_score_like_whole_ones(monkeypatch):
+    """Blocks, requests, answers and losses without Spark, with texts cut every sixty bytes."""
+    monkeypatch.setattr(scoring, "slabs", lambda data: slabs(data, 60))
+    rng = np.random.default_rng(5)
+    texts = [(" ".join(f"w{int(x)}" for x in rng.zipf(1.6, rng.integers(0, 90))), i % 3 == 0) for i in range(40)]
+    texts += [("", True), (" \n" * 90 + "y", True), ("z" * 200, False)]
+    frame = pd.DataFrame([(i, *t) for i, t in enumerate(texts)], columns=["doc", "text", "target"])
+    blocks = pd.concat(scoring.packed(iter([frame]), 700))
+    assert len(blocks) > 5 and max(map(max, blocks["numbers"])) > 3
+    requests = pd.concat(scoring.asked(iter([blocks]), 3))
+    answers = pd.concat([scoring.answered(part) for _, part in requests.groupby("part")])
+    blocks["answers"] = [answers[answers["block"] == b].to_dict("records") for b in blocks["block"]]
+    totals = [int(blocks["t"].sum()), int(blocks["b"].sum())]
+    lost = pd.concat(scoring.piece_losses(iter([blocks]), totals, 1.0, 20.0)).groupby("doc").sum()
+    for i, (n, target, rest) in enumerate(brute.bigram_scores(texts, min_share=0, min_pair_share=0)):
+        got = lost.loc[i] if i in lost.index else {"tokens": 0, "l0": 0.0, "l1": 0.0}
+        assert got["tokens"] == n and np.allclose([got["l0"], got["l1"]], [n * target, n * rest], rtol=1e-9)
+
+
+@pytest.mark.parametrize("block_bytes", [6 << 20, 500, 60])
+def test_every_word_and_pair_counts(spark, block_bytes):
     rng = np.random.default_rng(8)
     words = [f"w{min(int(x), 300)}" for x in rng.zipf(1.5, 2400)]
     texts = [(" ".join(words[i * 40 : i * 40 + 40]) + (f" rare{i} end" if i % 2 else f" end rare{i}"), i % 3 == 0) for i in range(60)]
-    texts += [(None, True), ("", False), ("W1\tw2", None), (" x ", True), texts[0], (texts[1][0], True)]
+    texts += [(None, True), ("", False), ("W1\tw2", None), (" x ", True), texts[0], (texts[1][0], True), (" \n" * 90 + "y", True)]
     for chosen in (texts, [(t, False) for t, _ in texts]):
         df = spark.createDataFrame([(i, t, m) for i, (t, m) in enumerate(chosen)], "doc_id long, text string, target boolean")
-        got = scoring.score(df, min_share=shares[0], min_pair_share=shares[1]).orderBy("doc_id").collect()
+        got = scoring.score(df.repartition(3), block_bytes=block_bytes).orderBy("doc_id").collect()
         want = brute.bigram_scores(chosen, min_share=0, min_pair_share=0)
         assert [r.n_tokens for r in got] == [w[0] for w in want]
         assert np.allclose([(r.target_loss, r.background_loss) for r in got], [w[1:] for w in want], rtol=1e-9)
     assert scoring.score(df.limit(0)).collect() == []
 
 
+def test_keys_and_counts_travel_whole():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 300):
+        for top in (2**8, 2**40, 2**64 - 1):
+            keys = np.unique(rng.integers(0, top, n, dtype=np.uint64))
+            assert np.array_equal(scoring.unpack_keys(scoring.pack_keys(keys)), keys)
+            counts = rng.choice([0, 1, 254, 255, 256, 2**40], len(keys))
+            assert np.array_equal(scoring.unpack_counts(scoring.pack_counts(counts), len(keys)), counts)
+
+
 def test_word_hashes_tell_words_apart():
     text = "aa a aaa ab ba aa \x00 b aa".encode() + b" \n\t end"
     data = np.frombuffer(text, np.uint8)
