@@ -6,7 +6,7 @@ same smoothing, and the background's counts brought to the target's total. The l
 the score is target loss minus background loss: the lower, the more a text is like the target.
 
 Words are lower-case runs between white space. Every word and every pair of words has its own count, however rare, and
-the counts come to the texts (:func:`score`). Texts are packed into blocks of some megabytes. A block sends each distinct
+the counts come to the texts (:func:`score`). Texts are packed into blocks of a few megabytes. A block sends each distinct
 word and pair that it holds once, as 64 bits of a hash with its own counts, to the part of all keys where it belongs: keys
 are sorted, so few bytes a key suffice. The part adds up what all blocks sent and answers every block in the order asked,
 about a byte a key. A block that has its answers knows the counts of all its words and pairs and scores its texts alone.
@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -200,6 +201,7 @@ def with_losses(docs: DataFrame, model: Model, *, text: str = "text") -> DataFra
 # ---- counts of everything
 
 
+PART_BYTES = 8 << 20  # of text for each part of the keys
 START = np.uint64(0x5EED)  # the word before a text's first
 
 
@@ -213,20 +215,22 @@ def mixed(first: np.ndarray, second: np.ndarray | np.uint64) -> np.ndarray:
 
 def packed(frames: Iterator[pd.DataFrame], block_bytes: int) -> Iterator[pd.DataFrame]:
     """Texts to blocks of pieces, each with its text's hash and mark, its number, and the word before it."""
-    names = ["block", "docs", "marks", "numbers", "befores", "pieces", "t", "b", "bytes"]
+    names = ["block", "docs", "numbers", "befores", "marks", "lengths", "pieces", "t", "b", "bytes"]
     rows, size = [], 0
 
     def block() -> pd.DataFrame:
-        tokens = [sum(n for *_, mark, n in rows if mark is side) for side in (True, False)]
-        columns = [list(c) for c in zip(*((d, mark, i, before, piece) for d, i, before, piece, mark, _ in rows), strict=True)]
-        return pd.DataFrame([(uuid.uuid4().int >> 66, *columns, *tokens, size)], columns=names)
+        docs, numbers, befores, marks, pieces, words = map(list, zip(*rows, strict=True))
+        tokens = [sum(n for n, mark in zip(words, marks, strict=True) if mark is side) for side in (True, False)]
+        held = zstandard.compress(b"".join(pieces), 3)
+        row = (uuid.uuid4().int >> 66, docs, numbers, befores, marks, list(map(len, pieces)), held, *tokens, size)
+        return pd.DataFrame([row], columns=names)
 
     for frame in frames:
         for doc, text, target in zip(frame["doc"], frame["text"], frame["target"], strict=True):
             before = int(START)
             for number, slab in enumerate(slabs(text.lower().encode())):
                 starts, ends = word_spans(np.frombuffer(slab, np.uint8))
-                rows.append((doc, number, before, slab, bool(target), len(starts)))
+                rows.append((doc, number, before, bool(target), slab, len(starts)))
                 if len(starts):
                     last = np.frombuffer(slab[starts[-1] : ends[-1]], np.uint8)
                     before = int(word_hashes(last, np.array([0]), np.array([len(last)]))[0].view(np.int64))
@@ -242,9 +246,11 @@ class Keys:
     """The distinct words and pairs of a block, and where each token's are among them."""
 
     def __init__(self, row):
-        words, before, place = [], [], []
-        for i, (piece, previous) in enumerate(zip(row.pieces, row.befores, strict=True)):
-            data = np.frombuffer(piece, np.uint8)
+        words, before, place, at = [], [], [], 0
+        text = np.frombuffer(zstandard.decompress(row.pieces), np.uint8)
+        for i, (length, previous) in enumerate(zip(row.lengths, row.befores, strict=True)):
+            data = text[at : at + length]
+            at += length
             own = word_hashes(data, *word_spans(data))
             words.append(own)
             before.append(np.r_[np.int64(previous).astype(np.uint64), own[:-1]][: len(own)])
@@ -350,13 +356,13 @@ def piece_losses(frames: Iterator[pd.DataFrame], totals: list[int], k: float, m:
             word = context[:, keys.word_context]
             p = (word + k * word.sum(axis=0) / 2) / (mass * (1 + k))
             loss = np.log(context[:, keys.pair_context] + m) - np.log(pair + m * p[:, keys.pair_word])
-            n = len(row.pieces)
+            n = len(row.lengths)
             sums = [np.bincount(keys.piece, loss[side, keys.pair], n) for side in (0, 1)]
             tokens = np.bincount(keys.piece, minlength=n)
             yield pd.DataFrame({"doc": row.docs, "number": row.numbers, "tokens": tokens, "l0": sums[0], "l1": sums[1]})
 
 
-def score(docs: DataFrame, *, text: str = "text", block_bytes: int = 6 << 20, k: float = 1.0, m: float = 20.0) -> DataFrame:
+def score(docs: DataFrame, *, text: str = "text", block_bytes: int = 2 << 20, k: float = 1.0, m: float = 20.0) -> DataFrame:
     """``docs`` with ``n_tokens, target_loss, background_loss, score`` by models with every word and pair of ``docs``,
     which have a column ``target``. The size of blocks changes no result."""
     column = F.col(quoted(text))
@@ -364,13 +370,13 @@ def score(docs: DataFrame, *, text: str = "text", block_bytes: int = 6 << 20, k:
     blocks, _ = stored(
         marked.mapInPandas(
             lambda frames: packed(frames, block_bytes),
-            "block long, docs array<long>, marks array<boolean>, numbers array<int>, befores array<long>,"
-            " pieces array<binary>, t long, b long, bytes long",
+            "block long, docs array<long>, numbers array<int>, befores array<long>, marks array<boolean>,"
+            " lengths array<int>, pieces binary, t long, b long, bytes long",
         ),
         "blocks",
     )
     *totals, size = (int(x or 0) for x in blocks.agg(F.sum("t"), F.sum("b"), F.sum("bytes")).first())
-    bits = max((size // block_bytes).bit_length(), 0)  # as many parts as blocks, or twice as many
+    bits = (size // PART_BYTES).bit_length()
     pieces = blocks.drop("t", "b", "bytes")
     answers = (
         pieces.mapInPandas(lambda frames: asked(frames, bits), "block long, part long, n int, keys binary, t binary, b binary")

@@ -548,7 +548,7 @@ def test_texts_in_pieces_score_like_whole_ones(monkeypatch):
         assert got["tokens"] == n and np.allclose([got["l0"], got["l1"]], [n * target, n * rest], rtol=1e-9)
 
 
-@pytest.mark.parametrize("block_bytes", [6 << 20, 500, 60])
+@pytest.mark.parametrize("block_bytes", [2 << 20, 500, 60])
 def test_every_word_and_pair_counts(spark, block_bytes):
     rng = np.random.default_rng(8)
     words = [f"w{min(int(x), 300)}" for x in rng.zipf(1.5, 2400)]
