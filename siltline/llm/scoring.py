@@ -285,30 +285,27 @@ class Keys:
         return [(int(which[a]), slice(a, b)) for a, b in zip(borders[:-1], borders[1:], strict=True) if b > a]
 
 
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys as the first one and the steps between them, in as few whole bytes as the largest step needs."""
-    steps = np.diff(keys)
-    width = max((int(steps.max(initial=0)).bit_length() + 7) // 8, 1)
-    return keys[:1].tobytes() + bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers byte by byte of equal weight, so that the high bytes, mostly zero, compress to little."""
+    width = max((int(numbers.max(initial=0)).bit_length() + 7) // 8, 1)
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.compress(planes.tobytes(), 1)
 
 
-def unpack_keys(data: bytes) -> np.ndarray:
-    first, width = np.frombuffer(data, np.uint64, 1), data[8]
-    steps = np.zeros(((len(data) - 9) // width, 8), np.uint8)
-    steps[:, :width] = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    return np.cumsum(np.r_[first, steps.view(np.uint64).ravel()], dtype=np.uint64)
+def unpack_numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    numbers = np.zeros((planes.shape[1], 8), np.uint8)
+    numbers[:, : data[0]] = planes.T
+    return numbers.view("<u8").ravel()
 
 
-def pack_counts(counts: np.ndarray) -> bytes:
-    """One byte for a count below 255, and all larger ones after those bytes."""
-    large = counts[counts >= 255].astype(np.int64)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes() + large.tobytes()
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the first one and the steps between them."""
+    return keys[:1].tobytes() + pack_numbers(np.diff(keys))
 
 
-def unpack_counts(data: bytes, n: int) -> np.ndarray:
-    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(data, np.int64, offset=n)
-    return counts
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(np.r_[np.frombuffer(data, np.uint64, 1), unpack_numbers(data[8:])], dtype=np.uint64)
 
 
 def asked(frames: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
@@ -317,7 +314,7 @@ def asked(frames: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
         for row in frame.itertuples():
             keys = Keys(row)
             rows = [
-                (row.block, part, run.stop - run.start, pack_keys(keys.keys[run]), *(pack_counts(c[run]) for c in keys.counts))
+                (row.block, part, run.stop - run.start, pack_keys(keys.keys[run]), *(pack_numbers(c[run]) for c in keys.counts))
                 for part, run in keys.parts(bits)
             ]
             yield pd.DataFrame(rows, columns=["block", "part", "n", "keys", "t", "b"])
@@ -327,13 +324,13 @@ def answered(part: pd.DataFrame) -> pd.DataFrame:
     """The counts of all blocks together for the keys of one part, to each block in the order it asked."""
     found, place = np.unique(np.concatenate([unpack_keys(k) for k in part["keys"]]), return_inverse=True)
     ends = np.cumsum(part["n"].to_numpy())
-    out = {"block": part["block"], "part": part["part"], "n": part["n"]}
+    out = {"block": part["block"], "part": part["part"]}
     for side in ("t", "b"):
-        own = np.concatenate([unpack_counts(c, n) for c, n in zip(part[side], part["n"], strict=True)])
+        own = np.concatenate([unpack_numbers(c) for c in part[side]]).astype(np.int64)
         total = np.zeros(len(found), np.int64)
         np.add.at(total, place, own)
         total = total[place]
-        out[side] = [pack_counts(total[end - n : end]) for end, n in zip(ends, part["n"], strict=True)]
+        out[side] = [pack_numbers(total[end - n : end]) for end, n in zip(ends, part["n"], strict=True)]
     return pd.DataFrame(out)
 
 
@@ -347,7 +344,7 @@ def piece_losses(frames: Iterator[pd.DataFrame], totals: list[int], k: float, m:
             keys = Keys(row)
             counts = np.empty((2, len(keys.keys)))
             for side, name in enumerate(("t", "b")):
-                parts = [unpack_counts(a[name], a["n"]) for a in sorted(row.answers, key=lambda a: a["part"])]
+                parts = [unpack_numbers(a[name]) for a in sorted(row.answers, key=lambda a: a["part"])]
                 counts[side, keys.order] = np.concatenate(parts) if parts else []
             if one_side:
                 counts[:] = counts.sum(axis=0)
@@ -362,7 +359,7 @@ def piece_losses(frames: Iterator[pd.DataFrame], totals: list[int], k: float, m:
             yield pd.DataFrame({"doc": row.docs, "number": row.numbers, "tokens": tokens, "l0": sums[0], "l1": sums[1]})
 
 
-def score(docs: DataFrame, *, text: str = "text", block_bytes: int = 2 << 20, k: float = 1.0, m: float = 20.0) -> DataFrame:
+def score(docs: DataFrame, *, text: str = "text", block_bytes: int = 3 << 20, k: float = 1.0, m: float = 20.0) -> DataFrame:
     """``docs`` with ``n_tokens, target_loss, background_loss, score`` by models with every word and pair of ``docs``,
     which have a column ``target``. The size of blocks changes no result."""
     column = F.col(quoted(text))
@@ -381,10 +378,10 @@ def score(docs: DataFrame, *, text: str = "text", block_bytes: int = 2 << 20, k:
     answers = (
         pieces.mapInPandas(lambda frames: asked(frames, bits), "block long, part long, n int, keys binary, t binary, b binary")
         .groupBy("part")
-        .applyInPandas(answered, "block long, part long, n int, t binary, b binary")
+        .applyInPandas(answered, "block long, part long, t binary, b binary")
     )
-    # a block has one answer of each part, some two bytes a key of its own
-    answers = answers.groupBy("block").agg(F.collect_list(F.struct("part", "n", "t", "b")).alias("answers"))
+    # a block has one answer of each part, a few bytes a key of its own
+    answers = answers.groupBy("block").agg(F.collect_list(F.struct("part", "t", "b")).alias("answers"))
     lost = pieces.join(answers, "block").mapInPandas(
         lambda frames: piece_losses(frames, totals, k, m), "doc long, number int, tokens long, l0 double, l1 double"
     )
