@@ -32,17 +32,26 @@ def conform_main(
     load_time=None,
     load_user=None,
     on_cast_error="fail",
+    absent="fail",
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """The main view: rename, cast, active flag, audit block and sequence.
 
     ``load_time`` and ``load_user`` replace the processing time and session user, for reproducible runs;
     ``carry`` names feed columns to pass along as they are. With ``on_cast_error="reject"`` an extra column names the
-    columns whose casts failed.
+    columns whose casts failed. With ``absent="null"`` declared columns that the feed lacks are nulls; see
+    :func:`absent_columns`.
     """
+    if absent not in ("fail", "null"):
+        raise ValueError(f"absent must be 'fail' or 'null', not {absent!r}")
+    gone = absent_columns(feed, spec) if absent == "null" else set()
     out = []
     for column in spec.columns:
-        if isinstance(column, Null):
+        if isinstance(column, Source) and column.name in gone:
+            if not column.cast:
+                continue
+            value = fx.typed_null(column.cast)
+        elif isinstance(column, Null):
             value = fx.typed_null(column.cast)
         elif column.cast:
             value = fx.convert(fx.quoted(column.name), column.cast, on_cast_error)
@@ -54,17 +63,35 @@ def conform_main(
         fx.aliased(fx.load_user(load_user), LOADED_BY),
         fx.renamed(INGESTED_AT, EFFECTIVE_AT),
         *[fx.aliased(fx.typed_null(c.cast), c.target) for c in spec.audit_nulls],
-        *LINEAGE,
+        *[fx.aliased(fx.typed_null("string"), c) if c in gone else c for c in LINEAGE],
         fx.aliased(fx.load_time(load_time), LOAD_TIME),
     ]
     if spec.sequence:
-        out.append(fx.aliased(fx.first_known(spec.sequence), spec.sequence_column))
+        out.append(fx.aliased(fx.first_known([c for c in spec.sequence if c not in gone]), spec.sequence_column))
     if on_cast_error == "reject":
-        casts = [(fx.quoted(c.name), c.cast, c.target) for c in spec.columns if isinstance(c, Source) and c.cast]
+        read = [c for c in spec.columns if isinstance(c, Source) and c.name not in gone]
+        casts = [(fx.quoted(c.name), c.cast, c.target) for c in read if c.cast]
         out.append(fx.aliased(fx.cast_errors(casts) if casts else "cast(null AS array<string>)", REASONS))
     return feed.selectExpr(*out, *map(fx.quoted, carry))
 
 
+def absent_columns(feed: DataFrame, spec: EntitySpec) -> set[str]:
+    """The source columns of ``spec`` that the feed lacks, where it can do without them.
+
+    A column with a cast is then a null of that type. One without has no type of its own and is left out: a keyed table
+    keeps what it has under that name. Sequence columns are skipped while one of them is there. Keys, the ingestion time
+    and the removal time are never optional, since without them a row's place or state would be made up.
+    """
+    there = {c.lower() for c in feed.columns}  # Spark's names have no case either
+    gone = {c for c in spec.source_columns if c.lower() not in there}
+    needed = {k.name for k in spec.key_sources} | {INGESTED_AT, spec.removed_by}
+    if spec.sequence and gone.issuperset(spec.sequence):
+        needed |= set(spec.sequence)
+    if gone & needed:
+        raise ValueError(f"{spec.name}: the feed lacks {sorted(gone & needed)}")
+    return gone
+
+
 def cast_failures(feed: DataFrame, spec: EntitySpec) -> DataFrame:
     """``column_name, failed``: how many values of each cast column ``on_cast_error='null'`` would blank.
 
@@ -133,17 +160,19 @@ def change_events(
     load_time=None,
     load_user=None,
     on_cast_error="fail",
+    absent="fail",
     tie: str | None = None,
 ) -> DataFrame:
     """Both feeds of an entity as one set of change events over the target's columns.
 
     ``tie`` names a bigint column of both feeds that orders otherwise equal events. ``on_cast_error="reject"`` makes
-    main rows with malformed values rejects, with the names of those columns; see ``split_rejects``.
+    main rows with malformed values rejects, with the names of those columns; see ``split_rejects``. ``absent="null"``
+    lets the main feed lack declared columns; see ``absent_columns``.
     """
     carry = (tie,) if tie else ()
     order = dict(sequence=spec.sequence_column, exclude=spec.excluded, tie=tie)
     view = conform_main(
-        main, spec, load_time=load_time, load_user=load_user, on_cast_error=on_cast_error, carry=carry
+        main, spec, load_time=load_time, load_user=load_user, on_cast_error=on_cast_error, absent=absent, carry=carry
     )
     events = as_events(view, flow=MAIN, arrival=INGESTED_AT, **order)
     if recon is not None:

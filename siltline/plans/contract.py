@@ -260,6 +260,27 @@ def table_schema_growth(spark, sf):
     return shown(target.read())
 
 
+GROWING = replace(ACTIVITY, columns=(*ACTIVITY.columns, Source("count"), Source("ratio"), Source("price")))
+GROWN = ("COUNT", "RATIO", "PRICE", "PROPS", "ACTIVE_FLAG")
+
+
+def table_type_growth(spark, sf):
+    """A feed whose columns grow from int to bigint, float to double and to longer decimals, shrink again, and go."""
+    feed = main_feed(spark, sf)
+    ratio = "cast(user_id AS float) / 7"
+    parts = (
+        ("cast(event_id % 1000000 AS int)", f"cast({ratio} AS float)", "cast(event_id % 1000 + 0.25 AS decimal(6,2))"),
+        ("event_id + 5000000000", "cast(user_id AS double) / 8", "cast(event_id % 100000 + 0.0625 AS decimal(12,4))"),
+        ("cast(event_id % 100 AS smallint)", f"cast({ratio} AS float)", None),
+    )
+    target = KeyedTable(spark, scratch(spark, "growing"), GROWING.keys, buckets=width(spark), splits=1)
+    for i, (count, ratio, price) in enumerate(parts):
+        part = feed.where(f"event_id % 3 = {i}").selectExpr("*", f"{count} AS count", f"{ratio} AS ratio")
+        part = part.selectExpr("*", f"{price} AS price") if price else part.drop("props")
+        target.merge(change_events(GROWING, part, absent="null", tie=TIE, **LOAD))
+    return shown(target.read(), GROWING, GROWN)
+
+
 def recon_stub_rows(spark, sf):
     """Reconciliation rows for users the main feed never mentions."""
     strangers = recon_feed(spark, sf).withColumn("user_id", F.col("user_id") + 100000)
@@ -482,6 +503,7 @@ def queries() -> dict[str, Query]:
         "net_change_feed": net_change_feed,
         "active_rows_by_type": active_rows_by_type,
         "table_schema_growth": table_schema_growth,
+        "table_type_growth": table_type_growth,
         "null_sequence_rejects": null_sequence_rejects,
         "conversation_latest": conversation_latest,
         "document_latest": document_latest,

@@ -201,6 +201,21 @@ def recon_from_snapshots():
     return f"WITH {MAIN}, ev AS ({main_events(K3)} UNION ALL {gone}) {fold(K3, SHOWN)}"
 
 
+def table_type_growth():
+    by_part = lambda *values: f"CASE event_id % 3 WHEN 0 THEN {values[0]} WHEN 1 THEN {values[1]} ELSE {values[2]} END"
+    single = "CAST(CAST(user_id AS DOUBLE) / 7 AS FLOAT)"
+    grown = {
+        "COUNT": by_part("event_id % 1000000", "event_id + 5000000000", "event_id % 100"),
+        "RATIO": by_part(f"CAST({single} AS DOUBLE)", "CAST(user_id AS DOUBLE) / 8", f"CAST({single} AS DOUBLE)"),
+        "PRICE": f"CAST({by_part('event_id % 1000 + 0.25', 'event_id % 100000 + 0.0625', 'NULL')} AS DECIMAL(12,4))",
+    }
+    added = ", ".join(f"{sql} AS {name}" for name, sql in grown.items())
+    events = main_events().replace("props AS PROPS", "CASE WHEN event_id % 3 <> 2 THEN props END AS PROPS")
+    events = events.replace(" FROM main", f", {added} FROM main")
+    result = f"result AS ({fold(K2, [*grown, 'PROPS', 'ACTIVE_FLAG'])})"
+    return f"WITH {MAIN}, ev AS ({events}), {result} SELECT * REPLACE (CAST(PRICE AS VARCHAR) AS PRICE) FROM result"
+
+
 def line_latest():
     columns = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     columns += ["l_returnflag", "l_linestatus", "l_shipdate"]
@@ -252,6 +267,7 @@ def oracle_sql() -> dict[str, str]:
             row(_ingested_at, event_id) AS ord FROM main) {fold(["event_type", "user_id"], ["val", "props", "_ingested_at"])}""",
         "table_schema_growth": f"""{activity(recon=False).replace("props AS PROPS", "CASE WHEN event_id % 3 = 1 THEN props END AS PROPS")}
             {fold(K2, SHOWN)}""",
+        "table_type_growth": table_type_growth(),
         "main_behind_recon": f"""{activity().replace("FROM recon", "FROM recon WHERE event_id % 4 = 0")}, result AS ({fold(K2, SHOWN)}),
             last AS (SELECT EVENT_TYPE, USER_ID FROM ev GROUP BY ALL HAVING max(ord)[2] = 1)
             SELECT * FROM result SEMI JOIN last USING (EVENT_TYPE, USER_ID)""",

@@ -56,8 +56,10 @@ class KeptAggregate:
             totals = applied(self.read(since), totals, self.groups, self.sums)
         else:
             totals = totals.where("rows <> 0")
-        # a sum of sums would grow its type with every refresh
-        kinds = {f.name: f.dataType for f in self.read(since).schema} if kept else {f.name: f.dataType for f in totals.schema}
+        # a sum of sums would grow its type with every refresh; groups take the type that the table has by now
+        kinds = {f.name: f.dataType for f in totals.schema}
+        if kept:
+            kinds |= {f.name: f.dataType for f in self.read(since).schema if f.name not in self.groups}
         totals = totals.select(*[F.col(fx.quoted(n)).cast(t).alias(n) for n, t in kinds.items()])
         folder = f"v{until}-{uuid.uuid4().hex}"
         totals.write.parquet(f"{self.root}/data/{folder}")

@@ -13,13 +13,15 @@ taken for another. It becomes visible when its manifest does, which appears whol
 finished manifest, whatever else a writer that died may have left. Of two writers that race for a version one fails, and
 the other's data stay as they are. Each commit records the last epoch of its writer, so a replayed micro-batch is
 recognised and skipped.
+
+A column whose type grows widens the table's from that commit on; files written before are read with the wider type.
 """
 
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from copy import copy
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -34,14 +36,14 @@ from siltline.operators.upsert import (
     HOT_ROWS,
     SEQ,
     condense_hot_keys,
-    is_internal,
     split_rejects,
 )
+from siltline.operators.widening import as_stored, widened
 from siltline.sources.workspace import files_in, publish_text, read_text, remove, subfolders
 
 COUNTS = ("events", "rejected", "inserted", "updated")
 MANIFEST = f"""version int, attempt string, committed_at timestamp, {", ".join(f"{c} bigint" for c in COUNTS)}, rows bigint,
-    bucket_count int, held_by map<string,string>, epochs map<string,bigint>, row_schema string,
+    bucket_count int, held_by map<string,string>, epochs map<string,bigint>, row_schema string, reject_schema string,
     totals struct<commits:bigint,{",".join(f"{c}:bigint" for c in COUNTS)}>"""
 
 
@@ -55,6 +57,7 @@ class Layout:
     held_by: dict[int, str] = field(default_factory=dict)
     epochs: dict[str, int] = field(default_factory=dict)
     schema: StructType | None = None
+    reject_schema: StructType | None = None
     totals: dict[str, int] = field(default_factory=lambda: dict.fromkeys(("commits", *COUNTS), 0))
 
 
@@ -127,9 +130,10 @@ class KeyedTable:
         newest = json.loads(read_text(self.spark, self._manifest(versions[-1])))
         if newest["bucket_count"] != self.buckets:
             raise ValueError(f"{self.root} has {newest['bucket_count']} buckets, not {self.buckets}")
-        schema = StructType.fromJson(json.loads(newest["row_schema"])) if newest["row_schema"] else None
+        schemas = [newest.get(s) for s in ("row_schema", "reject_schema")]
+        schema, rejects = (StructType.fromJson(json.loads(s)) if s else None for s in schemas)
         held_by = {int(b): attempt for b, attempt in newest["held_by"].items()}
-        return Layout(newest["version"], newest["rows"], held_by, newest["epochs"], schema, newest["totals"])
+        return Layout(newest["version"], newest["rows"], held_by, newest["epochs"], schema, rejects, newest["totals"])
 
     def bucket_paths(self, layout: Layout | None = None) -> dict[int, str]:
         """Where each live bucket lies."""
@@ -200,15 +204,15 @@ class KeyedTable:
 
     def rejects(self) -> DataFrame:
         """All rejected events of published commits, as the commits wrote them, with the ``version`` of each."""
+        layout = self.layout()
         rejecting = self.commits().where("rejected > 0").select("attempt", "version").collect()
         if rejecting:
             base = f"{self.root}/rejects"
-            reader = self.spark.read.option("mergeSchema", "true").option("basePath", base)
+            reader = self.spark.read.schema(layout.reject_schema).option("basePath", base)
             rows = reader.parquet(*[f"{base}/attempt={r.attempt}" for r in rejecting])
             commits = self.spark.createDataFrame([tuple(r) for r in rejecting], "attempt string, version int")
             return rows.join(F.broadcast(commits), "attempt").drop("attempt")
-        schema = self.layout().schema
-        fields = [f for f in schema if f.name != EVENTS] if schema else []
+        fields = [f for f in layout.schema if f.name != EVENTS] if layout.schema else []
         return self.spark.createDataFrame([], StructType(fields)).withColumn("version", F.lit(0))
 
     # ---- writing
@@ -227,6 +231,9 @@ class KeyedTable:
     def _commit(self, events: DataFrame, layout: Layout, epochs: dict[str, int]) -> int:
         version = layout.version + 1
         attempt = f"v{version}-{uuid.uuid4().hex}"
+        if layout.schema:
+            layout = replace(layout, schema=widened(layout.schema, events.schema, self.keys))
+            events = as_stored(events, layout.schema)
         # one aggregate tells which buckets are touched, what is rejected and whether any key can be hot at all
         per_bucket = events.selectExpr(f"{self._bucket()} AS b", SEQ).groupBy("b")
         per_bucket = per_bucket.agg(F.expr(f"count({SEQ}) AS good"), F.expr(f"count_if({SEQ} IS NULL) AS bad"))
@@ -235,8 +242,12 @@ class KeyedTable:
         rejected = sum(r.bad for r in counts)
 
         ordered, rejects = split_rejects(events)
+        reject_schema = layout.reject_schema
         if rejected:
-            rejects.write.parquet(f"{self.root}/rejects/attempt={attempt}")
+            reject_schema = widened(reject_schema or rejects.schema, rejects.schema)
+            known = set(reject_schema.names)
+            reject_schema = StructType([*reject_schema, *[f for f in rejects.schema if f.name not in known]])
+            as_stored(rejects, reject_schema).write.parquet(f"{self.root}/rejects/attempt={attempt}")
         schema, written = layout.schema, {"inserted": 0, "updated": 0}
         if touched:
             if self.hot_rows is not None and max(r.good for r in counts) > self.hot_rows:
@@ -255,6 +266,7 @@ class KeyedTable:
             "held_by": {str(b): a for b, a in held_by.items()},
             "epochs": layout.epochs | epochs,
             "row_schema": schema.json() if schema else None,
+            "reject_schema": reject_schema.json() if reject_schema else None,
             "totals": totals,
         }
         try:
@@ -267,10 +279,6 @@ class KeyedTable:
 
     def _write(self, events: DataFrame, layout: Layout, touched: list[int], attempt: str):
         """Merge and write; returns the table's schema from now on, old columns and new ones, and the counts."""
-        known = {f.name: f for f in layout.schema or ()}
-        for f in events.schema:
-            if f.name in known and known[f.name].dataType != f.dataType and not is_internal(f.name):
-                raise ValueError(f"{f.name} is {known[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}")
         rows = absorb(
             self._rows(layout, touched),
             events,

@@ -240,6 +240,40 @@ def test_reject_mode_without_casts(spark):
         change_events(MEASURED, measured(spark, []), on_cast_error="drop")
 
 
+def test_columns_that_a_feed_lacks(spark):
+    full = measured(spark, [(1, "1.5", "7", "a", at("10:00"))])
+    with pytest.raises(Exception, match="hours"):
+        change_events(MEASURED, full.drop("hours"))
+    less = full.drop("hours", "name", "_source_table")
+    for mode in ("fail", "reject"):
+        events = change_events(MEASURED, less, absent="null", on_cast_error=mode)
+        assert "NAME" not in events.columns and events.schema["HOURS"].dataType.simpleString() == "double"
+        row = upsert(events, MEASURED.keys).first()
+        assert (row.HOURS, row.CODE, row["_source_table"], row["_source_system"]) == (None, 7, None, "s")
+    assert upsert(change_events(MEASURED, full, absent="null"), MEASURED.keys).first().NAME == "a"
+    assert change_events(MEASURED, full.withColumnRenamed("name", "NaMe"), absent="null").first().NAME == "a"
+
+    # a table keeps what it has
+    table = KeyedTable(spark, scratch(spark, "lacking"), MEASURED.keys, buckets=2)
+    table.merge(change_events(MEASURED, full))
+    later = measured(spark, [(1, None, "8", None, at("11:00"))]).drop("hours", "name")
+    table.merge(change_events(MEASURED, later, absent="null"))
+    row = table.read().first()
+    assert (row.HOURS, row.CODE, row.NAME) == (1.5, 8, "a")
+
+    # what a row's place or state depends on has to be there
+    for name in ("k", "changed", "_ingested_at"):
+        spec = replace(MEASURED, sequence=("changed",))
+        with pytest.raises(ValueError, match=f"measured: the feed lacks .*{name}"):
+            change_events(spec, full.drop(name), absent="null")
+    with pytest.raises(ValueError, match="dtRemoved"):
+        change_events(replace(MEASURED, removed_by="dtRemoved"), full, absent="null")
+    either = replace(MEASURED, sequence=("changed", "_ingested_at"))
+    assert change_events(either, full.drop("changed"), absent="null").first()["__seq"] == at("10:00")
+    with pytest.raises(ValueError, match="absent must be"):
+        change_events(MEASURED, full, absent="drop")
+
+
 def test_reconciliation_from_key_snapshots(spark):
     spec = replace(MEASURED, keys=("K", "NAME"), columns=(Source("k"), Source("name")))
     before = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "c"), (3, "d")], "k bigint, name string")

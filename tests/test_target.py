@@ -3,12 +3,15 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from scenarios import KEYS, at, expected, frame, main, recon, rows_of
 from test_upsert import random_events
 
 from siltline.operators.state import absorb
 from siltline.operators.upsert import ORDER
+from siltline.operators.widening import wider
 from siltline.sources.workspace import files_in, publish_text, read_text, scratch, shared_folder
+from siltline.streaming.derived import KeptAggregate
 from siltline.streaming.target import ConcurrentCommit, KeyedTable
 
 
@@ -123,6 +126,78 @@ def test_a_column_keeps_its_type(spark, root):
     assert table.layout().version == 1
 
 
+def test_a_column_widens_and_narrower_feeds_still_fit(spark, root):
+    table = KeyedTable(spark, root, KEYS, buckets=4)
+    rows = frame(spark, [main("10:00", "x", 1, key=(1, k)) for k in range(8)])
+    bad = frame(spark, [(1, 99, "bad", 9, True, None, None, 0, at("10:00"), 0)])
+    whole = lambda df, kind: df.withColumn("b", F.col("b").cast(kind))
+    table.merge(whole(rows.unionByName(bad), "int"))
+    assert table.read().schema["b"].dataType.simpleString() == "int"
+    big = frame(spark, [main("11:00", "x", 1 << 40, key=(1, 3))])
+    table.merge(big.unionByName(bad))
+    table.merge(whole(frame(spark, [main("12:00", None, 7, key=(1, 4)), main("09:00", "late", 5, key=(1, 3))]), "smallint"))
+    table.merge(whole(bad, "tinyint"))
+    assert table.read().schema["b"].dataType.simpleString() == "bigint"
+    assert {r.k2: r.b for r in table.read().collect()} == {k: 1 for k in range(8)} | {3: 1 << 40, 4: 7}
+    # files of before and after are one feed, and so are the rejects
+    images = [(r.k2, r.b, r["_change_type"]) for r in table.changes(since=2).collect()]
+    assert sorted(images) == [
+        (3, 1, "update_preimage"), (3, 1 << 40, "update_postimage"), (4, 1, "update_preimage"), (4, 7, "update_postimage")
+    ]
+    assert table.changes().where("_change_type = 'insert'").count() == 8
+    assert sorted((r.version, r.b) for r in table.rejects().collect()) == [(1, 9), (2, 9), (4, 9)]
+
+
+def test_a_key_takes_narrower_values_but_does_not_widen(spark, root):
+    narrow = frame(spark, [main("11:00", "y", key=(1, 10))]).withColumn("k2", F.col("k2").cast("int"))
+    table = KeyedTable(spark, f"{root}/wide", KEYS, buckets=8)
+    table.merge(frame(spark, [main("10:00", "x", 1)]))
+    table.merge(narrow)  # finds the row that the wider key placed
+    assert rows_of(table.read()) == {(1, 10): ("y", 1, True, None)}
+    table = KeyedTable(spark, f"{root}/narrow", KEYS, buckets=8)
+    table.merge(narrow)
+    with pytest.raises(ValueError, match="k2 is int, not bigint"):
+        table.merge(frame(spark, [main("10:00", "x", 1)]))
+    assert table.layout().version == 1
+
+
+def test_totals_follow_a_group_that_widens(spark, root):
+    table = KeyedTable(spark, f"{root}/table", KEYS, buckets=2)
+    kept = KeptAggregate(table, f"{root}/totals", ("b",))
+    table.merge(frame(spark, [main("10:00", "x", 1), main("10:00", "x", 1, key=(1, 11))]).withColumn("b", F.expr("cast(b AS int)")))
+    kept.refresh()
+    table.merge(frame(spark, [main("11:00", "x", 1 << 40)]))
+    kept.refresh()
+    assert {(r.b, r.rows) for r in kept.read().collect()} == {(1, 1), (1 << 40, 1)}
+
+
+KINDS = "tinyint smallint int bigint float double string decimal(6,2) decimal(12,4) decimal(38,0) decimal(10,9)".split()
+
+
+@pytest.mark.parametrize(
+    "a, b, want",
+    [
+        ("tinyint", "bigint", "bigint"), ("smallint", "int", "int"), ("float", "double", "double"),
+        ("decimal(6,2)", "decimal(12,4)", "decimal(12,4)"), ("decimal(6,2)", "decimal(10,9)", "decimal(13,9)"),
+        ("decimal(38,0)", "decimal(6,2)", None), ("int", "double", None), ("bigint", "string", None),
+        ("bigint", "decimal(38,0)", None),
+    ],
+)
+def test_the_common_type(a, b, want):
+    one, two = (StructType.fromDDL(f"c {k}")["c"].dataType for k in (a, b))
+    for got in (wider(one, two), wider(two, one)):
+        assert (got.simpleString() if got else None) == want
+
+
+def test_the_common_type_is_a_least_upper_bound():
+    kinds = [StructType.fromDDL(f"c {k}")["c"].dataType for k in KINDS]
+    for a in kinds:
+        assert wider(a, a) == a
+        for b in kinds:
+            up = wider(a, b)
+            assert up is None or (wider(a, up) == up and wider(b, up) == up)
+
+
 def test_one_version_is_published_once(spark, root):
     """A second writer that saw the same state fails, and what the first one published stays readable."""
     bad = (1, 10, "bad", 9, True, None, None, 0, at("10:00"), 0)
