@@ -38,7 +38,9 @@ from siltline.plans.spec import EntitySpec, Source
 from siltline.sources.feeds import folder_feed
 from siltline.sources.workspace import scratch
 from siltline.streaming.derived import KeptAggregate
+from siltline.streaming.handover import SplitFeed, load_then_stream
 from siltline.streaming.runner import run, start_entity
+from siltline.streaming.statestore import RowLog, upsert_in_state
 from siltline.streaming.target import KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -431,9 +433,9 @@ def stream_change_feed(spark, sf):
     return comparable(rows.select(*ACTIVITY.keys, "VAL", "ACTIVE_FLAG", "DT_REMOVED", CHANGE_TYPE))
 
 
-def stage(feed: DataFrame, path: str, files: int) -> None:
+def stage(feed: DataFrame, path: str, files: int, mode: str = "errorifexists") -> None:
     """Write a feed as ``files`` Parquet files, dealt by hash."""
-    feed.repartition(files, F.xxhash64(TIE)).write.parquet(path)
+    feed.repartition(files, F.xxhash64(TIE)).write.mode(mode).parquet(path)
 
 
 def stream_two_flow_upsert(spark, sf):
@@ -448,6 +450,33 @@ def stream_two_flow_upsert(spark, sf):
     return shown(target.read())
 
 
+def state_store_upsert(spark, sf):
+    """The same feeds, folded in the state store in two or more micro-batches."""
+    root, files = scratch(spark, "state"), max(2, width(spark))
+    feeds = {"main": main_feed(spark, sf), "recon": recon_feed(spark, sf)}
+    for name, feed in feeds.items():
+        stage(feed, f"{root}/{name}", files)
+    streams = [folder_feed(spark, f"{root}/{name}", files_per_trigger=-(-files // 2)) for name in feeds]
+    log = RowLog(spark, f"{root}/log", ACTIVITY.keys)
+    upsert_in_state(change_events(ACTIVITY, *streams, tie=TIE, **LOAD), log, f"{root}/checkpoint").awaitTermination()
+    return shown(log.read())
+
+
+def hand_over_upsert(spark, sf):
+    """The older part of both feeds as one batch, the rest as a stream over the same folders."""
+    root, files = scratch(spark, "handover"), max(2, width(spark))
+    feeds = {"main": main_feed(spark, sf), "recon": recon_feed(spark, sf)}
+    halves = []
+    for name, feed in feeds.items():
+        stage(feed.where(f"{TIE} % 3 <> 0"), f"{root}/{name}", files)
+        halves.append(SplitFeed(spark, f"{root}/{name}", f"{root}/first/{name}.json"))
+        halves[-1].files()  # the list is recorded now: what follows is for the stream
+        stage(feed.where(f"{TIE} % 3 = 0"), f"{root}/{name}", files, "append")
+    target = KeyedTable(spark, f"{root}/table", ACTIVITY.keys, buckets=width(spark), splits=1)
+    load_then_stream(ACTIVITY, *halves, target, f"{root}/checkpoint", tie=TIE, **LOAD).awaitTermination()
+    return shown(target.read())
+
+
 def stream_entity_query(spec) -> Query:
     """The entity as a stream: one triggered update from its two feeds, then the target's contents."""
 
@@ -510,6 +539,8 @@ def queries() -> dict[str, Query]:
         "line_latest": line_latest,
         "customer_latest_order": customer_latest_order,
         "stream_two_flow_upsert": stream_two_flow_upsert,
+        "state_store_upsert": state_store_upsert,
+        "hand_over_upsert": hand_over_upsert,
         "pipeline_row_counts": pipeline_row_counts,
     }
     for spec in ENTITIES:

@@ -258,6 +258,8 @@ def oracle_sql() -> dict[str, str]:
         "upsert_processing_time_ties": f"{activity(seq=LOAD_TIME)} {fold(K2, SHOWN)}",
         "two_flow_upsert": two_flow,
         "stream_two_flow_upsert": two_flow,
+        "state_store_upsert": two_flow,
+        "hand_over_upsert": two_flow,
         "upsert_hot_keys": f"{activity(['EVENT_TYPE'])} {fold(['EVENT_TYPE'], SHOWN)}",
         "upsert_map_side": f"{activity(['EVENT_TYPE'])} {fold(['EVENT_TYPE'], SHOWN)}",
         "recon_stub_rows": f"{activity(shift=100000)} {fold(K2, SHOWN)}",
