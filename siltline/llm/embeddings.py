@@ -1,6 +1,8 @@
 """Operator 6, embedding near-dedup: int8 tile products with error bounds, exact recomputation where they leave doubt.
 
-Vectors of a label are dealt to blocks of about ``block_rows`` and every pair of blocks is one task's tile. A vector
+Vectors of a label are dealt to blocks (4,096 vectors of 64 components) and every pair of blocks is one task's tile, in
+which strips of 1,024 are multiplied. Vectors travel in the type they have, once per block of their label, since the
+pairs in doubt are computed again where they are found: sending such pairs to their vectors would list them. A vector
 x of length 1 is kept as ``scale * q + e`` with q in int8 and the length of e known. For two of them
 
     |x . y - scale_x * scale_y * (q_x . q_y)| <= |e_x| * |scale_y q_y| + |e_y|
@@ -23,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from siltline.llm.common import components, narrow, settle, spanning
 
@@ -46,50 +49,77 @@ def integer_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def near(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of rows of x and y with cosine at or above the threshold, in double precision."""
-    x_length, y_length = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
-    xq, xs, xe, _ = quantise(x / x_length[:, None])
-    yq, ys, ye, yk = quantise(y / y_length[:, None])
-    upper = integer_products(xq, yq) * xs[:, None] * ys[None, :]
-    upper += xe[:, None] * yk[None, :] + ye[None, :] + 1e-9  # 1e-9: rounding of these sums themselves
+class Side:
+    """The vectors of one side of a tile: scaled, with lengths and codes found once for all strips."""
+
+    def __init__(self, vectors: np.ndarray):
+        # a power of two leaves every digit as it is and keeps squares from overflowing or vanishing
+        self.rows = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+        self.length = np.linalg.norm(self.rows, axis=1)
+        self.codes, self.scale, self.lost, self.kept = quantise(self.rows / self.length[:, None])
+
+    def strips(self, rows: int) -> list[slice]:
+        return [slice(at, at + rows) for at in range(0, len(self.rows), rows)]
+
+
+def near(x: Side, y: Side, s: slice, t: slice, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of rows of x in s and of y in t with cosine at or above the threshold, in double precision."""
+    upper = integer_products(x.codes[s], y.codes[t]) * x.scale[s, None] * y.scale[None, t]
+    upper += x.lost[s, None] * y.kept[None, t] + y.lost[None, t] + 1e-9  # 1e-9: rounding of these sums themselves
     i, j = np.nonzero(upper >= threshold)
+    i, j = i + s.start, j + t.start
     sure = np.zeros(len(i), bool)
     for at in range(0, len(i), CHUNK):
         a, b = i[at : at + CHUNK], j[at : at + CHUNK]
-        sure[at : at + CHUNK] = np.einsum("nd,nd->n", x[a], y[b]) / (x_length[a] * y_length[b]) >= threshold
+        products = np.einsum("nd,nd->n", x.rows[a], y.rows[b])
+        sure[at : at + CHUNK] = products / (x.length[a] * y.length[b]) >= threshold
     return i[sure], j[sure]
 
 
-def tile_links(tile: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """``a, b, n``: per linked vector a, its links within the tile (weighted), and where it hangs in the forest."""
+def tile_links(tile: pd.DataFrame, threshold: float, strip_rows: int) -> pd.DataFrame:
+    """``a, b, n``: per linked vector a, its links within the tile (weighted), and where it hangs in the forest.
+
+    Strips of both sides are multiplied one by one and each leaves a forest, so the pairs of one strip are the most
+    that is held at once.
+    """
     low, high = tile["low"].iloc[0], tile["high"].iloc[0]
-    vectors = np.stack(tile["vector"].to_numpy()).astype(np.float64)
     block, node, weight = (tile[c].to_numpy() for c in ("block", "node", "copies"))
-    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    i, j = near(vectors[left], vectors[right], threshold)
-    i, j = left[i], right[j]
-    if low == high:
-        i, j = i[i < j], j[i < j]
-    n = np.zeros(len(tile), np.int64)
-    np.add.at(n, i, weight[j])
-    np.add.at(n, j, weight[i])
+    places = [np.flatnonzero(block == low)] if low == high else [np.flatnonzero(block == b) for b in (low, high)]
+    sides = [Side(np.stack(tile["vector"].to_numpy()[p]).astype(np.float64)) for p in places if len(p)]
+    n, ends = np.zeros(len(tile), np.int64), []
+    if len(sides) == len(places):
+        x, y = sides[0], sides[-1]
+        for s in x.strips(strip_rows):
+            for t in y.strips(strip_rows):
+                if x is y and t.start < s.start:
+                    continue
+                i, j = near(x, y, s, t, threshold)
+                if x is y and s == t:
+                    i, j = i[i < j], j[i < j]
+                i, j = places[0][i], places[-1][j]
+                np.add.at(n, i, weight[j])
+                np.add.at(n, j, weight[i])
+                root = spanning(i, j, len(tile))
+                hung = np.flatnonzero(root != np.arange(len(tile)))
+                ends.append((hung, root[hung]))
+    i, j = (np.concatenate([e[k] for e in ends] or [np.zeros(0, np.int64)]) for k in (0, 1))
     root = spanning(i, j, len(tile))
     linked = np.flatnonzero(n)
     return pd.DataFrame({"a": node[linked], "b": node[root[linked]], "n": n[linked]})
 
 
-def links(vectors: DataFrame, *, threshold: float, block_rows: int) -> DataFrame:
+def links(vectors: DataFrame, *, threshold: float, block_values: int, strip_rows: int) -> DataFrame:
     """``a, b, n`` from all tiles. ``vectors``: distinct ``node, label, vector, copies``."""
     sizes = vectors.groupBy("label", F.size("vector").alias("width")).count()
-    blocks = sizes.selectExpr("label", "width", f"cast(ceil(count / {block_rows}) AS int) AS blocks")
+    blocks = f"cast(ceil(count / greatest({strip_rows}, {block_values} div width)) AS int) AS blocks"
+    blocks = sizes.selectExpr("label", "width", blocks)
     dealt = vectors.withColumn("width", F.size("vector")).join(narrow(settle(blocks)), ["label", "width"])
     dealt = dealt.withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) AS int)"))
     tiles = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr(
         "node", "vector", "copies", "label", "width", "block", "least(block, other) AS low", "greatest(block, other) AS high"
     )
     return tiles.groupBy("label", "width", "low", "high").applyInPandas(
-        lambda tile: tile_links(tile, threshold), "a long, b long, n long"
+        lambda tile: tile_links(tile, threshold, strip_rows), "a long, b long, n long"
     )
 
 
@@ -100,23 +130,31 @@ def near_duplicates(
     embedding: str = "embedding",
     label: str = "label",
     threshold: float = 0.98,
-    block_rows: int = 1024,
+    block_values: int = 1 << 18,
+    strip_rows: int = 1024,
 ) -> DataFrame:
-    """One row per vector: ``vec_id, n_links, component_id, kept``."""
+    """One row per vector: ``vec_id, n_links, component_id, kept``.
+
+    A block holds about ``block_values`` components, but at least ``strip_rows`` vectors; a task holds two blocks
+    and multiplies ``strip_rows`` vectors of either at a time.
+    """
+    held = rows.select(embedding).schema[0].dataType
+    floats = isinstance(held, ArrayType) and isinstance(held.elementType, FloatType)
+    kind = "float" if floats else "double"  # a float has one double, so half the bytes lose nothing
     named = rows.select(
         F.col(vec_id).alias("vec_id"),
         F.col(label).cast("string").alias("label"),
-        F.col(embedding).cast("array<double>").alias("vector"),
+        F.col(embedding).cast(f"array<{kind}>").alias("vector"),
     )
     sound = (
         "label IS NOT NULL AND size(vector) > 0 AND forall(vector, x -> x IS NOT NULL AND NOT isnan(x) AND"
         " abs(x) < double('infinity')) AND exists(vector, x -> x <> 0)"
     )
     marked = named.withColumn("sound", F.coalesce(F.expr(sound), F.lit(False)))
-    plain = marked.where("sound").select("vec_id", "label", F.expr("transform(vector, x -> x + 0.0D)").alias("vector"))
+    plain = marked.where("sound").select("vec_id", "label", F.expr(f"transform(vector, x -> x + cast(0 AS {kind}))").alias("vector"))
     distinct = plain.groupBy("label", "vector").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
     distinct = settle(distinct.withColumn("node", F.monotonically_increasing_id()))
-    found = settle(links(distinct, threshold=threshold, block_rows=block_rows))
+    found = settle(links(distinct, threshold=threshold, block_values=block_values, strip_rows=strip_rows))
     counted = found.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "node")
     groups = components(found.select("a", "b"))
     placed = (

@@ -85,8 +85,8 @@ def test_components_of_chain_hub_and_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-@pytest.mark.parametrize("block_rows", [5, 1024])
-def test_embeddings_match_brute_force(spark, block_rows):
+@pytest.mark.parametrize("size", [{"strip_rows": 5, "block_values": 1}, {"strip_rows": 5}, {}])
+def test_embeddings_match_brute_force(spark, size):
     rng = np.random.default_rng(1)
     rows = []
     for c in range(6):
@@ -99,11 +99,20 @@ def test_embeddings_match_brute_force(spark, block_rows):
     rows += [(205, rows[0][1], None), (206, [None] + [1.0] * 19, 1), (207, rows[0][1][:10], 0), (208, rows[0][1][:10], 0)]
     rows += [(209, [2 * x for x in rows[3][1]], rows[3][2]), (209, rows[4][1], 1 - rows[4][2])]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, label int, node string, n int")
-    got = embeddings.near_duplicates(df, block_rows=block_rows).collect()
+    got = embeddings.near_duplicates(df, **size).collect()
     assert sorted(map(tuple, got)) == brute.embeddings(df.collect())
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_embeddings_of_extreme_length(spark, kind):
+    big, small = (1e200, 1e-200) if kind == "double" else (1e38, 1e-38)
+    rows = [(1, [big, big], 0), (2, [small, small], 0), (3, [1.0, 1.001], 0), (4, [big, -big], 0)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
 def test_op6_on_a_table(spark, sf_dir):
     got = sorted(map(tuple, embeddings.op6_embedding_near_dedup(spark, sf_dir).collect()))
     assert got == brute.embeddings(table(spark, sf_dir, "embeddings").collect())
