@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ from siltline.llm.common import nested, settle, unnested, word_spans
 
 LEAST, MOST = 16, 1024
 MIN_BYTES = 400  # of a window with too few words; about three times what twenty words take
+FILTER_BITS = 27  # of the bitmap that drops windows nobody repeats: 16 MB
 WORD_MASK = np.uint8(0b1100_0000)  # one word start in four
 CHAR_MASK = np.uint8(0b1111_1110)  # one character in 128, where white space is missing
 GEAR = np.random.default_rng(20).integers(0, 256, 256).astype(np.uint8)  # the low eight bits suffice for the masks
@@ -104,9 +106,27 @@ def split_digests(digests: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return words[:, 0], words[:, 1].astype(np.int32)
 
 
-def window_rows(docs: DataFrame, min_words: int, min_bytes: int) -> DataFrame:
-    """``id, hash, d1, tail, size``: the windows of each text. ``tail`` is the second part of the digest and the begin in
-    one number, ``size`` the bytes to the end: rows go through two shuffles and compress best with few zeros between."""
+def digest_filter(digests: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of ``2^bits`` places, those of the distinct ``d1`` set: 16 MB for 27 bits, however many there are."""
+    slot = f"(d1 & {(1 << bits) - 1}L)"
+    places = digests.selectExpr(f"cast(shiftright({slot}, 15) AS int) AS part", f"{slot} & 32767 AS place")
+    # dealt by part first: a partial bitmap per task and part would be far larger than the digests
+    parts = places.repartition("part").groupBy("part").agg(F.expr("bitmap_construct_agg(place) AS held"))
+    bitmap = np.zeros(1 << (bits - 3), np.uint8)
+    for row in parts.toLocalIterator():  # at most 2^(bits - 15) rows of 4 KB
+        bitmap[row.part << 12 : (row.part + 1) << 12] = np.frombuffer(row.held, np.uint8)
+    return bitmap
+
+
+def may_hold(bitmap: np.ndarray, d1: np.ndarray) -> np.ndarray:
+    slot = d1 & (len(bitmap) * 8 - 1)
+    return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def window_rows(docs: DataFrame, min_words: int, min_bytes: int, wanted: Broadcast | None = None) -> DataFrame:
+    """``id, hash, d1, tail, size``: the windows of each text, those alone that ``wanted`` may hold if it is given.
+    ``tail`` is the second part of the digest and the begin in one number, ``size`` the bytes to the end: rows go through
+    two shuffles and compress best with few zeros between."""
     kind = dict(docs.dtypes)["id"]
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,7 +138,11 @@ def window_rows(docs: DataFrame, min_words: int, min_bytes: int) -> DataFrame:
                 begins, ends = (np.array([w[n] for ws in found for w in ws], np.int64) for n in (1, 2))
                 tail, size = d2.astype(np.int64) << 32 | begins, (ends - begins).astype(np.int32)
                 counts = [len(ws) for ws in found]
-                ids, hashes = (part[c].repeat(counts).array for c in ("id", "hash"))
+                at_text = np.repeat(np.arange(len(part)), counts)
+                if wanted is not None:
+                    held = may_hold(wanted.value, d1)
+                    d1, tail, size, at_text = d1[held], tail[held], size[held], at_text[held]
+                ids, hashes = (part[c].array.take(at_text) for c in ("id", "hash"))
                 yield pd.DataFrame({"id": ids, "hash": hashes, "d1": d1, "tail": tail, "size": size})
 
     return docs.mapInPandas(cut, f"id {kind}, hash long, d1 long, tail long, size int")
@@ -136,16 +160,22 @@ def shuffled_anew(column: str) -> str:
     return f"({column} ^ 0)"
 
 
-def repeated_spans(docs: DataFrame, *, doc_id: str, text: str, min_words: int, min_bytes: int) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, *, doc_id: str, text: str, min_words: int, min_bytes: int, filter_bits: int
+) -> DataFrame:
     """``id, hash, spans, first_ids``: what to cut from a text (numbers of begin and end), and who said it first.
 
     All windows are counted by the first part of the digest, in short rows that combine map-side. Only windows whose
-    first part occurs again go on; they are settled and told apart by both parts.
+    first part occurs again go on; they are settled and told apart by both parts. A bitmap of those first parts drops
+    most of the others before they leave the scan; the exact join behind it drops the rest, so its size changes no result.
     """
     named = docs.select(F.col(doc_id).alias("id"), F.expr(text_hash(text)).alias("hash"), F.col(text).alias("text"))
-    found = window_rows(named.where("text IS NOT NULL"), min_words, min_bytes)
-    often = found.groupBy("d1").count().where("count > 1").selectExpr(f"{shuffled_anew('d1')} AS k1")
-    again = settle(found.join(often, F.expr("d1 = k1"), "left_semi"))
+    named = named.where("text IS NOT NULL")
+    counted = window_rows(named, min_words, min_bytes).groupBy("d1").count()
+    often = settle(counted.where("count > 1").select("d1"))
+    wanted = docs.sparkSession.sparkContext.broadcast(digest_filter(often, filter_bits))
+    found = window_rows(named, min_words, min_bytes, wanted)
+    again = settle(found.join(often.selectExpr(f"{shuffled_anew('d1')} AS k1"), F.expr("d1 = k1"), "left_semi"))
     begin, d2 = "(tail & 4294967295L)", "shiftright(tail, 32)"
     span = F.expr(f"shiftleft({begin}, 32) | ({begin} + size)").alias("span")
     place = F.struct("id", "hash", span)
@@ -180,12 +210,19 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def dedup(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = 20, min_bytes: int = MIN_BYTES
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_words: int = 20,
+    min_bytes: int = MIN_BYTES,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``, and two more columns, both empty where nothing was
     cut: ``removed_spans`` (begin and end in bytes of the old text) and ``first_doc_ids`` (the documents that hold what
     was cut here; null ids are left out). Both replace columns of these names."""
-    spans = repeated_spans(docs, doc_id=doc_id, text=text, min_words=min_words, min_bytes=min_bytes)
+    spans = repeated_spans(docs, doc_id=doc_id, text=text, min_words=min_words, min_bytes=min_bytes, filter_bits=filter_bits)
+
     @F.pandas_udf("text string, spans array<struct<begin:int,end:int>>")
     def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
         rows = []

@@ -149,7 +149,8 @@ def test_chunks_match_a_walk_over_the_bytes():
         assert starts == (brute.chunk_borders(raw)[:-1] if raw else [])
 
 
-def test_substring_dedup_matches_brute_force(spark):
+@pytest.mark.parametrize("filter_bits", [15, 16, substrings.FILTER_BITS])
+def test_substring_dedup_matches_brute_force(spark, filter_bits):
     rng = np.random.default_rng(7)
     word = lambda: "".join(rng.choice(list("abcdefgh"), rng.integers(1, 9)))
     passage = " ".join(word() for _ in range(60))
@@ -157,7 +158,7 @@ def test_substring_dedup_matches_brute_force(spark):
     pairs += [(20 + i, f"{' '.join(word() for _ in range(i * 3))}\n{passage} {word()} {word()}") for i in range(5)]
     pairs += [(40, pairs[0][1]), (40, pairs[0][1]), (41, ""), (42, None), (None, passage), (43, "tic tac " * 60), (9, passage), (9, passage + " x")]
     docs = docs_of(spark, pairs)
-    got = substrings.dedup(docs, min_words=12)
+    got = substrings.dedup(docs, min_words=12, filter_bits=filter_bits)
     assert got.columns == [*docs.columns, "removed_spans", "first_doc_ids"]
     assert rows(got, "doc_id", "text") == sorted(
         ((i, t) for (i, _), t in zip(pairs, brute.substring_dedup(pairs, 12), strict=True)), key=str
@@ -175,6 +176,17 @@ def test_op5_on_a_table(spark, sf_dir):
     assert rows(got, "doc_id", "text") == sorted(((i, t) for (i, _), t in zip(pairs, want, strict=True)), key=str)
 
 
+def test_digest_filter_holds_every_digest(spark):
+    rng = np.random.default_rng(2)
+    d1 = rng.integers(-(2**63), 2**63 - 1, 4000)
+    df = spark.createDataFrame([(int(d),) for d in d1] + [(0,), (-1,)], "d1 long")
+    bitmap = substrings.digest_filter(df, 20)
+    assert substrings.may_hold(bitmap, np.r_[d1, 0, -1]).all()
+    others = rng.integers(-(2**63), 2**63 - 1, 100_000)
+    assert abs(substrings.may_hold(bitmap, others).mean() - 4002 / 2**20) < 1e-3
+    assert not substrings.digest_filter(df.limit(0), 20).any()
+
+
 def test_substring_dedup_without_white_space(spark):
     """Chinese, base64 and minified code: a passage inside two longer texts goes from the second, unique ones stay."""
     rng = np.random.default_rng(12)
