@@ -6,7 +6,7 @@ written down in plain SQL and the results compared. Nothing here samples or caps
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,7 @@ from siltline.plans.derived import (
 )
 from siltline.plans.entities import ENTITIES, WORK_PACKAGE_WORKFLOW_LISTS
 from siltline.plans.spec import EntitySpec, Source
+from siltline.session import tuned
 from siltline.sources.feeds import folder_feed
 from siltline.sources.workspace import scratch
 from siltline.streaming.derived import KeptAggregate
@@ -498,6 +499,14 @@ def pipeline_row_counts(spark, sf):
     return counts.select("target", "rows", "events", "rejected")
 
 
+def in_tuned_session(query: Query) -> Query:
+    @wraps(query)
+    def run_query(spark, sf):
+        return query(tuned(spark), sf)
+
+    return run_query
+
+
 def queries() -> dict[str, Query]:
     named = {
         "cast_double": cast_double,
@@ -548,4 +557,4 @@ def queries() -> dict[str, Query]:
         named[f"conform_recon_{spec.name}"] = conform_recon_query(spec)
         named[f"entity_{spec.name}"] = entity_query(spec)
         named[f"stream_{spec.name}"] = stream_entity_query(spec)
-    return named
+    return {name: in_tuned_session(query) for name, query in named.items()}

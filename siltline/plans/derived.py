@@ -32,6 +32,14 @@ def _events(spark: SparkSession, sf_dir: str, columns: Columns) -> DataFrame:
     return _derive(table(spark, sf_dir, "events"), columns)
 
 
+def spread(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Deal narrow rows to as many tasks as the session shuffles into, before they become some thirty times wider.
+
+    A scan has at most one task per row group, and a file may be a single one.
+    """
+    return events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def unless(condition: str, value: str) -> str:
     return f"CASE WHEN {condition} THEN NULL ELSE {value} END"
 
@@ -130,7 +138,7 @@ def entity_columns(spec: EntitySpec, back: Back) -> Columns:
 
 
 def entity_feed(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:
-    return _events(spark, sf_dir, entity_columns(spec, _before))
+    return _derive(spread(spark, table(spark, sf_dir, "events")), entity_columns(spec, _before))
 
 
 def entity_recon_feed(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:
@@ -140,5 +148,5 @@ def entity_recon_feed(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> Dat
 def entity_streams(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> tuple[DataFrame, DataFrame]:
     """Both feeds of an entity as streams over the ``events`` file itself."""
     events = spark.readStream.schema(table(spark, sf_dir, "events").schema)
-    events = events.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = spread(spark, events.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
     return _derive(events, entity_columns(spec, _before)), _derive(events, recon_columns(key_columns(spec)))

@@ -88,3 +88,23 @@ def test_search_for_hot_keys_reads_keys_and_sequence_only(spark, sf_dir):
 def test_views_prune_the_scan(spark, sf_dir, columns):
     view = conform_recon(entity_recon_feed(spark, sf_dir, E.ASSETS), E.ASSETS).select(*columns)
     assert "value" not in plan(view) and "props" not in plan(view)
+
+
+def test_wide_feeds_of_one_row_group_are_made_by_all_cores(spark, sf_dir):
+    """The narrow rows are dealt below the projection that widens them."""
+    text = plan(entity_feed(spark, sf_dir, E.WORK_PACKAGE_DETAILS))
+    dealt = text.index("Exchange RoundRobinPartitioning(4)")
+    assert text.index("Project") < dealt < text.index("FileScan")
+
+
+@pytest.mark.parametrize(("given", "want"), [("65535", "8000"), ("5000", "5000")])
+def test_queries_run_with_methods_that_the_jvm_compiles(spark, sf_dir, given, want):
+    """Whatever session they are given; a limit of the session's own stays."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, given)
+    try:
+        contract.queries()["conform_work_package_details"](spark, sf_dir)
+        assert spark.conf.get(limit) == want
+    finally:
+        spark.conf.set(limit, before)
