@@ -5,9 +5,11 @@ import re
 import pytest
 from scenarios import KEYS, frame, main
 
+from siltline.functions.columns import key_slot
 from siltline.operators import upsert as upserts
 from siltline.operators.changes import change_feed
 from siltline.operators.conform import change_events, conform_recon
+from siltline.operators.state import absorb
 from siltline.operators.upsert import condense_hot_keys, current, hot_keys, upsert
 from siltline.plans import contract
 from siltline.plans import entities as E
@@ -108,3 +110,12 @@ def test_queries_run_with_methods_that_the_jvm_compiles(spark, sf_dir, given, wa
         assert spark.conf.get(limit) == want
     finally:
         spark.conf.set(limit, before)
+
+
+def test_the_wide_window_of_a_merge_sees_survivors_only(spark):
+    rows = frame(spark, [main("10:00", "x", i, tie=i) for i in range(40)])
+    text = plan(absorb(None, rows, KEYS, bucket=key_slot(KEYS, 4)))
+    windows = [m.start() for m in re.finditer(r"Window \[", text)]
+    assert len(windows) == 2 and "Filter" in text[windows[0] : windows[1]]
+    assert "nth_value" not in text  # a frame of its own for every column
+    assert len(re.findall(r"Exchange ", text)) == 1 and len(re.findall(r"Sort \[", text)) == 1

@@ -7,10 +7,12 @@ from pyspark.sql.types import StructType
 from scenarios import KEYS, at, expected, frame, main, recon, rows_of
 from test_upsert import random_events
 
+from siltline.functions.columns import names_of_bits
 from siltline.operators.state import absorb
 from siltline.operators.upsert import ORDER
 from siltline.operators.widening import wider
 from siltline.sources.workspace import files_in, publish_text, read_text, scratch, shared_folder
+from siltline.streaming import target
 from siltline.streaming.derived import KeptAggregate
 from siltline.streaming.target import ConcurrentCommit, KeyedTable
 
@@ -345,3 +347,26 @@ def test_all_null_events_keep_their_key(spark, root):
     assert rows_of(table.read()) == {(1, 10): ("x", None, True, None)}
     assert [c for c in table.read().columns if c in ORDER] == []
     assert table.commits().agg(F.sum("inserted")).first()[0] == 1
+
+
+def test_a_full_bucket_without_a_hot_key_is_not_searched(spark, root, monkeypatch):
+    """The scan that counts tells it from slots far smaller than a bucket."""
+    searched, real = [], target.condense_hot_keys
+    monkeypatch.setattr(target, "condense_hot_keys", lambda *args: searched.append(1) or real(*args))
+    table = KeyedTable(spark, root, KEYS, buckets=3, hot_rows=20)
+    many = [main("10:00", "x", key=(k % 5, k)) for k in range(300)]
+    table.merge(frame(spark, many))
+    assert not searched and table.layout().totals["events"] == 300
+    hot = [main("11:00", f"y{i}", i, key=(2, 7), tie=i) for i in range(30)]
+    table.merge(frame(spark, [*many, *hot]))
+    assert searched == [1] and rows_of(table.read()) == expected([*many, *hot])
+    assert sum(len(r.held_by) for r in table.commits().collect()) == 6  # buckets are named as before
+
+
+def test_names_of_bits_cover_every_mask(spark):
+    names = [f"c{i}'" for i in range(130)]
+    masks = [sum(1 << i for i in range(63) if (i + 63 * m) % 3 == 0) for m in range(3)]
+    row = spark.range(1).selectExpr(*[f"{m}L AS __own{i}" for i, m in enumerate(masks)])
+    got = row.selectExpr(f"{names_of_bits('__own', names)} AS n").first().n
+    assert got == names[::3]
+    assert row.selectExpr(f"{names_of_bits('__own', names[:4])} AS n").first().n == [names[0], names[3]]
