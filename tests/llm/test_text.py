@@ -614,7 +614,7 @@ def test_licences_are_inherited_from_the_nearest_folder(spark):
     assert got == {
         ("LICENSE", "MIT", "own", None), ("a/x.py", "GPL-3.0", "inherited", "a"), ("a/LICENSE.txt", "GPL-3.0", "own", None),
         ("a/b/c/y.py", "GPL-3.0", "inherited", "a"), ("a/b/z.py", "Apache-2.0", "own", None), ("top.py", "MIT", "inherited", ""),
-        ("d/COPYING", "MIT", "inherited", ""), ("d/e.py", "MIT", "inherited", ""), (None, None, None, None),
+        ("d/COPYING", "MIT", "inherited", ""), ("d/e.py", "MIT", "inherited", ""), (None, None, None, None), (None, "MIT", "own", None),
         ("aa/q", "MIT", "inherited", ""), ("k/readme", "GPL-3.0", "own", None), ("k/w.py", "MIT", "inherited", ""),
         ("LICENSES/n.py", "MIT", "inherited", ""),
     }
