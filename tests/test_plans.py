@@ -119,3 +119,12 @@ def test_the_wide_window_of_a_merge_sees_survivors_only(spark):
     assert len(windows) == 2 and "Filter" in text[windows[0] : windows[1]]
     assert "nth_value" not in text  # a frame of its own for every column
     assert len(re.findall(r"Exchange ", text)) == 1 and len(re.findall(r"Sort \[", text)) == 1
+
+
+def test_a_merge_sorts_and_shuffles_its_values_as_one_block(spark):
+    """Eight bytes of the first sort column tell keys apart, and no operator before the wide window copies single columns."""
+    rows = frame(spark, [main("10:00", "x", i, tie=i) for i in range(40)])
+    text = plan(absorb(None, rows, KEYS, bucket=key_slot(KEYS, 4)))
+    assert re.search(r"Sort \[__place#", text)
+    narrow = text[[m.start() for m in re.finditer(r"Window \[", text)][1] : text.index("Exchange ")]
+    assert "__row#" in narrow and not re.search(r"\b(a|b|ACTIVE_FLAG|DT_REMOVED)#", narrow)

@@ -370,3 +370,20 @@ def test_names_of_bits_cover_every_mask(spark):
     got = row.selectExpr(f"{names_of_bits('__own', names)} AS n").first().n
     assert got == names[::3]
     assert row.selectExpr(f"{names_of_bits('__own', names[:4])} AS n").first().n == [names[0], names[3]]
+
+
+def test_rows_into_empty_buckets_are_written_once(spark, root):
+    """They are their own images in the change feed, beside later commits that write images of their own."""
+    table = KeyedTable(spark, root, KEYS, buckets=64)
+    first = [main("10:00", "x", 1), main("10:00", "k", 2, key=(1, 11)), recon("12:00", False, key=(None, 12))]
+    table.merge(frame(spark, first))
+    attempt = table.commits().first().attempt
+    assert [f for f in os.listdir(f"{root}/data/attempt={attempt}") if f.startswith("silt_kind")] == ["silt_kind=state"]
+    table.merge(frame(spark, [main("11:00", "y"), main("11:00", "n", key=(2, 1))]))
+    got = {(r.k1, r.k2, r.a, r["_change_type"], r["_commit_version"]) for r in table.changes().collect()}
+    assert got == {
+        (1, 10, "x", "insert", 1), (1, 11, "k", "insert", 1), (None, 12, None, "insert", 1),
+        (1, 10, "x", "update_preimage", 2), (1, 10, "y", "update_postimage", 2), (2, 1, "n", "insert", 2),
+    }
+    assert [c for c in table.changes().columns if c.startswith("__")] == []
+    assert [(r.inserted, r.updated, r.rows) for r in table.commits().orderBy("version").collect()] == [(3, 0, 3), (1, 1, 4)]
