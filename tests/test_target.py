@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 from scenarios import KEYS, at, expected, frame, main, recon, rows_of
 from test_upsert import random_events
 
-from siltline.functions.columns import names_of_bits
+from siltline.functions.columns import key_slot, names_of_bits
 from siltline.operators.state import absorb
 from siltline.operators.upsert import ORDER
 from siltline.operators.widening import wider
@@ -387,3 +387,16 @@ def test_rows_into_empty_buckets_are_written_once(spark, root):
     }
     assert [c for c in table.changes().columns if c.startswith("__")] == []
     assert [(r.inserted, r.updated, r.rows) for r in table.commits().orderBy("version").collect()] == [(3, 0, 3), (1, 1, 4)]
+
+
+def test_each_part_of_a_full_load_has_its_own_task(spark, root):
+    """A hash of so few numbers would put several parts into one task and leave others empty."""
+    events = frame(spark, [main("10:00", "x", key=(1, k)) for k in range(600)])
+    rows = absorb(None, events, KEYS, bucket=key_slot(KEYS, 12), splits=2, partitions=24, every_bucket=True)
+    parts = rows.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.count_distinct("silt_bucket").alias("n"))
+    assert [r.n for r in parts.collect()] == [1] * 24
+    table = KeyedTable(spark, root, KEYS, buckets=12, splits=2)
+    table.merge(events)
+    attempt = table.commits().first().attempt
+    files = [len([f for f in os.listdir(p) if f.startswith("part-")]) for p in table.bucket_paths().values() if attempt in p]
+    assert files == [2] * 12 and table.read().count() == 600
