@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,41 +31,64 @@ from siltline.llm.common import settle
 
 # ---- tokens
 
-UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")  # no pre-token of the vocabularies used here crosses these borders,
-ODD = re.compile(r"[^\S \n]|[\x1c-\x1f]")  # unless other white space stands next to them
-CACHED = 400_000  # units kept by a worker, about 100 MB
-LONGEST = 64  # characters of a unit worth keeping
-PART = 1 << 20
+BLOCK = 1 << 23  # bytes of text that are encoded together
+CUT = re.compile(rb"[!-~\x8b-\x9e\xa1-\xa7\xaa-\xae\xb0-\xbf](?=[ \n])")  # no white space ends in these bytes
+WIDE = [int.from_bytes(c.encode(), "big") for c in map(chr, range(128, 1 << 16)) if c.isspace()]
 
 
-class Units(dict):
-    """Ids of text units as 32-bit integers (little-endian, as all machines Spark runs on), kept up to a bound."""
+def closed(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends before each place of UTF-8 ``data`` is no white space."""
+    last = data[at - 1]
+    solid = last > 32
+    wide = np.flatnonzero(last > 127)
+    if len(wide):
+        low, mid, high = (data[at[wide] - n].astype(np.int32) for n in (1, 2, 3))
+        code = high << 16 | mid << 8 | low
+        solid[wide] = ~(np.isin(code, WIDE) | np.isin(code & 0xFFFF, WIDE))
+    return solid
 
-    def __init__(self, encode):
-        self.encode = encode
 
-    def __missing__(self, unit: str) -> bytes:
-        ids = array("I", self.encode(unit)).tobytes()
-        if len(unit) <= LONGEST:
-            if len(self) >= CACHED:
-                self.clear()
-            self[unit] = ids
-        return ids
+def borders(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the units of texts begin: at ``starts``, and at a space or line end next to what is no white space, since
+    no pre-token of the vocabularies used here crosses these borders."""
+    at = np.flatnonzero((data == 32) | (data == 10))
+    at = at[at > 0]
+    begins = np.zeros(len(data), bool)
+    begins[at[closed(data, at)]] = True
+    begins[starts] = True
+    begins[0] = True
+    return np.flatnonzero(begins)
+
+
+def binary(data: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """``data`` in values that end at these bytes."""
+    offsets = np.zeros(len(ends) + 1, np.int32)
+    offsets[1:] = ends
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def unpacked(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of binary values and the offsets of these values in them."""
+    _, offsets, data = values.buffers()
+    offsets = np.frombuffer(offsets or bytes(4), np.int32)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(data or b"", np.uint8), offsets
 
 
 class Encoder:
-    """Token ids of whole texts, equal to ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``.
+    """Token ids of whole texts, equal to ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``, as 32-bit
+    integers (little-endian, as all machines Spark runs on).
 
-    With the same vocabulary as ranks (``ranks``) and its splitting pattern, units between white space are encoded
-    once and remembered. Texts with the string of a special token go through the tokenizer itself.
+    With the same vocabulary as ranks (``ranks``) and its splitting pattern, the distinct units between white space of
+    about ``BLOCK`` bytes of text are encoded in one call. Texts with the string of a special token go through the
+    tokenizer itself.
     """
 
     def __init__(self, path: str, ranks: str | None, pattern: str | None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, special))) if special else None
         self.plain = None
         if ranks:
             import base64
@@ -75,24 +99,73 @@ class Encoder:
                 table = {base64.b64decode(t): int(i) for t, i in map(bytes.split, lines)}
             coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
             self.plain = coder.encode_ordinary
-            self.units = Units(self.plain)
+            self.width = np.zeros(max(table.values()) + 1, np.int64)
+            self.width[list(table.values())] = list(map(len, table))
 
     def ids(self, text: str) -> bytes:
-        if self.plain is None or self.special.search(text):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if ODD.search(text):
-            return array("I", self.plain(text)).tobytes()
-        return b"".join(b"".join(map(self.units.__getitem__, UNIT.findall(part))) for part in parts(text))
-
-
-def parts(text: str) -> Iterator[str]:
-    """A text in parts that end where a unit ends."""
-    start = 0
-    while start < len(text):
-        cut = re.compile(r"[^ \n](?=[ \n])").search(text, start + PART) if len(text) - start > PART else None
-        end = cut.end() if cut else len(text)
-        yield text[start:end]
-        start = end
+        data = np.frombuffer(text.encode(), np.uint8)
+        return self.flat(data, np.array([0, len(data)]))[0].tobytes()
+
+    def flat(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts ``data[starts[i] : starts[i + 1]]``, one after another, and how many each has."""
+        texts = len(starts) - 1
+        alone = np.full(texts, self.plain is None)
+        if self.special and self.plain:
+            for found in self.special.finditer(data):  # it may span texts, and hide one that begins in it
+                first, last = np.searchsorted(starts, [found.start(), found.end() - 1], "right") - 1
+                alone[first : last + 1] = True
+        made, counts, at = [], np.zeros(texts, np.int64), 0
+        for nth in (*np.flatnonzero(alone).tolist(), texts):
+            if at < nth:
+                ids, counts[at:nth] = self.in_units(data[starts[at] : starts[nth]], starts[at : nth + 1] - starts[at])
+                made.append(ids)
+            if nth < texts:
+                text = data[starts[nth] : starts[nth + 1]].tobytes().decode()
+                made.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4"))
+                counts[nth] = len(made[-1])
+            at = nth + 1
+        return np.concatenate(made), counts
+
+    def in_units(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`flat`, for texts without special tokens, in blocks that end where a unit ends."""
+        made, before, at, total = [np.zeros(0, "<u4")], np.zeros(len(starts), np.int64), 0, 0
+        while at < len(data):
+            cut = CUT.search(data, at + BLOCK) if len(data) - at > BLOCK else None
+            end = cut.end() if cut else len(data)
+            here = slice(*np.searchsorted(starts, [at, end]))
+            begins = borders(data[at:end], starts[here] - at)
+            ids, upto = self.block(data[at:end], begins)
+            before[here] = total + upto[np.searchsorted(begins, starts[here] - at)]
+            made.append(ids)
+            total += len(ids)
+            at = end
+        before[starts == len(data)] = total
+        return np.concatenate(made), np.diff(before)
+
+    def block(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units that begin at these bytes, and the number of ids before each and after all of them."""
+        units = binary(data, np.append(begins[1:], len(data))).dictionary_encode()
+        ids, place = self.distinct(units.dictionary)
+        found, offsets = unpacked(ids.take(pa.array(place[units.indices.to_numpy()])))
+        return found[: offsets[-1]].view("<u4"), offsets // 4
+
+    def distinct(self, units: pa.Array) -> tuple[pa.BinaryArray, np.ndarray]:
+        """The ids of units in an order of their own, and the place of each unit in it."""
+        data, offsets = unpacked(units)
+        first = data[offsets[:-1]]
+        joins = ((first == 32) | (first == 10)) & closed(data, offsets[1:])  # no border goes when such ones are joined
+        text, ends = unpacked(units.filter(pa.array(joins)))
+        ids = np.frombuffer(array("I", self.plain(text[: ends[-1]].tobytes().decode())), "<u4")
+        stops = np.r_[0, np.cumsum(self.width[ids])]
+        upto = np.searchsorted(stops, ends[1:])
+        if not np.array_equal(stops[upto], ends[1:]):
+            raise ValueError("a token crosses the end of a word")
+        others = [self.plain(u.decode()) for u in units.filter(pa.array(~joins)).to_pylist()]
+        ids = np.concatenate([ids, *(np.array(o, "<u4") for o in others)])
+        upto = np.r_[upto, (upto[-1] if len(upto) else 0) + np.cumsum([len(o) for o in others], dtype=np.int64)]
+        place = np.empty(len(units), np.int32)
+        place[np.r_[np.flatnonzero(joins), np.flatnonzero(~joins)]] = np.arange(len(units), dtype=np.int32)
+        return binary(ids, 4 * upto), place
 
 
 @lru_cache(maxsize=2)
@@ -123,27 +196,44 @@ def pieces(
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids`` (little-endian 32-bit) and ``row``, a number that no other piece has."""
     named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    end, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
+    most = -(-BLOCK // (4 * capacity))  # pieces handed on together
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path, ranks, pattern).ids
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path, ranks, pattern).flat
         row = TaskContext.get().partitionId() << 33
-        for frame in frames:
-            for at in range(0, len(frame), 256):
-                out = []
-                part = frame.iloc[at : at + 256]
-                for key, value in zip(part["doc_id"], part["text"], strict=True):
-                    ids = encode(value) + end
-                    begin, stop, nth = 0, len(ids) % width or min(len(ids), width), 0
-                    while begin < len(ids):
-                        out.append((key, nth, begin // 4, (stop - begin) // 4, ids[begin:stop], row))
-                        begin, stop, nth, row = stop, stop + width, nth + 1, row + 1
-                yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids", "row"]).astype(
-                    {"doc_id": frame["doc_id"].dtype}
-                )
+        for batch in batches:
+            data, offsets = unpacked(batch.column(1).cast(pa.binary()))
+            offsets, at = offsets.astype(np.int64), 0
+            while at < len(batch):
+                end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK, "right")) - 1)
+                ids, counts = encode(data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at])
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                parts = counts // capacity + 1  # with the end id
+                doc = np.repeat(np.arange(end - at), parts)
+                nth = np.arange(len(doc)) - (np.cumsum(parts) - parts)[doc]
+                head = counts + 1 - (parts - 1) * capacity
+                start = np.where(nth == 0, 0, head[doc] + (nth - 1) * capacity)
+                length = np.where(nth == 0, head[doc], capacity)
+                stops = np.cumsum(length)
+                for low in range(0, len(doc), most):
+                    some = slice(low, low + most)
+                    begin = stops[low] - length[low]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array(at + doc[some])),
+                            pa.array(nth[some], pa.int32()),
+                            pa.array(start[some]),
+                            pa.array(length[some]),
+                            binary(ids[begin : stops[some][-1]], 4 * (stops[some] - begin)),
+                            pa.array(row + np.arange(len(doc))[some]),
+                        ],
+                        ["doc_id", "piece", "start", "length", "ids", "row"],
+                    )
+                row += len(doc)
+                at = end
 
     kind = dict(named.dtypes)["doc_id"]
-    return named.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids binary, row long")
+    return named.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids binary, row long")
 
 
 # ---- bins

@@ -383,6 +383,49 @@ def test_packing_in_shards_with_repeated_ids(spark):
     assert packing.pack(docs.limit(0), **packing.public_vocabulary()).collect() == []
 
 
+def test_units_are_encoded_together_and_once(monkeypatch):
+    import tiktoken
+
+    asked, plain = [], tiktoken.Encoding.encode_ordinary
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: asked.append(text) or plain(self, text))
+    coder = packing.Encoder(**packing.public_vocabulary())
+    words = [f"w{i * 7919 % 5000:x}q" for i in range(5000)]
+    for text in (" ".join(words * 3), "tab\t " + "\n".join(words * 3) + "\r\n"):
+        asked.clear()
+        ids = np.frombuffer(coder.ids(text), "<u4").tolist()
+        assert ids == coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(asked) < 10 and sum(map(len, asked)) < len(text) / 2
+
+
+def test_ids_at_every_kind_of_white_space(monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 40)
+    coder = packing.Encoder(**packing.public_vocabulary())
+    rng = np.random.default_rng(7)
+    signs = [*" \n\t\r\x0b\x1c\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000ab.1's\u00e9\u00e0\u4e2d\u2019\U0001f600", "  ", " the", "\n\n", "<|endoftext|>"]
+    for _ in range(300):
+        texts = ["".join(rng.choice(signs, rng.choice([0, 1, 2, 6, 40, 90]))) for _ in range(rng.integers(1, 8))]
+        data = [t.encode() for t in texts]
+        ids, counts = coder.flat(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        want = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def test_pieces_of_long_texts_and_other_keys(spark):
+    texts = [("k", "so " * 3_000_000), (None, "\u4e2d\u6587 " * 700), ("k", None), ("", "x")]
+    docs = spark.createDataFrame(texts, "name string, body string").repartition(1)
+    got = packing.pieces(docs, capacity=100, doc_id="name", text="body", **packing.public_vocabulary()).collect()
+    coder = packing.encoder(**packing.public_vocabulary())
+    want = sorted(((k or "-", coder.tokenizer.encode(t or "", add_special_tokens=False).ids + [2]) for k, t in texts), key=str)
+    made = []
+    for r in got:
+        if r.piece == 0:
+            made.append((r.doc_id, []))
+        assert r.start == len(made[-1][1]) and r.length * 4 == len(r.ids) and (r.length == 100 or r.piece == 0)
+        made[-1][1].extend(np.frombuffer(r.ids, "<u4").tolist())
+    assert sorted(((k or "-", ids) for k, ids in made), key=str) == want
+    assert [r.row for r in got] == list(range(len(got)))
+
+
 def test_op7_digests(spark, sf_dir):
     texts = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").collect()}
     encode = packing.encoder(**packing.public_vocabulary()).ids
