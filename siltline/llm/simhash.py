@@ -187,6 +187,8 @@ def links(fingerprints: DataFrame, *, max_bits: int = 3, leaf_rows: int = 1024)
     leaves = found[0]
     for more in found[1:]:
         leaves = leaves.unionByName(more)
+    # settled, so that this shuffle is its own: Spark would keep the join's, whose partitions it may cut or read by mapper
+    leaves = settle(leaves)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = leaves.repartition(width, "mask", "value").sortWithinPartitions("mask", "value")
     return dealt.mapInPandas(lambda frames: leaf_links(frames, max_bits), "a long, b long")

@@ -44,6 +44,23 @@ def test_links_find_all_components(spark, leaf_rows):
     assert got == want
 
 
+def test_a_leaf_is_never_torn(spark):
+    # one bit in each of three quarters: a pair meets in a single leaf, and its halves come from different tasks
+    rng = np.random.default_rng(8)
+    codes, lone = ([int(c) for c in rng.integers(0, 1 << 64, n, dtype=np.uint64)] for n in (3000, 6000))
+    bits = rng.integers(0, 16, (len(codes), 3)) + [0, 16, 32]
+    mates = [c ^ 1 << int(x) ^ 1 << int(y) ^ 1 << int(z) for c, (x, y, z) in zip(codes, bits, strict=True)]
+    fps = spark.createDataFrame([(simhash.signed(c),) for c in [*codes, *lone, *mates]], "fp long")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")  # as with more data, which would not go into one partition
+    try:
+        found = {frozenset((r.a, r.b)) for r in simhash.links(fps).collect()}
+    finally:
+        spark.conf.set(coalesce, before)
+    assert found >= {frozenset((simhash.signed(c), simhash.signed(m))) for c, m in zip(codes, mates, strict=True)}
+
+
 def test_near_duplicates_on_awkward_rows(spark):
     long = " ".join(f"w{i}" for i in range(400))
     rows = [
