@@ -1,3 +1,4 @@
+import time
 from dataclasses import replace
 
 import pytest
@@ -231,3 +232,23 @@ def test_batch_reads_of_feeds(spark):
     assert table_feed(spark, "one_feed", stream=False).count() == 1
     assert table_feed(spark, "one_feed").isStreaming
     assert FeedNames("b", catalog="c").recon(E.ASSETS) == "c.b.assets_recon"
+
+
+def test_a_run_leaves_no_shuffle_files_and_bounds_its_queries(spark, sf_dir, monkeypatch):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    events = contract.table(spark, sf_dir, "events").count()
+    specs, most, before = [replace(E.PROJECTS, name=f"p{i}") for i in range(3)], [], shuffled()
+    streams = {s.name: contract.entity_streams(spark, sf_dir, s) for s in specs}
+    start = runner.start_entity
+    monkeypatch.setattr(runner, "start_entity", lambda *a, **k: (start(*a, **k), most.append(len(spark.streams.active)))[0])
+    counts = run(spark, specs, streams=streams, silver=scratch(spark, "clean"), buckets=2, at_once=1, tie="event_id", **contract.LOAD)
+    assert {r.events for r in counts.collect()} == {2 * events}
+    assert max(most) == 1
+    until = time.monotonic() + 30
+    while shuffled() - before and time.monotonic() < until:  # executors remove them on their own time
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert spark.conf.get(runner.CLEANUP) == "false"

@@ -1,4 +1,5 @@
 import os
+from collections import namedtuple
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -400,3 +401,41 @@ def test_each_part_of_a_full_load_has_its_own_task(spark, root):
     attempt = table.commits().first().attempt
     files = [len([f for f in os.listdir(p) if f.startswith("part-")]) for p in table.bucket_paths().values() if attempt in p]
     assert files == [2] * 12 and table.read().count() == 600
+
+
+@pytest.mark.parametrize("cells", [1, 200])
+def test_rounds_of_buckets_equal_one_merge(spark, root, cells):
+    batches = [random_events(seed, count=60, keys=9) for seed in (5, 6, 7)]
+    whole, parts = KeyedTable(spark, f"{root}/a", KEYS, buckets=6), KeyedTable(spark, f"{root}/b", KEYS, buckets=6, round_cells=cells)
+    for batch in batches:
+        for table in (whole, parts):
+            table.merge(frame(spark, batch))
+    shown = lambda df: sorted(map(repr, df.drop("_commit_timestamp").collect()))
+    assert rows_of(parts.read()) == rows_of(whole.read()) == expected(sum(batches, []))
+    assert shown(parts.changes()) == shown(whole.changes())
+    counts = ("version", *target.COUNTS, "rows")
+    assert shown(parts.commits().select(*counts)) == shown(whole.commits().select(*counts))
+    assert parts.layout().schema == whole.layout().schema
+
+
+def test_a_round_without_old_rows_keeps_its_inserts(spark, root):
+    """One bucket is there already, so the commit writes images; the other round meets no old row."""
+    keys = {key_slot_of(spark, (1, k)): (1, k) for k in range(40)}
+    table = KeyedTable(spark, root, KEYS, buckets=2, round_cells=1)
+    table.merge(frame(spark, [main("10:00", "x", key=keys[0])]))
+    table.merge(frame(spark, [main("11:00", "y", key=k) for k in keys.values()]))
+    got = sorted((r.k1, r.k2, r["_change_type"]) for r in table.changes(since=2).collect())
+    both = [(*keys[0], "update_postimage"), (*keys[0], "update_preimage")]
+    assert got == sorted([*both, (*keys[1], "insert")])
+
+
+def key_slot_of(spark, key, buckets=2):
+    return frame(spark, [main("10:00", "x", key=key)]).selectExpr(key_slot(KEYS, buckets)).first()[0]
+
+
+def test_rounds_hold_whole_buckets():
+    row = namedtuple("row", "b good bad crowd")
+    counts = [row(3, 5, 0, 2), row(0, 4, 1, 4), row(1, 0, 7, 0), row(2, 6, 0, 3), row(5, 90, 0, 9), row(7, 1, 0, 1)]
+    assert target.rounds(counts, 10) == [([0, 2], 4), ([3], 2), ([5], 9), ([7], 1)]
+    assert target.rounds(counts, 1000) == [([0, 2, 3, 5, 7], 9)]
+    assert target.rounds([], 10) == []
